@@ -18,9 +18,13 @@ def _is_one_of(left: str, values: Iterable[str | None]) -> Column:
     return F.expr(f"{left} IN ({quoted})")
 
 
+def in_dates(dates: Iterable[str | None]) -> Column:
+    return _is_one_of("CAST(date AS STRING)", dates)
+
+
 def in_lists(dates: Iterable[str | None], hours: Iterable[str | None]) -> Column:
     """Every listed date with every listed hour: the cross product of both lists."""
-    return _is_one_of("CAST(date AS STRING)", dates) & _is_one_of("hour", hours)
+    return in_dates(dates) & _is_one_of("hour", hours)
 
 
 def in_slots(slots: Iterable[tuple[str, str]]) -> Column:

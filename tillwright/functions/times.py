@@ -1,10 +1,17 @@
-"""Dates, hours and slots. None of these depends on the session time zone."""
+"""Dates, hours and slots.
+
+On ``timestamp_ntz`` columns none of these depends on the session time zone.
+``date_format`` would: it turns them into instants of that zone first, where an
+hour can be missing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillwright.functions.texts import padded
+
 # Slots are cut in the wall time of this zone (fixed value).
 SLOT_ZONE = "America/Los_Angeles"
 
@@ -15,12 +22,12 @@ def utc_midnight(date: Column) -> Column:
 
 
 def date_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd")
+    return moment.cast("date").cast("string")
 
 
 def hour_text(moment: Column) -> Column:
     """Two-digit hour, so that hours compare as text."""
-    return F.date_format(moment, "HH")
+    return padded(F.hour(moment), 2)
 
 
 def parse_date(text: Column) -> Column:

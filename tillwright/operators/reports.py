@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.money import as_money
-from tillwright.operators.bounded import broadcast_if_small
+from tillwright.functions.slotted import in_dates, in_slots
+from tillwright.operators.bounded import MAX_ROWS
 
 
 def _of_dates(df: DataFrame, dates: list[str] | None) -> DataFrame:
-    return df if dates is None else df.where(F.col("date").isin([str(d) for d in dates]))
+    return df if dates is None else df.where(in_dates(dates))
 
 
 def category_sales(sales: DataFrame, catalog: DataFrame,
@@ -52,24 +53,42 @@ def category_sales(sales: DataFrame, catalog: DataFrame,
     )
 
 
-def latest_snapshots(catalog: DataFrame) -> DataFrame:
+def last_hours(slots: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The last slot of each date in a slot list."""
+    newest: dict[str, str] = {}
+    for date, hour in slots:
+        newest[date] = max(hour, newest.get(date, hour))
+    return sorted(newest.items())
+
+
+def latest_snapshots(catalog: DataFrame, slots: list[tuple[str, str]] | None = None,
+                     max_dates: int = MAX_ROWS) -> DataFrame:
     """Catalog rows of each date's last hour.
 
-    The last hours are one row per date and are counted before they are
-    broadcast, so the catalog itself is not shuffled for this.
+    The last slots, one per date, become a predicate on ``date`` and ``hour``:
+    the catalog is not shuffled, and a table partitioned by slot is read at one
+    hour per date. ``slots`` saves the job that finds them where the caller has
+    listed the table. More than ``max_dates`` dates are never fetched; a semi
+    join takes over then.
     """
+    if slots is not None:
+        return catalog.where(in_slots(last_hours(slots)))
     last = (
         catalog.where(F.col("hour").isNotNull() & F.col("date").isNotNull())
         .groupBy("date")
         .agg(F.max("hour").alias("hour"))
     )
-    return catalog.join(broadcast_if_small(last), ["date", "hour"], "left_semi")
+    rows = last.limit(max_dates + 1).collect()
+    if len(rows) > max_dates:
+        return catalog.join(last, ["date", "hour"], "left_semi")
+    return catalog.where(in_slots((r.date, r.hour) for r in rows))
 
 
 def category_sales_pinned(sales: DataFrame, catalog: DataFrame,
-                          dates: list[str] | None = None) -> DataFrame:
+                          dates: list[str] | None = None,
+                          slots: list[tuple[str, str]] | None = None) -> DataFrame:
     """``category_sales`` with one catalog snapshot per date: each sale counts once."""
-    return category_sales(sales, latest_snapshots(_of_dates(catalog, dates)), dates)
+    return category_sales(sales, latest_snapshots(_of_dates(catalog, dates), slots), dates)
 
 
 def orphan_sales(sales: DataFrame, listed: DataFrame,

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwright.operators.reports import category_sales, category_sales_pinned
 from tillwright.operators.slots import lists_of, select_slice, slot_columns
-from tillwright.schemas import DATASETS, Dataset
-from tillwright.sources import lake, tables
+from tillwright.schemas import DATASETS, PRODUCT_CATALOG, SALES_DATA, Dataset
+from tillwright.sources import lake, quarantine, tables
 from tillwright.sources.lake import Slots
 
 
@@ -17,16 +18,20 @@ def managed_name(namespace: str, dataset: Dataset) -> str:
     return f"{namespace}.{dataset.name}_managed"
 
 
+def rejected_name(namespace: str, dataset: Dataset) -> str:
+    return f"{namespace}.{dataset.name}_rejected"
+
+
 def load_managed(spark: SparkSession, dataset: Dataset, source: DataFrame, name: str,
                  mode: str = "incremental", backfill: bool | None = None,
                  slots: Slots | None = None) -> None:
     """Load slots of ``source`` into the managed table ``name``.
 
-    ``mode="replace"`` drops the table first, so it ends up with just the loaded
-    slots; ``"incremental"`` replaces those slots and keeps the others. With
-    ``backfill`` all slots are loaded, else the latest. ``slots`` are those of
-    the source where the caller has them from a listing; otherwise one job over
-    the two slot columns finds them.
+    With ``mode="replace"`` the table ends up with just the loaded slots;
+    ``"incremental"`` replaces those slots and keeps the others. With
+    ``backfill`` all slots are loaded, else the latest; the default is the
+    dataset's. ``slots`` are those of the source where the caller has them from
+    a listing; otherwise one job over the two slot columns finds them.
     """
     if mode not in ("replace", "incremental"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -36,11 +41,44 @@ def load_managed(spark: SparkSession, dataset: Dataset, source: DataFrame, name:
         slots = [(r.date, r.hour) for r in slot_columns(source).collect()]
     dates, hours = lists_of(slots, backfill)
     rows = tables.to_managed(select_slice(source, dates, hours), dataset)
-    tables.create_managed(spark, name, dataset, replace=mode == "replace")
+    if mode == "incremental":
+        tables.create_managed(spark, name, dataset)
+        tables.replace_slots(spark, name, rows, dates, hours)
+    else:
+        fits = tables.has_layout(spark, name, dataset)
+        tables.create_managed(spark, name, dataset, replace=not fits)
+        tables.replace_all(spark, name, rows)
+
+
+def load_from_lake(spark: SparkSession, dataset: Dataset, root: str, namespace: str,
+                   mode: str = "incremental", backfill: bool | None = None,
+                   keep_bad_rows: bool = False) -> None:
+    """Load a dataset of the lake into ``namespace``.
+
+    Slots come from a listing of ``root``, not from reading its files. A bad CSV
+    row stops the load, or with ``keep_bad_rows`` goes to the ``_rejected`` table
+    while the good rows are loaded.
+    """
+    slots = lake.existing_slots(spark, root)
+    if not slots:
+        return
+    name = managed_name(namespace, dataset)
+    if not keep_bad_rows:
+        load_managed(
+            spark, dataset, lake.read_lake(spark, root, dataset), name, mode, backfill, slots
+        )
+        return
+    unchecked = quarantine.read_unchecked(spark, root, dataset)
+    good, bad = quarantine.split_bad_rows(unchecked, dataset)
+    load_managed(spark, dataset, good, name, mode, backfill, slots)
+    dates, hours = lists_of(slots, dataset.backfill if backfill is None else backfill)
+    held_back = select_slice(bad, dates, hours).withColumn("date", F.col("date").cast("string"))
+    rejected = rejected_name(namespace, dataset)
+    tables.create_slot_table(spark, rejected, quarantine.rejected_schema(dataset))
     if mode == "replace":
-        tables.append_slots(rows, name)
+        tables.replace_all(spark, rejected, held_back)
     else:
-        tables.replace_slots(spark, name, rows, dates, hours)
+        tables.replace_slots(spark, rejected, held_back, dates, hours)
 
 
 @dataclass(frozen=True)
@@ -52,6 +90,7 @@ class Refresh:
     location: str | None = None
     mode: str = "incremental"
     backfill: dict[str, bool] | None = None
+    keep_bad_rows: bool = False
     pinned: bool = False
 
 
@@ -62,13 +101,15 @@ def run_refresh(spark: SparkSession, job: Refresh) -> DataFrame:
     """
     tables.ensure_namespace(spark, job.namespace, job.location)
     for dataset in DATASETS.values():
-        root = f"{job.lake_root.rstrip('/')}/{dataset.name}"
-        slots = lake.existing_slots(spark, root)
-        load_managed(
-            spark, dataset, lake.read_lake(spark, root, dataset),
-            managed_name(job.namespace, dataset), job.mode,
-            (job.backfill or {}).get(dataset.name), slots,
+        tables.create_managed(spark, managed_name(job.namespace, dataset), dataset)
+        load_from_lake(
+            spark, dataset, f"{job.lake_root.rstrip('/')}/{dataset.name}", job.namespace,
+            job.mode, (job.backfill or {}).get(dataset.name), job.keep_bad_rows,
         )
-    sales = spark.table(managed_name(job.namespace, DATASETS["sales_data"]))
-    catalog = spark.table(managed_name(job.namespace, DATASETS["product_catalog"]))
-    return (category_sales_pinned if job.pinned else category_sales)(sales, catalog)
+    sales = spark.table(managed_name(job.namespace, SALES_DATA))
+    catalog_name = managed_name(job.namespace, PRODUCT_CATALOG)
+    catalog = spark.table(catalog_name)
+    if job.pinned:
+        slots = tables.table_slots(spark, catalog_name)
+        return category_sales_pinned(sales, catalog, slots=slots)
+    return category_sales(sales, catalog)

@@ -23,8 +23,7 @@ GROUP BY a.date, b.category_name
 _PINNED = """(SELECT c.* FROM catalog c
   JOIN (SELECT date, max(hour) AS hour FROM catalog GROUP BY date) m
   ON c.date = m.date AND c.hour = m.hour)"""
-_DATES = ["1998-01-01", "1998-01-02", "1998-01-03"]
-_IN_DATES = "AND a.date IN ('1998-01-01', '1998-01-02', '1998-01-03')"
+_IN_DATES = "AND a.date IN (SELECT date FROM catalog GROUP BY date HAVING max(hour) = '23')"
 
 
 def _category_sales(spark, sf_dir):
@@ -32,7 +31,11 @@ def _category_sales(spark, sf_dir):
 
 
 def _category_sales_dates(spark, sf_dir):
-    return op.category_sales(fx.sales(spark, sf_dir), fx.catalog(spark, sf_dir), _DATES)
+    """The report for the dates whose catalog reaches the last hour of the day."""
+    catalog = fx.catalog(spark, sf_dir)
+    last = catalog.groupBy("date").agg(F.max("hour").alias("hour"))
+    dates = [r.date for r in last.where(F.col("hour") == "23").collect()]
+    return op.category_sales(fx.sales(spark, sf_dir), catalog, dates)
 
 
 def _category_sales_pinned(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwright.operators.slots import missing_slots
+from tillwright.functions.slotted import in_slots
 from tillwright.schemas import (
     CATALOG_DAILY, INVENTORY_DATA, PRODUCT_CATALOG, SALES_DAILY, SALES_DATA, Dataset,
 )
@@ -120,11 +120,14 @@ def write_daily_csv(df: DataFrame, root: str, mode: str = "append") -> None:
 
 
 def write_missing_slots(df: DataFrame, root: str) -> None:
-    """Write only the slots that have no file under ``root`` yet."""
-    spark = df.sparkSession
-    present = existing_slots(spark, root)
-    fresh = missing_slots(df, slots_frame(spark, present)) if present else df
-    write_slots_csv(fresh, root)
+    """Write only the slots that have no file under ``root`` yet.
+
+    The slots present are a predicate on the rows, so nothing is joined. Rows
+    without a date or hour belong to no slot and are not written.
+    """
+    placed = df.where(F.col("date").isNotNull() & F.col("hour").isNotNull())
+    present = existing_slots(df.sparkSession, root)
+    write_slots_csv(placed.where(~in_slots(present)), root)
 
 
 def register_external(spark: SparkSession, name: str, root: str, dataset: Dataset) -> None:

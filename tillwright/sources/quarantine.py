@@ -35,6 +35,12 @@ def read_unchecked(spark: SparkSession, root: str, dataset: Dataset) -> DataFram
     return spark.read.schema(schema).options(**options).csv(root)
 
 
+def rejected_schema(dataset: Dataset) -> T.StructType:
+    """Columns of the bad rows of a dataset, with the date as text."""
+    names = [f.name for f in dataset.body] + [BAD_LINE, "bad_columns", "date", "hour"]
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
 def split_bad_rows(unchecked: DataFrame, dataset: Dataset) -> tuple[DataFrame, DataFrame]:
     """Typed good rows, and bad rows as text with ``bad_columns``.
 

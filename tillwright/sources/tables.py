@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwright.functions.slotted import in_slots
 from tillwright.functions.times import utc_midnight
@@ -34,6 +35,17 @@ def _properties(spark: SparkSession, name: str, dataset: Dataset) -> None:
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('env' = 'dev', 'source' = 'csv')")
 
 
+def create_slot_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Create an empty table partitioned by slot unless it exists."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    # As a table option the dynamic mode holds for every overwrite of this table
+    # and needs no session setting; the writer ignores it as an option of its own.
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        "OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (date, hour)"
+    )
+
+
 def create_managed(spark: SparkSession, name: str, dataset: Dataset,
                    replace: bool = False) -> None:
     """Create an empty managed table; with ``replace``, drop the old one first."""
@@ -41,16 +53,18 @@ def create_managed(spark: SparkSession, name: str, dataset: Dataset,
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     elif spark.catalog.tableExists(name):
         return
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dataset.managed_schema)
-    # As a table option the dynamic mode holds for every overwrite of this table
-    # and needs no session setting; the writer ignores it as an option of its own.
-    spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet "
-        "OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (date, hour)"
-    )
+    create_slot_table(spark, name, dataset.managed_schema)
     _properties(spark, name, dataset)
 
 
+def has_layout(spark: SparkSession, name: str, dataset: Dataset) -> bool:
+    """True if the table exists with the columns of the dataset."""
+    if not spark.catalog.tableExists(name):
+        return False
+    wanted = [(f.name, f.dataType) for f in dataset.managed_schema]
+    return [(f.name, f.dataType) for f in spark.table(name).schema] == wanted
+
+
 def to_managed(df: DataFrame, dataset: Dataset) -> DataFrame:
     """Lake rows in the columns of the managed table: text date, timestamp added."""
     return df.withColumn("date_tmsp", utc_midnight(F.col("date").cast("date"))).withColumn(
@@ -102,18 +116,44 @@ def delete_slots(spark: SparkSession, name: str, dates: list[str], hours: list[s
     drop_slots(spark, name, _listed(table_slots(spark, name), dates, hours))
 
 
+def _first_files(spark: SparkSession, name: str, slots: Slots) -> dict[tuple[str, str], str]:
+    """First file name of each given slot. Reads no column, only file footers."""
+    if not slots:
+        return {}
+    files = (
+        spark.table(name).where(in_slots(slots))
+        .groupBy("date", "hour")
+        .agg(F.min("_metadata.file_name").alias("file"))
+    )
+    return {(r.date, r.hour): r.file for r in files.collect()}
+
+
+def _swap(spark: SparkSession, name: str, df: DataFrame, held: Slots) -> None:
+    """Overwrite the slots of ``df`` and drop those of ``held`` it has no rows for.
+
+    Every write names its files anew, so a slot that still starts with the same
+    file was not written. That costs two looks at the table instead of computing
+    ``df`` a second time.
+    """
+    before = _first_files(spark, name, held)
+    overwrite_slots(df, name)
+    after = _first_files(spark, name, held)
+    drop_slots(spark, name, [slot for slot in held if before.get(slot) == after.get(slot)])
+
+
 def replace_slots(spark: SparkSession, name: str, df: DataFrame, dates: list[str],
                   hours: list[str]) -> None:
     """Make the listed dates and hours hold exactly ``df``.
 
     A listed slot without rows in ``df`` ends up empty, as after a delete and an
-    insert; dynamic overwrite alone would keep its old rows. Only slots the
-    table already has are looked up in ``df`` for that, one in an hourly load.
+    insert; dynamic overwrite alone would keep its old rows.
     """
-    held = _listed(table_slots(spark, name), dates, hours)
-    again = slot_columns(df.where(in_slots(held))).collect() if held else []
-    overwrite_slots(df, name)
-    drop_slots(spark, name, sorted(set(held) - {(r.date, r.hour) for r in again}))
+    _swap(spark, name, df, _listed(table_slots(spark, name), dates, hours))
+
+
+def replace_all(spark: SparkSession, name: str, df: DataFrame) -> None:
+    """Make the table hold exactly ``df``; readers never find it empty."""
+    _swap(spark, name, df, table_slots(spark, name))
 
 
 def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str]) -> None:
