@@ -1,0 +1,42 @@
+"""Registered queries against DuckDB on the smallest tables.
+
+Queries that write and read files take minutes together; set
+``TILLWRIGHT_ALL_QUERIES=1`` to include them, or run ``python tests/oracle.py``.
+The functions they use have tests of their own.
+"""
+
+import os
+
+import pytest
+
+from oracle import difference, oracle_connection
+from tillwright.registry import all_queries
+
+SF_DIR = "/root/testdata/sf0.001"
+ALL = os.environ.get("TILLWRIGHT_ALL_QUERIES") == "1"
+STORED = {"lake", "tables", "alerts"}
+NAMES = [
+    name for name, query in all_queries().items()
+    if ALL or query.run.__module__.rsplit(".", 1)[1] not in STORED
+]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return oracle_connection(SF_DIR)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_its_sql(spark, duck, name):
+    query = all_queries()[name]
+    assert query.sql, "every query has an oracle"
+    assert difference(query.run(spark, SF_DIR), duck, query.sql) is None
+
+
+def test_entry_points(spark):
+    import __spark_entry__ as entry
+
+    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert entry.entry(spark).columns == [
+        "date", "category_name", "units_sold", "total_ammount_paid"
+    ]

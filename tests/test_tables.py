@@ -1,0 +1,228 @@
+import pytest
+from pyspark.sql import functions as F
+
+import samples
+from samples import slot
+from tillwright.plans.loads import (
+    Refresh, load_from_lake, load_managed, managed_name, rejected_name, run_refresh,
+)
+from tillwright.schemas import DATASETS, INVENTORY_DATA, PRODUCT_CATALOG, SALES_DATA
+from tillwright.sources import lake, tables
+
+D1, D2 = "2025-01-01", "2025-01-02"
+
+
+def _sales(spark, *slots, mark="Spain"):
+    return samples.sales(
+        spark, *[slot(d, h, transaction_id=f"{d}/{h}", order_country=mark) for d, h in slots]
+    )
+
+
+def _held(spark, name):
+    return sorted((r.date, r.hour, r.order_country) for r in spark.table(name).collect())
+
+
+def test_managed_columns_and_midnight(spark, namespace):
+    name = f"{namespace}.a"
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "05")), name)
+    table = spark.table(name)
+    assert table.schema.fieldNames() == SALES_DATA.managed_schema.fieldNames()
+    assert dict(table.dtypes)["date"] == "string" and dict(table.dtypes)["hour"] == "string"
+    assert table.select(F.unix_seconds("date_tmsp")).first()[0] == 1735689600
+
+
+def test_midnight_is_utc_in_any_session_zone(spark, namespace):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = tables.to_managed(_sales(spark, (D1, "05")), SALES_DATA)
+        assert rows.select(F.unix_seconds("date_tmsp")).first()[0] == 1735689600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_labels_description_and_partitions(spark, namespace):
+    name = f"{namespace}.a"
+    tables.create_managed(spark, name, SALES_DATA)
+    shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert shown["env"] == "dev" and shown["source"] == "csv"
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert described["Comment"] == SALES_DATA.description
+    tables.append_slots(tables.to_managed(_sales(spark, (D1, "05")), SALES_DATA), name)
+    assert tables.table_slots(spark, name) == [(D1, "05")]
+
+
+def test_default_flags_differ(spark, namespace):
+    rows = samples.catalog(spark, slot(D1, "23"), slot(D2, "00"), slot(D2, "07"))
+    load_managed(spark, PRODUCT_CATALOG, rows, f"{namespace}.c")
+    assert tables.table_slots(spark, f"{namespace}.c") == [(D2, "07")]
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "23"), (D2, "00")), f"{namespace}.s")
+    assert tables.table_slots(spark, f"{namespace}.s") == [(D1, "23"), (D2, "00")]
+
+
+def test_replace_leaves_only_the_loaded_slots_and_incremental_keeps_the_others(spark, namespace):
+    name = f"{namespace}.s"
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00"), (D1, "01")), name)
+    later = _sales(spark, (D2, "03"), mark="later")
+    load_managed(spark, SALES_DATA, later, name, "incremental")
+    assert _held(spark, name) == [(D1, "00", "Spain"), (D1, "01", "Spain"), (D2, "03", "later")]
+    load_managed(spark, SALES_DATA, later, name, "replace")
+    assert _held(spark, name) == [(D2, "03", "later")]
+
+
+def test_replace_equals_incremental_on_an_empty_table(spark, namespace):
+    rows = _sales(spark, (D1, "00"), (D1, "01"), (D2, "03"))
+    for mode in ("replace", "incremental"):
+        load_managed(spark, SALES_DATA, rows, f"{namespace}.{mode}", mode)
+    assert _held(spark, f"{namespace}.replace") == _held(spark, f"{namespace}.incremental")
+
+
+def test_replace_takes_a_table_of_another_layout(spark, namespace):
+    name = f"{namespace}.s"
+    spark.sql(f"CREATE TABLE {name} (x INT) USING parquet")
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00")), name, "replace")
+    assert _held(spark, name) == [(D1, "00", "Spain")]
+
+
+def test_loading_twice_changes_nothing(spark, namespace):
+    name = f"{namespace}.s"
+    rows = _sales(spark, (D1, "00"), (D1, "00"), (D2, "03"))
+    load_managed(spark, SALES_DATA, rows, name)
+    once = _held(spark, name)
+    load_managed(spark, SALES_DATA, rows, name)
+    assert _held(spark, name) == once and len(once) == 3
+
+
+def test_lists_work_as_a_cross_product(spark, namespace):
+    """A held slot of a listed date and hour goes even if the source has no rows for it."""
+    name = f"{namespace}.s"
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00"), (D1, "05"), (D2, "00")), name)
+    # Dates D1, D2 and hours 00, 05 are listed; the pair (D1, 05) has no rows now.
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00"), (D2, "05"), mark="new"), name)
+    assert _held(spark, name) == [(D1, "00", "new"), (D2, "05", "new")]
+
+
+def test_a_slot_whose_file_lost_its_rows_is_emptied(spark, namespace, tmp_path):
+    root = tmp_path / "sales_data"
+    lake.write_slots_csv(_sales(spark, (D1, "00"), (D1, "01")), str(root))
+    load_from_lake(spark, SALES_DATA, str(root), namespace)
+    for path in root.glob("date=*/hour=01/*.csv"):
+        path.write_text(path.read_text().splitlines()[0] + "\n")
+    for crc in root.glob("date=*/hour=01/.*.crc"):
+        crc.unlink()
+    load_from_lake(spark, SALES_DATA, str(root), namespace)
+    assert _held(spark, managed_name(namespace, SALES_DATA)) == [(D1, "00", "Spain")]
+
+
+def test_delete_is_a_cross_product_too(spark, namespace):
+    name = f"{namespace}.s"
+    slots = [(D1, "00"), (D1, "05"), (D2, "00"), (D2, "07")]
+    load_managed(spark, SALES_DATA, _sales(spark, *slots), name)
+    tables.delete_slots(spark, name, [D1, D2, None], ["00", "07", None])
+    assert tables.table_slots(spark, name) == [(D1, "05")]
+
+
+def test_an_empty_source_loads_nothing(spark, namespace):
+    name = f"{namespace}.s"
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00")), name)
+    empty = _sales(spark, (D1, "00")).where("false")
+    for backfill in (True, False):
+        load_managed(spark, SALES_DATA, empty, name, backfill=backfill)
+    assert _held(spark, name) == [(D1, "00", "Spain")]
+
+
+def test_null_dates_and_hours_never_load(spark, namespace):
+    name = f"{namespace}.s"
+    rows = samples.sales(spark, slot(D1, "00"), slot(None, "00"), slot(D1, None))
+    load_managed(spark, SALES_DATA, rows, name)
+    assert spark.table(name).count() == 1
+
+
+def test_unknown_mode_is_refused(spark, namespace):
+    with pytest.raises(ValueError):
+        load_managed(spark, SALES_DATA, _sales(spark, (D1, "00")), f"{namespace}.s", "merge")
+
+
+def test_merge_updates_adds_and_leaves_other_slots_untouched(spark, namespace):
+    name = f"{namespace}.c"
+    load_managed(
+        spark, PRODUCT_CATALOG,
+        samples.catalog(
+            spark, slot(D1, "00", "A"), slot(D1, "00", "B"), slot(D2, "00", "A"),
+        ),
+        name, backfill=True,
+    )
+    files = sorted(set(spark.table(name).where(f"date = '{D2}'").inputFiles()))
+    change = samples.catalog(
+        spark, slot(D1, "00", "B", unit_price=99.0), slot(D1, "00", "C"), slot(D1, "04", "A")
+    )
+    keys = ["date", "hour", "product_id"]
+    for _ in range(2):
+        tables.merge_by_key(spark, name, tables.to_managed(change, PRODUCT_CATALOG), keys)
+    found = sorted(
+        (r.date, r.hour, r.product_id, r.unit_price) for r in spark.table(name).collect()
+    )
+    assert found == [
+        (D1, "00", "A", 10.0), (D1, "00", "B", 99.0), (D1, "00", "C", 10.0),
+        (D1, "04", "A", 10.0), (D2, "00", "A", 10.0),
+    ]
+    assert sorted(set(spark.table(name).where(f"date = '{D2}'").inputFiles())) == files
+    with pytest.raises(ValueError):
+        tables.merge_by_key(spark, name, change, ["product_id"])
+
+
+def test_rows_are_sorted_by_product_inside_a_file(spark, namespace):
+    name = f"{namespace}.c"
+    rows = samples.catalog(spark, *[slot(D1, "00", f"P{i:03d}") for i in (5, 3, 9, 1, 7)])
+    load_managed(spark, PRODUCT_CATALOG, rows, name)
+    files = set(spark.table(name).inputFiles())
+    assert len(files) == 1
+    found = [r.product_id for r in spark.read.parquet(*files).collect()]
+    assert found == sorted(found)
+
+
+def _fill_lake(spark, root):
+    lake.write_slots_csv(
+        samples.catalog(spark, slot(D1, "00"), slot(D1, "01")), f"{root}/product_catalog")
+    lake.write_slots_csv(
+        samples.sales(spark, slot(D1, "00", units_sold=3)), f"{root}/sales_data")
+    lake.write_slots_csv(
+        samples.inventory(spark, slot(D1, "00", units_sold=-3, final_stock=-3)),
+        f"{root}/inventory_data")
+
+
+def test_refresh_loads_all_and_reports(spark, namespace, tmp_path):
+    root = str(tmp_path / "lake")
+    _fill_lake(spark, root)
+    everything = {name: True for name in DATASETS}
+    job = Refresh(namespace, root, backfill=everything)
+    for _ in range(2):
+        # Two catalog snapshots: every sale counts twice.
+        assert [tuple(r) for r in run_refresh(spark, job).collect()] == [(D1, "Tools", 6, 60.0)]
+    pinned = run_refresh(spark, Refresh(namespace, root, backfill=everything, pinned=True))
+    assert [tuple(r) for r in pinned.collect()] == [(D1, "Tools", 3, 30.0)]
+    assert spark.table(managed_name(namespace, INVENTORY_DATA)).count() == 1
+
+
+def test_refresh_of_an_empty_lake(spark, namespace, tmp_path):
+    assert run_refresh(spark, Refresh(namespace, str(tmp_path / "none"))).collect() == []
+
+
+def test_bad_rows_go_aside_and_leave_when_mended(spark, namespace, tmp_path):
+    root = tmp_path / "inventory_data"
+    lake.write_slots_csv(samples.inventory(spark, slot(D1, "00"), slot(D1, "00", "Q")), str(root))
+    (path,) = root.glob("date=*/hour=00/*.csv")
+    good_text = path.read_text()
+    for crc in path.parent.glob(".*.crc"):
+        crc.unlink()
+    path.write_text(good_text.replace("Q,0", "Q,many"))
+    with pytest.raises(Exception, match="MALFORMED|NumberFormat"):
+        load_from_lake(spark, INVENTORY_DATA, str(root), namespace)
+    load_from_lake(spark, INVENTORY_DATA, str(root), namespace, keep_bad_rows=True)
+    name, rejected = managed_name(namespace, INVENTORY_DATA), rejected_name(namespace, INVENTORY_DATA)
+    assert [r.product_id for r in spark.table(name).collect()] == ["PROD_0001"]
+    assert [(r.product_id, r.bad_columns) for r in spark.table(rejected).collect()] == [
+        ("Q", "in_stock")
+    ]
+    path.write_text(good_text)
+    load_from_lake(spark, INVENTORY_DATA, str(root), namespace, keep_bad_rows=True)
+    assert spark.table(name).count() == 2 and spark.table(rejected).count() == 0

@@ -13,11 +13,7 @@ MAX_ROWS = 200_000
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` when it has at most ``max_rows`` narrow rows.
 
-    The rows are fetched once, never more than ``max_rows + 1`` of them, and
-    serve as the broadcast side. A larger ``df`` comes back unchanged, for an
-    ordinary shuffle join.
+    Counting stops after ``max_rows + 1`` rows. A larger ``df`` comes back
+    unchanged, for an ordinary shuffle join.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return df if df.limit(max_rows + 1).count() > max_rows else F.broadcast(df)

@@ -80,7 +80,7 @@ def latest_snapshots(catalog: DataFrame, slots: list[tuple[str, str]] | None = N
     )
     rows = last.limit(max_dates + 1).collect()
     if len(rows) > max_dates:
-        return catalog.join(last, ["date", "hour"], "left_semi")
+        return catalog.join(last, ["date", "hour"], "left_semi").select(*catalog.columns)
     return catalog.where(in_slots((r.date, r.hour) for r in rows))
 
 

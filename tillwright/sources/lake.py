@@ -18,7 +18,11 @@ Slots = list[tuple[str, str]]
 # the quote is its own escape. Columns go by position: the header line is
 # skipped, its names are never used (one catalog header holds a stray comma).
 CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "true"}
-CSV_READ = {**CSV_FORMAT, "mode": "FAILFAST", "pathGlobFilter": "*.csv"}
+# The parser puts the null marker in place of an empty cell. With one that is no
+# text of its own, an empty cell is null and a quoted empty text stays a text.
+CSV_READ = {
+    **CSV_FORMAT, "mode": "FAILFAST", "pathGlobFilter": "*.csv", "nullValue": "\u0001",
+}
 # Blanks around a value belong to it.
 CSV_WRITE = {
     **CSV_FORMAT, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -64,7 +68,7 @@ def read_sales_daily(spark: SparkSession, root: str) -> DataFrame:
 
 
 def existing_slots(spark: SparkSession, root: str) -> Slots:
-    """Slots that have a file under ``root``, in order.
+    """Slots that have a file under ``root``, in order. A file without a byte is none.
 
     No file is opened: the binary file source yields names only when its content
     column is not read. A session of its own packs all names into as many tasks

@@ -71,20 +71,23 @@ def negative_stock_stream(spark: SparkSession, root: str, per_batch: int | None
 
 
 def dedup_alerts(alerts: DataFrame, delay: str = REPEAT_WINDOW,
-                 arrived: Column | None = None) -> DataFrame:
+                 arrived: Column | None = None, spread: int = 16) -> DataFrame:
     """One alert per slot and product among those that arrive within ``delay``.
 
     The watermark runs on arrival, not on the slot: a backfill of old slots is
     never late and never lost. A repeat later than ``delay`` passes as new, and
     the state forgets a key after that time.
+
+    Repeats are dropped in two steps, first within ``spread`` random shares of a
+    key, so that an alert sent over and over is not all work of one task. With
+    ``spread=1`` there is only the second step, and less state.
     """
     moment = F.current_timestamp() if arrived is None else arrived
-    return (
-        alerts.withColumn("_arrived", moment)
-        .withWatermark("_arrived", delay)
-        .dropDuplicatesWithinWatermark(ALERT_KEY)
-        .drop("_arrived")
-    )
+    timed = alerts.withColumn("_arrived", moment).withWatermark("_arrived", delay)
+    if spread > 1:
+        timed = timed.withColumn("_share", F.floor(F.rand() * spread))
+        timed = timed.dropDuplicatesWithinWatermark([*ALERT_KEY, "_share"])
+    return timed.dropDuplicatesWithinWatermark(ALERT_KEY).select(*alerts.columns)
 
 
 def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str,
