@@ -17,6 +17,10 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+SAME_TYPE = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+}
+
 
 def oracle_connection(sf_dir: str):
     con = duckdb.connect()
@@ -31,6 +35,10 @@ def difference(df, con, sql: str) -> str | None:
     names = [c[0] for c in cursor.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = {c[0]: str(c[1]).upper() for c in cursor.description}
+    for column, kind in df.dtypes:
+        if types[column] != SAME_TYPE.get(kind):
+            return f"type of {column}: {kind} != {types[column]}"
     order = [names.index(c) for c in sorted(names)]
     expected = Counter(tuple(row[i] for i in order) for row in cursor.fetchall())
     rows = df.select(*sorted(df.columns)).collect()

@@ -61,7 +61,7 @@ def test_predicates_take_dates_and_odd_text(spark):
 def test_date_spine_includes_both_ends_and_refuses_nonsense(spark):
     ranges = _ranges(
         spark, ("2024-02-28", "2024-03-01"), ("2025-01-02", "2025-01-01"),
-        ("soon", "2025-01-01"), ("2025-01-05", "2025-01-05"), ("2025-02-30", "2025-03-01"),
+        ("soon", "2025-01-01"), ("2025-1-5", "2025-01-05"), ("2025-02-30", "2025-03-01"),
     )
     assert sorted(r.date for r in op.date_spine(ranges).collect()) == [
         "2024-02-28", "2024-02-29", "2024-03-01", "2025-01-05",

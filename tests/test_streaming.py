@@ -43,6 +43,16 @@ def test_stream_equals_batch_and_goes_on_from_its_checkpoint(spark, tmp_path, ro
     )
 
 
+def test_a_bad_row_need_not_end_the_stream(spark, tmp_path):
+    folder = tmp_path / "inventory" / "date=2025-01-01" / "hour=00"
+    folder.mkdir(parents=True)
+    (folder / "one.csv").write_text(
+        ",".join(ALERT.fieldNames()) + "\n2025-01-01,00,A,0,0,0,0,-1\n2025-01-01,00,B,0,0,0,0,x\n"
+    )
+    stream = op.negative_stock_stream(spark, str(tmp_path / "inventory"), strict=False)
+    assert [r.product_id for r in _run(spark, stream, tmp_path).collect()] == ["A"]
+
+
 def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
     """One alert makes up most messages; old slots arriving late are kept."""
     topic = str(tmp_path / "topic")

@@ -31,8 +31,8 @@ def hour_text(moment: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    """Date of ``yyyy-MM-dd`` text; anything else is null instead of an error."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    """Date of year-month-day text, zeros optional; anything else is null, no error."""
+    return F.try_to_date(text, "yyyy-M-d")
 
 
 def local_time(utc: Column, zone: str = SLOT_ZONE) -> Column:

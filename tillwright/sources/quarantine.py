@@ -12,8 +12,9 @@ from tillwright.sources.lake import CSV_READ
 BAD_LINE = "_bad_line"
 
 
-def read_unchecked(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
-    """Scan one dataset with every body column as text.
+def read_unchecked(spark: SparkSession, root: str, dataset: Dataset,
+                   stream: bool = False, **more: str) -> DataFrame:
+    """Scan one dataset, or follow its new files, with every body column as text.
 
     Lines with too few or too many cells keep their text in ``_bad_line``. The
     parser always splits whole lines, so that does not depend on the columns a
@@ -30,9 +31,10 @@ def read_unchecked(spark: SparkSession, root: str, dataset: Dataset) -> DataFram
     )
     options = {
         **CSV_READ, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE,
-        "columnPruning": "false",
+        "columnPruning": "false", **more,
     }
-    return spark.read.schema(schema).options(**options).csv(root)
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(schema).options(**options).csv(root)
 
 
 def rejected_schema(dataset: Dataset) -> T.StructType:

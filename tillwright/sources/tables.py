@@ -116,28 +116,31 @@ def delete_slots(spark: SparkSession, name: str, dates: list[str], hours: list[s
     drop_slots(spark, name, _listed(table_slots(spark, name), dates, hours))
 
 
-def _first_files(spark: SparkSession, name: str, slots: Slots) -> dict[tuple[str, str], str]:
+def _first_files(spark: SparkSession, name: str, slots: Slots,
+                 whole: bool) -> dict[tuple[str, str], str]:
     """First file name of each given slot. Reads no column, only file footers."""
     if not slots:
         return {}
+    table = spark.table(name)
     files = (
-        spark.table(name).where(in_slots(slots))
+        (table if whole else table.where(in_slots(slots)))
         .groupBy("date", "hour")
         .agg(F.min("_metadata.file_name").alias("file"))
     )
     return {(r.date, r.hour): r.file for r in files.collect()}
 
 
-def _swap(spark: SparkSession, name: str, df: DataFrame, held: Slots) -> None:
+def _swap(spark: SparkSession, name: str, df: DataFrame, held: Slots,
+          whole: bool = False) -> None:
     """Overwrite the slots of ``df`` and drop those of ``held`` it has no rows for.
 
     Every write names its files anew, so a slot that still starts with the same
     file was not written. That costs two looks at the table instead of computing
     ``df`` a second time.
     """
-    before = _first_files(spark, name, held)
+    before = _first_files(spark, name, held, whole)
     overwrite_slots(df, name)
-    after = _first_files(spark, name, held)
+    after = _first_files(spark, name, held, whole)
     drop_slots(spark, name, [slot for slot in held if before.get(slot) == after.get(slot)])
 
 
@@ -153,7 +156,7 @@ def replace_slots(spark: SparkSession, name: str, df: DataFrame, dates: list[str
 
 def replace_all(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Make the table hold exactly ``df``; readers never find it empty."""
-    _swap(spark, name, df, table_slots(spark, name))
+    _swap(spark, name, df, table_slots(spark, name), whole=True)
 
 
 def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str]) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillwright.operators.inventory import negative_stock
 from tillwright.schemas import ALERT, ALERT_KEY, INVENTORY_DATA
 from tillwright.sources.lake import CSV_READ
+from tillwright.sources.quarantine import read_unchecked, split_bad_rows
 
 UNREADABLE = "_unreadable"
 # Longer than the three days in which a slot may be written again.
@@ -58,16 +59,22 @@ def alert_stream(messages: DataFrame) -> DataFrame:
     return split_bad_messages(messages)[0]
 
 
-def negative_stock_stream(spark: SparkSession, root: str, per_batch: int | None = None) -> DataFrame:
+def negative_stock_stream(spark: SparkSession, root: str, per_batch: int | None = None,
+                          strict: bool = True) -> DataFrame:
     """Alerts straight from new inventory files of the lake.
 
     The file source hands out each file once, so a slot alerts when its file
-    first appears.
+    first appears. A bad CSV row ends the stream; with ``strict=False`` it is
+    passed over, and the load sets it apart.
     """
-    reader = spark.readStream.schema(INVENTORY_DATA.lake_schema).options(**CSV_READ)
-    if per_batch:
-        reader = reader.option("maxFilesPerTrigger", per_batch)
-    return negative_stock(reader.csv(root)).select(*ALERT.fieldNames())
+    pace = {"maxFilesPerTrigger": str(per_batch)} if per_batch else {}
+    if strict:
+        reader = spark.readStream.schema(INVENTORY_DATA.lake_schema).options(**CSV_READ, **pace)
+        stock = reader.csv(root)
+    else:
+        rows = read_unchecked(spark, root, INVENTORY_DATA, stream=True, **pace)
+        stock, _ = split_bad_rows(rows, INVENTORY_DATA)
+    return negative_stock(stock).select(*ALERT.fieldNames())
 
 
 def dedup_alerts(alerts: DataFrame, delay: str = REPEAT_WINDOW,
