@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.functions.money import as_money
+from tillwright.functions.money import from_micros, micros
 from tillwright.functions.slotted import in_dates, in_slots
 from tillwright.operators.bounded import MAX_ROWS
 
@@ -33,7 +33,7 @@ def category_sales(sales: DataFrame, catalog: DataFrame,
         .groupBy("date", "product_id")
         .agg(
             F.sum("units_sold").alias("units"),
-            F.sum(as_money(F.col("total_ammount_paid"))).alias("paid"),
+            F.sum(micros(F.col("total_ammount_paid"))).alias("paid"),
         )
     )
     listed = (
@@ -48,7 +48,10 @@ def category_sales(sales: DataFrame, catalog: DataFrame,
         .groupBy("date", "category_name")
         .agg(
             F.sum(F.col("units") * F.col("listings")).alias("units_sold"),
-            F.sum(F.col("paid") * F.col("listings")).cast("double").alias("total_ammount_paid"),
+            # Few rows are left here, so decimals cost little and cannot overflow.
+            from_micros(F.sum(F.col("paid").cast("decimal(20,0)") * F.col("listings"))).alias(
+                "total_ammount_paid"
+            ),
         )
     )
 

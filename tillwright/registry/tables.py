@@ -102,7 +102,7 @@ def _merge_by_key(spark, sf_dir):
 
 
 def _run_refresh(spark, sf_dir):
-    """Lake, three loads with a catalog backfill, report; twice, as in every hour."""
+    """Lake, three loads with a catalog backfill, report."""
     root = scratch_folder(spark, "refresh")
     views = {"product_catalog": fx.catalog, "sales_data": fx.full_sales, "inventory_data": fx.inventory}
     for name in DATASETS:
@@ -111,7 +111,6 @@ def _run_refresh(spark, sf_dir):
         "refresh_" + root.rsplit("-", 1)[1], root, f"{root}/tables",
         backfill={"product_catalog": True},
     )
-    run_refresh(spark, job)
     return run_refresh(spark, job)
 
 
