@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 import samples
 from samples import slot
+from tillwright.plans.backlog import backlog, fill_inventory
 from tillwright.plans.loads import (
     Refresh, load_from_lake, load_managed, managed_name, rejected_name, run_refresh,
 )
@@ -203,6 +204,30 @@ def test_refresh_loads_all_and_reports(spark, namespace, tmp_path):
     assert spark.table(managed_name(namespace, INVENTORY_DATA)).count() == 1
 
 
+def test_the_backlog_shrinks_as_the_lake_fills(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    _fill_lake(spark, root)
+    clock = spark.sql("SELECT TIMESTAMP_NTZ '2025-01-01 10:30:00' AS now_utc")
+    missing = backlog(spark, clock, root)
+    count = {r.dataset: r["count"] for r in missing.groupBy("dataset").count().collect()}
+    # Two whole days, and the hours 00 and 01 of the third.
+    assert count == {"product_catalog": 48, "sales_data": 49, "inventory_data": 49}
+    assert missing.where("date = '2025-01-01' and hour = '01'").count() == 2
+
+
+def test_inventory_is_filled_once(spark, tmp_path):
+    root = str(tmp_path / "inventory_data")
+    opening = samples.inventory(
+        spark, slot(D1, "00", in_stock=5), slot(D1, "01", in_stock=5)
+    ).select("date", "hour", "product_id", "in_stock", "new_product", "returned_product")
+    sales = samples.sales(spark, slot(D1, "00", units_sold=7), slot(D1, "01", units_sold=2))
+    fill_inventory(opening.where("hour = '00'"), sales, root)
+    for _ in range(2):
+        fill_inventory(opening.withColumn("in_stock", F.col("in_stock") + 100), sales, root)
+    found = sorted((r.hour, r.final_stock) for r in lake.read_inventory(spark, root).collect())
+    assert found == [("00", -2), ("01", 103)]
+
+
 def test_refresh_of_an_empty_lake(spark, namespace, tmp_path):
     assert run_refresh(spark, Refresh(namespace, str(tmp_path / "none"))).collect() == []
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwright import fixtures as fx
+from tillwright.plans.backlog import fill_inventory
 from tillwright.registry.entry import (
     CATALOG_COLUMNS, INVENTORY_COLUMNS, SALES_COLUMNS, Query, yearly,
 )
@@ -76,6 +77,16 @@ def _external_table(spark, sf_dir):
     return _text_date(spark.table(f"{space}.inventory_data_ext"))
 
 
+def _fill_inventory(spark, sf_dir):
+    """The morning is there already, with other stock; the rest is filled in."""
+    root = scratch_folder(spark, "inventory")
+    morning = fx.inventory(spark, sf_dir, yearly=True).where(F.col("hour") < "12")
+    lake.write_slots_csv(morning.withColumn("in_stock", F.lit(-1).cast("long")), root)
+    opening, sales = fx.opening_stock(spark, sf_dir, True), fx.sales(spark, sf_dir, True)
+    fill_inventory(opening, sales, root)
+    return _text_date(lake.read_inventory(spark, root))
+
+
 def _csv_quarantine(spark, sf_dir):
     """Prices of returned sales are spoiled on the way into the lake."""
     root = scratch_folder(spark, "quarantine")
@@ -134,6 +145,12 @@ SELECT transaction_date, transaction_hour, transaction_id, customer_id,
        product_id, unit_price, units_sold, discount_applied, total_ammount_paid,
        s.date, s.hour
 FROM sales s LEFT JOIN first f ON s.date = f.date AND s.hour = f.hour"""),
+    ),
+    Query(
+        "fill_inventory", _fill_inventory,
+        yearly(f"""
+SELECT * REPLACE (CASE WHEN hour < '12' THEN -1 ELSE in_stock END AS in_stock)
+FROM (SELECT {INVENTORY_COLUMNS} FROM inventory)"""),
     ),
     Query(
         "listed_slots", _listed_slots, yearly("SELECT DISTINCT date, hour FROM inventory"),
