@@ -94,6 +94,21 @@ def test_existing_slots_come_from_names_alone(spark, tmp_path):
     ]
 
 
+def test_some_dates_can_be_read_without_listing_the_others(spark, tmp_path):
+    for date in ("2025-01-01", "2025-01-02", "2025-01-03"):
+        _put(tmp_path, f"date={date}/hour=00", CATALOG_FILE)
+    # A layout error elsewhere would show if the other folders were listed.
+    _put(tmp_path, "date=2025-01-09", CATALOG_FILE)
+    dates = ["2025-01-01", "2025-01-03", "2025-01-07"]
+    found = lake.read_catalog(spark, str(tmp_path), dates)
+    assert sorted(str(r.date) for r in found.collect()) == ["2025-01-01", "2025-01-03"]
+    assert found.columns == PRODUCT_CATALOG.lake_schema.fieldNames()
+    assert lake.existing_slots(spark, str(tmp_path), dates) == [
+        ("2025-01-01", "00"), ("2025-01-03", "00"),
+    ]
+    assert lake.existing_slots(spark, str(tmp_path), ["2025-01-07"]) == []
+
+
 def test_a_slot_is_written_once(spark, tmp_path, rows_of):
     root = str(tmp_path / "sales")
     first = samples.sales(spark, slot("2025-01-01", "00", order_country="first"))

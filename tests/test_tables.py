@@ -228,6 +228,18 @@ def test_inventory_is_filled_once(spark, tmp_path):
     assert found == [("00", -2), ("01", 103)]
 
 
+def test_refresh_of_some_dates_leaves_the_others(spark, namespace, tmp_path):
+    root = str(tmp_path / "lake")
+    _fill_lake(spark, root)
+    lake.write_slots_csv(samples.sales(spark, slot(D2, "00")), f"{root}/sales_data")
+    for keep_bad_rows in (False, True):
+        run_refresh(spark, Refresh(namespace, root, dates=[D2], keep_bad_rows=keep_bad_rows))
+    name = managed_name(namespace, SALES_DATA)
+    assert tables.table_slots(spark, name) == [(D2, "00")]
+    run_refresh(spark, Refresh(namespace, root, dates=[D1, "2025-01-05"]))
+    assert tables.table_slots(spark, name) == [(D1, "00"), (D2, "00")]
+
+
 def test_refresh_of_an_empty_lake(spark, namespace, tmp_path):
     assert run_refresh(spark, Refresh(namespace, str(tmp_path / "none"))).collect() == []
 

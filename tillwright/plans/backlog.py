@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.functions.slotted import in_slots
+from tillwright.functions.slotted import in_dates, in_slots
 from tillwright.operators.inventory import reconcile_inventory
 from tillwright.operators.slots import missing_slots, slot_spine
 from tillwright.schemas import DATASETS
@@ -18,24 +18,29 @@ def backlog(spark: SparkSession, clock: DataFrame, lake_root: str,
             days_back: int = 2) -> DataFrame:
     """Slots of the rolling window without a file, per dataset.
 
-    ``clock`` has one row with ``now_utc``. The lake is listed, not read.
+    ``clock`` has one row with ``now_utc``. Only the folders of the window are
+    listed, and no file is read.
     """
     window = slot_spine(clock, days_back)
+    dates = [r.date for r in window.select("date").distinct().collect()]
     lacking = []
     for name in DATASETS:
-        present = lake.existing_slots(spark, f"{lake_root.rstrip('/')}/{name}")
+        present = lake.existing_slots(spark, f"{lake_root.rstrip('/')}/{name}", dates)
         missing = missing_slots(window, lake.slots_frame(spark, present))
         lacking.append(missing.select(F.lit(name).alias("dataset"), "date", "hour"))
     return reduce(DataFrame.unionByName, lacking)
 
 
-def fill_inventory(opening: DataFrame, sales: DataFrame, root: str) -> None:
+def fill_inventory(opening: DataFrame, sales: DataFrame, root: str,
+                   dates: list[str] | None = None) -> None:
     """Reconcile and write all slots that have no inventory file yet, in one job.
 
     Both inputs are cut to those slots before the join. Running it again writes
-    nothing.
+    nothing. With ``dates`` only those are listed and filled.
     """
-    lacking = ~in_slots(lake.existing_slots(opening.sparkSession, root))
+    lacking = ~in_slots(lake.existing_slots(opening.sparkSession, root, dates))
+    if dates is not None:
+        lacking = lacking & in_dates(dates)
     lake.write_slots_csv(
         reconcile_inventory(opening.where(lacking), sales.where(lacking)), root
     )

@@ -52,44 +52,51 @@ def load_managed(spark: SparkSession, dataset: Dataset, source: DataFrame, name:
 
 def load_from_lake(spark: SparkSession, dataset: Dataset, root: str, namespace: str,
                    mode: str = "incremental", backfill: bool | None = None,
-                   keep_bad_rows: bool = False) -> None:
+                   keep_bad_rows: bool = False, dates: list[str] | None = None) -> None:
     """Load a dataset of the lake into ``namespace``.
 
-    Slots come from a listing of ``root``, not from reading its files. A bad CSV
-    row stops the load, or with ``keep_bad_rows`` goes to the ``_rejected`` table
-    while the good rows are loaded.
+    Slots come from a listing of ``root``, not from reading its files. With
+    ``dates`` the rest of the lake is not even listed, so an hourly run with a
+    backfill of the last days costs the same in any year. A bad CSV row stops
+    the load, or with ``keep_bad_rows`` goes to the ``_rejected`` table while the
+    good rows are loaded.
     """
-    slots = lake.existing_slots(spark, root)
+    slots = lake.existing_slots(spark, root, dates)
     if not slots:
         return
     name = managed_name(namespace, dataset)
     if not keep_bad_rows:
         load_managed(
-            spark, dataset, lake.read_lake(spark, root, dataset), name, mode, backfill, slots
+            spark, dataset, lake.read_lake(spark, root, dataset, dates), name, mode, backfill,
+            slots,
         )
         return
-    unchecked = quarantine.read_unchecked(spark, root, dataset)
+    unchecked = quarantine.read_unchecked(spark, root, dataset, dates)
     good, bad = quarantine.split_bad_rows(unchecked, dataset)
     load_managed(spark, dataset, good, name, mode, backfill, slots)
-    dates, hours = lists_of(slots, dataset.backfill if backfill is None else backfill)
-    held_back = select_slice(bad, dates, hours).withColumn("date", F.col("date").cast("string"))
+    lists = lists_of(slots, dataset.backfill if backfill is None else backfill)
+    held_back = select_slice(bad, *lists).withColumn("date", F.col("date").cast("string"))
     rejected = rejected_name(namespace, dataset)
     tables.create_slot_table(spark, rejected, quarantine.rejected_schema(dataset))
     if mode == "replace":
         tables.replace_all(spark, rejected, held_back)
     else:
-        tables.replace_slots(spark, rejected, held_back, dates, hours)
+        tables.replace_slots(spark, rejected, held_back, *lists)
 
 
 @dataclass(frozen=True)
 class Refresh:
-    """Where a refresh reads and writes, and how it loads."""
+    """Where a refresh reads and writes, and how it loads.
+
+    ``dates`` limits what is loaded; the report covers the whole tables.
+    """
 
     namespace: str
     lake_root: str
     location: str | None = None
     mode: str = "incremental"
     backfill: dict[str, bool] | None = None
+    dates: list[str] | None = None
     keep_bad_rows: bool = False
     pinned: bool = False
 
@@ -104,7 +111,7 @@ def run_refresh(spark: SparkSession, job: Refresh) -> DataFrame:
         tables.create_managed(spark, managed_name(job.namespace, dataset), dataset)
         load_from_lake(
             spark, dataset, f"{job.lake_root.rstrip('/')}/{dataset.name}", job.namespace,
-            job.mode, (job.backfill or {}).get(dataset.name), job.keep_bad_rows,
+            job.mode, (job.backfill or {}).get(dataset.name), job.keep_bad_rows, job.dates,
         )
     sales = spark.table(managed_name(job.namespace, SALES_DATA))
     catalog_name = managed_name(job.namespace, PRODUCT_CATALOG)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwright.functions.slotted import in_slots
+from tillwright.functions.slotted import in_dates, in_slots
 from tillwright.schemas import (
     CATALOG_DAILY, INVENTORY_DATA, PRODUCT_CATALOG, SALES_DAILY, SALES_DATA, Dataset,
 )
@@ -29,21 +29,34 @@ CSV_WRITE = {
 }
 
 
-def read_lake(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
-    """Scan one dataset. Folders are listed anew on each call, so new files show up."""
-    return spark.read.schema(dataset.lake_schema).options(**CSV_READ).csv(root)
+def folders(root: str, dates: list[str] | None = None) -> str:
+    """``root``, or a pattern for just the folders of some dates below it."""
+    if dates is None:
+        return root
+    return f"{root.rstrip('/')}/date={{{','.join(sorted({str(d) for d in dates}))}}}"
 
 
-def read_catalog(spark: SparkSession, root: str) -> DataFrame:
-    return read_lake(spark, root, PRODUCT_CATALOG)
+def read_lake(spark: SparkSession, root: str, dataset: Dataset,
+              dates: list[str] | None = None) -> DataFrame:
+    """Scan one dataset. Folders are listed anew on each call, so new files show up.
 
+    A filter on the date skips the files of other dates, but they are listed
+    first. With ``dates`` only the folders of those dates are listed.
+    """
+    reader = spark.read.schema(dataset.lake_schema).options(**CSV_READ, basePath=root)
+    return reader.csv(folders(root, dates))
+
+
+def read_catalog(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
+    return read_lake(spark, root, PRODUCT_CATALOG, dates)
 
-def read_sales(spark: SparkSession, root: str) -> DataFrame:
-    return read_lake(spark, root, SALES_DATA)
 
+def read_sales(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
+    return read_lake(spark, root, SALES_DATA, dates)
 
-def read_inventory(spark: SparkSession, root: str) -> DataFrame:
-    return read_lake(spark, root, INVENTORY_DATA)
+
+def read_inventory(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
+    return read_lake(spark, root, INVENTORY_DATA, dates)
 
 
 def _read_daily(spark: SparkSession, root: str, body: T.StructType, dataset: Dataset) -> DataFrame:
@@ -67,9 +80,11 @@ def read_sales_daily(spark: SparkSession, root: str) -> DataFrame:
     return _read_daily(spark, root, SALES_DAILY, SALES_DATA)
 
 
-def existing_slots(spark: SparkSession, root: str) -> Slots:
+def existing_slots(spark: SparkSession, root: str, dates: list[str] | None = None) -> Slots:
     """Slots that have a file under ``root``, in order. A file without a byte is none.
 
+    With ``dates`` only the folders of those dates are looked at.
+
     No file is opened: the binary file source yields names only when its content
     column is not read. A session of its own packs all names into as many tasks
     as there are cores, whatever the files weigh.
@@ -81,7 +96,7 @@ def existing_slots(spark: SparkSession, root: str) -> Slots:
             listing.read.format("binaryFile")
             .option("pathGlobFilter", "*.csv")
             .option("recursiveFileLookup", "true")
-            .load(root)
+            .load(folders(root, dates))
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -123,14 +138,17 @@ def write_daily_csv(df: DataFrame, root: str, mode: str = "append") -> None:
     )
 
 
-def write_missing_slots(df: DataFrame, root: str) -> None:
+def write_missing_slots(df: DataFrame, root: str, dates: list[str] | None = None) -> None:
     """Write only the slots that have no file under ``root`` yet.
 
     The slots present are a predicate on the rows, so nothing is joined. Rows
-    without a date or hour belong to no slot and are not written.
+    without a date or hour belong to no slot and are not written. With ``dates``
+    only those are listed and written.
     """
     placed = df.where(F.col("date").isNotNull() & F.col("hour").isNotNull())
-    present = existing_slots(df.sparkSession, root)
+    if dates is not None:
+        placed = placed.where(in_dates(dates))
+    present = existing_slots(df.sparkSession, root, dates)
     write_slots_csv(placed.where(~in_slots(present)), root)
 
 

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.schemas import Dataset
-from tillwright.sources.lake import CSV_READ
+from tillwright.sources.lake import CSV_READ, folders
 
 BAD_LINE = "_bad_line"
 
 
 def read_unchecked(spark: SparkSession, root: str, dataset: Dataset,
-                   stream: bool = False, **more: str) -> DataFrame:
+                   dates: list[str] | None = None, stream: bool = False,
+                   **more: str) -> DataFrame:
     """Scan one dataset, or follow its new files, with every body column as text.
 
     Lines with too few or too many cells keep their text in ``_bad_line``. The
@@ -31,10 +32,10 @@ def read_unchecked(spark: SparkSession, root: str, dataset: Dataset,
     )
     options = {
         **CSV_READ, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE,
-        "columnPruning": "false", **more,
+        "columnPruning": "false", "basePath": root, **more,
     }
     reader = spark.readStream if stream else spark.read
-    return reader.schema(schema).options(**options).csv(root)
+    return reader.schema(schema).options(**options).csv(folders(root, dates))
 
 
 def rejected_schema(dataset: Dataset) -> T.StructType:
