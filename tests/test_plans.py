@@ -99,7 +99,8 @@ def test_a_hot_product_is_split_over_tasks(spark, what):
     """One product holds most sales; adaptive execution has to split its join."""
     sales = spark.range(0, 300_000, 1, 12).select(
         F.lit(D1).alias("date"), F.lit("00").alias("hour"),
-        F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.concat(F.lit("P"), "id")).alias("product_id"),
+        F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.concat(F.lit("P"), "id"))
+        .alias("product_id"),
         F.lit(D1).alias("transaction_date"), F.lit("00").alias("transaction_hour"),
         F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"),
         F.lit(10.0).alias("unit_price"), F.lit(1).alias("units_sold"),

@@ -14,7 +14,9 @@ D1, D2 = "2025-01-01", "2025-01-02"
 
 
 def _report(df):
-    return sorted((r.date, r.category_name, r.units_sold, r.total_ammount_paid) for r in df.collect())
+    return sorted(
+        (r.date, r.category_name, r.units_sold, r.total_ammount_paid) for r in df.collect()
+    )
 
 
 def test_a_sale_counts_once_per_hourly_snapshot(spark):

@@ -18,6 +18,10 @@ def _clock(spark, moment):
     return spark.sql(f"SELECT TIMESTAMP_NTZ '{moment}' AS now_utc")
 
 
+def _window(spark, moment):
+    return {(r.date, r.hour) for r in op.slot_spine(_clock(spark, moment)).collect()}
+
+
 def _ranges(spark, *pairs):
     return spark.createDataFrame(list(pairs), "start string, end string")
 
@@ -70,11 +74,11 @@ def test_date_spine_includes_both_ends_and_refuses_nonsense(spark):
 
 def test_the_window_ends_at_the_last_full_hour(spark):
     # 09:30 UTC is 01:30 in Pacific winter, so 00 is the last complete hour.
-    found = {(r.date, r.hour) for r in op.slot_spine(_clock(spark, "2025-01-10 09:30:00")).collect()}
+    found = _window(spark, "2025-01-10 09:30:00")
     assert len(found) == 24 + 24 + 1
     assert max(found) == ("2025-01-10", "00") and min(found) == ("2025-01-08", "00")
     # 08:30 UTC is 00:30 there: the window still ends on the day before.
-    found = {(r.date, r.hour) for r in op.slot_spine(_clock(spark, "2025-01-10 08:30:00")).collect()}
+    found = _window(spark, "2025-01-10 08:30:00")
     assert max(found) == ("2025-01-09", "23") and len(found) == 72
 
 

@@ -113,3 +113,5 @@ def test_a_stream_stores_good_and_bad_messages(spark, tmp_path):
     assert run() == (1, 1)
     (topic / "two.txt").write_text(GOOD + "\n")
     assert run() == (2, 1)
+    names = [p.name for p in (tmp_path / "good").iterdir()]
+    assert len(names) == 1 and len(names[0]) > len("query=") + 30

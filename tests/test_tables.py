@@ -255,7 +255,8 @@ def test_bad_rows_go_aside_and_leave_when_mended(spark, namespace, tmp_path):
     with pytest.raises(Exception, match="MALFORMED|NumberFormat"):
         load_from_lake(spark, INVENTORY_DATA, str(root), namespace)
     load_from_lake(spark, INVENTORY_DATA, str(root), namespace, keep_bad_rows=True)
-    name, rejected = managed_name(namespace, INVENTORY_DATA), rejected_name(namespace, INVENTORY_DATA)
+    name = managed_name(namespace, INVENTORY_DATA)
+    rejected = rejected_name(namespace, INVENTORY_DATA)
     assert [r.product_id for r in spark.table(name).collect()] == ["PROD_0001"]
     assert [(r.product_id, r.bad_columns) for r in spark.table(rejected).collect()] == [
         ("Q", "in_stock")

@@ -28,5 +28,11 @@ def in_lists(dates: Iterable[str | None], hours: Iterable[str | None]) -> Column
 
 
 def in_slots(slots: Iterable[tuple[str, str]]) -> Column:
-    """Exactly the given ``(date, hour)`` pairs."""
-    return _is_one_of("concat(CAST(date AS STRING), '/', hour)", (f"{d}/{h}" for d, h in slots))
+    """Exactly the given ``(date, hour)`` pairs.
+
+    The dates are named once more on their own: a metastore understands that
+    part and hands out the partitions of those dates alone.
+    """
+    pairs = list(slots)
+    exact = _is_one_of("concat(CAST(date AS STRING), '/', hour)", (f"{d}/{h}" for d, h in pairs))
+    return in_dates(d for d, _ in pairs) & exact

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.operators.reports import category_sales, category_sales_pinned
-from tillwright.operators.slots import lists_of, select_slice, slot_columns
+from tillwright.operators.slots import lists_of, resolve_slots, select_slice
 from tillwright.schemas import DATASETS, PRODUCT_CATALOG, SALES_DATA, Dataset
 from tillwright.sources import lake, quarantine, tables
 from tillwright.sources.lake import Slots
@@ -38,8 +38,9 @@ def load_managed(spark: SparkSession, dataset: Dataset, source: DataFrame, name:
     if backfill is None:
         backfill = dataset.backfill
     if slots is None:
-        slots = [(r.date, r.hour) for r in slot_columns(source).collect()]
-    dates, hours = lists_of(slots, backfill)
+        dates, hours = resolve_slots(source, backfill)
+    else:
+        dates, hours = lists_of(slots, backfill)
     rows = tables.to_managed(select_slice(source, dates, hours), dataset)
     if mode == "incremental":
         tables.create_managed(spark, name, dataset)

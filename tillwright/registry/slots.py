@@ -29,14 +29,14 @@ WITH local AS (
 
 def _slots_backfill(spark, sf_dir):
     lists = op.backfill_lists(fx.sales(spark, sf_dir))
-    return lists.select(
-        F.explode(
-            F.concat(
-                F.transform("dates", lambda d: F.struct(F.lit("date").alias("kind"), d.alias("value"))),
-                F.transform("hours", lambda h: F.struct(F.lit("hour").alias("kind"), h.alias("value"))),
-            )
-        ).alias("slot")
-    ).select("slot.kind", "slot.value")
+
+    def values(kind):
+        return F.transform(
+            f"{kind}s", lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
+        )
+
+    slots = lists.select(F.explode(F.concat(values("date"), values("hour"))).alias("slot"))
+    return slots.select("slot.kind", "slot.value")
 
 
 def _slots_latest(spark, sf_dir):

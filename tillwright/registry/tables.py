@@ -104,7 +104,8 @@ def _merge_by_key(spark, sf_dir):
 def _run_refresh(spark, sf_dir):
     """Lake, three loads with a catalog backfill, report."""
     root = scratch_folder(spark, "refresh")
-    views = {"product_catalog": fx.catalog, "sales_data": fx.full_sales, "inventory_data": fx.inventory}
+    views = {"product_catalog": fx.catalog, "sales_data": fx.full_sales,
+             "inventory_data": fx.inventory}
     for name in DATASETS:
         lake.write_slots_csv(views[name](spark, sf_dir, yearly=True), f"{root}/{name}")
     job = Refresh(

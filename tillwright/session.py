@@ -23,14 +23,26 @@ JOB_CONF = {
     ),
 }
 
+# For terabytes. Adaptive execution only ever joins shuffle partitions, so a
+# shuffle has to start with enough of them: about its bytes over 128 MB. The same
+# size is what files are written in.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
 
 def build_session(app_name: str = "tillwright", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
-    """Return a session with ``JOB_CONF``; ``conf`` wins over it."""
+    """Return a session with ``JOB_CONF``; ``conf`` wins over it.
+
+    Off local mode ``CLUSTER_CONF`` is set as well.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**JOB_CONF, **(conf or {})}.items():
+    sized = {} if (master or "").startswith("local") else CLUSTER_CONF
+    for key, value in {**JOB_CONF, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

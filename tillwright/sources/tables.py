@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from tillwright.functions.slotted import in_slots
 from tillwright.functions.times import utc_midnight
 from tillwright.operators.slots import slot_columns
-from tillwright.sources.lake import Slots, by_slot
 from tillwright.schemas import Dataset
+from tillwright.sources.lake import Slots, by_slot
 
 DROP_BATCH = 500
 
@@ -163,13 +163,15 @@ def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str])
     """Rows of ``df`` replace the table rows with the same keys or are added.
 
     ``keys`` include ``date`` and ``hour``. Only the slots that occur in ``df``
-    are read and written.
+    are read and written. Rows without a date or hour belong to no slot and are
+    left out, as in a load.
     """
     if not {"date", "hour"} <= set(keys):
         raise ValueError("keys must include date and hour")
     touched = [(r.date, r.hour) for r in slot_columns(df).collect()]
     table = spark.table(name)
+    placed = df.where(F.col("date").isNotNull() & F.col("hour").isNotNull())
     kept = table.where(in_slots(touched)).join(
-        df.select(*keys).distinct(), keys, "left_anti"
+        placed.select(*keys).distinct(), keys, "left_anti"
     )
-    overwrite_slots(kept.unionByName(df.select(*table.columns)), name)
+    overwrite_slots(kept.unionByName(placed.select(*table.columns)), name)

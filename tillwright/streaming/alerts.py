@@ -83,7 +83,9 @@ def dedup_alerts(alerts: DataFrame, delay: str = REPEAT_WINDOW,
 
     The watermark runs on arrival, not on the slot: a backfill of old slots is
     never late and never lost. A repeat later than ``delay`` passes as new, and
-    the state forgets a key after that time.
+    the state forgets a key after that time. Arrival is the time of the batch
+    unless ``arrived`` gives another, which must not run backwards by more than
+    ``delay``.
 
     Repeats are dropped in two steps, first within ``spread`` random shares of a
     key, so that an alert sent over and over is not all work of one task. With
@@ -114,13 +116,15 @@ def start_message_quarantine(messages: DataFrame, good_path: str, bad_path: str,
                              checkpoint: str, until_caught_up: bool = True) -> StreamingQuery:
     """Store alerts and undecodable messages in two folders.
 
-    Each batch overwrites a folder named after it, so a batch run again after a
-    failure leaves no second copy.
+    Each batch overwrites a folder named after it and its query, so a batch run
+    again after a failure leaves no second copy, and a stream begun anew does not
+    touch what an earlier one stored.
     """
 
     def store(batch: DataFrame, number: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         for rows, path in zip(split_bad_messages(batch), (good_path, bad_path)):
-            rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            rows.write.mode("overwrite").parquet(f"{path}/query={query}/batch={number}")
 
     writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_caught_up else writer).start()
