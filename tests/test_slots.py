@@ -34,6 +34,13 @@ def test_lists_leave_nulls_out_and_are_sorted(spark):
     assert op.resolve_slots(df, backfill=False) == ([D2], ["01"])
 
 
+def test_more_slots_than_a_calendar_has_are_refused(spark):
+    df = samples.sales(spark, slot(D1, "00"), slot(D1, "01"), slot(D1, "01"))
+    assert sorted(op.fetch_slots(df, most=2)) == [(D1, "00"), (D1, "01")]
+    with pytest.raises(ValueError, match="more than 1 slots"):
+        op.fetch_slots(df, most=1)
+
+
 def test_the_latest_hour_is_that_of_the_latest_date(spark):
     df = samples.sales(spark, slot(D1, "23"), slot(D2, "03"), slot(D2, None))
     assert op.resolve_slots(df, backfill=False) == ([D2], ["03"])

@@ -5,12 +5,13 @@ The only thing the driver ever holds is a list of slots, 8,760 a year.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions import times
 from tillwright.functions.slotted import in_lists
 from tillwright.functions.texts import padded
+from tillwright.operators.bounded import MAX_ROWS
 
 SlotLists = tuple[list[str], list[str]]
 
@@ -24,6 +25,19 @@ def slot_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def fetch_slots(df: DataFrame, most: int = MAX_ROWS) -> list[tuple[str | None, str | None]]:
+    """Distinct ``(date, hour)`` of ``df`` on the driver, nulls included.
+
+    More than ``most`` of them are no calendar but bad data, or a load to be cut
+    by dates: that is an error, and no more than ``most + 1`` rows are fetched.
+    """
+    pairs = df.select(F.col("date").cast("string").alias("date"), "hour").distinct()
+    rows = pairs.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} slots; check the dates or load fewer at once")
+    return [(r.date, r.hour) for r in rows]
+
+
 def distinct_dates(df: DataFrame, first: int | None = None) -> DataFrame:
     """Distinct dates; with ``first``, only that many of the earliest."""
     dates = df.select("date").distinct()
@@ -60,7 +74,13 @@ def latest_lists(df: DataFrame) -> DataFrame:
 
 def resolve_slots(df: DataFrame, backfill: bool) -> SlotLists:
     """Dates and hours to process, on the driver."""
-    row = (backfill_lists(df) if backfill else latest_lists(df)).first()
+    if backfill:
+        slots = fetch_slots(df)
+        return (
+            sorted({d for d, _ in slots if d is not None}),
+            sorted({h for _, h in slots if h is not None}),
+        )
+    row = latest_lists(df).first()
     return list(row.dates), list(row.hours)
 
 
@@ -135,11 +155,11 @@ def local_slots(df: DataFrame, moment: str, zone: str = times.SLOT_ZONE) -> Data
     return df.withColumn("date", times.date_text(local)).withColumn("hour", times.hour_text(local))
 
 
-def slot_folder(date: str = "date", hour: str = "hour"):
+def slot_folder(date: str = "date", hour: str = "hour") -> Column:
     """``date=.../hour=..`` as a column."""
     return F.concat(F.lit("date="), F.col(date).cast("string"), F.lit("/hour="), F.col(hour))
 
 
-def hour_code(number):
+def hour_code(number: Column) -> Column:
     """Two-digit hour text of a number."""
     return padded(number, 2)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwright import fixtures as fx
+from tillwright.functions.times import date_text, utc_midnight
 from tillwright.operators import slots as op
-from tillwright.functions.times import utc_midnight
 from tillwright.registry.entry import Query, daily
 
 _ROW = ["date", "hour", "product_id", "units_sold"]
@@ -62,8 +62,7 @@ def _first_dates(spark, sf_dir):
 
 def _date_spine(spark, sf_dir):
     ranges = fx.table(spark, sf_dir, "events").groupBy("user_id").agg(
-        F.date_format(F.min("ts"), "yyyy-MM-dd").alias("start"),
-        F.date_format(F.max("ts"), "yyyy-MM-dd").alias("end"),
+        date_text(F.min("ts")).alias("start"), date_text(F.max("ts")).alias("end")
     )
     return op.date_spine(ranges)
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tillwright.functions.slotted import in_slots
 from tillwright.functions.times import utc_midnight
-from tillwright.operators.slots import slot_columns
+from tillwright.operators.slots import fetch_slots
 from tillwright.schemas import Dataset
 from tillwright.sources.lake import Slots, by_slot
 
@@ -168,9 +168,9 @@ def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str])
     """
     if not {"date", "hour"} <= set(keys):
         raise ValueError("keys must include date and hour")
-    touched = [(r.date, r.hour) for r in slot_columns(df).collect()]
-    table = spark.table(name)
     placed = df.where(F.col("date").isNotNull() & F.col("hour").isNotNull())
+    touched = fetch_slots(placed)
+    table = spark.table(name)
     kept = table.where(in_slots(touched)).join(
         placed.select(*keys).distinct(), keys, "left_anti"
     )
