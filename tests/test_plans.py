@@ -53,6 +53,9 @@ def test_no_python_and_no_cross_join(spark, name):
     plan = _plan(all_queries()[name].run(spark, SF_DIR))
     for node in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoop"):
         assert node not in plan
+    # Least and greatest texts per group are found among distinct rows only.
+    grouped = re.findall(r"\n\(\d+\) SortAggregate\nInput[^\n]*\nKeys \[([1-9]\d*)\]", plan)
+    assert not grouped
 
 
 def test_the_report_joins_sums_and_reads_few_columns(spark):

@@ -31,7 +31,8 @@ def _lines(spark: SparkSession, sf_dir: str, yearly: bool) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .withColumn("date", _posted(yearly))
-        .withColumn("hour", hour_code(F.col("l_orderkey") % 24))
+        .withColumn("at", F.col("l_orderkey") % 24)
+        .withColumn("hour", hour_code(F.col("at")))
     )
 
 
@@ -85,12 +86,13 @@ def listings(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFram
     parts that were only returned stay without a listing.
     """
     kept = _lines(spark, sf_dir, yearly).where(F.col("l_returnflag") != "R")
-    opened = kept.groupBy("date", "l_partkey").agg(F.min("hour").alias("first"))
-    closing = kept.groupBy("date").agg(F.max("hour").alias("last"))
-    return opened.join(closing, "date").select(
-        "date", "l_partkey",
-        F.explode(F.array_distinct(F.array("first", "last"))).alias("hour"),
+    # Numbers, as a least or greatest text per group would need sorted groups.
+    opened = kept.groupBy("date", "l_partkey").agg(F.min("at").alias("first"))
+    closing = kept.groupBy("date").agg(F.max("at").alias("last"))
+    listed = opened.join(closing, "date").select(
+        "date", "l_partkey", F.explode(F.array_distinct(F.array("first", "last"))).alias("at")
     )
+    return listed.select("date", "l_partkey", hour_code(F.col("at")).alias("hour"))
 
 
 def catalog(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwright.functions.money import from_micros, micros
 from tillwright.functions.slotted import in_dates, in_slots
 from tillwright.operators.bounded import MAX_ROWS
+from tillwright.operators.slots import slot_columns
 
 
 def _of_dates(df: DataFrame, dates: list[str] | None) -> DataFrame:
@@ -76,14 +77,14 @@ def latest_snapshots(catalog: DataFrame, slots: list[tuple[str, str]] | None = N
     """
     if slots is not None:
         return catalog.where(in_slots(last_hours(slots)))
-    last = (
-        catalog.where(F.col("hour").isNotNull() & F.col("date").isNotNull())
-        .groupBy("date")
-        .agg(F.max("hour").alias("hour"))
-    )
+    # Distinct slots first: that hashes, where the greatest text per date over
+    # all rows would sort them.
+    last = slot_columns(catalog).groupBy("date").agg(F.max("hour").alias("hour"))
     rows = last.limit(max_dates + 1).collect()
     if len(rows) > max_dates:
-        return catalog.join(last, ["date", "hour"], "left_semi").select(*catalog.columns)
+        newest = last.select(F.concat_ws("/", "date", "hour").alias("_slot"))
+        placed = catalog.withColumn("_slot", F.concat_ws("/", F.col("date").cast("string"), "hour"))
+        return placed.join(newest, "_slot", "left_semi").select(*catalog.columns)
     return catalog.where(in_slots((r.date, r.hour) for r in rows))
 
 

@@ -8,7 +8,7 @@ from tillwright import fixtures as fx
 from tillwright.functions import money, texts
 from tillwright.operators import reports as op
 from tillwright.operators.catalog import expand_catalog
-from tillwright.operators.slots import latest_lists, resolve_slots
+from tillwright.operators.slots import latest_lists, resolve_slots, slot_columns
 from tillwright.registry.entry import Query, daily
 
 # The report as specified: hour is no join key, so a sale counts per snapshot.
@@ -33,8 +33,8 @@ def _category_sales(spark, sf_dir):
 def _category_sales_dates(spark, sf_dir):
     """The report for the dates whose catalog reaches the last hour of the day."""
     catalog = fx.catalog(spark, sf_dir)
-    last = catalog.groupBy("date").agg(F.max("hour").alias("hour"))
-    dates = [r.date for r in last.where(F.col("hour") == "23").collect()]
+    full = slot_columns(catalog).where(F.col("hour") == "23")
+    dates = [r.date for r in full.collect()]
     return op.category_sales(fx.sales(spark, sf_dir), catalog, dates)
 
 

@@ -122,10 +122,14 @@ def _first_files(spark: SparkSession, name: str, slots: Slots,
     if not slots:
         return {}
     table = spark.table(name)
+    # Distinct names first: that hashes, where the least text per slot over all
+    # rows would sort them.
     files = (
         (table if whole else table.where(in_slots(slots)))
+        .select("date", "hour", F.col("_metadata.file_name").alias("file"))
+        .distinct()
         .groupBy("date", "hour")
-        .agg(F.min("_metadata.file_name").alias("file"))
+        .agg(F.min("file").alias("file"))
     )
     return {(r.date, r.hour): r.file for r in files.collect()}
 
