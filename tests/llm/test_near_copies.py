@@ -1,0 +1,101 @@
+"""SimHash fingerprints and their links against a plain version."""
+
+import itertools
+import random
+import re
+
+import pytest
+import xxhash
+
+from tillwright.llm import near_copies as op
+from tillwright.llm.common import components
+
+
+def plain_print(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if not words:
+        return 0
+    n = max(1, len(words) - 2)
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), seed=42)
+              for i in range(n)]
+    value = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def plain_components(prints, distance):
+    root = list(range(len(prints)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(prints)), 2):
+        if bin((prints[i] ^ prints[j]) & (2**64 - 1)).count("1") <= distance:
+            low, high = sorted((top(i), top(j)))
+            root[high] = low
+    return [top(i) for i in range(len(prints))]
+
+
+TEXTS = [
+    None, "", " \t\n", "One", "one", "ONE TWO", "a b c", "A  B\tC", "a b c d a b c d", "É é É é",
+    "x" * 100_000, "w " * 30_000, " ".join(str(i) for i in range(20_000)), "no break here",
+]
+
+
+def test_fingerprints(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.fp for r in op.fingerprints(df).collect()}
+    assert found == {i: plain_print(t) for i, t in rows}
+
+
+@pytest.mark.parametrize("distance,segments,crowd", [
+    (2, 5, 64), (2, 5, 1), (2, 7, 3), (2, 3, 1), (1, 3, 1), (1, 3, 64), (0, 2, 64),
+])
+def test_links_join_all_near_prints(spark, distance, segments, crowd):
+    rng = random.Random(distance * 100 + segments + crowd)
+    prints = {0, 1, 3, 7, -1, -2}
+    for _ in range(25):
+        base = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 9)):
+            base ^= sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 2)))
+            base &= 2**64 - 1
+            prints.add(base - (1 << 64) if base >> 63 else base)
+    prints = sorted(prints)
+    fps = spark.createDataFrame([(p,) for p in prints], "fp long")
+    pairs = op.links(fps, distance, segments, crowd)
+    for r in pairs.collect():
+        assert bin((r.a ^ r.b) & (2**64 - 1)).count("1") <= distance
+    found = {r.node: r.root for r in components(pairs, "t").collect()}
+    want = plain_components(prints, distance)
+    assert [found.get(p, p) for p in prints] == [prints[i] for i in want]
+
+
+def test_components_of_a_long_path(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5), (None, 7)]
+    found = components(spark.createDataFrame(edges, "a long, b long"), "path").collect()
+    assert {r.node: r.root for r in found} == {**dict.fromkeys(range(301), 0),
+                                              1000: 1000, 1001: 1000}
+    assert len(found) == 303
+
+
+def test_groups_ties_nulls(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    near = text + " end"
+    rows = [(7, text), (3, text), (3, text), (5, near), (None, text), (9, None), (8, ""), (1, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "1 AS fp", "2 AS node", "3 AS least")
+    found = op.near_copies(df).collect()
+    assert len(found) == 8
+    got = sorted(((r.doc_id or 0, r.component_id) for r in found))
+    assert got == [(0, 3), (1, 1), (3, 3), (3, 3), (5, 3), (7, 3), (8, 8), (9, 8)]
+    kept = op.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 3, 8]
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert op.near_copies(df).count() == 0
