@@ -16,7 +16,7 @@ class Query:
 
     name: str
     run: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
+    sql: str | None = None
 
 
 def daily(select: str) -> str:
