@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwright.llm import near_copies
+from tillwright.llm import contamination, near_copies
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
 
 
+def _op1(spark, sf_dir):
+    found = contamination.find_passages(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    hit = contamination.n_hit()
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        contamination.items_digest().alias("items_sha256"),
+        (hit > 0).alias("contaminated"), "longest",
+    )
+
+
 def _op8(spark, sf_dir):
     found = near_copies.near_copies(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -17,5 +30,6 @@ def _op8(spark, sf_dir):
 
 
 QUERIES = [
+    Query("op1_decontamination", _op1),
     Query("op8_simhash_near_dedup", _op8),
 ]
