@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillwright.llm import contamination, near_copies
+from tillwright.llm import contamination, near_copies, quality, token_counts
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
 
@@ -22,6 +23,20 @@ def _op1(spark, sf_dir):
     )
 
 
+def _op5(spark, sf_dir):
+    return token_counts.token_counts(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
+def _op7(spark, sf_dir):
+    found = quality.judged(
+        read_table(spark, sf_dir, "documents"), keep=["doc_id", "lang", "source"]
+    )
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("row.doc_id", *[f"counts.{c}" for c in counts], "base_failed", "kept")
+
+
 def _op8(spark, sf_dir):
     found = near_copies.near_copies(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -31,5 +46,7 @@ def _op8(spark, sf_dir):
 
 QUERIES = [
     Query("op1_decontamination", _op1),
+    Query("op5_token_counts", _op5),
+    Query("op7_quality_rules", _op7),
     Query("op8_simhash_near_dedup", _op8),
 ]
