@@ -1,0 +1,78 @@
+"""Language identification: a plain naive Bayes on small texts, accuracy on held-out ones."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillwright.llm import language as op
+
+
+def grams(text, buckets):
+    return Counter(b for found in op.buckets_of(text, buckets) for b in found.tolist())
+
+
+def test_grams():
+    count = lambda t: sum(grams(t, 1 << 15).values())
+    # A, B and two gaps: two single letters, three pairs, two triples.
+    assert count("ab") == 2 + 3 + 2
+    assert grams("AB", 1 << 15) == grams(" ab\n", 1 << 15) == grams("1ab2", 1 << 15)
+    assert count("") == count("123 .,") == 0
+    assert grams("a, b", 64) == grams("a b", 64) != grams("ab", 64)
+    long = "abcdé " * 100_000
+    assert count(long) == 5 * 100_000 + 6 * 100_000 + 6 * 100_000 - 1
+
+
+def test_model_and_scores(spark):
+    rows = [(1, "the cat", "en"), (2, "das haus", "de"), (3, "the house", "en"), (4, None, "en"),
+            (5, "le chat", None), (6, "", "de"), (7, "12", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = op.train(df, buckets=256)
+    assert model.languages == ["de", "en"]
+    np.testing.assert_allclose(np.exp(model.prior), [3 / 5, 2 / 5])
+    sums = {"en": grams("the cat", 256) + grams("the house", 256), "de": grams("das haus", 256)}
+    plain = lambda lang, b: math.log(
+        (sums[lang][b] + 0.5) / (sum(sums[lang].values()) + 128))
+    for b in range(256):
+        np.testing.assert_allclose(model.table[b], [plain("de", b), plain("en", b)], rtol=1e-5)
+    text = "the chaus"
+    logs = {lang: math.log(p) + sum(n * plain(lang, b) for b, n in grams(text, 256).items())
+            for lang, p in (("de", 0.6), ("en", 0.4))}
+    lang, score = model.predict(text)
+    assert lang == max(logs, key=logs.get)
+    top = max(logs.values())
+    assert score == pytest.approx(1 / sum(math.exp(v - top) for v in logs.values()), rel=1e-3)
+
+
+def test_rows(spark):
+    rows = [(1, "the", "en"), (1, "the", "en"), (None, "der", "de"), (3, None, "en"), (4, "", None),
+            (5, "1 2 3", "de"), (6, "é" * 600_000, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr(
+        "*", "1 AS score", "2 AS bucket")
+    found = op.predict(df, op.train(df)).collect()
+    assert len(found) == 7 and all(0 <= r.score <= 1 for r in found)
+    preds = [r.lang_pred for r in found]
+    assert preds.count("und") == 3 and {*preds} == {"de", "en", "und"}
+    none = df.limit(0)
+    assert op.predict(none, op.train(none)).count() == 0
+    assert {r.lang_pred for r in op.predict(df, op.train(none)).collect()} == {"und"}
+    with pytest.raises(ValueError):
+        op.train(spark.range(200).selectExpr("'abc' AS text", "id AS lang"), buckets=1 << 18)
+
+
+def test_held_out_part(spark):
+    ids = spark.range(500).selectExpr("id AS doc_id").union(spark.sql("SELECT CAST(NULL AS LONG)"))
+    for r in ids.select("doc_id", op.held_out().alias("out")).collect():
+        want = r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2
+        assert r.out == want
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = op.train(docs.where(~op.held_out()))
+    found = op.predict(docs.where(op.held_out()), model).join(docs, "doc_id").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).first()
+    assert found.right > 0.98

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillwright.llm import contamination, near_copies, quality, token_counts
+from tillwright.llm import contamination, language, near_copies, quality, token_counts
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
 
@@ -23,6 +23,13 @@ def _op1(spark, sf_dir):
     )
 
 
+def _op2(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out()))
+    found = language.predict(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def _op5(spark, sf_dir):
     return token_counts.token_counts(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -46,6 +53,7 @@ def _op8(spark, sf_dir):
 
 QUERIES = [
     Query("op1_decontamination", _op1),
+    Query("op2_language_id", _op2),
     Query("op5_token_counts", _op5),
     Query("op7_quality_rules", _op7),
     Query("op8_simhash_near_dedup", _op8),
