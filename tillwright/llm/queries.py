@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillwright.llm import contamination, language, near_copies, quality, token_counts
+from tillwright.llm import (
+    contamination, language, near_copies, quality, secrets, token_counts, urls,
+)
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
 
@@ -51,10 +53,38 @@ def _op8(spark, sf_dir):
     )
 
 
+def _op9(spark, sf_dir):
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        secrets.n_of(secrets.ASSIGN).alias("n_assign"),
+        secrets.n_of(secrets.ACCESS).alias("n_access"),
+        secrets.n_of(secrets.HEX).alias("n_hex"),
+        F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+# The rules that pages are judged by (fixed values).
+PAGE_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+def _op10(spark, sf_dir):
+    return urls.judge(read_table(spark, sf_dir, "pages"), PAGE_RULES)
+
+
 QUERIES = [
     Query("op1_decontamination", _op1),
     Query("op2_language_id", _op2),
     Query("op5_token_counts", _op5),
     Query("op7_quality_rules", _op7),
     Query("op8_simhash_near_dedup", _op8),
+    Query("op9_secret_scans", _op9),
+    Query("op10_url_filters", _op10),
 ]
