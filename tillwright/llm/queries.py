@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
-    contamination, language, near_copies, quality, secrets, token_counts, urls,
+    contamination, language, lines, near_copies, quality, secrets, token_counts, urls,
 )
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
@@ -32,6 +32,14 @@ def _op2(spark, sf_dir):
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def _op4(spark, sf_dir):
+    found = lines.report(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), "n_near",
+        F.array_join(F.col("gone").cast("array<string>"), ",").alias("removed"),
+    )
+
+
 def _op5(spark, sf_dir):
     return token_counts.token_counts(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -82,6 +90,7 @@ def _op10(spark, sf_dir):
 QUERIES = [
     Query("op1_decontamination", _op1),
     Query("op2_language_id", _op2),
+    Query("op4_line_dedup", _op4),
     Query("op5_token_counts", _op5),
     Query("op7_quality_rules", _op7),
     Query("op8_simhash_near_dedup", _op8),
