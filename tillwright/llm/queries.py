@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
-    contamination, language, lines, near_copies, quality, secrets, token_counts, urls,
+    contamination, language, lines, near_copies, pieces, quality, secrets, token_counts, urls,
 )
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
@@ -46,6 +46,11 @@ def _op5(spark, sf_dir):
     )
 
 
+def _op6(spark, sf_dir):
+    vocabulary = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.summarize(read_table(spark, sf_dir, "documents"), vocabulary)
+
+
 def _op7(spark, sf_dir):
     found = quality.judged(
         read_table(spark, sf_dir, "documents"), keep=["doc_id", "lang", "source"]
@@ -92,6 +97,7 @@ QUERIES = [
     Query("op2_language_id", _op2),
     Query("op4_line_dedup", _op4),
     Query("op5_token_counts", _op5),
+    Query("op6_sentencepiece", _op6),
     Query("op7_quality_rules", _op7),
     Query("op8_simhash_near_dedup", _op8),
     Query("op9_secret_scans", _op9),
