@@ -1,0 +1,74 @@
+"""Stated licenses against a plain search over all windows."""
+
+import random
+import re
+
+import pytest
+
+from tillwright.llm import licenses as op
+
+
+def shingles(text):
+    words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+    return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+
+def plain(text, templates):
+    """Windows of two strides at every stride, all templates."""
+    body, out = shingles(text), set()
+    for name, template in templates:
+        want = set(shingles(template))
+        if not want or name is None:
+            continue
+        stride = 1
+        while stride < len(want):
+            stride *= 2
+        for start in range(-stride, len(body), stride):
+            held = want & set(body[max(0, start) : start + 2 * stride])
+            if len(held) >= 0.8 * len(want):
+                out.add(name)
+    return sorted(out)
+
+
+def texts(seed):
+    rng = random.Random(seed)
+    filler = lambda n: " ".join(rng.choices(["the", "a", "License", "of", "mit", "x"], k=n))
+    out = [None, "", "Released under", "MIT license", "x " * 40_000, filler(3000)]
+    for name, template in op.TEMPLATES:
+        words = template.split()
+        spoiled = list(words)
+        spoiled[rng.randrange(len(words))] = "changed"
+        out += [template, filler(50) + " " + template.upper() + " " + filler(9),
+                filler(7) + "\n" + " ".join(words[: len(words) * 2 // 3]), " ".join(spoiled),
+                template + " " + rng.choice(op.TEMPLATES)[1], template.replace(" ", "\n")]
+    return out + [" ".join(t for _, t in op.TEMPLATES), filler(5) + out[10] * 50]
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_licenses(spark, own):
+    rows = [*enumerate(texts(3)), (None, op.TEMPLATES[0][1]), (7, op.TEMPLATES[0][1]),
+            (7, op.TEMPLATES[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 AS license", "2 AS stride", "3 AS hits")
+    templates = list(op.TEMPLATES)
+    if own:
+        templates = templates[:4] + [("own", "one two three four five six seven eight"), ("own", None),
+                                     (None, op.TEMPLATES[5][1]), ("short", "four words are few"),
+                                     ("mit", op.TEMPLATES[0][1]), ("mit", op.TEMPLATES[0][1])]
+    given = spark.createDataFrame(templates, "license string, text string") if own else None
+    found = op.find_licenses(df, given).collect()
+    got = sorted((repr(r.doc_id), list(r.licenses)) for r in found)
+    assert got == sorted((repr(i), plain(t, templates)) for i, t in rows)
+
+
+def test_chance():
+    assert op.collision_chance(0.2, 48, 1) > 0.9999
+    assert op.collision_chance(1.0, 48, 1) == 1
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert op.find_licenses(df).count() == 0
+    docs = spark.createDataFrame([(1, "Released under the MIT License.")], "doc_id long, text string")
+    none = spark.createDataFrame([], "license string, text string")
+    assert op.find_licenses(docs, none).first().licenses == []

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
-    contamination, language, lines, near_copies, pieces, quality, secrets, token_counts, urls,
+    contamination, language, licenses, lines, near_copies, pieces, quality, secrets, token_counts, urls,
 )
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
@@ -32,6 +32,14 @@ def _op2(spark, sf_dir):
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def _op3(spark, sf_dir):
+    found = licenses.find_licenses(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 def _op4(spark, sf_dir):
     found = lines.report(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -95,6 +103,7 @@ def _op10(spark, sf_dir):
 QUERIES = [
     Query("op1_decontamination", _op1),
     Query("op2_language_id", _op2),
+    Query("op3_license_scans", _op3),
     Query("op4_line_dedup", _op4),
     Query("op5_token_counts", _op5),
     Query("op6_sentencepiece", _op6),
