@@ -82,3 +82,13 @@ def test_inventory_findings(spark):
     sales = samples.sales(spark, slot(D1, "00", "A", units_sold=4))
     found = {r.product_id: r.reasons for r in check_inventory(inventory, sales).collect()}
     assert found == {"B": "stock", "C": "units,slot"}
+
+
+def test_a_sale_without_a_value_has_a_reason(spark):
+    sales = samples.sales(
+        spark, slot("2025-01-01", "00"), slot("2025-01-01", "00", "Q", unit_price=None),
+        slot("2025-01-01", "00", "R", total_ammount_paid=None, discount_applied=None),
+    )
+    found = check_sales(sales, samples.catalog(spark, slot("2025-01-01", "00")))
+    assert sorted((r.product_id, r.reasons) for r in found.collect()) == [
+        ("Q", "missing"), ("R", "missing")]

@@ -106,7 +106,26 @@ def test_some_dates_can_be_read_without_listing_the_others(spark, tmp_path):
     assert lake.existing_slots(spark, str(tmp_path), dates) == [
         ("2025-01-01", "00"), ("2025-01-03", "00"),
     ]
-    assert lake.existing_slots(spark, str(tmp_path), ["2025-01-07"]) == []
+    for none in (["2025-01-07"], []):
+        assert lake.existing_slots(spark, str(tmp_path), none) == []
+        absent = lake.read_catalog(spark, str(tmp_path), none)
+        assert absent.columns == found.columns and absent.count() == 0
+        assert read_unchecked(spark, str(tmp_path), PRODUCT_CATALOG, none).count() == 0
+
+
+def test_rows_without_a_slot_are_neither_written_nor_listed(spark, tmp_path):
+    rows = samples.sales(spark, slot("2025-01-01", "00"), slot(None, "01"), slot("2025-01-01", None))
+    lake.write_slots_csv(rows, str(tmp_path / "a"))
+    assert lake.read_sales(spark, str(tmp_path / "a")).count() == 1
+    rows.write.option("header", True).partitionBy("date", "hour").csv(str(tmp_path / "b"))
+    assert lake.existing_slots(spark, str(tmp_path / "b")) == [("2025-01-01", "00")]
+
+
+def test_a_quote_in_a_path(spark, tmp_path, namespace):
+    root = str(tmp_path / "it's")
+    lake.write_slots_csv(samples.inventory(spark, slot("2025-01-01", "00")), root)
+    lake.register_external(spark, f"{namespace}.quoted", root, INVENTORY_DATA)
+    assert spark.table(f"{namespace}.quoted").count() == 1
 
 
 def test_a_slot_is_written_once(spark, tmp_path, rows_of):
@@ -133,7 +152,7 @@ def test_external_table_is_kept_and_refreshed(spark, tmp_path, namespace):
     lake.register_external(spark, name, str(root), INVENTORY_DATA)
     assert spark.table(name).count() == 1
     _put(root, "date=2025-01-02/hour=00", STOCK_HEADER + "2025-01-02,00,P,1,1,1,1,1\n")
-    lake.refresh_external(spark, name)
+    lake.refresh_external(spark, name, str(root))
     assert spark.table(name).count() == 2
     assert dict(spark.table(name).dtypes)["date"] == "date"
     assert dict(spark.table(name).dtypes)["hour"] == "string"

@@ -10,18 +10,16 @@ import samples
 from samples import slot
 from tillwright import fixtures as fx
 from tillwright.operators import slots as slot_op
-from tillwright.operators.quality import check_sales
+from tillwright.operators.quality import check_sales, price_mismatch
 from tillwright.operators.reports import (
     category_sales, category_sales_pinned, latest_snapshots, orphan_sales,
 )
 from tillwright.plans.loads import load_managed
-from tillwright.registry import all_queries
 from tillwright.schemas import PRODUCT_CATALOG
 from tillwright.sources import lake, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 D1, D2 = "2025-01-01", "2025-01-02"
-STORED = {"lake", "tables", "alerts"}
 
 
 def _plan(df):
@@ -42,22 +40,6 @@ def _conf(spark, **settings):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def _module(query):
-    return query.run.__module__.rsplit(".", 1)[1]
-
-
-@pytest.mark.parametrize(
-    "name", [n for n, q in all_queries().items() if _module(q) not in STORED]
-)
-def test_no_python_and_no_cross_join(spark, name):
-    plan = _plan(all_queries()[name].run(spark, SF_DIR))
-    for node in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoop"):
-        assert node not in plan
-    # Least and greatest texts per group are found among distinct rows only.
-    grouped = re.findall(r"\n\(\d+\) SortAggregate\nInput[^\n]*\nKeys \[([1-9]\d*)\]", plan)
-    assert not grouped
-
-
 def test_the_report_joins_sums_and_reads_few_columns(spark):
     df = category_sales(fx.sales(spark, SF_DIR), fx.catalog(spark, SF_DIR))
     logical = df._jdf.queryExecution().optimizedPlan().toString()
@@ -82,6 +64,23 @@ def test_slices_and_snapshots_prune_partitions(spark, namespace):
     assert report.count() == 1
 
 
+def test_snapshots_and_merges_run_no_job_ahead_and_prune(spark, namespace, monkeypatch):
+    """Without a slot list nothing is collected to build the plan; a merge reads its slots alone."""
+    rows = samples.catalog(spark, slot(D1, "00"), slot(D1, "23"), slot(D2, "05"))
+    with monkeypatch.context() as patch:
+        patch.setattr(type(rows), "collect", None)
+        lazy = latest_snapshots(rows)
+    assert lazy.count() == 2
+    name = f"{namespace}.m"
+    load_managed(spark, PRODUCT_CATALOG, rows, name, backfill=True)
+    kept = []
+    real = tables.overwrite_slots
+    monkeypatch.setattr(tables, "overwrite_slots", lambda df, to: kept.append(_plan(df)) or real(df, to))
+    change = tables.to_managed(samples.catalog(spark, slot(D2, "05")), PRODUCT_CATALOG)
+    tables.merge_by_key(spark, name, change, ["date", "hour", "product_id"])
+    assert re.search(r"PartitionFilters: \[[^\n]*date", kept[0])
+
+
 def test_the_csv_lake_prunes_folders(spark, tmp_path):
     lake.write_slots_csv(
         samples.catalog(spark, slot(D1, "00"), slot(D2, "05")), str(tmp_path / "c"))
@@ -97,21 +96,32 @@ def test_writing_sorts_once_after_one_rebalance(spark):
     assert len(re.findall(r"\n\(\d+\) Sort\n", plan)) == 1
 
 
-@pytest.mark.parametrize("what", ["orphans", "checks"])
-def test_a_hot_product_is_split_over_tasks(spark, what):
-    """One product holds most sales; adaptive execution has to split its join."""
-    sales = spark.range(0, 300_000, 1, 12).select(
-        F.lit(D1).alias("date"), F.lit("00").alias("hour"),
+def _hot_sales(spark):
+    """Sales of which two thirds are of one product; nothing in them is a constant."""
+    days = F.concat(F.lit("2025-01-0"), (F.col("id") % 2 + 1).cast("string"))
+    hours = F.lpad((F.col("id") % 2).cast("string"), 2, "0")
+    return spark.range(0, 300_000, 1, 12).select(
+        days.alias("date"), hours.alias("hour"),
         F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.concat(F.lit("P"), "id"))
         .alias("product_id"),
-        F.lit(D1).alias("transaction_date"), F.lit("00").alias("transaction_hour"),
+        days.alias("transaction_date"), hours.alias("transaction_hour"),
         F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"),
-        F.lit(10.0).alias("unit_price"), F.lit(1).alias("units_sold"),
-        F.lit(0.0).alias("discount_applied"), F.lit(10.0).alias("total_ammount_paid"),
+        (F.col("id") % 7 + 1.0).alias("unit_price"), F.lit(1).alias("units_sold"),
+        F.lit(0.0).alias("discount_applied"),
+        (F.col("id") % 7 + 1.0).alias("total_ammount_paid"),
     )
+
+
+@pytest.mark.parametrize("what,rows", [
+    ("orphans", 200_000), ("unstocked", 200_000), ("checks", 300_000), ("prices", 85_714),
+])
+def test_a_hot_product_is_split_over_tasks(spark, what, rows):
+    """Adaptive execution has to split the join of one product that holds most sales."""
+    sales = _hot_sales(spark)
+    days = F.concat(F.lit("2025-01-0"), (F.col("id") % 2 + 1).cast("string"))
     catalog = spark.range(0, 300_000, 3).select(
-        F.lit(D1).alias("date"), F.lit("00").alias("hour"),
-        F.concat(F.lit("P"), "id").alias("product_id"), F.lit(10.0).alias("unit_price"),
+        days.alias("date"), F.lpad((F.col("id") % 2).cast("string"), 2, "0").alias("hour"),
+        F.concat(F.lit("P"), "id").alias("product_id"), F.lit(1.0).alias("unit_price"),
     )
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -121,12 +131,20 @@ def test_a_hot_product_is_split_over_tasks(spark, what):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
         "spark.sql.shuffle.partitions": "16",
     }
+    key = ("date", "hour", "product_id")
     with _conf(spark, **settings):
-        df = orphan_sales(sales, catalog) if what == "orphans" else check_sales(sales, catalog, 0)
-        rows = len(df.collect())
-        final = df._jdf.queryExecution().executedPlan().toString()
-    assert rows == (200_000 if what == "orphans" else 300_000)
-    assert "skew=true" in final
+        df = {
+            "orphans": lambda: orphan_sales(sales, catalog),
+            "unstocked": lambda: orphan_sales(sales, catalog, key),
+            "checks": lambda: check_sales(sales, catalog, 0),
+            "prices": lambda: price_mismatch(sales, catalog),
+        }[what]()
+        found = [r.transaction_id for r in df.select("transaction_id").collect()]
+        final = df.select("transaction_id")
+        final.collect()
+        plan = final._jdf.queryExecution().executedPlan().toString()
+    assert len(found) == len(set(found)) == rows
+    assert "skew=true" in plan
 
 
 def test_a_hot_product_shrinks_before_the_report_joins(spark):

@@ -8,8 +8,7 @@ from samples import slot
 from tillwright.functions import texts
 from tillwright.functions.slotted import in_lists, in_slots
 from tillwright.operators import slots as op
-from tillwright.operators.bounded import broadcast_if_small
-from tillwright.session import scratch_folder
+from tillwright.session import scratch_folder, sized_for
 
 D1, D2 = "2025-01-01", "2025-01-02"
 
@@ -34,18 +33,19 @@ def test_lists_leave_nulls_out_and_are_sorted(spark):
     assert op.resolve_slots(df, backfill=False) == ([D2], ["01"])
 
 
-def test_more_slots_than_a_calendar_has_are_refused(spark):
-    df = samples.sales(spark, slot(D1, "00"), slot(D1, "01"), slot(D1, "01"))
-    assert sorted(op.fetch_slots(df, most=2)) == [(D1, "00"), (D1, "01")]
-    with pytest.raises(ValueError, match="more than 1 slots"):
-        op.fetch_slots(df, most=1)
-
-
 def test_the_latest_hour_is_that_of_the_latest_date(spark):
     df = samples.sales(spark, slot(D1, "23"), slot(D2, "03"), slot(D2, None))
     assert op.resolve_slots(df, backfill=False) == ([D2], ["03"])
-    assert op.lists_of([(D1, "23"), (D2, "03")], backfill=False) == ([D2], ["03"])
-    assert op.lists_of([], backfill=True) == ([], [])
+    assert op.lists_of([(D1, "23"), (D2, "03")]) == ([D1, D2], ["03", "23"])
+    assert op.lists_of([]) == ([], [])
+
+
+def test_the_latest_slot_is_that_of_rows_and_not_of_listed_files(spark):
+    df = samples.sales(spark, slot(D1, "01"), slot(D1, "03"), slot(None, "23"))
+    listed = [(D1, "01"), (D1, "03"), (D1, "09"), (D2, "00")]
+    assert op.latest_of(df, listed) == ([D1], ["03"])
+    assert op.latest_of(df, [(D2, "00")]) == ([None], [None])
+    assert op.latest_of(df, []) == ([None], [None])
 
 
 def test_an_empty_source_matches_nothing(spark):
@@ -126,25 +126,22 @@ def test_ids_grow_past_their_width(spark):
     assert tuple(row) == ("PROD_0007", "PROD_12345", "CAT_007", "x, y, z")
 
 
-def test_only_counted_rows_are_broadcast(spark):
-    df = spark.range(10)
-    plan = broadcast_if_small(df, 10)._jdf.queryExecution().toString()
-    assert "broadcast" in plan
-    assert broadcast_if_small(df, 9) is df
-
-
 class _Session:
-    """Just enough of a session to name a master and a shared folder."""
+    """Just enough of a session to name its shared folders."""
 
-    def __init__(self, master, shared):
-        self.sparkContext = type("Context", (), {"master": master})
-        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: shared)})
+    def __init__(self, **conf):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, *default: conf.get(
+            key.split(".")[-2], *default))})
 
 
 def test_scratch_follows_the_session():
-    cluster = _Session("yarn", "/shared/folder/")
-    assert scratch_folder(cluster, "x").startswith("/shared/folder/x-")
-    assert scratch_folder(cluster, "x") != scratch_folder(cluster, "x")
-    assert "x-" in scratch_folder(_Session("local[2]", None), "x")
-    with pytest.raises(ValueError):
-        scratch_folder(_Session("yarn", None), "x")
+    named = _Session(checkpoint="/shared/folder/", warehouse="/house")
+    assert scratch_folder(named, "x").startswith("/shared/folder/x-")
+    assert scratch_folder(named, "x") != scratch_folder(named, "x")
+    assert scratch_folder(_Session(warehouse="/house/"), "x").startswith("/house/_scratch/x-")
+
+
+def test_settings_follow_the_size_of_the_job():
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert sized_for(100 << 40)[key] == str(100 << 13)
+    assert sized_for(0)[key] == "200"

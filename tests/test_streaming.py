@@ -115,3 +115,34 @@ def test_a_stream_stores_good_and_bad_messages(spark, tmp_path):
     assert run() == (2, 1)
     names = [p.name for p in (tmp_path / "good").iterdir()]
     assert len(names) == 1 and len(names[0]) > len("query=") + 30
+
+
+def test_repeats_and_bad_messages_in_one_stream(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    for number in range(2):
+        (topic / f"{number}.txt").write_text("\n".join([GOOD, "not json", GOOD, "[]"]) + "\n")
+    op.start_message_quarantine(
+        op.message_source(spark, str(topic), per_batch=1), f"{tmp_path}/good", f"{tmp_path}/bad",
+        f"{tmp_path}/checkpoint", delay=op.REPEAT_WINDOW,
+    ).awaitTermination()
+    assert spark.read.schema(ALERT).parquet(f"{tmp_path}/good").count() == 1
+    bad = spark.read.schema("value string").parquet(f"{tmp_path}/bad").collect()
+    assert sorted(r.value for r in bad) == ["[]", "not json"]
+
+
+def test_bad_stock_rows_are_kept_beside_the_alerts(spark, tmp_path):
+    folder = tmp_path / "inventory" / "date=2025-01-01" / "hour=00"
+    folder.mkdir(parents=True)
+    (folder / "one.csv").write_text(
+        ",".join(ALERT.fieldNames()) + "\n2025-01-01,00,A,0,0,0,0,-1\n2025-01-01,00,B,0,0,0,0,x\n"
+        "2025-01-01,00,C,0,0,0,0,1\n"
+    )
+    op.start_stock_quarantine(
+        spark, str(tmp_path / "inventory"), f"{tmp_path}/good", f"{tmp_path}/bad",
+        f"{tmp_path}/checkpoint",
+    ).awaitTermination()
+    assert [r.product_id for r in spark.read.schema(ALERT).parquet(f"{tmp_path}/good").collect()] == ["A"]
+    (bad,) = spark.read.schema("product_id string, bad_columns string").parquet(
+        f"{tmp_path}/bad").collect()
+    assert (bad.product_id, bad.bad_columns) == ("B", "final_stock")

@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import unquote, urlparse
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,6 +174,83 @@ def test_merge_updates_adds_and_leaves_other_slots_untouched(spark, namespace):
         tables.merge_by_key(spark, name, change, ["product_id"])
 
 
+def test_a_key_twice_in_the_source_of_a_merge_is_an_error(spark, namespace):
+    name = f"{namespace}.c"
+    load_managed(spark, PRODUCT_CATALOG, samples.catalog(spark, slot(D1, "00")), name)
+    rows = samples.catalog(spark, slot(D1, "00", "X"), slot(D1, "00", "X", unit_price=2.0))
+    with pytest.raises(ValueError, match="twice"):
+        tables.merge_by_key(
+            spark, name, tables.to_managed(rows, PRODUCT_CATALOG), ["date", "hour", "product_id"])
+    assert spark.table(name).count() == 1
+
+
+def test_a_merge_computes_its_source_once(spark, namespace):
+    name = f"{namespace}.c"
+    load_managed(spark, PRODUCT_CATALOG, samples.catalog(spark, slot(D1, "00")), name)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    rows = samples.catalog(spark, *[slot(D1, "00", f"P{i}") for i in range(9)])
+    rows = tables.to_managed(rows, PRODUCT_CATALOG).withColumn("brand", counted("brand"))
+    tables.merge_by_key(spark, name, rows, ["date", "hour", "product_id"])
+    assert spark.table(name).count() == 10 and seen.value == 9
+
+
+def test_replaced_slots_and_added_rows(spark, namespace):
+    """What is not listed is kept, and rows for it are added."""
+    name = f"{namespace}.s"
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00"), (D2, "05"), (D2, "05")), name)
+    rows = tables.to_managed(_sales(spark, (D1, "00"), (D2, "05"), mark="new"), SALES_DATA)
+    tables.replace_slots(spark, name, rows, [D1], ["00"])
+    assert _held(spark, name) == [(D1, "00", "new"), *[(D2, "05", "Spain")] * 2, (D2, "05", "new")]
+
+
+def test_a_load_reads_no_row_of_the_old_data(spark, namespace):
+    """Even a damaged file of the slot to be replaced does not matter."""
+    name = f"{namespace}.s"
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00"), (D2, "05")), name)
+    for file in spark.table(name).where(f"date = '{D1}'").inputFiles():
+        path = Path(unquote(urlparse(file).path))
+        path.with_name(f".{path.name}.crc").unlink()
+        path.write_bytes(b"damaged")
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00"), mark="new"), name)
+    assert _held(spark, name) == [(D1, "00", "new"), (D2, "05", "Spain")]
+
+
+def _spoiled(spark, root):
+    """A row without a date, one without an hour, and a later hour of a header alone."""
+    samples.catalog(spark, slot(None, "23"), slot(D2, None)).write.mode("append").options(
+        **lake.CSV_WRITE).partitionBy("date", "hour").csv(str(root))
+    empty = root / f"date={D2}" / "hour=23"
+    empty.mkdir()
+    (empty / "a.csv").write_text(",".join(PRODUCT_CATALOG.body.fieldNames()) + "\n")
+
+
+@pytest.mark.parametrize("mode", ["replace", "incremental"])
+@pytest.mark.parametrize("keep_bad_rows", [False, True])
+def test_the_latest_slot_of_a_lake_is_one_with_rows(spark, namespace, tmp_path, mode, keep_bad_rows):
+    root = tmp_path / "product_catalog"
+    lake.write_slots_csv(samples.catalog(spark, slot(D1, "23"), slot(D2, "01")), str(root))
+    _spoiled(spark, root)
+    load_from_lake(spark, PRODUCT_CATALOG, str(root), namespace, mode, keep_bad_rows=keep_bad_rows)
+    name = managed_name(namespace, PRODUCT_CATALOG)
+    assert tables.table_slots(spark, name) == [(D2, "01")]
+
+
+@pytest.mark.parametrize("keep_bad_rows", [False, True])
+def test_an_empty_lake_is_an_empty_source(spark, namespace, tmp_path, keep_bad_rows):
+    name = managed_name(namespace, SALES_DATA)
+    load_managed(spark, SALES_DATA, _sales(spark, (D1, "00")), name)
+    for mode, left in (("incremental", 1), ("replace", 0)):
+        load_from_lake(spark, SALES_DATA, str(tmp_path / "none"), namespace, mode,
+                       keep_bad_rows=keep_bad_rows)
+        assert spark.table(name).count() == left
+
+
 def test_rows_are_sorted_by_product_inside_a_file(spark, namespace):
     name = f"{namespace}.c"
     rows = samples.catalog(spark, *[slot(D1, "00", f"P{i:03d}") for i in (5, 3, 9, 1, 7)])

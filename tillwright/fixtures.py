@@ -8,7 +8,7 @@ rows, the size the datasets are made for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwright.functions.money import net_amount
@@ -86,10 +86,13 @@ def listings(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFram
     parts that were only returned stay without a listing.
     """
     kept = _lines(spark, sf_dir, yearly).where(F.col("l_returnflag") != "R")
-    # Numbers, as a least or greatest text per group would need sorted groups.
-    opened = kept.groupBy("date", "l_partkey").agg(F.min("at").alias("first"))
-    closing = kept.groupBy("date").agg(F.max("at").alias("last"))
-    listed = opened.join(closing, "date").select(
+    # Numbers, as a least or greatest text per group would need sorted groups. The
+    # date's last hour comes from its parts, so the lines are read once.
+    opened = kept.groupBy("date", "l_partkey").agg(
+        F.min("at").alias("first"), F.max("at").alias("latest")
+    )
+    closing = Window.partitionBy("date")
+    listed = opened.withColumn("last", F.max("latest").over(closing)).select(
         "date", "l_partkey", F.explode(F.array_distinct(F.array("first", "last"))).alias("at")
     )
     return listed.select("date", "l_partkey", hour_code(F.col("at")).alias("hour"))

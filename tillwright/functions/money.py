@@ -1,4 +1,4 @@
-"""Prices, discounts and exact sums of money."""
+"""Prices and discounts."""
 
 from __future__ import annotations
 
@@ -26,22 +26,3 @@ def discount_in_tier(units: Column, discount: Column, threshold: int = TIER_UNIT
         discount == 0
     )
 
-
-# Money is summed in millionths.
-_MICROS = 1_000_000.0
-
-
-def micros(amount: Column) -> Column:
-    """A double amount as a whole number of millionths.
-
-    Money is stored as double, whose sum depends on the order of the rows and so
-    on the run; whole numbers add up to the same every time. On the way to the
-    sum per key they take a tenth of the time of decimals. A key may reach nine
-    trillion; beyond that the sum fails instead of giving a wrong result.
-    """
-    return F.rint(amount * _MICROS).cast("long")
-
-
-def from_micros(total: Column) -> Column:
-    """A double amount again, from a sum of millionths of any type."""
-    return total.cast("double") / _MICROS

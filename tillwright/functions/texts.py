@@ -48,3 +48,8 @@ def tag_text(tags: Column) -> Column:
 def tag_list(text: Column) -> Column:
     """Split stored tag text; blanks around the commas do not matter."""
     return F.split(F.trim(text), r"\s*,\s*")
+
+
+def quoted(value: str) -> str:
+    """A text as it stands between single quotes in SQL."""
+    return value.replace("\\", "\\\\").replace("'", "\\'")

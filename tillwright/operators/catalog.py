@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.texts import product_code, product_title
-from tillwright.operators.bounded import broadcast_if_small
 from tillwright.schemas import CATALOG
 
 
@@ -20,13 +19,14 @@ def expand_catalog(archetypes: DataFrame, products: DataFrame,
     archetype at ``i`` modulo their number, so every archetype serves equally
     many products.
     """
-    cycle = archetypes.agg(F.count(F.lit(1)).alias("n")).first().n
-    if cycle == 0:
-        raise ValueError("no archetypes")
-    shared = broadcast_if_small(archetypes, 20_000).withColumnRenamed("position", "_position")
+    counted = archetypes.agg(F.count(F.lit(1)).alias("n"))
+    # Without archetypes there is nothing to divide by, and no product either.
+    cycle = F.nullif(counted.scalar(), F.lit(0))
+    shared = archetypes.withColumnRenamed("position", "_position")
     when = F.array(*[F.struct(F.lit(d).alias("date"), F.lit(h).alias("hour")) for d, h in slots])
     snapshots = (
-        products.withColumn("_position", F.pmod(F.col("index"), F.lit(cycle)))
+        products.withColumn("_cycle", cycle)
+        .withColumn("_position", F.pmod(F.col("index"), F.col("_cycle")))
         .join(shared, "_position")
         .withColumn("_slot", F.explode(when))
     )
@@ -34,7 +34,7 @@ def expand_catalog(archetypes: DataFrame, products: DataFrame,
         F.col("_slot.date").alias("ingestion_date"),
         F.col("_slot.hour").alias("ingestion_hour"),
         product_code(F.col("index") + 1).alias("product_id"),
-        product_title(F.col("base_name"), F.col("index"), F.lit(cycle)).alias("product_name"),
+        product_title(F.col("base_name"), F.col("index"), F.col("_cycle")).alias("product_name"),
         "category_id",
         F.col("category").alias("category_name"),
         "brand",

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.functions.money import from_micros, micros
 from tillwright.functions.slotted import in_dates, in_slots
-from tillwright.operators.bounded import MAX_ROWS
 from tillwright.operators.slots import slot_columns
 
 
@@ -34,7 +32,7 @@ def category_sales(sales: DataFrame, catalog: DataFrame,
         .groupBy("date", "product_id")
         .agg(
             F.sum("units_sold").alias("units"),
-            F.sum(micros(F.col("total_ammount_paid"))).alias("paid"),
+            F.sum("total_ammount_paid").alias("paid"),
         )
     )
     listed = (
@@ -49,10 +47,7 @@ def category_sales(sales: DataFrame, catalog: DataFrame,
         .groupBy("date", "category_name")
         .agg(
             F.sum(F.col("units") * F.col("listings")).alias("units_sold"),
-            # Few rows are left here, so decimals cost little and cannot overflow.
-            from_micros(F.sum(F.col("paid").cast("decimal(20,0)") * F.col("listings"))).alias(
-                "total_ammount_paid"
-            ),
+            F.sum(F.col("paid") * F.col("listings")).alias("total_ammount_paid"),
         )
     )
 
@@ -65,27 +60,23 @@ def last_hours(slots: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return sorted(newest.items())
 
 
-def latest_snapshots(catalog: DataFrame, slots: list[tuple[str, str]] | None = None,
-                     max_dates: int = MAX_ROWS) -> DataFrame:
+def latest_snapshots(catalog: DataFrame,
+                     slots: list[tuple[str, str]] | None = None) -> DataFrame:
     """Catalog rows of each date's last hour.
 
-    The last slots, one per date, become a predicate on ``date`` and ``hour``:
-    the catalog is not shuffled, and a table partitioned by slot is read at one
-    hour per date. ``slots`` saves the job that finds them where the caller has
-    listed the table. More than ``max_dates`` dates are never fetched; a semi
-    join takes over then.
+    With ``slots``, which every stored table and lake lists, the last slots become
+    a predicate on ``date`` and ``hour``: nothing is shuffled, and one hour per date
+    is read. Without, a semi join finds them; it runs no job ahead, but reads all
+    rows, as it cannot prune partitions.
     """
     if slots is not None:
         return catalog.where(in_slots(last_hours(slots)))
     # Distinct slots first: that hashes, where the greatest text per date over
     # all rows would sort them.
-    last = slot_columns(catalog).groupBy("date").agg(F.max("hour").alias("hour"))
-    rows = last.limit(max_dates + 1).collect()
-    if len(rows) > max_dates:
-        newest = last.select(F.concat_ws("/", "date", "hour").alias("_slot"))
-        placed = catalog.withColumn("_slot", F.concat_ws("/", F.col("date").cast("string"), "hour"))
-        return placed.join(newest, "_slot", "left_semi").select(*catalog.columns)
-    return catalog.where(in_slots((r.date, r.hour) for r in rows))
+    last = slot_columns(catalog).groupBy("date").agg(F.max("hour").alias("_hour"))
+    newest = last.withColumnRenamed("date", "_date")
+    same = (F.col("date").cast("string") == F.col("_date")) & (F.col("hour") == F.col("_hour"))
+    return catalog.join(newest, same, "left_semi")
 
 
 def category_sales_pinned(sales: DataFrame, catalog: DataFrame,
@@ -99,7 +90,8 @@ def orphan_sales(sales: DataFrame, listed: DataFrame,
                  keys: tuple[str, ...] = ("date", "product_id")) -> DataFrame:
     """Sales whose product is not in ``listed``, a catalog or a stock table.
 
-    The listed keys are made distinct first. A hot product on the sales side is
-    split by the skew join of adaptive execution, which handles anti joins.
+    The listed keys may repeat, which changes nothing for an anti join. Making
+    them distinct first would leave them dealt out by key already, and adaptive
+    execution splits a hot product only where both sides are shuffled for the join.
     """
-    return sales.join(listed.select(*keys).distinct(), list(keys), "left_anti")
+    return sales.join(listed.select(*keys), list(keys), "left_anti")

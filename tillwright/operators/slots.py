@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions import times
-from tillwright.functions.slotted import in_lists
+from tillwright.functions.slotted import in_dates, in_lists
 from tillwright.functions.texts import padded
-from tillwright.operators.bounded import MAX_ROWS
 
 SlotLists = tuple[list[str], list[str]]
 
@@ -25,19 +24,6 @@ def slot_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def fetch_slots(df: DataFrame, most: int = MAX_ROWS) -> list[tuple[str | None, str | None]]:
-    """Distinct ``(date, hour)`` of ``df`` on the driver, nulls included.
-
-    More than ``most`` of them are no calendar but bad data, or a load to be cut
-    by dates: that is an error, and no more than ``most + 1`` rows are fetched.
-    """
-    pairs = df.select(F.col("date").cast("string").alias("date"), "hour").distinct()
-    rows = pairs.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} slots; check the dates or load fewer at once")
-    return [(r.date, r.hour) for r in rows]
-
-
 def distinct_dates(df: DataFrame, first: int | None = None) -> DataFrame:
     """Distinct dates; with ``first``, only that many of the earliest."""
     dates = df.select("date").distinct()
@@ -73,25 +59,32 @@ def latest_lists(df: DataFrame) -> DataFrame:
 
 
 def resolve_slots(df: DataFrame, backfill: bool) -> SlotLists:
-    """Dates and hours to process, on the driver."""
-    if backfill:
-        slots = fetch_slots(df)
-        return (
-            sorted({d for d, _ in slots if d is not None}),
-            sorted({h for _, h in slots if h is not None}),
-        )
-    row = latest_lists(df).first()
+    """Dates and hours to process, on the driver: a calendar, as long as the data's years."""
+    row = (backfill_lists(df) if backfill else latest_lists(df)).first()
     return list(row.dates), list(row.hours)
 
 
-def lists_of(slots: list[tuple[str, str]], backfill: bool) -> SlotLists:
-    """``resolve_slots`` for a slot list that is already known, without any job."""
-    if not slots:
-        return [], []
-    if backfill:
-        return sorted({d for d, _ in slots}), sorted({h for _, h in slots})
-    date, hour = max(slots)
-    return [date], [hour]
+def lists_of(slots: list[tuple[str, str]]) -> SlotLists:
+    """All dates and hours of a slot list that is already known, without any job."""
+    return sorted({d for d, _ in slots}), sorted({h for _, h in slots})
+
+
+def with_slot(df: DataFrame) -> DataFrame:
+    """Rows that have a date and an hour: what a backfill of all slots covers."""
+    return df.where(F.col("date").isNotNull() & F.col("hour").isNotNull())
+
+
+def latest_of(df: DataFrame, slots: list[tuple[str, str]]) -> SlotLists:
+    """The latest slot that has rows, among the listed ones.
+
+    A listed slot may hold files without a row. So the newest date is looked at
+    first, its rows alone are read, and only if it has none the date before.
+    """
+    for date in sorted({d for d, _ in slots}, reverse=True):
+        dates, hours = resolve_slots(df.where(in_dates([date])), False)
+        if dates != [None]:
+            return dates, hours
+    return [None], [None]
 
 
 def select_slice(df: DataFrame, dates: list[str], hours: list[str]) -> DataFrame:

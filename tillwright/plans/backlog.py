@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.slotted import in_dates, in_slots
 from tillwright.operators.inventory import reconcile_inventory
-from tillwright.operators.slots import missing_slots, slot_spine
+from tillwright.operators.slots import missing_slots, slot_spine, with_slot
 from tillwright.schemas import DATASETS
 from tillwright.sources import lake
 
@@ -42,5 +42,6 @@ def fill_inventory(opening: DataFrame, sales: DataFrame, root: str,
     if dates is not None:
         lacking = lacking & in_dates(dates)
     lake.write_slots_csv(
-        reconcile_inventory(opening.where(lacking), sales.where(lacking)), root
+        reconcile_inventory(with_slot(opening).where(lacking), with_slot(sales).where(lacking)),
+        root,
     )

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.operators.reports import category_sales, category_sales_pinned
-from tillwright.operators.slots import lists_of, resolve_slots, select_slice
+from tillwright.operators.slots import (
+    SlotLists, latest_of, lists_of, resolve_slots, select_slice, with_slot,
+)
 from tillwright.schemas import DATASETS, PRODUCT_CATALOG, SALES_DATA, Dataset
 from tillwright.sources import lake, quarantine, tables
 from tillwright.sources.lake import Slots
@@ -31,20 +33,30 @@ def load_managed(spark: SparkSession, dataset: Dataset, source: DataFrame, name:
     ``"incremental"`` replaces those slots and keeps the others. With
     ``backfill`` all slots are loaded, else the latest; the default is the
     dataset's. ``slots`` are those of the source where the caller has them from
-    a listing; otherwise one job over the two slot columns finds them.
+    a listing, which may name slots without rows; otherwise one job over the two
+    slot columns finds them. An empty source empties the table with ``"replace"``.
     """
     if mode not in ("replace", "incremental"):
         raise ValueError(f"unknown mode {mode!r}")
     if backfill is None:
         backfill = dataset.backfill
-    if slots is None:
-        dates, hours = resolve_slots(source, backfill)
+    if backfill and mode == "replace":
+        lists = None  # all rows that have a slot; no list is needed
+    elif slots is None:
+        lists = resolve_slots(source, backfill)
     else:
-        dates, hours = lists_of(slots, backfill)
-    rows = tables.to_managed(select_slice(source, dates, hours), dataset)
+        lists = lists_of(slots) if backfill else latest_of(source, slots)
+    _load_slice(spark, dataset, source, name, mode, backfill, lists)
+
+
+def _load_slice(spark: SparkSession, dataset: Dataset, source: DataFrame, name: str, mode: str,
+                backfill: bool, lists: SlotLists | None) -> None:
+    chosen = with_slot(source) if backfill else select_slice(source, *lists)
+    rows = tables.to_managed(chosen, dataset)
     if mode == "incremental":
         tables.create_managed(spark, name, dataset)
-        tables.replace_slots(spark, name, rows, dates, hours)
+        # All rows are of listed slots, so none is left to be added.
+        tables.swap_slots(spark, name, rows, tables.listed_slots(spark, name, *lists))
     else:
         fits = tables.has_layout(spark, name, dataset)
         tables.create_managed(spark, name, dataset, replace=not fits)
@@ -56,33 +68,36 @@ def load_from_lake(spark: SparkSession, dataset: Dataset, root: str, namespace:
                    keep_bad_rows: bool = False, dates: list[str] | None = None) -> None:
     """Load a dataset of the lake into ``namespace``.
 
-    Slots come from a listing of ``root``, not from reading its files. With
-    ``dates`` the rest of the lake is not even listed, so an hourly run with a
-    backfill of the last days costs the same in any year. A bad CSV row stops
-    the load, or with ``keep_bad_rows`` goes to the ``_rejected`` table while the
-    good rows are loaded.
+    Slots come from a listing of ``root``, not from reading its files; only for
+    the latest slot the rows of the newest date are looked at. With ``dates`` the
+    rest of the lake is not even listed, so an hourly run with a backfill of the
+    last days costs the same in any year. A lake without files is an empty source.
+    A bad CSV row stops the load, or with ``keep_bad_rows`` goes to the
+    ``_rejected`` table while the good rows are loaded; of the latest slot that is
+    the latest with any row, good or bad.
     """
+    if backfill is None:
+        backfill = dataset.backfill
     slots = lake.existing_slots(spark, root, dates)
-    if not slots:
-        return
     name = managed_name(namespace, dataset)
+    # Where there are no files, nothing tells apart a lake that does not exist yet.
+    there = dates if slots else []
     if not keep_bad_rows:
-        load_managed(
-            spark, dataset, lake.read_lake(spark, root, dataset, dates), name, mode, backfill,
-            slots,
-        )
+        source = lake.read_lake(spark, root, dataset, there)
+        load_managed(spark, dataset, source, name, mode, backfill, slots)
         return
-    unchecked = quarantine.read_unchecked(spark, root, dataset, dates)
+    unchecked = quarantine.read_unchecked(spark, root, dataset, there)
     good, bad = quarantine.split_bad_rows(unchecked, dataset)
     load_managed(spark, dataset, good, name, mode, backfill, slots)
-    lists = lists_of(slots, dataset.backfill if backfill is None else backfill)
+    lists = lists_of(slots) if backfill else latest_of(unchecked, slots)
     held_back = select_slice(bad, *lists).withColumn("date", F.col("date").cast("string"))
     rejected = rejected_name(namespace, dataset)
     tables.create_slot_table(spark, rejected, quarantine.rejected_schema(dataset))
     if mode == "replace":
         tables.replace_all(spark, rejected, held_back)
     else:
-        tables.replace_slots(spark, rejected, held_back, *lists)
+        tables.swap_slots(spark, rejected, held_back,
+                          tables.listed_slots(spark, rejected, *lists))
 
 
 @dataclass(frozen=True)

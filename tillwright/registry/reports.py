@@ -8,38 +8,48 @@ from tillwright import fixtures as fx
 from tillwright.functions import money, texts
 from tillwright.operators import reports as op
 from tillwright.operators.catalog import expand_catalog
-from tillwright.operators.slots import latest_lists, resolve_slots, slot_columns
+from tillwright.operators.slots import latest_lists, resolve_slots
 from tillwright.registry.entry import Query, daily
 
-# The report as specified: hour is no join key, so a sale counts per snapshot.
+# The report as specified: hour is no join key, so a sale counts per snapshot. Sums of
+# doubles depend on the order of the rows, so both sides are rounded to the four
+# decimals that the amounts of the given tables have.
 _REPORT = """
 SELECT a.date, b.category_name,
        CAST(SUM(a.units_sold) AS BIGINT) AS units_sold,
-       CAST(SUM(CAST(a.total_ammount_paid AS DECIMAL(18,6))) AS DOUBLE) AS total_ammount_paid
-FROM sales a LEFT JOIN {catalog} b ON a.date = b.date AND a.product_id = b.product_id
+       round(SUM(a.total_ammount_paid), 4) AS total_ammount_paid
+FROM sales a JOIN {catalog} b ON a.date = b.date AND a.product_id = b.product_id
 WHERE b.category_name IS NOT NULL {dates}
 GROUP BY a.date, b.category_name
 """
+REPORT = _REPORT.format(catalog="catalog", dates="")
 _PINNED = """(SELECT c.* FROM catalog c
   JOIN (SELECT date, max(hour) AS hour FROM catalog GROUP BY date) m
   ON c.date = m.date AND c.hour = m.hour)"""
 _IN_DATES = "AND a.date IN (SELECT date FROM catalog GROUP BY date HAVING max(hour) = '23')"
 
 
+def rounded(report):
+    return report.withColumn("total_ammount_paid", F.round("total_ammount_paid", 4))
+
+
 def _category_sales(spark, sf_dir):
-    return op.category_sales(fx.sales(spark, sf_dir), fx.catalog(spark, sf_dir))
+    return rounded(op.category_sales(fx.sales(spark, sf_dir), fx.catalog(spark, sf_dir)))
 
 
 def _category_sales_dates(spark, sf_dir):
     """The report for the dates whose catalog reaches the last hour of the day."""
     catalog = fx.catalog(spark, sf_dir)
-    full = slot_columns(catalog).where(F.col("hour") == "23")
+    # Found from the listings, which name each slot, before any product is looked up.
+    full = fx.listings(spark, sf_dir).where(F.col("hour") == "23").select("date").distinct()
     dates = [r.date for r in full.collect()]
-    return op.category_sales(fx.sales(spark, sf_dir), catalog, dates)
+    return rounded(op.category_sales(fx.sales(spark, sf_dir), catalog, dates))
 
 
 def _category_sales_pinned(spark, sf_dir):
-    return op.category_sales_pinned(fx.sales(spark, sf_dir), fx.catalog(spark, sf_dir))
+    return rounded(
+        op.category_sales_pinned(fx.sales(spark, sf_dir), fx.catalog(spark, sf_dir))
+    )
 
 
 def _latest_snapshots(spark, sf_dir):
@@ -107,7 +117,7 @@ def _latest_sales_day(spark, sf_dir):
 
 
 QUERIES = [
-    Query("category_sales", _category_sales, daily(_REPORT.format(catalog="catalog", dates=""))),
+    Query("category_sales", _category_sales, daily(REPORT)),
     Query(
         "category_sales_dates", _category_sales_dates,
         daily(_REPORT.format(catalog="catalog", dates=_IN_DATES)),

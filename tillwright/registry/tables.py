@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwright import fixtures as fx
-from tillwright.plans.loads import Refresh, load_managed, managed_name, run_refresh
+from tillwright.plans.loads import (
+    Refresh, load_from_lake, load_managed, managed_name, run_refresh,
+)
 from tillwright.registry.entry import SALES_COLUMNS, Query, yearly
+from tillwright.registry.reports import REPORT, rounded
 from tillwright.schemas import DATASETS, PRODUCT_CATALOG, SALES_DATA
 from tillwright.session import scratch_folder
 from tillwright.sources import lake, tables
@@ -60,12 +63,15 @@ def _managed_incremental(spark, sf_dir):
 
 
 def _replace_slots(spark, sf_dir):
-    """Six hours of the last years are replaced by four, so two end up empty."""
+    """Six hours of the last years are replaced by four, so two end up empty.
+
+    A row of an hour that is not listed joins those that its slot holds.
+    """
     name = managed_name(_namespace(spark, "slots"), SALES_DATA)
     rows = _sales(spark, sf_dir)
     load_managed(spark, SALES_DATA, rows, name)
     late = rows.where(
-        (F.col("date") >= "2000-01-01") & (F.col("hour") <= "03")
+        (F.col("date") >= "2000-01-01") & ((F.col("hour") <= "03") | (F.col("hour") == "09"))
         & (F.col("transaction_hour") == "00")
     )
     dates = sorted({d for d, _ in tables.table_slots(spark, name) if d >= "2000-01-01"})
@@ -112,19 +118,71 @@ def _run_refresh(spark, sf_dir):
         "refresh_" + root.rsplit("-", 1)[1], root, f"{root}/tables",
         backfill={"product_catalog": True},
     )
-    return run_refresh(spark, job)
+    return rounded(run_refresh(spark, job))
+
+
+def _lake_load(spark, sf_dir, spoil):
+    """The catalog's latest slot, loaded from a lake after ``spoil`` had its way with it."""
+    root = scratch_folder(spark, "lake-load")
+    rows = fx.catalog(spark, sf_dir, yearly=True)
+    lake.write_slots_csv(rows, root)
+    space = _namespace(spark, "lake_load")
+    load_from_lake(spark, PRODUCT_CATALOG, root, space)
+    spoil(rows, root)
+    load_from_lake(spark, PRODUCT_CATALOG, root, space, "replace")
+    return _plain(spark.table(managed_name(space, PRODUCT_CATALOG))).select(
+        "date", "hour", "product_id", "category_name", "unit_price", "date_tmsp"
+    )
+
+
+def _null_slot(rows, root):
+    """Rows without a date, and rows without an hour, in folders that other tools wrote."""
+    lost = rows.withColumn("date", F.lit(None).cast("string")).unionByName(
+        rows.withColumn("hour", F.lit(None).cast("string")))
+    lost.write.mode("append").options(**lake.CSV_WRITE).partitionBy("date", "hour").csv(root)
+
+
+def _header_only(rows, root):
+    """A later slot whose file has a header and no row."""
+    body = rows.drop("date", "hour").where("false").coalesce(1)
+    body.write.options(**lake.CSV_WRITE).csv(f"{root}/date=9999-12-31/hour=23")
+
+
+def _lake_replace_empty(spark, sf_dir):
+    """A lake without files replaces the loaded table by nothing, as an empty source does."""
+    root = scratch_folder(spark, "lake-empty")
+    lake.write_slots_csv(fx.catalog(spark, sf_dir, yearly=True), root)
+    space = _namespace(spark, "lake_empty")
+    load_from_lake(spark, PRODUCT_CATALOG, root, space, backfill=True)
+    held = spark.table(managed_name(space, PRODUCT_CATALOG)).count()
+    load_from_lake(spark, PRODUCT_CATALOG, f"{root}-none", space, "replace")
+    return spark.table(managed_name(space, PRODUCT_CATALOG)).agg(
+        F.count(F.lit(1)).alias("left_over")).withColumn("held_before", F.lit(held).cast("long"))
 
 
 _STAMP = "CAST(epoch(CAST(date AS TIMESTAMP)) AS BIGINT) AS date_tmsp"
 _LATEST = """(SELECT max(date) FROM {view}) AND hour =
   (SELECT max(hour) FROM {view} WHERE date = (SELECT max(date) FROM {view}))"""
+_LATEST_CATALOG = f"""
+SELECT date, hour, product_id, category_name, unit_price, {_STAMP} FROM catalog
+WHERE date = {_LATEST.format(view="catalog")}"""
 
 QUERIES = [
     Query(
         "managed_replace", _managed_replace,
-        yearly(f"""
-SELECT date, hour, product_id, category_name, unit_price, {_STAMP} FROM catalog
-WHERE date = {_LATEST.format(view="catalog")}"""),
+        yearly(_LATEST_CATALOG),
+    ),
+    Query(
+        "lake_load_null_slot", lambda spark, sf_dir: _lake_load(spark, sf_dir, _null_slot),
+        yearly(_LATEST_CATALOG),
+    ),
+    Query(
+        "lake_load_header_only", lambda spark, sf_dir: _lake_load(spark, sf_dir, _header_only),
+        yearly(_LATEST_CATALOG),
+    ),
+    Query(
+        "lake_replace_empty", _lake_replace_empty,
+        yearly("SELECT CAST(0 AS BIGINT) AS left_over, count(*) AS held_before FROM catalog"),
     ),
     Query(
         "managed_backfill", _managed_backfill,
@@ -144,7 +202,7 @@ SELECT date, hour, transaction_id, order_country FROM sales
 WHERE NOT (date >= '2000-01-01' AND hour <= '05')
 UNION ALL
 SELECT date, hour, transaction_id, 'again' FROM sales
-WHERE date >= '2000-01-01' AND hour <= '03' AND transaction_hour = '00'"""),
+WHERE date >= '2000-01-01' AND (hour <= '03' OR hour = '09') AND transaction_hour = '00'"""),
     ),
     Query(
         "delete_slots", _delete_slots,
@@ -162,10 +220,6 @@ FROM catalog"""),
     ),
     Query(
         "run_refresh", _run_refresh,
-        yearly("""
-SELECT a.date, b.category_name, CAST(SUM(a.units_sold) AS BIGINT) AS units_sold,
-       CAST(SUM(CAST(a.total_ammount_paid AS DECIMAL(18,6))) AS DOUBLE) AS total_ammount_paid
-FROM sales a LEFT JOIN catalog b ON a.date = b.date AND a.product_id = b.product_id
-WHERE b.category_name IS NOT NULL GROUP BY a.date, b.category_name"""),
+        yearly(REPORT),
     ),
 ]

@@ -6,41 +6,37 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-_KINDS = {
-    "S": T.StringType(),
-    "L": T.LongType(),
-    "D": T.DoubleType(),
-}
+TEXT, WHOLE, NUMBER = T.StringType(), T.LongType(), T.DoubleType()
 
 
-def _struct(spec: str) -> T.StructType:
-    """Build a schema from ``"name:KIND name:KIND ..."``."""
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in fields])
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 # Column names, types and order below are fixed values of the data model.
 CATALOG = _struct(
-    "ingestion_date:S ingestion_hour:S product_id:S product_name:S category_id:S "
-    "category_name:S brand:S description:S unit_price:D supplier_name:S tags:S"
+    ingestion_date=TEXT, ingestion_hour=TEXT, product_id=TEXT, product_name=TEXT,
+    category_id=TEXT, category_name=TEXT, brand=TEXT, description=TEXT, unit_price=NUMBER,
+    supplier_name=TEXT, tags=TEXT,
 )
 SALES = _struct(
-    "transaction_date:S transaction_hour:S transaction_id:S customer_id:S "
-    "order_country:S product_id:S unit_price:D units_sold:L discount_applied:D "
-    "total_ammount_paid:D"
+    transaction_date=TEXT, transaction_hour=TEXT, transaction_id=TEXT, customer_id=TEXT,
+    order_country=TEXT, product_id=TEXT, unit_price=NUMBER, units_sold=WHOLE,
+    discount_applied=NUMBER, total_ammount_paid=NUMBER,
 )
 INVENTORY = _struct(
-    "inventory_date:S inventory_hour:S product_id:S in_stock:L new_product:L "
-    "returned_product:L units_sold:L final_stock:L"
+    inventory_date=TEXT, inventory_hour=TEXT, product_id=TEXT, in_stock=WHOLE,
+    new_product=WHOLE, returned_product=WHOLE, units_sold=WHOLE, final_stock=WHOLE,
 )
 # The older layout has one folder per date and another column order.
 CATALOG_DAILY = _struct(
-    "product_id:S product_name:S category_id:S category_name:S brand:S "
-    "description:S unit_price:D supplier_name:S tags:S ingestion_date:S"
+    product_id=TEXT, product_name=TEXT, category_id=TEXT, category_name=TEXT, brand=TEXT,
+    description=TEXT, unit_price=NUMBER, supplier_name=TEXT, tags=TEXT, ingestion_date=TEXT,
 )
 SALES_DAILY = _struct(
-    "transaction_date:S transaction_id:S customer_id:S order_country:S product_id:S "
-    "unit_price:D units_sold:L discount_applied:D total_ammount_paid:D"
+    transaction_date=TEXT, transaction_id=TEXT, customer_id=TEXT, order_country=TEXT,
+    product_id=TEXT, unit_price=NUMBER, units_sold=WHOLE, discount_applied=NUMBER,
+    total_ammount_paid=NUMBER,
 )
 # An alert message carries one inventory row.
 ALERT = INVENTORY

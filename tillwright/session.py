@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,26 +22,31 @@ JOB_CONF = {
     ),
 }
 
-# For terabytes. Adaptive execution only ever joins shuffle partitions, so a
-# shuffle has to start with enough of them: about its bytes over 128 MB. The same
-# size is what files are written in.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-}
+_TASK_BYTES = 128 << 20
 
 
-def build_session(app_name: str = "tillwright", master: str | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
-    """Return a session with ``JOB_CONF``; ``conf`` wins over it.
+def sized_for(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for jobs whose largest shuffle moves about ``shuffle_bytes``.
 
-    Off local mode ``CLUSTER_CONF`` is set as well.
+    Adaptive execution only ever joins shuffle partitions, so a shuffle starts
+    with one for each 128 MB: some 800,000 for 100 TB, 20,000 for 2.5 TB. Files
+    are written in that size, too.
     """
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(
+            max(200, -(-shuffle_bytes // _TASK_BYTES))
+        ),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TASK_BYTES),
+    }
+
+
+def build_session(app_name: str = "tillwright", master: str | None = None,
+                  conf: dict[str, str] | None = None) -> SparkSession:
+    """Return a session with ``JOB_CONF``; ``conf``, such as ``sized_for``, wins over it."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    sized = {} if (master or "").startswith("local") else CLUSTER_CONF
-    for key, value in {**JOB_CONF, **sized, **(conf or {})}.items():
+    for key, value in {**JOB_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -50,12 +54,16 @@ def build_session(app_name: str = "tillwright", master: str | None = None,
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """Return a fresh, not yet existing folder all executors can reach.
 
-    It lies under ``spark.checkpoint.dir``. Where that is unset, a folder of
-    this machine is used in local mode only; a cluster job has to name one.
+    It lies under ``spark.checkpoint.dir``, or where that is unset under the
+    warehouse, which a cluster shares as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tillwright-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.functions.slotted import in_dates, in_slots
+from tillwright.functions.texts import quoted
+from tillwright.operators.slots import with_slot
 from tillwright.schemas import (
     CATALOG_DAILY, INVENTORY_DATA, PRODUCT_CATALOG, SALES_DAILY, SALES_DATA, Dataset,
 )
@@ -41,8 +43,11 @@ def read_lake(spark: SparkSession, root: str, dataset: Dataset,
     """Scan one dataset. Folders are listed anew on each call, so new files show up.
 
     A filter on the date skips the files of other dates, but they are listed
-    first. With ``dates`` only the folders of those dates are listed.
+    first. With ``dates`` only the folders of those dates are listed; if none of
+    them exists, there are no rows. A root that does not exist is an error.
     """
+    if dates is not None and list_files(spark, root, dates) is None:
+        return spark.createDataFrame([], dataset.lake_schema)
     reader = spark.read.schema(dataset.lake_schema).options(**CSV_READ, basePath=root)
     return reader.csv(folders(root, dates))
 
@@ -80,33 +85,55 @@ def read_sales_daily(spark: SparkSession, root: str) -> DataFrame:
     return _read_daily(spark, root, SALES_DAILY, SALES_DATA)
 
 
-def existing_slots(spark: SparkSession, root: str, dates: list[str] | None = None) -> Slots:
-    """Slots that have a file under ``root``, in order. A file without a byte is none.
+# The folder that stands for a missing value (fixed value of the file layout).
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_PLACE = r"/date=([^/]+)/hour=([^/]+)/([^/]+)$"
 
-    With ``dates`` only the folders of those dates are looked at.
+
+def list_files(spark: SparkSession, root: str, dates: list[str] | None = None,
+               pattern: str = "*.csv") -> DataFrame | None:
+    """Files under ``root`` as ``(date, hour, file)``; None if there is no such folder.
+
+    With ``dates`` only the folders of those dates are looked at. Files without a
+    byte and folders without a date or hour are left out.
 
     No file is opened: the binary file source yields names only when its content
     column is not read. A session of its own packs all names into as many tasks
     as there are cores, whatever the files weigh.
     """
+    if dates is not None and not dates:
+        return None
     listing = spark.newSession()
     listing.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
     try:
         files = (
             listing.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
+            .option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", "true")
             .load(folders(root, dates))
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
-    found = files.select(
-        F.regexp_extract("path", r"/date=([^/]+)/hour=([^/]+)/[^/]+$", 1).alias("date"),
-        F.regexp_extract("path", r"/date=([^/]+)/hour=([^/]+)/[^/]+$", 2).alias("hour"),
-    )
-    return sorted((r.date, r.hour) for r in found.where("date <> ''").distinct().collect())
+    found = files.select(*[
+        F.url_decode(F.regexp_extract("path", _PLACE, group)).alias(name)
+        for group, name in enumerate(("date", "hour", "file"), 1)
+    ])
+    return found.where((F.col("date") != "") & ~F.col("date").eqNullSafe(NO_VALUE)
+                       & ~F.col("hour").eqNullSafe(NO_VALUE))
+
+
+def existing_slots(spark: SparkSession, root: str, dates: list[str] | None = None,
+                   pattern: str = "*.csv") -> Slots:
+    """Slots that have a file under ``root``, in order; see ``list_files``.
+
+    A file may hold a header alone, so a listed slot need not have rows.
+    """
+    files = list_files(spark, root, dates, pattern)
+    if files is None:
+        return []
+    return sorted((r.date, r.hour) for r in files.select("date", "hour").distinct().collect())
 
 
 def slots_frame(spark: SparkSession, slots: Slots) -> DataFrame:
@@ -126,8 +153,11 @@ def by_slot(df: DataFrame, *order: str) -> DataFrame:
 
 
 def write_slots_csv(df: DataFrame, root: str, mode: str = "append") -> None:
-    """Write ``df`` with header lines into ``date=/hour=`` folders."""
-    by_slot(df).write.mode(mode).options(**CSV_WRITE).partitionBy("date", "hour").csv(root)
+    """Write ``df`` with header lines into ``date=/hour=`` folders.
+
+    Rows without a date or hour belong to no slot and are not written.
+    """
+    by_slot(with_slot(df)).write.mode(mode).options(**CSV_WRITE).partitionBy("date", "hour").csv(root)
 
 
 def write_daily_csv(df: DataFrame, root: str, mode: str = "append") -> None:
@@ -141,13 +171,10 @@ def write_daily_csv(df: DataFrame, root: str, mode: str = "append") -> None:
 def write_missing_slots(df: DataFrame, root: str, dates: list[str] | None = None) -> None:
     """Write only the slots that have no file under ``root`` yet.
 
-    The slots present are a predicate on the rows, so nothing is joined. Rows
-    without a date or hour belong to no slot and are not written. With ``dates``
-    only those are listed and written.
+    The slots present are a predicate on the rows, so nothing is joined. With
+    ``dates`` only those are listed and written.
     """
-    placed = df.where(F.col("date").isNotNull() & F.col("hour").isNotNull())
-    if dates is not None:
-        placed = placed.where(in_dates(dates))
+    placed = df if dates is None else df.where(in_dates(dates))
     present = existing_slots(df.sparkSession, root, dates)
     write_slots_csv(placed.where(~in_slots(present)), root)
 
@@ -159,14 +186,25 @@ def register_external(spark: SparkSession, name: str, root: str, dataset: Datase
     their folders. ``refresh_external`` picks up new ones.
     """
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dataset.lake_schema)
-    options = ", ".join(f"'{k}' '{v}'" for k, v in CSV_READ.items())
+    options = ", ".join(f"'{k}' '{quoted(v)}'" for k, v in CSV_READ.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING csv OPTIONS ({options}) "
-        f"PARTITIONED BY (date, hour) LOCATION '{root}'"
+        f"PARTITIONED BY (date, hour) LOCATION '{quoted(root)}'"
     )
-    refresh_external(spark, name)
+    refresh_external(spark, name, root)
+
+
+ADD_BATCH = 500
 
 
-def refresh_external(spark: SparkSession, name: str) -> None:
-    spark.catalog.recoverPartitions(name)
+def refresh_external(spark: SparkSession, name: str, root: str,
+                     dates: list[str] | None = None) -> None:
+    """Add the slots of ``root`` that the table does not know; ``dates`` limits the look."""
+    known = {tuple(part.split("=", 1)[1] for part in row.partition.split("/"))
+             for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = [slot for slot in existing_slots(spark, root, dates) if slot not in known]
+    for at in range(0, len(new), ADD_BATCH):
+        specs = " ".join(f"PARTITION (date = '{quoted(d)}', hour = '{quoted(h)}')"
+                         for d, h in new[at : at + ADD_BATCH])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
     spark.catalog.refreshTable(name)

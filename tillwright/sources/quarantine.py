@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.schemas import Dataset
-from tillwright.sources.lake import CSV_READ, folders
+from tillwright.sources.lake import CSV_READ, folders, list_files
 
 BAD_LINE = "_bad_line"
 
@@ -34,6 +34,8 @@ def read_unchecked(spark: SparkSession, root: str, dataset: Dataset,
         **CSV_READ, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE,
         "columnPruning": "false", "basePath": root, **more,
     }
+    if dates is not None and list_files(spark, root, dates) is None:
+        return spark.createDataFrame([], schema)
     reader = spark.readStream if stream else spark.read
     return reader.schema(schema).options(**options).csv(folders(root, dates))
 

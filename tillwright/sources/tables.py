@@ -11,26 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwright.functions.slotted import in_slots
+from tillwright.functions.slotted import in_lists, in_slots
+from tillwright.functions.texts import quoted
 from tillwright.functions.times import utc_midnight
-from tillwright.operators.slots import fetch_slots
+from tillwright.operators.slots import with_slot
 from tillwright.schemas import Dataset
-from tillwright.sources.lake import Slots, by_slot
+from tillwright.session import discard, scratch_folder
+from tillwright.sources.lake import NO_VALUE, Slots, by_slot, existing_slots, list_files
 
 DROP_BATCH = 500
 
 
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
-    at = f" LOCATION '{location}'" if location else ""
+    at = f" LOCATION '{quoted(location)}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{at}")
 
 
-def _text(value: str) -> str:
-    return value.replace("\\", "\\\\").replace("'", "\\'")
-
-
 def _properties(spark: SparkSession, name: str, dataset: Dataset) -> None:
-    spark.sql(f"COMMENT ON TABLE {name} IS '{_text(dataset.description)}'")
+    spark.sql(f"COMMENT ON TABLE {name} IS '{quoted(dataset.description)}'")
     # Labels are fixed values. No partition filter is required of readers.
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('env' = 'dev', 'source' = 'csv')")
 
@@ -73,25 +71,26 @@ def to_managed(df: DataFrame, dataset: Dataset) -> DataFrame:
 
 
 def table_slots(spark: SparkSession, name: str) -> Slots:
-    """Slots of a managed or external table, from the catalog alone."""
+    """Slots of a managed or external table, from the catalog alone; missing values are none."""
     slots = []
     for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
         date, hour = (part.split("=", 1)[1] for part in row.partition.split("/"))
-        slots.append((date, hour))
+        if NO_VALUE not in (date, hour):
+            slots.append((date, hour))
     return sorted(slots)
 
 
 def drop_slots(spark: SparkSession, name: str, slots: Slots) -> None:
     for at in range(0, len(slots), DROP_BATCH):
         specs = ", ".join(
-            f"PARTITION (date = '{_text(d)}', hour = '{_text(h)}')"
+            f"PARTITION (date = '{quoted(d)}', hour = '{quoted(h)}')"
             for d, h in slots[at:at + DROP_BATCH]
         )
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
 
 
 def append_slots(df: DataFrame, name: str) -> None:
-    """Insert ``df`` by position, sorted by product inside each file."""
+    """Insert ``df`` by column name, sorted by product inside each file."""
     columns = df.sparkSession.table(name).columns
     by_slot(df.select(*columns), "product_id").write.mode("append").insertInto(name)
 
@@ -116,51 +115,54 @@ def delete_slots(spark: SparkSession, name: str, dates: list[str], hours: list[s
     drop_slots(spark, name, _listed(table_slots(spark, name), dates, hours))
 
 
-def _first_files(spark: SparkSession, name: str, slots: Slots,
-                 whole: bool) -> dict[tuple[str, str], str]:
-    """First file name of each given slot. Reads no column, only file footers."""
+def _first_files(spark: SparkSession, name: str, slots: Slots) -> dict[tuple[str, str], str]:
+    """First file name of each given slot, from a listing of the table's folders."""
     if not slots:
         return {}
-    table = spark.table(name)
-    # Distinct names first: that hashes, where the least text per slot over all
-    # rows would sort them.
-    files = (
-        (table if whole else table.where(in_slots(slots)))
-        .select("date", "hour", F.col("_metadata.file_name").alias("file"))
-        .distinct()
-        .groupBy("date", "hour")
-        .agg(F.min("file").alias("file"))
-    )
-    return {(r.date, r.hour): r.file for r in files.collect()}
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    root = next(r.data_type for r in described if r.col_name == "Location")
+    files = list_files(spark, root, sorted({d for d, _ in slots}), "*.parquet")
+    if files is None:
+        return {}
+    # A row per file goes in, a row per slot comes out.
+    first = files.distinct().groupBy("date", "hour").agg(F.min("file").alias("file"))
+    return {(r.date, r.hour): r.file for r in first.collect()}
 
 
-def _swap(spark: SparkSession, name: str, df: DataFrame, held: Slots,
-          whole: bool = False) -> None:
+def swap_slots(spark: SparkSession, name: str, df: DataFrame, held: Slots) -> None:
     """Overwrite the slots of ``df`` and drop those of ``held`` it has no rows for.
 
     Every write names its files anew, so a slot that still starts with the same
-    file was not written. That costs two looks at the table instead of computing
-    ``df`` a second time.
+    file was not written. That costs two listings, and neither reads a row of the
+    table nor computes ``df`` a second time.
     """
-    before = _first_files(spark, name, held, whole)
+    before = _first_files(spark, name, held)
     overwrite_slots(df, name)
-    after = _first_files(spark, name, held, whole)
+    after = _first_files(spark, name, held)
     drop_slots(spark, name, [slot for slot in held if before.get(slot) == after.get(slot)])
 
 
+def listed_slots(spark: SparkSession, name: str, dates: list[str], hours: list[str]) -> Slots:
+    """Held slots of the listed dates and hours."""
+    return _listed(table_slots(spark, name), dates, hours)
+
+
 def replace_slots(spark: SparkSession, name: str, df: DataFrame, dates: list[str],
                   hours: list[str]) -> None:
-    """Make the listed dates and hours hold exactly ``df``.
+    """Delete the listed dates and hours, then insert ``df``.
 
-    A listed slot without rows in ``df`` ends up empty, as after a delete and an
-    insert; dynamic overwrite alone would keep its old rows.
+    A listed slot without rows in ``df`` ends up empty; dynamic overwrite alone
+    would keep its old rows. Rows of ``df`` outside the lists are added to what
+    their slots hold.
     """
-    _swap(spark, name, df, _listed(table_slots(spark, name), dates, hours))
+    listed = in_lists(dates, hours)
+    swap_slots(spark, name, df.where(listed), listed_slots(spark, name, dates, hours))
+    append_slots(df.where(~listed), name)
 
 
 def replace_all(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Make the table hold exactly ``df``; readers never find it empty."""
-    _swap(spark, name, df, table_slots(spark, name), whole=True)
+    swap_slots(spark, name, df, table_slots(spark, name))
 
 
 def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str]) -> None:
@@ -168,14 +170,22 @@ def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str])
 
     ``keys`` include ``date`` and ``hour``. Only the slots that occur in ``df``
     are read and written. Rows without a date or hour belong to no slot and are
-    left out, as in a load.
+    left out, as in a load. A key that ``df`` has twice is an error.
     """
     if not {"date", "hour"} <= set(keys):
         raise ValueError("keys must include date and hour")
-    placed = df.where(F.col("date").isNotNull() & F.col("hour").isNotNull())
-    touched = fetch_slots(placed)
     table = spark.table(name)
-    kept = table.where(in_slots(touched)).join(
-        placed.select(*keys).distinct(), keys, "left_anti"
-    )
-    overwrite_slots(kept.unionByName(placed.select(*table.columns)), name)
+    # Computed once: its rows, keys and slots all come from the same files.
+    staged_at = scratch_folder(spark, "merge")
+    by_slot(with_slot(df).select(*table.columns)).write.partitionBy("date", "hour").parquet(
+        staged_at)
+    try:
+        staged = spark.read.schema(table.schema).parquet(staged_at)
+        twice = staged.groupBy(*keys).count().where("count > 1").first()
+        if twice:
+            raise ValueError(f"the source has a key twice: {twice.asDict()}")
+        touched = existing_slots(spark, staged_at, pattern="*.parquet")
+        kept = table.where(in_slots(touched)).join(staged.select(*keys), keys, "left_anti")
+        overwrite_slots(kept.unionByName(staged), name)
+    finally:
+        discard(spark, staged_at)

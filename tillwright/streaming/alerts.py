@@ -13,6 +13,7 @@ from tillwright.sources.lake import CSV_READ
 from tillwright.sources.quarantine import read_unchecked, split_bad_rows
 
 UNREADABLE = "_unreadable"
+BAD_VALUE = "bad_value"
 # Longer than the three days in which a slot may be written again.
 REPEAT_WINDOW = "4 days"
 
@@ -39,23 +40,38 @@ def _decoded() -> Column:
     )
 
 
-def split_bad_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decoded alerts, and the ``value`` of messages that are none.
+def marked_messages(messages: DataFrame) -> DataFrame:
+    """Alert columns of each message, and ``bad_value``: its text if it is no alert.
 
     Bad is what is no JSON object, has a field of the wrong type, or lacks a key.
-    Works on batches and on streams.
     """
     decoded = messages.withColumn("_alert", _decoded())
     whole = F.col("_alert").isNotNull() & F.col(f"_alert.{UNREADABLE}").isNull()
     for key in ALERT_KEY:
         whole = whole & F.col(f"_alert.{key}").isNotNull()
-    whole = F.coalesce(whole, F.lit(False))
-    good = decoded.where(whole).select(*[f"_alert.{name}" for name in ALERT.fieldNames()])
-    return good, decoded.where(~whole).select("value")
+    bad = ~F.coalesce(whole, F.lit(False))
+    return decoded.select(
+        *[F.when(~bad, F.col(f"_alert.{name}")).alias(name) for name in ALERT.fieldNames()],
+        F.when(bad, F.coalesce(F.col("value").cast("string"), F.lit(""))).alias(BAD_VALUE),
+    )
+
+
+def _split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good = marked.where(F.col(BAD_VALUE).isNull()).select(*ALERT.fieldNames())
+    bad = marked.where(F.col(BAD_VALUE).isNotNull()).select(F.col(BAD_VALUE).alias("value"))
+    return good, bad
+
+
+def split_bad_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decoded alerts, and the ``value`` of messages that are none (null as empty text).
+
+    Works on batches and on streams.
+    """
+    return _split(marked_messages(messages))
 
 
 def alert_stream(messages: DataFrame) -> DataFrame:
-    """Alerts of a message stream; undecodable messages are left out."""
+    """Alerts of a message stream alone; ``start_message_quarantine`` keeps the bad ones, too."""
     return split_bad_messages(messages)[0]
 
 
@@ -65,7 +81,7 @@ def negative_stock_stream(spark: SparkSession, root: str, per_batch: int | None
 
     The file source hands out each file once, so a slot alerts when its file
     first appears. A bad CSV row ends the stream; with ``strict=False`` it is
-    passed over, and the load sets it apart.
+    passed over, and the load sets it apart (or ``start_stock_quarantine``).
     """
     pace = {"maxFilesPerTrigger": str(per_batch)} if per_batch else {}
     if strict:
@@ -78,8 +94,9 @@ def negative_stock_stream(spark: SparkSession, root: str, per_batch: int | None
 
 
 def dedup_alerts(alerts: DataFrame, delay: str = REPEAT_WINDOW,
-                 arrived: Column | None = None, spread: int = 16) -> DataFrame:
-    """One alert per slot and product among those that arrive within ``delay``.
+                 arrived: Column | None = None, spread: int = 4,
+                 keys: tuple[str, ...] = tuple(ALERT_KEY)) -> DataFrame:
+    """One alert per slot and product (or other ``keys``) among those that arrive within ``delay``.
 
     The watermark runs on arrival, not on the slot: a backfill of old slots is
     never late and never lost. A repeat later than ``delay`` passes as new, and
@@ -89,14 +106,16 @@ def dedup_alerts(alerts: DataFrame, delay: str = REPEAT_WINDOW,
 
     Repeats are dropped in two steps, first within ``spread`` random shares of a
     key, so that an alert sent over and over is not all work of one task. With
-    ``spread=1`` there is only the second step, and less state.
+    ``spread=1`` there is only the second step, and less state. Each step keeps as
+    many state stores as ``spark.sql.shuffle.partitions`` says when the stream starts
+    first; size it to the messages of a batch and not to a batch job's shuffles.
     """
     moment = F.current_timestamp() if arrived is None else arrived
     timed = alerts.withColumn("_arrived", moment).withWatermark("_arrived", delay)
     if spread > 1:
         timed = timed.withColumn("_share", F.floor(F.rand() * spread))
-        timed = timed.dropDuplicatesWithinWatermark([*ALERT_KEY, "_share"])
-    return timed.dropDuplicatesWithinWatermark(ALERT_KEY).select(*alerts.columns)
+        timed = timed.dropDuplicatesWithinWatermark([*keys, "_share"])
+    return timed.dropDuplicatesWithinWatermark(list(keys)).select(*alerts.columns)
 
 
 def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str,
@@ -112,9 +131,9 @@ def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str,
     return (writer.trigger(availableNow=True) if until_caught_up else writer).start()
 
 
-def start_message_quarantine(messages: DataFrame, good_path: str, bad_path: str,
-                             checkpoint: str, until_caught_up: bool = True) -> StreamingQuery:
-    """Store alerts and undecodable messages in two folders.
+def _store_parts(stream: DataFrame, split, paths: tuple[str, str], checkpoint: str,
+                 until_caught_up: bool) -> StreamingQuery:
+    """Store the two parts of each batch in two folders; the batch is computed once.
 
     Each batch overwrites a folder named after it and its query, so a batch run
     again after a failure leaves no second copy, and a stream begun anew does not
@@ -123,8 +142,38 @@ def start_message_quarantine(messages: DataFrame, good_path: str, bad_path: str,
 
     def store(batch: DataFrame, number: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        for rows, path in zip(split_bad_messages(batch), (good_path, bad_path)):
-            rows.write.mode("overwrite").parquet(f"{path}/query={query}/batch={number}")
-
-    writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        batch.persist()
+        try:
+            for rows, path in zip(split(batch), paths):
+                rows.write.mode("overwrite").parquet(f"{path}/query={query}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_caught_up else writer).start()
+
+
+def start_message_quarantine(messages: DataFrame, good_path: str, bad_path: str,
+                             checkpoint: str, until_caught_up: bool = True,
+                             delay: str | None = None, **settings) -> StreamingQuery:
+    """Store alerts and undecodable messages in two folders, each message decoded once.
+
+    With ``delay`` repeats are dropped first, see ``dedup_alerts`` (``settings`` are
+    its own): alerts by slot and product, bad messages by their text.
+    """
+    marked = marked_messages(messages)
+    if delay:
+        marked = dedup_alerts(marked, delay, keys=(*ALERT_KEY, BAD_VALUE), **settings)
+    return _store_parts(marked, _split, (good_path, bad_path), checkpoint, until_caught_up)
+
+
+def start_stock_quarantine(spark: SparkSession, root: str, good_path: str, bad_path: str,
+                           checkpoint: str, until_caught_up: bool = True) -> StreamingQuery:
+    """Store alerts of new inventory files and their bad rows in two folders."""
+
+    def split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        stock, bad = split_bad_rows(batch, INVENTORY_DATA)
+        return negative_stock(stock).select(*ALERT.fieldNames()), bad
+
+    rows = read_unchecked(spark, root, INVENTORY_DATA, stream=True)
+    return _store_parts(rows, split, (good_path, bad_path), checkpoint, until_caught_up)
