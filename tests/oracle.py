@@ -19,6 +19,7 @@ TABLES = (
 
 SAME_TYPE = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "boolean": "BOOLEAN",
 }
 
 
