@@ -21,10 +21,45 @@ def _op1(spark, sf_dir):
         "doc_id", "n_words", hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         contamination.items_digest().alias("items_sha256"),
-        (hit > 0).alias("contaminated"), "longest",
+        (hit > 0).alias("contaminated"),
     )
 
 
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+_OP1_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS words FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark
+  WHERE item_id IS NOT NULL
+), sized AS (
+  SELECT item, words, least(10, len(words)) AS size FROM items WHERE len(words) > 0
+), windows AS (
+  SELECT DISTINCT item, size, array_to_string(words[pos : pos + size - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS pos FROM sized)
+), grams AS (
+  SELECT row_id, pos, size, array_to_string(words[pos : pos + size - 1], ' ') AS gram
+  FROM (SELECT row_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM docs CROSS JOIN (SELECT DISTINCT size FROM sized) WHERE len(words) >= size)
+), hits AS (
+  SELECT row_id, pos, size, item FROM grams JOIN windows USING (size, gram)
+), hit_words AS (
+  SELECT row_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT row_id, unnest(range(pos, pos + size)) AS place FROM hits) GROUP BY row_id
+), hit_items AS (
+  SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT row_id, item FROM hits) GROUP BY row_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)
+"""
+
+
 def _op2(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = language.train(docs.where(~language.held_out()))
@@ -40,6 +75,43 @@ def _op3(spark, sf_dir):
     )
 
 
+_LETTERS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '')"
+_TEMPLATES = ", ".join(
+    "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.TEMPLATES
+)
+_OP3_SQL = f"""
+WITH templates AS (
+  SELECT row_number() OVER () AS template, license, {_LETTERS} AS words
+  FROM (VALUES {_TEMPLATES}) v(license, text)
+), shingles AS (
+  SELECT DISTINCT template, license, array_to_string(words[pos : pos + 4], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(words) - 3)) AS pos FROM templates)
+), sizes AS (
+  SELECT template, license, count(*) AS size,
+         CAST(pow(2, ceil(log2(count(*)))) AS BIGINT) AS stride
+  FROM shingles GROUP BY template, license
+), docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, {_LETTERS} AS words FROM documents
+), hits AS (
+  SELECT row_id, template, gram, pos - 1 AS place
+  FROM (SELECT row_id, pos, array_to_string(words[pos : pos + 4], ' ') AS gram
+        FROM (SELECT *, unnest(range(1, len(words) - 3)) AS pos FROM docs))
+  JOIN shingles USING (gram)
+), windows AS (
+  SELECT row_id, template, part, count(DISTINCT gram) AS held
+  FROM (SELECT row_id, template, gram, unnest([place // stride, place // stride - 1]) AS part
+        FROM hits JOIN sizes USING (template))
+  GROUP BY row_id, template, part
+), stated AS (
+  SELECT DISTINCT row_id, license FROM windows JOIN sizes USING (template)
+  WHERE held >= 0.8 * size
+)
+SELECT doc_id, count(license) AS n_licenses,
+       coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses
+FROM docs LEFT JOIN stated USING (row_id) GROUP BY row_id, doc_id
+"""
+
+
 def _op4(spark, sf_dir):
     found = lines.report(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -101,9 +173,9 @@ def _op10(spark, sf_dir):
 
 
 QUERIES = [
-    Query("op1_decontamination", _op1),
+    Query("op1_decontamination", _op1, _OP1_SQL),
     Query("op2_language_id", _op2),
-    Query("op3_license_scans", _op3),
+    Query("op3_license_scans", _op3, _OP3_SQL),
     Query("op4_line_dedup", _op4),
     Query("op5_token_counts", _op5),
     Query("op6_sentencepiece", _op6),
