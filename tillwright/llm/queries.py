@@ -75,7 +75,7 @@ def _op3(spark, sf_dir):
     )
 
 
-_LETTERS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '')"
+_LETTERS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
 _TEMPLATES = ", ".join(
     "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.TEMPLATES
 )
