@@ -17,6 +17,8 @@ from tillwright.llm.common import ROW_KEY, row_key
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)
 )
+# Test items that may be broadcast in all, block by block.
+MOST_ITEM_BYTES = 256 << 20
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
@@ -160,14 +162,20 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str,
                 block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """Items in blocks of about ``block_bytes`` of text, fetched a partition at a time."""
-    block, size = [], 0
+    """Items in blocks of about ``block_bytes`` of text, fetched a partition at a time.
+
+    More than ``MOST_ITEM_BYTES`` of them are an error: then it is no benchmark.
+    """
+    block, size, total = [], 0, 0
     rows = benchmark.select(F.col(item_id).cast("string"), F.col(text).cast("binary"))
     for name, body in rows.toLocalIterator():
         if name is None or not body:
             continue
         block.append((name, bytes(body)))
         size += len(body)
+        total += len(body)
+        if total > MOST_ITEM_BYTES:
+            raise ValueError(f"more than {MOST_ITEM_BYTES} bytes of test items")
         if size >= block_bytes:
             yield block
             block, size = [], 0
