@@ -172,6 +172,64 @@ def _op10(spark, sf_dir):
     return urls.judge(read_table(spark, sf_dir, "pages"), PAGE_RULES)
 
 
+_RULES = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in PAGE_RULES)
+_LINK = r"""regexp_extract(list_filter(regexp_extract_all(html, '(?is)<{tag}\b[^>]*'),
+  lambda t: regexp_matches(t, '(?is)\b{mark}'))[1], '(?is)\b{target}([^"''\s>]+)', 1)"""
+_CANONICAL = _LINK.format(tag="link", mark=r"""rel\s*=\s*["'']?canonical\b""",
+                          target=r"""href\s*=\s*["'']?""")
+_REFRESH = _LINK.format(tag="meta", mark=r"""http-equiv\s*=\s*["'']?refresh\b""",
+                        target=r"""url\s*=\s*["'']?""")
+_OP10_SQL = rf"""
+WITH RECURSIVE rules AS (
+  SELECT * FROM (VALUES {_RULES}) v(verdict, domain, start)
+), links AS (
+  SELECT url, unnest([{_CANONICAL}, {_REFRESH}]) AS link FROM pages WHERE url IS NOT NULL
+), hops AS (
+  SELECT DISTINCT url AS a, CASE
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN link LIKE '//%' THEN scheme || ':' || link
+    WHEN link LIKE '/%' THEN scheme || '://' || site || link
+    WHEN regexp_matches(link, '^[?#]') THEN scheme || '://' || site || path || link
+    ELSE scheme || '://' || site
+      || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || link END AS b
+  FROM (SELECT *, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme,
+               regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS site,
+               regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM links WHERE link <> '')
+), named AS (
+  SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT a FROM hops UNION SELECT b FROM hops
+), parsed AS (
+  SELECT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         regexp_replace(regexp_replace(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1),
+           '(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&', '') AS query
+  FROM named
+), judged AS (
+  SELECT url, host, path, 'page://' || host || regexp_replace(path, '/$', '')
+           || CASE WHEN query = '' THEN '' ELSE '?' || query END AS spelling,
+         arg_max(domain || start, length(domain || start)) AS rule,
+         arg_max(verdict, length(domain || start)) AS decided
+  FROM parsed LEFT JOIN rules
+    ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start)
+  GROUP BY ALL
+), edges AS (
+  SELECT url AS a, spelling AS b FROM judged UNION SELECT spelling, url FROM judged
+  UNION SELECT a, b FROM hops UNION SELECT b, a FROM hops
+), reached AS (
+  SELECT url, url AS other FROM judged WHERE decided IS NULL
+  UNION SELECT r.url, e.b FROM reached r JOIN edges e ON r.other = e.a
+), inherited AS (
+  SELECT r.url, bool_or(j.decided = 'allow') AS allows
+  FROM reached r JOIN judged j ON r.other = j.url WHERE j.decided IS NOT NULL GROUP BY r.url
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       CASE WHEN decided IS NOT NULL THEN decided WHEN NOT allows THEN 'block' ELSE 'allow' END
+         AS verdict
+FROM pages p LEFT JOIN judged j ON p.url = j.url LEFT JOIN inherited i ON p.url = i.url
+"""
+
+
 QUERIES = [
     Query("op1_decontamination", _op1, _OP1_SQL),
     Query("op2_language_id", _op2),
@@ -182,5 +240,5 @@ QUERIES = [
     Query("op7_quality_rules", _op7),
     Query("op8_simhash_near_dedup", _op8),
     Query("op9_secret_scans", _op9),
-    Query("op10_url_filters", _op10),
+    Query("op10_url_filters", _op10, _OP10_SQL),
 ]
