@@ -71,9 +71,11 @@ def latest_snapshots(catalog: DataFrame,
     """
     if slots is not None:
         return catalog.where(in_slots(last_hours(slots)))
-    # Distinct slots first: that hashes, where the greatest text per date over
-    # all rows would sort them.
-    last = slot_columns(catalog).groupBy("date").agg(F.max("hour").alias("_hour"))
+    # Distinct slots first, then the few hours of a date as a set: both steps hash,
+    # where the greatest text per date would sort the rows.
+    last = slot_columns(catalog).groupBy("date").agg(
+        F.array_max(F.collect_set("hour")).alias("_hour")
+    )
     newest = last.withColumnRenamed("date", "_date")
     same = (F.col("date").cast("string") == F.col("_date")) & (F.col("hour") == F.col("_hour"))
     return catalog.join(newest, same, "left_semi")
