@@ -1,0 +1,78 @@
+"""Links at a Jaccard similarity of 0.8 against all pairs, crowded buckets included."""
+
+import itertools
+import random
+
+import pytest
+
+from tillwright.llm import near_copies
+from tillwright.llm import similar_texts as op
+
+
+def plain(texts, similarity=0.8):
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9:
+            low, high = sorted((top(i), top(j)))
+            root[high] = low
+    return [top(i) for i in range(len(texts))]
+
+
+def texts():
+    rng = random.Random(5)
+    prose = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, found = prose(40), []
+    for size in (4, 12, 60, 90, 200):
+        for _ in range(3):
+            base = prose(size)
+            found.append(base)
+            for _ in range(6):
+                other = list(base)
+                for _ in range(rng.randint(0, max(1, size // 25))):
+                    other[rng.randrange(size)] = prose(1)[0]
+                found.append(other)
+    chain = prose(120)  # each is near the one before, the first and last are not
+    for i in range(15):
+        chain = chain[3:] + prose(3)
+        found.append(chain)
+    found += [prose(30) + passage + prose(30) for _ in range(12)]  # alike in a passage only
+    rng.shuffle(found)
+    return [" ".join(x) for x in found]
+
+
+@pytest.mark.parametrize("crowd", [1, 5, 64])
+def test_joins_all_similar_texts(spark, crowd):
+    rows = texts()
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in op.similar_texts(df, crowd=crowd).collect()}
+    assert [found[i] for i in range(len(rows))] == plain(rows)
+
+
+def test_stage_drops_short_texts_with_a_changed_word(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(64)]
+    other = [*words[:30], "changed", *words[31:]]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, None), (4, ""), (None, " ".join(other)),
+            (5, " ".join(words[:30]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # 55 of 65 shingles: 0.85, which the fingerprints alone did not tell.
+    assert 2 in {r.doc_id for r in near_copies.keep_one(df).collect()}
+    stage = dict(corpus_pipeline.STAGES)["near_copies"]
+    assert sorted((r.doc_id or 0) for r in stage(spark, df, "").collect()) == [0, 1, 3, 5]
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert op.similar_texts(df).count() == 0

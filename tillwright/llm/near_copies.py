@@ -167,21 +167,10 @@ def links(fps: DataFrame, distance: int = 2, segments: int = 5, crowd: int = 64)
     return pairs.union(_crowded_links(crowded, segments, distance)).distinct()
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = 2,
-                segments: int = 5, words: int = 3, crowd: int = 64) -> DataFrame:
-    """``(doc_id, fp, component_id)`` of every row.
-
-    ``component_id`` is the least id among all documents that links lead to, the
-    document itself included. Rows with one fingerprint meet as one node, so
-    thousands of copies cost one row per map task. Null ids keep their row and
-    take part; the least id ignores them, and a component of null ids alone has
-    none. Repeated rows stay repeated. An empty table gives an empty result.
-    """
-    prints = settle(fingerprints(docs, doc_id, text, words), "fingerprints")
+def labelled(prints: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(doc_id, fp, component_id)`` of every row of ``prints``, from links of its ``fp``."""
     nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
-    roots = settle(
-        components(links(nodes.select("fp"), distance, segments, crowd), "near-copies"), "roots"
-    )
+    roots = settle(components(pairs, "near-copies"), "roots")
     linked = roots.join(nodes.withColumnRenamed("fp", "node"), "node")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = settle(
@@ -195,12 +184,30 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dis
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = 2,
+                segments: int = 5, words: int = 3, crowd: int = 64) -> DataFrame:
+    """``(doc_id, fp, component_id)`` of every row.
+
+    ``component_id`` is the least id among all documents that links lead to, the
+    document itself included. Rows with one fingerprint meet as one node, so
+    thousands of copies cost one row per map task. Null ids keep their row and
+    take part; the least id ignores them, and a component of null ids alone has
+    none. Repeated rows stay repeated. An empty table gives an empty result.
+    """
+    prints = settle(fingerprints(docs, doc_id, text, words), "fingerprints")
+    return labelled(prints, links(settle(prints.select("fp").distinct(), "distinct-prints"), distance, segments, crowd))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of one document per component, the one with the least id.
 
     A row without an id stays: nothing says which of its group it is.
     """
-    found = near_copies(docs, doc_id, text, **settings)
+    return keep_least(docs, near_copies(docs, doc_id, text, **settings), doc_id)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows that have another id than their ``component_id``."""
     gone = found.where("doc_id != component_id").select("doc_id").distinct()
     return docs.join(gone.withColumnRenamed("doc_id", doc_id), doc_id, "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns]
