@@ -87,3 +87,25 @@ def test_quantiles_of_merged_sketches(spark):
 def test_empty(spark):
     df = docs(spark).limit(0)
     assert op.judged(df).count() == 0 and op.keep_good(df).columns == df.columns
+
+
+def test_limits_follow_the_texts_of_the_group(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        source = "plain" if i % 2 else "tables"
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 7))) for _ in range(100)]
+        if source == "tables":  # every text has symbols and repeated lines
+            words[:20] = ["|"] * rng.randint(10, 20)
+        size = rng.randint(2, 5) if source == "tables" else 0
+        rows.append((i, " ".join(words) + "\n--" * size, "en", source))
+    odd = rows[1][1].replace(" ", "\n") + "\nx y" * 12  # a tenth of its lines repeat
+    rows += [(1000, odd, "en", "plain"), (1001, rows[1][1] + " |" * 8, "en", "plain"),
+             (1002, rows[1][1] + " | |", "en", "tables")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    by = {r.source: r for r in op.thresholds(op.with_counts(df)).collect()}
+    for limit in ("high_symbols", "high_dup_lines"):
+        assert by["tables"][limit] > 10 * by["plain"][limit]
+    kept = {r.doc_id for r in op.keep_good(df).collect()}
+    assert not {1000, 1001} & kept and 1002 in kept
+    assert len(kept) > 380

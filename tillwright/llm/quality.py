@@ -64,27 +64,29 @@ def counts_of(text: bytes) -> tuple[int, ...]:
 
 @dataclass(frozen=True)
 class Rule:
-    """A ratio of two counts and how far it may leave the middle of its group.
+    """A ratio of two counts, judged by the sketch of its group.
 
-    ``spread`` is the least width of the middle half that is reckoned with, so a
-    group of texts that hardly differ does not turn on its slightest outlier.
+    A ratio with both limits stands around the middle half of its group. One that is
+    0 for most texts is held against the quantile ``tail``, and as far again from the
+    median. ``spread`` is a least width of the middle half; no rule needs one.
     """
 
     name: str
     over: str
     under: str
-    spread: float
+    spread: float = 0.0
     low: bool = False
+    tail: float = 0.95
 
 
 RULES = (
-    Rule("symbols", "n_symbols", "word_chars", 0.03),
-    Rule("dup_lines", "n_dup_lines", "n_lines", 0.15),
-    Rule("repeats", "n_repeat_words", "n_words", 0.1),
-    Rule("word_length", "word_chars", "n_words", 1.0, low=True),
+    Rule("symbols", "n_symbols", "word_chars"),
+    Rule("dup_lines", "n_dup_lines", "n_lines"),
+    Rule("repeats", "n_repeat_words", "n_words"),
+    Rule("word_length", "word_chars", "n_words", low=True),
 )
-# Sketch buckets grow by this factor, so a quantile is right to 2.5 percent of itself.
-_GROWTH = 1.05
+# Sketch buckets grow by this factor, so a quantile is right to half a percent of itself.
+_GROWTH = 1.01
 _LEAST = 1e-4
 
 
@@ -122,7 +124,7 @@ def sketches(counted: DataFrame, lang: str = "lang", source: str = "source") ->
     A bucket holds the texts of a group whose ratio lies between two neighbouring
     powers of ``_GROWTH``. Sketches merge by adding the counts of a bucket, in any
     order and with the same result; the sums are formed map-side, so a source with
-    most of the texts costs a few hundred rows per task.
+    most of the texts costs some thousand rows per task at most.
     """
     ratios = F.array(*[F.struct(F.lit(r.name).alias("rule"), _ratio(r).alias("value"))
                        for r in RULES])
@@ -138,18 +140,21 @@ def sketches(counted: DataFrame, lang: str = "lang", source: str = "source") ->
     )
 
 
-def _middle(bucket: Column) -> Column:
-    return F.when(bucket == 0, F.lit(0.0)).otherwise(
-        _LEAST * F.pow(F.lit(_GROWTH), bucket - 0.5)
+def _value(bucket: Column, part: float) -> Column:
+    """The value at a part of a bucket's width: 0 its least, 1 its greatest."""
+    return F.when(bucket == 0, F.lit(_LEAST if part == 1 else 0.0)).otherwise(
+        _LEAST * F.pow(F.lit(_GROWTH), bucket - 1 + part)
     )
 
 
 def fences(merged: DataFrame, keys: list[str], reach: float) -> DataFrame:
     """A row per group: ``n`` texts, and ``low`` and ``high`` of each rule.
 
-    The fences stand ``reach`` times the width of the middle half outside of it.
+    The fences of rules with both stand ``reach`` times the width of the middle half
+    outside of it; the others stand above the quantile ``tail`` by its distance from
+    the median.
     """
-    # At most a few hundred buckets per group and rule, whatever the number of texts.
+    # At most some thousand buckets per group and rule, whatever the number of texts.
     groups = merged.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n")).groupBy(
         *keys, "rule"
     ).agg(
@@ -166,21 +171,21 @@ def fences(merged: DataFrame, keys: list[str], reach: float) -> DataFrame:
                 F.when(state["at"].isNull() & (state["seen"] + b["n"] >= F.col("n") * q),
                        b["bucket"].cast("long")).otherwise(state["at"]).alias("at"),
             ),
-            lambda state: _middle(state["at"]),
+            lambda state: state["at"],
         )
 
-    spread = F.create_map(*[x for r in RULES for x in (F.lit(r.name), F.lit(r.spread))])
-    middle = groups.select(*keys, "rule", "n", quantile(0.25).alias("q1"),
-                           quantile(0.75).alias("q3"))
-    width = F.greatest(F.col("q3") - F.col("q1"), spread[F.col("rule")]) * reach
-    found = middle.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        *[F.max(F.when(F.col("rule") == r.name, F.col("q3") + width)).alias(f"high_{r.name}")
-          for r in RULES],
-        *[F.max(F.when(F.col("rule") == r.name, F.col("q1") - width)).alias(f"low_{r.name}")
-          for r in RULES if r.low],
-    )
-    return found
+    wanted = sorted({q for r in RULES for q in ((0.25, 0.75) if r.low else (0.5, r.tail))})
+    found = groups.select(*keys, "rule", "n", *[quantile(q).alias(f"q{q}") for q in wanted])
+    limits = []
+    for r in RULES:
+        low, high = (F.col(f"`q{q}`") for q in ((0.25, 0.75) if r.low else (0.5, r.tail)))
+        width = F.greatest(_value(high, 0.5) - _value(low, 0.5), F.lit(r.spread)) * (
+            reach if r.low else 1)
+        for side, limit in (("high", _value(high, 1) + width), ("low", _value(low, 0) - width)):
+            if side == "high" or r.low:
+                limits.append(
+                    F.max(F.when(F.col("rule") == r.name, limit)).alias(f"{side}_{r.name}"))
+    return found.groupBy(*keys).agg(F.max("n").alias("n"), *limits)
 
 
 LIMITS = [*[f"high_{r.name}" for r in RULES], *[f"low_{r.name}" for r in RULES if r.low]]
@@ -192,9 +197,10 @@ def thresholds(counted: DataFrame, lang: str = "lang", source: str = "source",
 
     A group with fewer than ``least_texts`` texts takes the limits of its language,
     and those of all texts if the language has too few as well; they come from the
-    merged sketches. Null languages and sources are groups of their own.
+    merged sketches. Texts that fail the base rules, which go anyway, are left out of
+    the sketches; a group of nothing else has no limits. Null languages and sources are groups of their own.
     """
-    sketched = settle(sketches(counted, lang, source), "sketches")
+    sketched = settle(sketches(counted.where(~base_failed()), lang, source), "sketches")
     overall = fences(sketched, [], reach).first()
     own = fences(sketched, ["lang", "source"], reach)
     wider = fences(sketched, ["lang"], reach).select(
@@ -221,7 +227,7 @@ def judged(docs: DataFrame, limits: DataFrame | None = None, text: str = "text",
     """``row`` (the columns ``keep``), ``counts``, ``base_failed`` and ``kept`` of every row.
 
     A text is kept if it does not fail the base rules and no ratio is outside the
-    limits of its language and source. Null texts are empty; a ratio over nothing
+    limits of its language and source; a count of one is never outside. Null texts are empty; a ratio over nothing
     is 0. The limits are a small table that the planner broadcasts by its size on
     file; if they are large, a join by language and source, whose hot keys the
     adaptive skew join splits. Repeated rows are judged alike, an empty table gives none.
@@ -231,7 +237,9 @@ def judged(docs: DataFrame, limits: DataFrame | None = None, text: str = "text",
     counted = with_counts(docs, text, keep)
     fine = F.lit(True)
     for rule in RULES:
-        fine = fine & (_ratio(rule) <= F.col(f"limits.high_{rule.name}"))
+        # One symbol or one repeated line says nothing, however rare it is in the group.
+        fine = fine & ((_ratio(rule) <= F.col(f"limits.high_{rule.name}"))
+                       | (F.col(f"counts.{rule.over}") <= 1))
         if rule.low:
             fine = fine & (_ratio(rule) >= F.col(f"limits.low_{rule.name}"))
     limits = limits.select(F.struct("*").alias("limits"))
@@ -242,7 +250,7 @@ def judged(docs: DataFrame, limits: DataFrame | None = None, text: str = "text",
         "left",
     )
     return joined.select("row", "counts", base_failed().alias("base_failed"),
-                         (~base_failed() & fine).alias("kept"))
+                         F.coalesce(~base_failed() & fine, F.lit(False)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, **settings) -> DataFrame:
