@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tillwright.session import scratch_folder
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to shared storage and read it back.
+def settle(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to shared storage and read it back; ``by`` names columns of folders.
 
     Later steps start from the files, so a lost executor costs them a reread and
     never the work before it.
     """
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,7 @@ _MAX_MATRIX_BYTES = 128 << 20
 
 
 @cache
-def _letters() -> np.ndarray:
+def letters() -> np.ndarray:
     """For each code point the lower-case letter it stands for, or 0."""
     out = np.zeros(sys.maxunicode + 1, np.uint32)
     for code in range(sys.maxunicode + 1):
@@ -35,7 +35,7 @@ def _letters() -> np.ndarray:
 
 def _folded(text: str) -> np.ndarray:
     """Lower-case letters of a text, with one 0 for whatever stands between and around."""
-    codes = _letters()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    codes = letters()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
     codes = np.concatenate(([0], codes, [0]))
     return codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
 

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
-    contamination, language, licenses, lines, near_copies, pieces, quality, secrets, token_counts, urls,
+    contamination, divergence, language, licenses, lines, near_copies, pieces, quality, ranking,
+    secrets, token_counts, toxicity, urls,
 )
 from tillwright.llm.common import read_table
 from tillwright.registry.entry import Query
@@ -230,6 +231,104 @@ FROM pages p LEFT JOIN judged j ON p.url = j.url LEFT JOIN inherited i ON p.url
 """
 
 
+def _op11(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def _op12(spark, sf_dir):
+    return ranking.rank(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
+_LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+_OP12_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all({_LOWERED},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(terms)) AS BIGINT) AS big_l
+  FROM docs WHERE len(terms) > 0
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWERED},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), found AS (
+  SELECT row_id, term, count(*) AS tf
+  FROM (SELECT row_id, unnest(terms) AS term FROM docs) JOIN (SELECT DISTINCT term FROM asked)
+    USING (term) GROUP BY row_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT)
+    AS w FROM found, totals GROUP BY term, big_n
+), scored AS (
+  SELECT item_id, row_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN found USING (term) JOIN (
+    SELECT row_id, 100 - 50 + ((50 * CAST(len(terms) AS BIGINT) * big_n) // big_l) AS m
+    FROM docs, totals WHERE len(terms) > 0
+  ) USING (row_id) GROUP BY item_id, row_id
+), ranked AS (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored JOIN docs USING (row_id) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+def _op13(spark, sf_dir):
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
+_OP13_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), words AS (
+  SELECT row_id, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term
+  HAVING count(DISTINCT row_id) >= 10
+), langs AS (
+  SELECT lang, CAST(sum(lang_n) AS HUGEINT) AS total, count(*) AS v FROM kept GROUP BY lang
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term)
+  GROUP BY lang, source, term
+), cells AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, lang_n,
+         sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS group_total
+  FROM (SELECT DISTINCT lang, source FROM docs) JOIN kept USING (lang)
+  LEFT JOIN counted USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, n,
+         CAST(1 + (1000000000::HUGEINT * (n + 2)) // (group_total + 2 * v) AS HUGEINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (lang_n + 2)) // (total + 2 * v) AS HUGEINT) AS q
+  FROM cells JOIN langs USING (lang)
+), pairs AS (
+  SELECT g.lang, g.source, h.source AS item,
+         CAST(coalesce(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)), 0) AS BIGINT) AS value
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  JOIN (SELECT DISTINCT lang, source FROM docs) h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN shares a ON a.lang = g.lang AND a.source = g.source
+  LEFT JOIN shares b ON b.lang = h.lang AND b.source = h.source AND a.term = b.term
+  WHERE a.term IS NULL OR b.term IS NOT NULL
+  GROUP BY g.lang, g.source, h.source
+), used AS (
+  SELECT lang, source, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value
+  FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, CAST(row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+        UNION ALL SELECT lang, source, 'term', item, value FROM used)
+) WHERE part = 'pair' OR rank <= 10
+"""
+
+
 QUERIES = [
     Query("op1_decontamination", _op1, _OP1_SQL),
     Query("op2_language_id", _op2),
@@ -241,4 +340,7 @@ QUERIES = [
     Query("op8_simhash_near_dedup", _op8),
     Query("op9_secret_scans", _op9),
     Query("op10_url_filters", _op10, _OP10_SQL),
+    Query("op11_toxicity", _op11),
+    Query("op12_ranked_search", _op12, _OP12_SQL),
+    Query("op13_source_divergence", _op13, _OP13_SQL),
 ]
