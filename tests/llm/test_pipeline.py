@@ -96,5 +96,5 @@ def test_registered_names():
     import __spark_entry__
 
     names = [q.name for q in QUERIES]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert {*names, "pipeline"} <= set(__spark_entry__.queries())
