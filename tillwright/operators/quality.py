@@ -16,6 +16,7 @@ from tillwright.schemas import STOCK_KEY
 # Stored totals are products of doubles and never rounded.
 TOLERANCE = 0.005
 # What a sale must have; a rule on a missing value says nothing.
+STOCKED = ["product_id", "in_stock", "new_product", "returned_product", "units_sold", "final_stock"]
 MEASURED = ["product_id", "unit_price", "units_sold", "discount_applied", "total_ammount_paid"]
 
 
@@ -89,10 +90,11 @@ def check_sales(sales: DataFrame, catalog: DataFrame, threshold: int = TIER_UNIT
 
 
 def check_inventory(inventory: DataFrame, sales: DataFrame) -> DataFrame:
-    """Stock rows that break a rule, with ``reasons`` out of stock, units, slot."""
+    """Stock rows that break a rule, with ``reasons`` out of missing, stock, units, slot."""
     checked = inventory.join(units_per_product(sales), STOCK_KEY, "left").withColumn(
         "reasons",
         _reasons(
+            missing=reduce(or_, [F.col(name).isNull() for name in STOCKED]),
             stock=F.col("final_stock") != final_stock(),
             units=-F.col("units_sold") != F.coalesce(F.col("units"), F.lit(0)),
             slot=_other_slot("inventory_date", "inventory_hour"),

@@ -41,6 +41,33 @@ def category_sales(sales: DataFrame, catalog: DataFrame,
         .groupBy("date", "product_id", "category_name")
         .agg(F.count(F.lit(1)).alias("listings"))
     )
+    return _per_category(sold, listed)
+
+
+def category_sales_of_sums(sums: DataFrame, counts: DataFrame,
+                           dates: list[str] | None = None) -> DataFrame:
+    """``category_sales`` from sums per slot and product, which ``slot_sums`` and
+    ``slot_counts`` give, in place of sales and catalog rows."""
+    sold = _of_dates(sums, dates).groupBy("date", "product_id").agg(
+        F.sum("units").alias("units"), F.sum("paid").alias("paid"))
+    listed = _of_dates(counts, dates).groupBy("date", "product_id", "category_name").agg(
+        F.sum("listings").alias("listings"))
+    return _per_category(sold, listed)
+
+
+def slot_sums(sales: DataFrame) -> DataFrame:
+    """Units and revenue per slot and product."""
+    return sales.groupBy("date", "hour", "product_id").agg(
+        F.sum("units_sold").alias("units"), F.sum("total_ammount_paid").alias("paid"))
+
+
+def slot_counts(catalog: DataFrame) -> DataFrame:
+    """Catalog rows per slot, product and category; rows without a category left out."""
+    return catalog.where(F.col("category_name").isNotNull()).groupBy(
+        "date", "hour", "product_id", "category_name").agg(F.count(F.lit(1)).alias("listings"))
+
+
+def _per_category(sold: DataFrame, listed: DataFrame) -> DataFrame:
     return (
         sold.join(listed, ["date", "product_id"], "left")
         .where(F.col("category_name").isNotNull())

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.operators.reports import category_sales, category_sales_pinned
 from tillwright.operators.slots import (
     SlotLists, latest_of, lists_of, resolve_slots, select_slice, with_slot,
 )
+from tillwright.plans.rolling import rolling_report
 from tillwright.schemas import DATASETS, PRODUCT_CATALOG, SALES_DATA, Dataset
-from tillwright.sources import lake, quarantine, tables
+from tillwright.sources import lake, quarantine, tables, versions
 from tillwright.sources.lake import Slots
+from tillwright.sources.versions import Store, Version
 
 
 def managed_name(namespace: str, dataset: Dataset) -> str:
@@ -36,17 +38,36 @@ def load_managed(spark: SparkSession, dataset: Dataset, source: DataFrame, name:
     a listing, which may name slots without rows; otherwise one job over the two
     slot columns finds them. An empty source empties the table with ``"replace"``.
     """
+    backfill, lists = _slice_of(dataset, source, mode, backfill, slots)
+    _load_slice(spark, dataset, source, name, mode, backfill, lists)
+
+
+def _slice_of(dataset: Dataset, source: DataFrame, mode: str, backfill: bool | None,
+              slots: Slots | None) -> tuple[bool, SlotLists | None]:
+    """Whether all slots are loaded, and the dates and hours to load, if a list is needed."""
     if mode not in ("replace", "incremental"):
         raise ValueError(f"unknown mode {mode!r}")
     if backfill is None:
         backfill = dataset.backfill
     if backfill and mode == "replace":
-        lists = None  # all rows that have a slot; no list is needed
-    elif slots is None:
-        lists = resolve_slots(source, backfill)
-    else:
-        lists = lists_of(slots) if backfill else latest_of(source, slots)
-    _load_slice(spark, dataset, source, name, mode, backfill, lists)
+        return backfill, None  # all rows that have a slot
+    if slots is None:
+        return backfill, resolve_slots(source, backfill)
+    return backfill, lists_of(slots) if backfill else latest_of(source, slots)
+
+
+def load_versioned(spark: SparkSession, source: DataFrame, store: Store, mode: str = "incremental",
+                   backfill: bool | None = None, slots: Slots | None = None,
+                   rules: dict[str, Column] | None = None) -> Version:
+    """``load_managed`` into a versioned table: all slots of the load in one step, or none.
+
+    Rows that break one of ``rules`` are held back in the same pass; see ``versions.stage``.
+    """
+    backfill, lists = _slice_of(store.dataset, source, mode, backfill, slots)
+    chosen = with_slot(source) if backfill else select_slice(source, *lists)
+    if mode == "replace":
+        return versions.replace_all(store, chosen, rules)
+    return versions.replace_slots(store, chosen, lists, rules=rules)
 
 
 def _load_slice(spark: SparkSession, dataset: Dataset, source: DataFrame, name: str, mode: str,
@@ -104,7 +125,10 @@ def load_from_lake(spark: SparkSession, dataset: Dataset, root: str, namespace:
 class Refresh:
     """Where a refresh reads and writes, and how it loads.
 
-    ``dates`` limits what is loaded; the report covers the whole tables.
+    ``dates`` limits what is loaded; the report covers the whole tables. ``versioned``
+    keeps the tables under ``location`` as versioned ones, loads each in one step and sums
+    only slots that changed; a bad CSV row stops such a load. ``rules`` by dataset hold
+    rows back.
     """
 
     namespace: str
@@ -115,6 +139,26 @@ class Refresh:
     dates: list[str] | None = None
     keep_bad_rows: bool = False
     pinned: bool = False
+    versioned: bool = False
+    rules: dict[str, dict[str, Column]] | None = None
+
+    def store(self, dataset: Dataset) -> Store:
+        if not self.location:
+            raise ValueError("versioned tables need a location")
+        return Store(f"{self.location.rstrip('/')}/{dataset.name}", dataset)
+
+
+def _refresh_versions(spark: SparkSession, job: Refresh) -> DataFrame:
+    for dataset in DATASETS.values():
+        root = f"{job.lake_root.rstrip('/')}/{dataset.name}"
+        slots = lake.existing_slots(spark, root, job.dates)
+        source = lake.read_lake(spark, root, dataset, job.dates if slots else [])
+        load_versioned(
+            spark, source, job.store(dataset), job.mode, (job.backfill or {}).get(dataset.name),
+            slots, (job.rules or {}).get(dataset.name),
+        )
+    return rolling_report(spark, job.store(SALES_DATA), job.store(PRODUCT_CATALOG),
+                          f"{job.location.rstrip('/')}/sums", job.pinned)
 
 
 def run_refresh(spark: SparkSession, job: Refresh) -> DataFrame:
@@ -122,6 +166,8 @@ def run_refresh(spark: SparkSession, job: Refresh) -> DataFrame:
 
     Running it again on the same lake changes nothing.
     """
+    if job.versioned:
+        return _refresh_versions(spark, job)
     tables.ensure_namespace(spark, job.namespace, job.location)
     for dataset in DATASETS.values():
         tables.create_managed(spark, managed_name(job.namespace, dataset), dataset)

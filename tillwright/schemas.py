@@ -9,31 +9,31 @@ from pyspark.sql import types as T
 TEXT, WHOLE, NUMBER = T.StringType(), T.LongType(), T.DoubleType()
 
 
-def _struct(**columns: T.DataType) -> T.StructType:
+def struct_of(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 # Column names, types and order below are fixed values of the data model.
-CATALOG = _struct(
+CATALOG = struct_of(
     ingestion_date=TEXT, ingestion_hour=TEXT, product_id=TEXT, product_name=TEXT,
     category_id=TEXT, category_name=TEXT, brand=TEXT, description=TEXT, unit_price=NUMBER,
     supplier_name=TEXT, tags=TEXT,
 )
-SALES = _struct(
+SALES = struct_of(
     transaction_date=TEXT, transaction_hour=TEXT, transaction_id=TEXT, customer_id=TEXT,
     order_country=TEXT, product_id=TEXT, unit_price=NUMBER, units_sold=WHOLE,
     discount_applied=NUMBER, total_ammount_paid=NUMBER,
 )
-INVENTORY = _struct(
+INVENTORY = struct_of(
     inventory_date=TEXT, inventory_hour=TEXT, product_id=TEXT, in_stock=WHOLE,
     new_product=WHOLE, returned_product=WHOLE, units_sold=WHOLE, final_stock=WHOLE,
 )
 # The older layout has one folder per date and another column order.
-CATALOG_DAILY = _struct(
+CATALOG_DAILY = struct_of(
     product_id=TEXT, product_name=TEXT, category_id=TEXT, category_name=TEXT, brand=TEXT,
     description=TEXT, unit_price=NUMBER, supplier_name=TEXT, tags=TEXT, ingestion_date=TEXT,
 )
-SALES_DAILY = _struct(
+SALES_DAILY = struct_of(
     transaction_date=TEXT, transaction_id=TEXT, customer_id=TEXT, order_country=TEXT,
     product_id=TEXT, unit_price=NUMBER, units_sold=WHOLE, discount_applied=NUMBER,
     total_ammount_paid=NUMBER,

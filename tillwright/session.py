@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job of this package wants, on a laptop and on a cluster.
@@ -51,19 +52,93 @@ def build_session(app_name: str = "tillwright", master: str | None = None,
     return builder.getOrCreate()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """Return a fresh, not yet existing folder all executors can reach.
 
     It lies under ``spark.checkpoint.dir``, or where that is unset under the
-    warehouse, which a cluster shares as well.
+    warehouse, which a cluster shares as well. A warehouse on the disk of one machine
+    is refused unless Spark runs on that machine alone.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        where = _path(spark, warehouse)
+        if not alone and _files_of(spark, where).getUri().getScheme() == "file":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = warehouse + "/_scratch"
+    folder = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(folder)
+    return folder
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files_of(spark: SparkSession, where):
+    return where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    """Delete a folder or file that nothing reads any more."""
+    where = _path(spark, path)
+    _files_of(spark, where).delete(where, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch folders this driver has made; call it when results are written."""
+    while _SCRATCH:
+        discard(spark, _SCRATCH.pop())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none where it does not exist."""
+    where = _path(spark, path)
+    files = _files_of(spark, where)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    where = _path(spark, path)
+    stream = _files_of(spark, where).open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, which must not exist."""
+    where = _path(spark, path)
+    stream = _files_of(spark, where).create(where, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a file or folder; False, and nothing done, if the new name is taken.
+
+    One step on file systems that rename in one (HDFS and the like); on a plain object
+    store a folder is copied file by file, and one writer at a time must be seen to.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = _path(spark, path), _path(spark, to)
+    files = _files_of(spark, new)
+    files.mkdirs(new.getParent())
+    context = hadoop.FileContext.getFileContext(
+        files.makeQualified(new).toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(old), files.makeQualified(new), none)
+    except Py4JJavaError as error:
+        if files.exists(new):
+            return False
+        raise error
+    return True

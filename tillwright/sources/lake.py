@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.functions.slotted import in_dates, in_slots
 from tillwright.functions.texts import quoted
@@ -13,6 +18,7 @@ from tillwright.operators.slots import with_slot
 from tillwright.schemas import (
     CATALOG_DAILY, INVENTORY_DATA, PRODUCT_CATALOG, SALES_DAILY, SALES_DATA, Dataset,
 )
+from tillwright.session import discard, list_names, rename_new
 
 Slots = list[tuple[str, str]]
 
@@ -90,6 +96,20 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _PLACE = r"/date=([^/]+)/hour=([^/]+)/([^/]+)$"
 
 
+def unescaped(name: Column) -> Column:
+    """The text a folder name stands for: ``%3A`` is a colon, and a plus is a plus."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def partition_slots(spark: SparkSession, name: str) -> Slots:
+    """Slots of a table's partitions, as the catalog has them; a missing value is ``NO_VALUE``."""
+    slots = []
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        date, hour = (unquote(part.split("=", 1)[1]) for part in row.partition.split("/"))
+        slots.append((date, hour))
+    return sorted(slots)
+
+
 def list_files(spark: SparkSession, root: str, dates: list[str] | None = None,
                pattern: str = "*.csv") -> DataFrame | None:
     """Files under ``root`` as ``(date, hour, file)``; None if there is no such folder.
@@ -117,7 +137,7 @@ def list_files(spark: SparkSession, root: str, dates: list[str] | None = None,
             return None
         raise
     found = files.select(*[
-        F.url_decode(F.regexp_extract("path", _PLACE, group)).alias(name)
+        unescaped(F.regexp_extract("path", _PLACE, group)).alias(name)
         for group, name in enumerate(("date", "hour", "file"), 1)
     ])
     return found.where((F.col("date") != "") & ~F.col("date").eqNullSafe(NO_VALUE)
@@ -140,16 +160,16 @@ def slots_frame(spark: SparkSession, slots: Slots) -> DataFrame:
     return spark.createDataFrame(slots, "date string, hour string")
 
 
-def by_slot(df: DataFrame, *order: str) -> DataFrame:
+def by_slot(df: DataFrame, *order: str, first: tuple[str, ...] = ()) -> DataFrame:
     """Bring the rows of a slot together for writing, in files of an even size.
 
     A rebalance lets adaptive execution join small slots into one task and split
     a slot too large for one, which a plain ``repartition`` by slot would not.
-    The sort starts with the partition columns, so the writer adds none.
+    The sort starts with the partition columns, ``first`` and then the slot, so the
+    writer adds none.
     """
-    return df.hint("rebalance", F.col("date"), F.col("hour")).sortWithinPartitions(
-        "date", "hour", *order
-    )
+    place = [*first, "date", "hour"]
+    return df.hint("rebalance", *[F.col(c) for c in place]).sortWithinPartitions(*place, *order)
 
 
 def write_slots_csv(df: DataFrame, root: str, mode: str = "append") -> None:
@@ -168,22 +188,84 @@ def write_daily_csv(df: DataFrame, root: str, mode: str = "append") -> None:
     )
 
 
-def write_missing_slots(df: DataFrame, root: str, dates: list[str] | None = None) -> None:
-    """Write only the slots that have no file under ``root`` yet.
+# Folders that readers pass over, as their names start with an underscore.
+_MARKS, _STAGING, _UNFINISHED = "_complete", "_staging", "_unfinished"
+
+
+def mark_slots(spark: SparkSession, root: str, slots: Slots) -> None:
+    """Note that these slots are written whole; a slot may be noted twice."""
+    marks = slots_frame(spark, slots).withColumn("mark", F.lit("complete"))
+    marks.select("mark", "date", "hour").coalesce(1).sortWithinPartitions("date", "hour").write.mode(
+        "append").partitionBy("date", "hour").text(f"{root}/{_MARKS}")
+
+
+def finished_slots(spark: SparkSession, root: str, dates: list[str] | None = None) -> Slots:
+    """Slots that count as written: those with a mark.
+
+    A lake that ``write_missing_slots`` never wrote to has no marks at all; there every
+    slot with a file counts, as other writers make a slot's file appear whole.
+    """
+    if not list_names(spark, f"{root}/{_MARKS}"):
+        return existing_slots(spark, root, dates)
+    return existing_slots(spark, f"{root}/{_MARKS}", dates, "*")
+
+
+def _folder(root: str, date: str, hour: str) -> str:
+    """The folder of a slot, named as Spark's writers do."""
+    escaped = [re.sub(r"""["#%'*/:=?\\{\[\]^\x00-\x1f\x7f]""", lambda m: f"%{ord(m[0]):02X}", v)
+               for v in (date, hour)]
+    return f"{root}/date={escaped[0]}/hour={escaped[1]}"
+
+
+def write_missing_slots(df: DataFrame, root: str, dates: list[str] | None = None) -> Slots:
+    """Write the slots that are not finished under ``root`` yet; returns those written.
+
+    The finished slots are a predicate on the rows, so nothing is joined. With
+    ``dates`` only those are looked at and written.
 
-    The slots present are a predicate on the rows, so nothing is joined. With
-    ``dates`` only those are listed and written.
+    Rows are written beside the lake first. Then each slot's folder is renamed to its
+    place, where it shows whole or not at all, and marks follow last. What an unfinished
+    slot held is set aside under ``_unfinished``, so the slot has the new rows alone. Of two
+    writers the one whose folder comes second leaves its rows out, and a writer that is
+    lost leaves slots behind that the next one writes.
     """
+    spark = df.sparkSession
     placed = df if dates is None else df.where(in_dates(dates))
-    present = existing_slots(df.sparkSession, root, dates)
-    write_slots_csv(placed.where(~in_slots(present)), root)
+    present = finished_slots(spark, root, dates)
+    marked = list_names(spark, f"{root}/{_MARKS}")
+    if not marked:
+        # From now on marks decide, so what was there before gets them, of all dates.
+        held = present if dates is None else existing_slots(spark, root)
+        if held:
+            mark_slots(spark, root, held)
+    run = uuid.uuid4().hex
+    staged = f"{root}/{_STAGING}/{run}"
+    write_slots_csv(placed.where(~in_slots(present)), staged)
+    try:
+        written = [slot for slot in existing_slots(spark, staged) if _place_slot(spark, root, run, *slot)]
+        if written:
+            mark_slots(spark, root, written)
+    finally:
+        discard(spark, staged)
+    return written
+
+
+def _place_slot(spark: SparkSession, root: str, run: str, date: str, hour: str) -> bool:
+    """Put a staged slot into the lake; False if another writer was first."""
+    staged, place = (_folder(top, date, hour) for top in (f"{root}/{_STAGING}/{run}", root))
+    if rename_new(spark, staged, place):
+        return True
+    if (date, hour) in finished_slots(spark, root, [date]):
+        return False
+    rename_new(spark, place, _folder(f"{root}/{_UNFINISHED}/{run}", date, hour))
+    return rename_new(spark, staged, place)
 
 
 def register_external(spark: SparkSession, name: str, root: str, dataset: Dataset) -> None:
     """Register the lake of one dataset under ``name``, if that is not done yet.
 
     The catalog keeps the partition list, so a query on a few slots lists only
-    their folders. ``refresh_external`` picks up new ones.
+    their folders. ``refresh_external`` picks up new ones, ``follow_external`` by itself.
     """
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dataset.lake_schema)
     options = ", ".join(f"'{k}' '{quoted(v)}'" for k, v in CSV_READ.items())
@@ -194,17 +276,49 @@ def register_external(spark: SparkSession, name: str, root: str, dataset: Datase
     refresh_external(spark, name, root)
 
 
+def follow_external(spark: SparkSession, name: str, root: str, ledger: str,
+                    every: str | None = None) -> StreamingQuery:
+    """Add the slots of new files under ``root`` to the table as they come.
+
+    ``ledger`` is a folder that keeps which files were seen, across restarts, so a round
+    costs a listing of names and one statement per some hundred new slots; no file is opened
+    and no known partition asked for. With ``every``, such as ``1 minute``, it goes on until
+    stopped, and ``spark.table(name)`` shows new folders unasked; without, it ends when all
+    files that are there now are known.
+    """
+    found = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(root)
+        .select("path")
+    )
+
+    def add(batch: DataFrame, _: int) -> None:
+        slots = batch.select(*[
+            unescaped(F.regexp_extract("path", _PLACE, group)).alias(column)
+            for group, column in enumerate(("date", "hour"), 1)
+        ]).where((F.col("date") != "") & (F.col("date") != NO_VALUE) & (F.col("hour") != NO_VALUE))
+        _add_slots(spark, name, [(r.date, r.hour) for r in slots.distinct().collect()])
+
+    writer = found.writeStream.foreachBatch(add).option("checkpointLocation", ledger)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 ADD_BATCH = 500
 
 
+def _add_slots(spark: SparkSession, name: str, slots: Slots) -> None:
+    for at in range(0, len(slots), ADD_BATCH):
+        specs = " ".join(f"PARTITION (date = '{quoted(d)}', hour = '{quoted(h)}')"
+                         for d, h in slots[at : at + ADD_BATCH])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    if slots:
+        spark.catalog.refreshTable(name)
+
+
 def refresh_external(spark: SparkSession, name: str, root: str,
                      dates: list[str] | None = None) -> None:
     """Add the slots of ``root`` that the table does not know; ``dates`` limits the look."""
-    known = {tuple(part.split("=", 1)[1] for part in row.partition.split("/"))
-             for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    new = [slot for slot in existing_slots(spark, root, dates) if slot not in known]
-    for at in range(0, len(new), ADD_BATCH):
-        specs = " ".join(f"PARTITION (date = '{quoted(d)}', hour = '{quoted(h)}')"
-                         for d, h in new[at : at + ADD_BATCH])
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    known = set(partition_slots(spark, name))
+    _add_slots(spark, name, [s for s in existing_slots(spark, root, dates) if s not in known])
     spark.catalog.refreshTable(name)

@@ -7,6 +7,9 @@ which writes beside the table and moves the new slots in when the job commits.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +20,9 @@ from tillwright.functions.times import utc_midnight
 from tillwright.operators.slots import with_slot
 from tillwright.schemas import Dataset
 from tillwright.session import discard, scratch_folder
-from tillwright.sources.lake import NO_VALUE, Slots, by_slot, existing_slots, list_files
+from tillwright.sources.lake import (
+    NO_VALUE, Slots, by_slot, existing_slots, list_files, partition_slots,
+)
 
 DROP_BATCH = 500
 
@@ -72,21 +77,28 @@ def to_managed(df: DataFrame, dataset: Dataset) -> DataFrame:
 
 def table_slots(spark: SparkSession, name: str) -> Slots:
     """Slots of a managed or external table, from the catalog alone; missing values are none."""
-    slots = []
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        date, hour = (part.split("=", 1)[1] for part in row.partition.split("/"))
-        if NO_VALUE not in (date, hour):
-            slots.append((date, hour))
-    return sorted(slots)
+    return [slot for slot in partition_slots(spark, name) if NO_VALUE not in slot]
+
+
+def read_managed(spark: SparkSession, name: str) -> DataFrame:
+    """A managed table with ``date_tmsp`` told from the date instead of read.
+
+    So a condition on ``date_tmsp`` skips the partitions of other days, which one on
+    the stored column cannot.
+    """
+    table = spark.table(name)
+    return table.withColumn("date_tmsp", utc_midnight(F.col("date").cast("date"))).select(
+        *table.columns)
 
 
 def drop_slots(spark: SparkSession, name: str, slots: Slots) -> None:
+    """Drop slots that the table has; one that it has not is an error."""
     for at in range(0, len(slots), DROP_BATCH):
         specs = ", ".join(
             f"PARTITION (date = '{quoted(d)}', hour = '{quoted(h)}')"
             for d, h in slots[at:at + DROP_BATCH]
         )
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+        spark.sql(f"ALTER TABLE {name} DROP {specs}")
 
 
 def append_slots(df: DataFrame, name: str) -> None:
@@ -170,7 +182,8 @@ def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str])
 
     ``keys`` include ``date`` and ``hour``. Only the slots that occur in ``df``
     are read and written. Rows without a date or hour belong to no slot and are
-    left out, as in a load. A key that ``df`` has twice is an error.
+    left out, as in a load. Null in another key is a value like any other and matches
+    null. A key that ``df`` has twice is an error.
     """
     if not {"date", "hour"} <= set(keys):
         raise ValueError("keys must include date and hour")
@@ -185,7 +198,9 @@ def merge_by_key(spark: SparkSession, name: str, df: DataFrame, keys: list[str])
         if twice:
             raise ValueError(f"the source has a key twice: {twice.asDict()}")
         touched = existing_slots(spark, staged_at, pattern="*.parquet")
-        kept = table.where(in_slots(touched)).join(staged.select(*keys), keys, "left_anti")
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+        new = staged.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+        kept = table.where(in_slots(touched)).join(new, same, "left_anti")
         overwrite_slots(kept.unionByName(staged), name)
     finally:
         discard(spark, staged_at)
