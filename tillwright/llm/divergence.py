@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
@@ -26,82 +27,99 @@ _MARK = "\0"
 _EVERY_TERM = 2**31 - 1
 # Shares are whole numbers out of this, and every count is raised by the second (fixed values).
 _WHOLE, _RAISE = 10**9, 2
-BLOCK_TERMS = 1 << 21
+BLOCK_TERMS = 1 << 22
 
 
 def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang",
                    source: str = "source") -> DataFrame:
-    """``(lang, source, tokens)`` of every row: its terms marked by its language; nulls are empty."""
+    """``(lang, source, tokens, kinds)`` of every row; nulls are empty.
+
+    ``tokens`` are the terms in order, each marked by the language, ``kinds`` the same
+    without repeats.
+    """
+
+    def lists(ends: list[int], found: list[bytes]) -> pa.Array:
+        return pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.array(found, pa.binary()).cast(pa.string()))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start, ends, tokens = 0, [0], []
+            start, ends, tokens, kind_ends, kinds = 0, [0], [], [0], []
             for row, (name, value) in enumerate(zip(batch.column(0), batch.column(2))):
                 mark = (name.as_py() + _MARK).encode()
-                tokens += [mark + t for t in value.as_py().encode().translate(_TERM_BYTES).split()]
+                own = [mark + t for t in value.as_py().encode().translate(_TERM_BYTES).split()]
+                tokens += own
+                kinds += dict.fromkeys(own)
                 ends.append(len(tokens))
+                kind_ends.append(len(kinds))
                 if len(tokens) >= _AT_ONCE or row == len(batch) - 1:
-                    held = pa.ListArray.from_arrays(
-                        pa.array(ends, pa.int32()), pa.array(tokens, pa.binary()).cast(pa.string()))
                     rows = batch.slice(start, row + 1 - start)
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column(0), rows.column(1), held], ["lang", "source", "tokens"])
-                    start, ends, tokens = row + 1, [0], []
+                        [rows.column(0), rows.column(1), lists(ends, tokens), lists(kind_ends, kinds)],
+                        ["lang", "source", "tokens", "kinds"])
+                    start, ends, tokens, kind_ends, kinds = row + 1, [0], [], [0], []
 
     plain = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c)
              for c in (lang, source, text)]
     return docs.select(*plain).mapInArrow(
-        of_batches, "lang string, source string, tokens array<string>"
+        of_batches, "lang string, source string, tokens array<string>, kinds array<string>"
     )
 
 
 def _tokens(documents: DataFrame, block_terms: int) -> tuple[DataFrame, int]:
-    """``(lang, source, block, tokens)``: terms marked by their language, in blocks.
+    """``(lang, source, block, tokens, kinds)``: terms marked by their language, in blocks.
 
     A model's vocabulary is held by the driver and by every executor. So terms are
     dealt by hash into blocks of some ``block_terms`` different ones, of which a model
     keeps fewer; a document is a row in each block that it has terms of.
     """
     marked = documents.where(F.size("tokens") > 0)
-    different = marked.select(F.explode("tokens").alias("t")).agg(
+    different = marked.select(F.explode("kinds").alias("t")).agg(
         F.approx_count_distinct("t").alias("n")
     ).first().n
     blocks = max(1, -(-different // block_terms))
     if blocks == 1:
         return marked.withColumn("block", F.lit(0)), 1
+    def of_block(terms: str, b: Column) -> Column:
+        return F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(blocks)) == b).alias(terms)
+
     dealt = F.transform(
         F.sequence(F.lit(0), F.lit(blocks - 1)),
-        lambda b: F.struct(b.alias("block"), F.filter(
-            "tokens", lambda t: F.pmod(F.xxhash64(t), F.lit(blocks)) == b).alias("tokens")),
+        lambda b: F.struct(b.alias("block"), of_block("tokens", b), of_block("kinds", b)),
     )
     by_block = marked.select("lang", "source", F.explode(dealt).alias("part")).select(
-        "lang", "source", "part.block", "part.tokens"
+        "lang", "source", "part.*"
     )
     return settle(by_block.where(F.size("tokens") > 0), "term-blocks", by=["block"]), blocks
 
 
-def _opened(vectors: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``(lang, source, term, n)``: the entries of sparse vectors, terms for their places."""
+def _summed(vectors: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``(lang, source, term, n)``: sums of sparse vectors per batch and group, entry by entry."""
     shared = vectors.sparkSession.sparkContext.broadcast(vocabulary)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = pa.array((w.rpartition(_MARK)[2] for w in shared.value), pa.string())
         for batch in batches:
-            vector = batch.column(2)
-            indices, values = vector.field("indices"), vector.field("values")
+            groups: dict[tuple, int] = {}
+            codes = np.array([groups.setdefault(g, len(groups)) for g in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist())], np.int64)
+            indices, values = batch.column(2).field("indices"), batch.column(2).field("values")
+            size = np.diff(indices.offsets.to_numpy())
+            cells = np.repeat(codes, size) * len(words) + indices.flatten().to_numpy()
+            found, place = np.unique(cells, return_inverse=True)
+            # Sums of whole numbers, exact below 2^53 in a batch.
+            sums = np.bincount(place, values.flatten().to_numpy(), len(found)).astype(np.int64)
+            langs, sources = zip(*groups) if groups else ((), ())
+            code = pa.array(found // len(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.ListArray.from_arrays(indices.offsets, words.take(indices.values)),
-                 pa.ListArray.from_arrays(values.offsets, values.values.cast(pa.int64()))],
-                ["lang", "source", "terms", "counts"],
+                [pa.array(langs, pa.string()).take(code), pa.array(sources, pa.string()).take(code),
+                 words.take(pa.array(found % len(words))), pa.array(sums)],
+                ["lang", "source", "term", "n"],
             )
 
-    opened = vectors.select("lang", "source", "vector").mapInArrow(
-        of_batches, "lang string, source string, terms array<string>, counts array<bigint>"
+    return vectors.select("lang", "source", "vector").mapInArrow(
+        of_batches, "lang string, source string, term string, n bigint"
     )
-    return opened.select(
-        "lang", "source", F.explode(F.arrays_zip("terms", "counts")).alias("e")
-    ).select("lang", "source", F.col("e.terms").alias("term"), F.col("e.counts").alias("n"))
 
 
 def group_counts(documents: DataFrame, least_docs: int = 10,
@@ -116,14 +134,15 @@ def group_counts(documents: DataFrame, least_docs: int = 10,
     spark = documents.sparkSession
     tokens, blocks = _tokens(documents, block_terms)
     # A model must keep something: this token is in just enough documents, and in none of ours.
-    anchor = spark.range(least_docs).select(F.array(F.lit("")).alias("tokens"))
+    anchor = spark.range(least_docs).select(F.array(F.lit("")).alias("kinds"))
     sums = []
     for block in range(blocks):
         own = tokens.where(F.col("block") == block)
+        # How often a document has a term does not matter to the vocabulary.
         model = CountVectorizer(
-            inputCol="tokens", outputCol="vector", minDF=float(least_docs), vocabSize=_EVERY_TERM
-        ).fit(own.select("tokens").union(anchor))
-        entries = _opened(model.transform(own), model.vocabulary)
+            inputCol="kinds", outputCol="vector", minDF=float(least_docs), vocabSize=_EVERY_TERM
+        ).fit(own.select("kinds").union(anchor)).setInputCol("tokens")
+        entries = _summed(model.transform(own), model.vocabulary)
         sums.append(settle(
             entries.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "group-sums"
         ))
@@ -165,13 +184,17 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     """
     documents = settle(document_terms(docs, text, lang, source), "document-terms")
     counts = group_counts(documents, least_docs, block_terms)
-    in_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    langs = in_lang.groupBy("lang").agg(
-        F.sum("lang_n").alias("lang_total"), F.count(F.lit(1)).alias("terms")
+    term = Window.partitionBy("lang", "term")
+    kept = settle(counts.select(
+        "*", F.sum("n").over(term).alias("lang_n"),
+        F.when(F.row_number().over(term.orderBy("source")) == 1, 1).otherwise(0).alias("first"),
+    ), "kept-terms")
+    langs = kept.groupBy("lang").agg(
+        F.sum("n").alias("lang_total"), F.sum("first").alias("terms")
     )
     groups = settle(
         documents.select("lang", "source").distinct()
-        .join(counts.groupBy("lang", "source").agg(
+        .join(kept.groupBy("lang", "source").agg(
             F.sum("n").alias("total"), F.count(F.lit(1)).alias("held")), ["lang", "source"], "left")
         .join(langs, "lang", "left")
         .select("lang", "source", *[F.coalesce(c, F.lit(0)).alias(c)
@@ -179,9 +202,8 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
         .withColumn("p0", _share(F.lit(0), F.col("total"), F.col("terms"))), "groups",
     )
     shares = settle(
-        counts.join(in_lang, ["lang", "term"]).join(groups, ["lang", "source"])
-        .select(
-            "lang", "source", "term", "p0", "n",
+        kept.join(groups, ["lang", "source"]).select(
+            "lang", "source", "term", "p0",
             _share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
             _share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q"),
         ), "shares",
