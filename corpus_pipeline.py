@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwright.llm import contamination, lines, pieces, quality, similar_texts
+from tillwright.llm import contamination, lines, near_copies, pieces, quality
 from tillwright.llm.common import read_table, settle
 
 
@@ -20,8 +20,8 @@ def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays that 0.8 of the 5-word shingles link, the one with the least id."""
-    return similar_texts.keep_one(docs)
+    """One document of each group that fingerprints link stays, the one with the least id."""
+    return near_copies.keep_one(docs, words=3, distance=2)
 
 
 def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces per document, a checksum of its ids, and whether they decode to its text."""
+    """The ids of each document, in order, and whether they decode to its text."""
     vocabulary = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
     return pieces.summarize(docs, vocabulary)
 
@@ -38,7 +38,7 @@ def _sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality_rules", _quality_rules),
     ("line_dedup", _line_dedup),
-    ("near_copies", _near_copies),
+    ("simhash_near_dedup", _near_copies),
     ("decontamination", _decontamination),
     ("sentencepiece", _sentencepiece),
 ]
