@@ -96,6 +96,14 @@ def test_groups_ties_nulls(spark):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 3, 8]
 
 
+def test_one_id_on_two_texts_and_many_repeats(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(100)) for x in "ab")
+    rows = [(1, a), (5, a), (5, b)] + [(7, a)] * 300 + [(1, a)] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text[0]) for r in op.keep_one(df).collect())
+    assert kept == [(1, "a")] * 301 + [(5, "b")]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert op.near_copies(df).count() == 0

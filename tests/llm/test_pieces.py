@@ -2,16 +2,13 @@
 
 import random
 import re
-from zlib import crc32
 
 import public_tokenizers
 import pytest
 import sentencepiece
-from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from tillwright.llm import pieces as op
-from tillwright.llm.common import row_key
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -57,61 +54,58 @@ def sample():
     return TEXTS + made
 
 
-def test_encode_and_decode(spark, library, vocabulary):
-    rows = list(enumerate(sample()))
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS word", "2 AS ids")
-    keyed = df.select("doc_id", *row_key())
-    found = op.encode(df, vocabulary).join(keyed, ["_id", "_text_hash"]).select("doc_id", "ids")
-    got = {r.doc_id: list(r.ids or []) for r in found.collect()}
-    assert got == {i: library.encode(t) for i, t in rows}
-    texts = {r.doc_id: r.text for r in found.select("doc_id", op.decoded(F.coalesce("ids", F.array()), vocabulary).alias("text")).collect()}
-    assert texts == dict(rows)
-    assert texts == {i: library.decode(ids) for i, ids in got.items()}
+def ids_of(df):
+    return {r.doc_id: list(r.ids) for r in df.collect()}
+
+
+@pytest.mark.parametrize("most_shared", [1 << 19, 20, 0])
+def test_encode_and_decode(spark, library, vocabulary, most_shared):
+    rows = [*enumerate(sample()), (900, "long " * 20_000), (901, "a.b " * 50 + "zq. " * 50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 AS word", "2 AS ids", "3 AS k", "4 AS own", "5 AS _row", "6 AS piece")
+    found = op.encode(df.repartition(3), vocabulary, most_shared=most_shared)
+    assert ids_of(found) == {i: library.encode(t) for i, t in rows}
+    back = {r.doc_id: (r.text, r.round_trip) for r in op.decode(found, vocabulary).collect()}
+    assert back == {i: (t, True) for i, t in rows}
+    assert back == {i: (library.decode(ids), True) for i, ids in ids_of(found).items()}
 
 
 def test_unknown_characters_are_spelled(spark, library, vocabulary):
     rows = [(1, "a\U0001F9FFb"), (2, "\U00013000"), (3, "ok \x00\x07"), (4, "\U0001F9FF" * 300),
-            (5, "né" * 400)]
+            (5, "né" * 400), (6, "\n\n"), (7, "a\U0001F9FFb " * 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    keyed = df.select("doc_id", *row_key())
-    found = op.encode(df, vocabulary).join(keyed, ["_id", "_text_hash"]).select("doc_id", "ids")
-    got = {r.doc_id: list(r.ids) for r in found.collect()}
-    assert {r.doc_id: r.text for r in found.select("doc_id", op.decoded(F.coalesce("ids", F.array()), vocabulary).alias("text")).collect()} == dict(rows)
-    assert all(got[i] == library.encode(t) for i, t in rows)
+    for most_shared in (1 << 19, 0):
+        found = op.encode(df, vocabulary, most_shared=most_shared)
+        assert ids_of(found) == {i: library.encode(t) for i, t in rows}
+        assert all(r.round_trip and r.n_spelled == sum(i in vocabulary.byte_ids for i in r.ids)
+                   for r in found.collect())
 
 
 def test_short_and_long_words_fold_alike(spark, vocabulary, monkeypatch):
     words = sorted({w for t in sample() for w in re.split(r"(?<!▁)(?=▁)", "▁" + t.replace(" ", "▁"))
                     if w})
     df = spark.createDataFrame([(w,) for w in words], "word string")
-    folded = {r.word: list(r.ids) for r in op.encode_words(df, vocabulary).collect()}
-    monkeypatch.setattr(op, "_FOLD_BELOW", 1)
-    looped = {r.word: list(r.ids) for r in op.encode_words(df, vocabulary).collect()}
-    assert folded == looped
-
-
-@pytest.mark.parametrize("most_shared", [200_000, 20, 0])
-def test_summary(spark, library, vocabulary, most_shared):
-    rows = [*enumerate(sample()), (900, None), (3, TEXTS[3]), (3, TEXTS[3]), (None, TEXTS[4]),
-            (901, "mark ▁ here"), (902, "long " * 20_000)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS words", "2 AS rest")
-    found = op.summarize(df, vocabulary, most_shared=most_shared).collect()
-    want = []
+    folded = {r.word: op._spelled(list(r.ids), vocabulary)
+              for r in op.encode_words(df, ["word"], vocabulary).collect()}
     by_piece = {p: (n, s) for n, p, s in vocabulary.pieces}
-    for i, t in rows:
-        marked = "▁" + (t or "").replace(" ", "▁")
-        cut = rf"(?<!▁)(?=▁)|(?<=[^\W\d_])(?=[{re.escape(vocabulary.cut_before)}])"
-        words = [w for w in re.split(cut, marked) if w] if t else []
-        total = n = 0
-        for place, word in enumerate(words):
-            ids = op._plain_ids(word, by_piece, vocabulary)
-            n += len(ids)
-            total += (place % 1009 + 1) * (crc32(" ".join(map(str, ids)).encode()) & 0xFFFFFF)
-        if i != 902:
-            assert n == len(library.encode(t or ""))
-        want.append((repr(i), len(words), n, total, i != 901))
-    got = [(repr(r.doc_id), r.n_words, r.n_pieces, r.checksum, r.round_trip) for r in found]
-    assert sorted(got) == sorted(want)
+    assert folded == {w: op._plain_ids(w, by_piece, vocabulary) for w in words}
+
+
+def test_rows(spark, library, vocabulary):
+    rows = [(1, None), (3, TEXTS[3]), (3, TEXTS[3]), (None, TEXTS[4]), (901, "mark ▁ here"), (902, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = op.summarize(df, vocabulary).collect()
+    want = [(i, library.encode(t or ""), i != 901) for i, t in rows]
+    assert sorted(map(repr, want)) == sorted(
+        repr((r.doc_id, list(r.ids), r.round_trip)) for r in found)
+    assert all(r.n_pieces == len(r.ids) for r in found)
+
+
+def test_decoding_any_ids(spark, vocabulary):
+    lists = [(1, None), (2, []), (3, [0, 1, 2, -5, 10**6, None]), (4, [vocabulary.byte_ids[255]])]
+    df = spark.createDataFrame(lists, "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in op.decode(df, vocabulary).collect()} == {
+        1: None, 2: "", 3: "", 4: None}
 
 
 def test_given_scores(spark):
@@ -120,12 +114,17 @@ def test_given_scores(spark):
     own = sentencepiece.SentencePieceProcessor(model_file=PATH)
     rows = [(i, t) for i, t in enumerate(sample()) if t]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    found = op.encode(df, vocabulary).join(df.select("doc_id", *row_key()), ["_id", "_text_hash"])
-    for r in found.collect():
-        ours, merged = (sum(own.get_score(i) for i in ids) for ids in (r.ids, own.encode(dict(rows)[r.doc_id])))
-        assert ours >= merged and own.decode(list(r.ids)) == dict(rows)[r.doc_id]
+    for doc_id, ids in ids_of(op.encode(df, vocabulary)).items():
+        ours, merged = (sum(own.get_score(i) for i in found) for found in (ids, own.encode(dict(rows)[doc_id])))
+        assert ours >= merged and own.decode(ids) == dict(rows)[doc_id]
 
 
 def test_empty(spark, vocabulary):
     df = spark.createDataFrame([], "doc_id long, text string")
-    assert op.summarize(df, vocabulary).count() == 0 and op.encode(df, vocabulary).count() == 0
+    assert op.summarize(df, vocabulary).count() == 0
+
+
+def test_plans_hold_no_vocabulary_and_deal_texts_once(spark, vocabulary):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = op.encode(df, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and len(plan) < 60_000

@@ -3,10 +3,12 @@
 import random
 
 import corpus_pipeline
+import public_tokenizers
 import test_contamination as contamination
 import test_lines as lines
 import test_near_copies as copies
 import test_quality as quality
+from tillwright.llm import pieces
 from tillwright.llm.queries import QUERIES
 
 
@@ -60,7 +62,7 @@ def test_stages(spark, tmp_path):
                     want.append((doc_id, left if gone else text))
             assert after == sorted(want, key=repr)
             assert 200 not in dict(after) and dict(after)[207].count("\n") == 0
-        elif name == "near_copies":
+        elif name == "simhash_near_dedup":
             prints = [copies.plain_print(t) for _, t in before]
             groups = copies.plain_components(prints, 2)
             least = {}
@@ -84,7 +86,10 @@ def test_stages(spark, tmp_path):
         else:
             rows = out.collect()
             assert sorted(map(repr, (r.doc_id for r in rows))) == sorted(repr(d) for d, _ in before)
-            assert all(r.round_trip and r.n_pieces >= r.n_words > 0 for r in rows)
+            texts = {repr(d): t for d, t in before}
+            assert all(r.round_trip and r.n_pieces == len(r.ids) > 0 for r in rows)
+            back = pieces.decode(out, pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model")))
+            assert {repr(r.doc_id): r.text for r in back.collect()} == texts
     assert seen == [name for name, _ in corpus_pipeline.STAGES]
 
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import components, settle
+from tillwright.llm.common import ROW_KEY, components, row_key, settle
 
 BITS = 64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -42,19 +42,21 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  words: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every row. Null and wordless texts have fingerprint 0."""
+    """``(doc_id, fp)`` and the row key of every row. Null and wordless texts have fingerprint 0."""
+    names = ["doc_id", *ROW_KEY, "fp"]
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(3).cast(pa.binary())
             found = [fingerprint(shingle_hashes(t.as_py() or b"", words)) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"]
-            )
+                [*(batch.column(i) for i in range(3)), pa.array(found, pa.int64())], names)
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string")).mapInArrow(
-        of_batches, f"doc_id {kind}, fp bigint"
+    plain = docs.select(F.col(f"`{doc_id}`").alias("doc_id"),
+                        F.col(f"`{text}`").cast("string").alias("text"))
+    return plain.select("doc_id", *row_key(), "text").mapInArrow(
+        of_batches, f"doc_id {kind}, _id string, _text_hash bigint, fp bigint"
     )
 
 
@@ -168,7 +170,7 @@ def links(fps: DataFrame, distance: int = 2, segments: int = 5, crowd: int = 64)
 
 
 def labelled(prints: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(doc_id, fp, component_id)`` of every row of ``prints``, from links of its ``fp``."""
+    """``prints`` with the ``component_id`` of every row, from links of its ``fp``."""
     nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
     roots = settle(components(pairs, "near-copies"), "roots")
     linked = roots.join(nodes.withColumnRenamed("fp", "node"), "node")
@@ -181,7 +183,7 @@ def labelled(prints: DataFrame, pairs: DataFrame) -> DataFrame:
         ).select("fp", F.coalesce("component_id", "least").alias("component_id")),
         "component-labels",
     )
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(labels, "fp")
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = 2,
@@ -194,21 +196,27 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dis
     take part; the least id ignores them, and a component of null ids alone has
     none. Repeated rows stay repeated. An empty table gives an empty result.
     """
+    found = _rows(docs, doc_id, text, distance, segments, words, crowd)
+    return found.select("doc_id", "fp", "component_id")
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str, distance: int = 2, segments: int = 5,
+          words: int = 3, crowd: int = 64) -> DataFrame:
     prints = settle(fingerprints(docs, doc_id, text, words), "fingerprints")
-    return labelled(prints, links(settle(prints.select("fp").distinct(), "distinct-prints"), distance, segments, crowd))
+    different = settle(prints.select("fp").distinct(), "distinct-prints")
+    return labelled(prints, links(different, distance, segments, crowd))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of one document per component, the one with the least id.
 
-    A row without an id stays: nothing says which of its group it is.
+    A row goes if its id is not its component's least. Rows are told apart by id and
+    text, so another text with the same id is judged by its own component, and rows with
+    the same id and text stay or go together. A row without an id stays: nothing says which of
+    its group it is.
     """
-    return keep_least(docs, near_copies(docs, doc_id, text, **settings), doc_id)
-
-
-def keep_least(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows that have another id than their ``component_id``."""
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone.withColumnRenamed("doc_id", doc_id), doc_id, "left_anti").select(
+    found = _rows(docs, doc_id, text, **settings)
+    gone = settle(found.where("doc_id != component_id").select(*ROW_KEY).distinct(), "near-copies")
+    return docs.select("*", *row_key(doc_id, text)).join(gone, ROW_KEY, "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )

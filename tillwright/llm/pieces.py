@@ -1,9 +1,10 @@
 """SentencePiece encoding by a relational lattice, and decoding.
 
-Texts are cut into words that no piece reaches across. The distinct words become
-a lattice in tables: every substring up to the longest piece is joined to the
-pieces, the edges are gathered per word, and a fold over them keeps the best way
-to each place.
+Texts are cut into words that no piece reaches across. A word becomes a lattice in
+tables: every substring up to the longest piece is joined to the pieces, the edges are
+gathered per word, and a fold over them keeps the best way to each place. Frequent
+words go through that once and are broadcast; the other words of a text go through it
+beside the other ids of the text, which are shuffled once.
 """
 
 from __future__ import annotations
@@ -12,25 +13,24 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import ROW_KEY, row_key, settle
+from tillwright.llm.common import settle
 
 SPACE = "▁"
 _MOST_PIECES = 1_000_000
 # Characters below which a word is folded by Spark. The fold copies its state at
-# each step; longer words, which are rare, take a loop in a pandas function.
+# each step; longer words take a loop over the same lattice in Python.
 _FOLD_BELOW = 200
-# Distinct words that a task makes a lattice of.
-_WORDS_A_TASK = 25_000
-# Rows whose words are looked up together.
+# Frequent words are shorter than this.
+_SHARED_BELOW = 64
+# Rows worked on at a time.
 _ROWS_AT_ONCE = 1000
-_SUMS = ["words", "pieces", "spelled", "checksum", "wrong"]
 _UNKNOWN_PENALTY = 10.0  # below the lowest score, as the format defines it
 
 
@@ -77,15 +77,6 @@ class Vocabulary:
             "".join(c for c in ".,;:!?|" if c not in joined),
         )
 
-    def scores(self) -> list[str]:
-        """Scores by id, as text."""
-        known = {i: score for i, _, score in self.pieces}
-        return [repr(float(known.get(i, self.lowest))) for i in range(len(self.texts))]
-
-    def letters(self) -> str:
-        """Characters that are pieces of their own."""
-        return "".join(piece for _, piece, _ in self.pieces if len(piece) == 1)
-
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.pieces, "id int, piece string, score double")
 
@@ -104,45 +95,45 @@ def words_of(text: Column, vocabulary: Vocabulary) -> Column:
         F.array().cast("array<string>"))
 
 
-def _table(values: list[str], kind: str) -> Column:
-    """A constant array, one entry per id; the vocabulary's file bounds it."""
-    return F.split(F.lit(" ".join(values)), " ").cast(f"array<{kind}>")
-
-
 def edges(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``edge`` for every piece at every place of every word: end, start, then id, in one number.
+    """The rows of ``words`` once for every ``edge`` of their ``word``, a piece at a place.
 
-    Every substring of up to the longest piece is exploded and joined to the pieces.
+    Every substring of up to the longest piece is exploded and joined to the pieces. A
+    character that is no piece has an edge of its own, its number a negative one. A row
+    whose word is null stays, with a null edge.
     """
     size = F.length("word")
     columns = words.columns
     # Two plain generators, so that nothing but numbers is made before the substring.
-    started = words.select(*columns, F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    started = words.select(
+        *columns, F.explode_outer(F.sequence(F.lit(0), size - 1)).alias("start"))
     longest = F.least(F.col("start") + vocabulary.longest, size)
-    ended = started.select(
-        *columns, "start", F.explode(F.sequence(F.col("start") + 1, longest)).alias("end"))
-    parts = ended.select(
-        *columns, (F.col("end") * 256 + F.col("start")).cast("long").alias("place"),
-        F.substr("word", F.col("start") + 1, F.col("end") - F.col("start")).alias("piece"),
-    )
+    ended = started.select(*columns, "start", F.explode_outer(
+        F.sequence(F.col("start") + 1, longest)).alias("end"))
+    parts = ended.select(*columns, "start", "end", F.substr(
+        "word", F.col("start") + 1, F.col("end") - F.col("start")).alias("piece"))
     # The pieces are bounded by the vocabulary's file, whatever the texts.
-    known = F.broadcast(vocabulary.table(words.sparkSession).select("piece", "id"))
-    return parts.join(known, "piece").select(
-        *columns, F.shiftleft("place", 32).bitwiseOR(F.col("id").cast("long")).alias("edge"))
+    known = F.broadcast(vocabulary.table(words.sparkSession))
+    unknown = F.lit(vocabulary.lowest - _UNKNOWN_PENALTY)
+    edge = F.struct(
+        (F.col("end") * 256 + F.col("start")).alias("place"),
+        F.coalesce("id", -F.ascii("piece") - 1).alias("id"),
+        F.coalesce("score", unknown).alias("score"),
+    )
+    return parts.join(known, "piece", "left").where(
+        "id IS NOT NULL OR end = start + 1 OR word IS NULL"
+    ).select(*columns, F.when(F.col("word").isNotNull(), edge).alias("edge"))
 
 
-def _best_ids(lattice: Column, size: Column, vocabulary: Vocabulary) -> Column:
+def _best_ids(lattice: Column, size: Column) -> Column:
     """Fold sorted edges into the best way to each place, then walk back from the end."""
-    scores = _table(vocabulary.scores(), "double")
     origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"),
                               F.lit(0).alias("id")))
 
     def step(ways: Column, edge: Column) -> Column:
-        start = F.shiftright(edge, 32).cast("int").bitwiseAND(F.lit(255))
-        at = F.shiftright(edge, 40).cast("int")
-        number = edge.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-        score = F.element_at(ways, start + 1)["score"] + F.element_at(scores, number + 1)
-        way = F.array(F.struct(score.alias("score"), start.alias("start"), number.alias("id")))
+        start, at = edge["place"].bitwiseAND(F.lit(255)), F.shiftright(edge["place"], 8)
+        score = F.element_at(ways, start + 1)["score"] + edge["score"]
+        way = F.array(F.struct(score.alias("score"), start.alias("start"), edge["id"].alias("id")))
         return (
             F.when(F.size(ways) == at, F.concat(ways, way))
             # Of equal ways the one whose last piece starts first, which came first, stays.
@@ -164,6 +155,25 @@ def _best_ids(lattice: Column, size: Column, vocabulary: Vocabulary) -> Column:
     )
 
 
+def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> DataFrame:
+    """``ids`` for each row of ``words``, told apart by ``keys``; its ``word`` may be null.
+
+    Words are of fewer than ``_FOLD_BELOW`` characters. Where the rows are dealt by some
+    of the keys, exploding them and meeting the broadcast pieces leaves them where
+    they are, and the edges are gathered without a shuffle. Negative ids stand for
+    characters that are no piece: one less than minus their code point.
+    """
+    kept = [F.first(c, ignorenulls=True).alias(c)
+            for c in words.columns if c != "word" and c not in keys]
+    size = [] if "word" in keys else [F.first(F.length("word")).alias("_size")]
+    gathered = edges(words, vocabulary).groupBy(*keys).agg(
+        *kept, *size, F.sort_array(F.collect_list("edge")).alias("_edges"))
+    length = F.length("word") if "word" in keys else F.col("_size")
+    return gathered.withColumn(
+        "ids", F.when(length > 0, _best_ids(F.col("_edges"), length))
+    ).drop("_edges", "_size")
+
+
 def _plain_ids(word: str, by_piece: dict[str, tuple[int, float]], vocabulary: Vocabulary) -> list:
     """The same for one long word, in time proportional to its length."""
     n = len(word)
@@ -187,60 +197,67 @@ def _plain_ids(word: str, by_piece: dict[str, tuple[int, float]], vocabulary: Vo
     return [i for ids in reversed(parts) for i in ids]
 
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``ids`` for each row of ``words``; its ``word`` is distinct and not empty.
+def _spelled(ids: list[int], vocabulary: Vocabulary) -> list[int]:
+    """Ids with bytes in place of characters that are no piece."""
+    if min(ids, default=0) >= 0:
+        return ids
+    return [b for i in ids for b in (
+        [i] if i >= 0 else [vocabulary.byte_ids[x] for x in chr(-i - 1).encode()])]
 
-    The rows are dealt out by word once. Exploding them and meeting the broadcast
-    pieces leaves them where they are, so the edges are gathered without a shuffle.
-    Words that are very long, or have a character that is no piece, are few and go
-    through a loop over the same lattice.
-    """
-    unknown = F.length(F.translate("word", vocabulary.letters(), "")) > 0
-    looped_too = unknown | (F.length("word") >= _FOLD_BELOW)
-    kept = [F.first(c).alias(c) for c in words.columns if c != "word"]
-    folded = edges(words.where(~looped_too), vocabulary).groupBy("word").agg(
-        *kept, F.sort_array(F.collect_list("edge")).alias("_edges")
-    ).withColumn("ids", _best_ids(F.col("_edges"), F.length("word"), vocabulary)).drop("_edges")
-    shared = words.sparkSession.sparkContext.broadcast(vocabulary)
-
-    @F.pandas_udf("array<int>")
-    def looped(many: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        by_piece = {piece: (i, score) for i, piece, score in shared.value.pieces}
-        for series in many:
-            yield series.map(lambda word: _plain_ids(word, by_piece, shared.value))
 
-    return folded.unionByName(words.where(looped_too).withColumn("ids", looped("word")))
+def _text(ids: list[int], vocabulary: Vocabulary) -> bytes:
+    known = len(vocabulary.texts)
+    spelled = b"".join([vocabulary.texts[i] for i in ids if 0 <= i < known])
+    return spelled.replace(SPACE.encode(), b" ").removeprefix(b" ")
 
 
-def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The text of ids, the space at its start left out.
+def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
+    """``encoded`` with the ``text`` of its ids, the space at its start left out.
 
     Characters that were spelled in bytes come back. Unknown and control ids have no
-    text, nor have ids outside the vocabulary; null ids give null.
+    text, nor have ids outside the vocabulary or null ones; null for ``ids`` gives null, and so
+    do bytes that are no text.
     """
-    # An entry without bytes must not vanish between the blanks of the constant.
-    spelled = _table([f"-{t.hex()}" for t in vocabulary.texts], "string")
-    digits = F.array_join(F.transform(ids, lambda i: F.when(
-        i.between(0, len(vocabulary.texts) - 1), F.substr(F.element_at(spelled, i + 1), F.lit(2)))), "")
-    text = F.replace(F.unhex(digits).cast("string"), F.lit(SPACE), F.lit(" "))
-    return F.when(F.startswith(text, F.lit(" ")), F.substr(text, F.lit(2))).otherwise(text)
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.arrow_udf("binary")
+    def texts(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for many in lists:
+            yield pa.array(
+                (None if own.as_py() is None else _text([i for i in own.as_py() if i is not None], shared.value)
+                 for own in many), pa.binary())
 
+    spelled = texts(F.col(ids).cast("array<int>"))
+    return encoded.withColumn("text", F.when(F.is_valid_utf8(spelled.cast("string")), spelled.cast("string")))
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
-           doc_id: str = "doc_id") -> DataFrame:
-    """``(row key, ids)``: all ids of a text in order, one row per distinct row.
 
-    Words meet the dictionary of distinct words and are put together again by text.
-    A text's ids are gathered in one row, as its characters were.
+@dataclass(frozen=True)
+class _Shared:
+    """Ids of the frequent words, one list after the other."""
+
+    names: pa.Array
+    first: np.ndarray
+    size: np.ndarray
+    ids: np.ndarray
+
+
+def _counted(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``(word, n)``, counted where the texts are read; words seen once in a batch are left out.
+
+    It only has to find words that are worth sharing, so it need not be exact.
     """
-    rows = docs.select(*row_key(doc_id, text), words_of(F.col(text).cast("string"), vocabulary)
-                       .alias("_words")).dropDuplicates(ROW_KEY)
-    placed = rows.select(*ROW_KEY, F.posexplode_outer("_words").alias("place", "word"))
-    words = placed.where("word IS NOT NULL").select("word").distinct()
-    known = settle(encode_words(words, vocabulary), "encoded-words")
-    return placed.join(known, "word", "left").groupBy(*ROW_KEY).agg(
-        F.flatten(F.array_sort(F.collect_list(F.struct("place", "ids")))["ids"]).alias("ids")
-    )
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pc.value_counts(batch.column(0).flatten())
+            found = pa.RecordBatch.from_arrays(
+                [found.field("values"), found.field("counts")], ["word", "n"])
+            yield found.filter(pc.and_(pc.greater(found.column("n"), 1), pc.less(
+                pc.utf8_length(found.column("word")), _SHARED_BELOW)))
+
+    words = texts.select(words_of(F.col("text"), vocabulary).alias("words"))
+    return words.mapInArrow(of_batches, "word string, n bigint").groupBy("word").agg(
+        F.sum("n").alias("n"))
 
 
 def _frequent(known: DataFrame, most: int) -> DataFrame:
@@ -252,114 +269,164 @@ def _frequent(known: DataFrame, most: int) -> DataFrame:
         if total > most:
             break
         least = r.step
-    return known.where((F.floor(F.log2("n")) >= least) & (F.length("word") < 64))
+    return known.where(F.floor(F.log2("n")) >= least).select("word")
+
+
+def _shared(texts: DataFrame, vocabulary: Vocabulary, most: int) -> _Shared:
+    counted = settle(_counted(texts, vocabulary), "word-counts")
+    # Dealt by word here, so that its edges stay together.
+    dealt = _frequent(counted, most).repartition("word")
+    found = settle(encode_words(dealt, ["word"], vocabulary), "frequent-words").toArrow()
+    lists = [_spelled(ids, vocabulary) for ids in found.column("ids").to_pylist()]
+    size = np.array([len(ids) for ids in lists], np.int64)
+    return _Shared(
+        pa.array(found.column("word").to_pylist(), pa.string()), np.cumsum(size) - size, size,
+        np.array([i for ids in lists for i in ids], np.int32),
+    )
 
 
-def mark(ids: Column) -> Column:
-    """24 bits that stand for the ids of a word."""
-    return F.crc32(F.array_join(ids.cast("array<string>"), " ").cast("binary")).bitwiseAND(
-        F.lit(0xFFFFFF).cast("long"))
+def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of many stretches, one after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
 
 
-def _summed(batch: pa.RecordBatch, numbered_from: int, names: pa.Array,
-            numbers: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Sums over the shared words of each row, and the other words with their places."""
-    words = batch.column(1)
+def _looked_up(words: pa.ListArray, shared: _Shared, by_piece: dict, vocabulary: Vocabulary) -> pa.Array:
+    """Ids of each row's words, compressed, and the words that are not shared, in order.
+
+    In the ids the k-th of these stands as ``-k``, counted from 1. Words too long for the
+    fold get their ids here.
+    """
+    flat = words.flatten()
     ends = words.offsets.to_numpy().astype(np.int64)
-    flat = words.values.slice(ends[0], ends[-1] - ends[0])
     ends = ends - ends[0]
-    at = pc.index_in(flat, value_set=names).fill_null(len(names)).to_numpy()
-    size = np.diff(ends)
-    place = np.arange(len(flat)) - np.repeat(ends[:-1], size)
-
-    def per_row(values: np.ndarray) -> pa.Array:
-        running = np.concatenate(([0], np.cumsum(values)))
-        return pa.array(running[ends[1:]] - running[ends[:-1]], pa.int64())
-
-    other = np.flatnonzero(at == len(names))
-    rest = pa.ListArray.from_arrays(
-        pa.array(np.searchsorted(other, ends), pa.int32()),
-        pa.StructArray.from_arrays([pa.array(place[other], pa.int32()), flat.take(pa.array(other))],
-                                   ["place", "word"]),
-    )
-    wrong = per_row(numbers["wrong"][at]).to_numpy() + batch.column(2).to_numpy()
-    row = pa.array(np.arange(numbered_from, numbered_from + batch.num_rows))
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), row, pa.array(size, pa.int64()), per_row(numbers["pieces"][at]),
-         per_row(numbers["spelled"][at]), per_row((place % 1009 + 1) * numbers["mark"][at]),
-         pa.array(wrong, pa.int64()), rest],
-        ["doc_id", "row", *_SUMS, "rest"],
-    )
-
-
-def summarize(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id",
-              most_shared: int = 400_000) -> DataFrame:
-    """Per row: ``n_words``, ``n_pieces``, ``n_spelled``, ``checksum``, ``round_trip``.
-
-    ``n_spelled`` counts byte pieces, ``checksum`` adds up the words' ``mark`` times
-    their place (from 1, modulo 1009), ``round_trip`` tells whether decoding the ids
-    gives the text back. It does unless the text holds the mark for spaces itself.
-
-    Most words of a text are frequent: up to ``most_shared`` of them, of fewer than
-    64 characters, are broadcast, and a text is summed where it is read. Only the
-    other words travel to the dictionary. Null and empty texts have no pieces;
-    repeated rows stay repeated.
+    at = pc.index_in(flat, value_set=shared.names).fill_null(len(shared.names)).to_numpy()
+    first, size = np.append(shared.first, 0)[at], np.append(shared.size, 0)[at]
+    other = np.flatnonzero(at == len(shared.names))
+    rows = np.searchsorted(ends, other, side="right") - 1
+    added, rare, rare_ends = [], [], np.zeros(len(words) + 1, np.int64)
+    numbers: dict[str, int] = {}
+    row_now = -1
+    for place, row, word in zip(other.tolist(), rows.tolist(), flat.take(pa.array(other)).to_pylist()):
+        if row != row_now:
+            numbers, row_now = {}, row
+        if len(word) < _FOLD_BELOW:
+            number = numbers.get(word)
+            if number is None:
+                number = numbers[word] = len(numbers) + 1
+                rare.append(word)
+                rare_ends[row + 1] += 1
+            own = [-number]
+        else:
+            own = _plain_ids(word, by_piece, vocabulary)
+        first[place], size[place] = len(shared.ids) + len(added), len(own)
+        added += own
+    ids = np.concatenate((shared.ids, np.array(added, np.int32)))[_ragged(first, size)]
+    running = np.concatenate(([0], np.cumsum(size)))
+    packed = zstandard.ZstdCompressor(level=1)
+    return pa.StructArray.from_arrays([
+        pa.array([packed.compress(ids[a:b].tobytes())
+                  for a, b in zip(running[ends[:-1]], running[ends[1:]])], pa.binary()),
+        pa.ListArray.from_arrays(pa.array(np.cumsum(rare_ends), pa.int32()), pa.array(rare, pa.string())),
+    ], ["ids", "rare"])
+
+
+def _filled(ids: np.ndarray, found: list[list[int]], vocabulary: Vocabulary) -> np.ndarray:
+    """Ids with those of the words that were not shared in their places."""
+    if not found:
+        return ids
+    lists = [_spelled(own, vocabulary) for own in found]
+    sizes = np.array([len(own) for own in lists], np.int64)
+    starts = len(ids) + np.cumsum(sizes) - sizes
+    size, first = np.ones(len(ids), np.int64), np.arange(len(ids))
+    gaps = np.flatnonzero(ids < 0)
+    number = -ids[gaps].astype(np.int64) - 1
+    size[gaps], first[gaps] = sizes[number], starts[number]
+    return np.concatenate((ids, np.array([i for own in lists for i in own], np.int32)))[_ragged(first, size)]
+
+
+def _finished(batch: pa.Array, found: pa.Array, marks: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    lowest, highest = min(vocabulary.byte_ids), max(vocabulary.byte_ids)
+    every, ends, spelled, same = [], [0], [], []
+    packed = zstandard.ZstdDecompressor()
+    for ids, lists, mark in zip(batch, found, marks):
+        own = np.frombuffer(packed.decompress(ids.as_py()), np.int32)
+        own = _filled(own, lists.as_py() or [], vocabulary)
+        every.append(own)
+        ends.append(ends[-1] + len(own))
+        spelled.append(int(((own >= lowest) & (own <= highest)).sum()))
+        text = _text(own.tolist(), vocabulary)
+        same.append(xxhash.xxh64_intdigest(text, 42) == mark.as_py() % (1 << 64))
+    flat = np.concatenate(every) if every else np.zeros(0, np.int32)
+    return pa.StructArray.from_arrays([
+        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
+        pa.array(spelled, pa.int64()), pa.array(same, pa.bool_()),
+    ], ["ids", "spelled", "same"])
+
+
+def _in_parts(length: int) -> Iterator[int]:
+    return range(0, max(length, 1), _ROWS_AT_ONCE)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id",
+           most_shared: int = 1 << 19) -> DataFrame:
+    """``(doc_id, ids, n_spelled, round_trip)`` of every row: all ids of its text, in order.
+
+    ``n_spelled`` counts ids that spell a byte. ``round_trip`` tells whether the ids,
+    decoded, are the text again, byte for byte, by its 64-bit hash; it is so unless the text
+    holds the mark for spaces itself.
+
+    Up to ``most_shared`` frequent words, of fewer than 64 characters each, are encoded
+    first and broadcast. A text's shared words are looked up where it is read. Its ids, in
+    compressed form, and its other words are then dealt out by row, the one large shuffle.
+    There each word meets the pieces, and the edges are gathered by text and word, folded,
+    and put in their places, all in one stage.
+    A text that is very long is one row with as many ids. Null and empty texts have no ids;
+    repeated rows stay repeated. An empty table gives an empty result.
     """
-    own_words = words_of(F.col(text).cast("string"), vocabulary)
-    counted = settle(
-        docs.select(F.explode(own_words).alias("word")).groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n")), "words",
+    plain = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), plain.alias("text"))
+    context = docs.sparkSession.sparkContext
+    known = context.broadcast((_shared(texts, vocabulary, most_shared), vocabulary))
+
+    @F.arrow_udf("struct<ids:binary,rare:array<string>>")
+    def looked_up(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        shared, own = known.value
+        by_piece = {piece: (i, score) for i, piece, score in own.pieces}
+        for words in lists:
+            yield pa.concat_arrays([_looked_up(words.slice(at, _ROWS_AT_ONCE), shared, by_piece, own)
+                                    for at in _in_parts(len(words))])
+
+    @F.arrow_udf("struct<ids:array<int>,spelled:bigint,same:boolean>")
+    def finished(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for many in columns:
+            yield pa.concat_arrays([_finished(*(c.slice(at, _ROWS_AT_ONCE) for c in many), known.value[1])
+                                    for at in _in_parts(len(many[0]))])
+
+    numbered = texts.withColumn("_row", F.monotonically_increasing_id())
+    looked = numbered.select("doc_id", "_row", F.xxhash64("text").alias("mark"),
+                          looked_up(words_of(F.col("text"), vocabulary)).alias("own"))
+    # Each text goes on as a row of its own, number 0, beside the rows of its words.
+    held = F.struct("doc_id", "mark", F.col("own.ids").alias("ids"))
+    whole = F.struct(F.lit(None).cast("string").alias("word"), held.alias("text"))
+    nothing = F.lit(None).cast(looked.select(held.alias("t")).schema["t"].dataType)
+    words = F.transform("own.rare", lambda w: F.struct(w.alias("word"), nothing.alias("text")))
+    rows = looked.select("_row", F.posexplode(F.concat(F.array(whole), words)).alias("k", "e")).select(
+        "_row", "k", "e.word", F.col("e.text").alias("held")).repartition("_row")
+    folded = encode_words(rows, ["_row", "k"], vocabulary)
+    by_text = folded.groupBy("_row").agg(
+        F.first("held", ignorenulls=True).alias("held"),
+        F.sort_array(F.collect_list(F.when(F.col("k") > 0, F.struct("k", "ids")))).alias("found"),
     )
-    # A word becomes some twenty edges, which its size on file does not tell.
-    dealt = counted.repartition(1 + counted.count() // _WORDS_A_TASK, "word")
-    spelled = F.size(F.filter("ids", lambda i: i.between(min(vocabulary.byte_ids),
-                                                         max(vocabulary.byte_ids))))
-    whole = F.concat(F.when(F.startswith("word", F.lit(SPACE)), SPACE).otherwise(""),
-                     F.replace(decoded(F.col("ids"), vocabulary), F.lit(" "), F.lit(SPACE)))
-    # In two steps, as plans with the tables of the vocabulary are long to describe.
-    encoded = settle(encode_words(dealt, vocabulary), "encoded-words")
-    values = settle(encoded.select(
-        "word", "n", F.size("ids").alias("pieces"), spelled.alias("spelled"),
-        mark(F.col("ids")).alias("mark"), (whole != F.col("word")).cast("int").alias("wrong"),
-    ), "word-values")
-    frequent = _frequent(values, most_shared).drop("n").toArrow().combine_chunks()
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    done = by_text.select("held.doc_id", finished(
+        F.col("held.ids"), F.transform("found", lambda x: x["ids"]), F.col("held.mark")).alias("d"))
+    return done.select("doc_id", F.col("d.ids").alias("ids"), F.col("d.spelled").alias("n_spelled"),
+                       F.col("d.same").alias("round_trip"))
 
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Zeros at the end stand for words that are not shared.
-        known = shared.value
-        names = known.column("word").combine_chunks()
-        numbers = {c: np.append(known.column(c).to_numpy().astype(np.int64), 0)
-                   for c in ("pieces", "spelled", "mark", "wrong")}
-        # Rows get their numbers here and keep them in the table that is written.
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
-                part = batch.slice(start, _ROWS_AT_ONCE)
-                yield _summed(part, row, names, numbers)
-                row += part.num_rows
-
-    kind = docs.schema[doc_id].dataType.simpleString()
-    parts = settle(docs.select(
-        F.col(doc_id).alias("doc_id"), own_words.alias("_words"),
-        # A text with the mark for spaces comes back with spaces.
-        F.coalesce(F.contains(F.col(text).cast("string"), F.lit(SPACE)).cast("int"), F.lit(0)),
-    ).mapInArrow(of_batches, (
-        f"doc_id {kind}, row bigint, "
-        + ", ".join(f"{c} bigint" for c in _SUMS) + ", rest array<struct<place:int,word:string>>"
-    )), "piece-sums")
-    rare = parts.where(F.size("rest") > 0).select("row", F.explode("rest").alias("_r"))
-    more = rare.select("row", "_r.*").join(values.drop("n"), "word").groupBy("row").agg(
-        F.sum("pieces").alias("_pieces"), F.sum("spelled").alias("_spelled"),
-        F.sum((F.col("place") % 1009 + 1) * F.col("mark")).alias("_checksum"),
-        F.sum("wrong").alias("_wrong"),
-    )
-    added = lambda c: (F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c)
-    return parts.drop("rest").join(more, "row", "left").select(
-        "doc_id", "words", added("pieces"), added("spelled"), added("checksum"),
-        added("wrong"),
-    ).select(
-        "doc_id", F.col("words").alias("n_words"), F.col("pieces").alias("n_pieces"),
-        F.col("spelled").alias("n_spelled"), "checksum", (F.col("wrong") == 0).alias("round_trip"),
-    )
 
+def summarize(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id",
+              most_shared: int = 1 << 19) -> DataFrame:
+    """``encode`` with the number of ids: ``(doc_id, n_pieces, n_spelled, ids, round_trip)``."""
+    found = encode(docs, vocabulary, text, doc_id, most_shared)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "n_spelled", "ids",
+                        "round_trip")
