@@ -1,15 +1,17 @@
 """How far the sources of a language are apart in the terms they use.
 
-Terms are counted by ``CountVectorizer`` models, whose sparse document vectors are
-summed by group; the sums are compared pair by pair over the terms that occur.
+``CountVectorizer`` models learn the terms of each language; the documents' sparse vectors
+over them are summed by group, and the sums are compared pair by pair over the terms that occur.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,94 +34,111 @@ BLOCK_TERMS = 1 << 22
 
 def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang",
                    source: str = "source") -> DataFrame:
-    """``(lang, source, tokens, kinds)`` of every row; nulls are empty.
+    """``(lang, source, tokens, counts)`` of every row; nulls are empty.
 
-    ``tokens`` are the terms in order, each marked by the language, ``kinds`` the same
-    without repeats.
+    ``tokens`` are the different terms, each marked by the language, ``counts`` how often
+    the text has them.
     """
 
-    def lists(ends: list[int], found: list[bytes]) -> pa.Array:
-        return pa.ListArray.from_arrays(
-            pa.array(ends, pa.int32()), pa.array(found, pa.binary()).cast(pa.string()))
-
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start, ends, tokens, kind_ends, kinds = 0, [0], [], [0], []
+            start, ends, tokens, counts = 0, [0], [], []
             for row, (name, value) in enumerate(zip(batch.column(0), batch.column(2))):
+                own = Counter(value.as_py().encode().translate(_TERM_BYTES).split())
                 mark = (name.as_py() + _MARK).encode()
-                own = [mark + t for t in value.as_py().encode().translate(_TERM_BYTES).split()]
-                tokens += own
-                kinds += dict.fromkeys(own)
+                tokens += [mark + t for t in own]
+                counts += own.values()
                 ends.append(len(tokens))
-                kind_ends.append(len(kinds))
                 if len(tokens) >= _AT_ONCE or row == len(batch) - 1:
-                    rows = batch.slice(start, row + 1 - start)
+                    rows, offsets = batch.slice(start, row + 1 - start), pa.array(ends, pa.int32())
+                    marked = pa.array(tokens, pa.binary()).cast(pa.string())
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column(0), rows.column(1), lists(ends, tokens), lists(kind_ends, kinds)],
-                        ["lang", "source", "tokens", "kinds"])
-                    start, ends, tokens, kind_ends, kinds = row + 1, [0], [], [0], []
+                        [rows.column(0), rows.column(1), pa.ListArray.from_arrays(offsets, marked),
+                         pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64()))],
+                        ["lang", "source", "tokens", "counts"])
+                    start, ends, tokens, counts = row + 1, [0], [], []
 
     plain = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c)
              for c in (lang, source, text)]
     return docs.select(*plain).mapInArrow(
-        of_batches, "lang string, source string, tokens array<string>, kinds array<string>"
+        of_batches, "lang string, source string, tokens array<string>, counts array<bigint>"
     )
 
 
 def _tokens(documents: DataFrame, block_terms: int) -> tuple[DataFrame, int]:
-    """``(lang, source, block, tokens, kinds)``: terms marked by their language, in blocks.
+    """The documents with terms, their terms dealt into blocks, and the number of blocks.
 
     A model's vocabulary is held by the driver and by every executor. So terms are
     dealt by hash into blocks of some ``block_terms`` different ones, of which a model
     keeps fewer; a document is a row in each block that it has terms of.
     """
-    marked = documents.where(F.size("tokens") > 0)
-    different = marked.select(F.explode("kinds").alias("t")).agg(
+    held = documents.where(F.size("tokens") > 0)
+    different = held.select(F.explode("tokens").alias("t")).agg(
         F.approx_count_distinct("t").alias("n")
     ).first().n
     blocks = max(1, -(-different // block_terms))
     if blocks == 1:
-        return marked.withColumn("block", F.lit(0)), 1
-    def of_block(terms: str, b: Column) -> Column:
-        return F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(blocks)) == b).alias(terms)
-
+        return held.withColumn("block", F.lit(0)), 1
+    pairs = F.arrays_zip("tokens", "counts")
     dealt = F.transform(
         F.sequence(F.lit(0), F.lit(blocks - 1)),
-        lambda b: F.struct(b.alias("block"), of_block("tokens", b), of_block("kinds", b)),
-    )
-    by_block = marked.select("lang", "source", F.explode(dealt).alias("part")).select(
-        "lang", "source", "part.*"
+        lambda b: F.struct(b.alias("block"), F.filter(
+            pairs, lambda x: F.pmod(F.xxhash64(x["tokens"]), F.lit(blocks)) == b).alias("held")),
     )
+    by_block = held.select("lang", "source", F.explode(dealt).alias("part")).select(
+        "lang", "source", "part.block", F.col("part.held.tokens").alias("tokens"),
+        F.col("part.held.counts").alias("counts"))
     return settle(by_block.where(F.size("tokens") > 0), "term-blocks", by=["block"]), blocks
 
 
-def _summed(vectors: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``(lang, source, term, n)``: sums of sparse vectors per batch and group, entry by entry."""
-    shared = vectors.sparkSession.sparkContext.broadcast(vocabulary)
+def vector_sums(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``(lang, source, place, n)``: the documents' vectors over the vocabulary, summed by group.
+
+    A document's vector has its count of each term at the term's place, and no entry for
+    terms the vocabulary lacks. Vectors are added up within a batch of documents first.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = pa.array((w.rpartition(_MARK)[2] for w in shared.value), pa.string())
+        words = pa.array(shared.value, pa.string())
         for batch in batches:
             groups: dict[tuple, int] = {}
             codes = np.array([groups.setdefault(g, len(groups)) for g in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist())], np.int64)
-            indices, values = batch.column(2).field("indices"), batch.column(2).field("values")
-            size = np.diff(indices.offsets.to_numpy())
-            cells = np.repeat(codes, size) * len(words) + indices.flatten().to_numpy()
-            found, place = np.unique(cells, return_inverse=True)
-            # Sums of whole numbers, exact below 2^53 in a batch.
-            sums = np.bincount(place, values.flatten().to_numpy(), len(found)).astype(np.int64)
+            code = np.repeat(codes, np.diff(batch.column(2).offsets.to_numpy()))
+            at = pc.index_in(batch.column(2).flatten(), value_set=words)
+            in_vector = pc.is_valid(at).to_numpy(zero_copy_only=False)
+            cells = code[in_vector] * len(words) + at.drop_null().to_numpy()
+            order = np.argsort(cells)
+            cells, counts = cells[order], batch.column(3).flatten().to_numpy()[in_vector][order]
+            first = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1]))[:len(cells)])
+            sums = np.add.reduceat(counts, first) if len(first) else counts
+            found = cells[first]
             langs, sources = zip(*groups) if groups else ((), ())
-            code = pa.array(found // len(words))
+            code = pa.array(found // max(1, len(words)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()).take(code), pa.array(sources, pa.string()).take(code),
-                 words.take(pa.array(found % len(words))), pa.array(sums)],
-                ["lang", "source", "term", "n"],
+                 pa.array((found % max(1, len(words))).astype(np.int32)), pa.array(sums, pa.int64())],
+                ["lang", "source", "place", "n"],
             )
 
-    return vectors.select("lang", "source", "vector").mapInArrow(
-        of_batches, "lang string, source string, term string, n bigint"
-    )
+    vectors = documents.select("lang", "source", "tokens", "counts").mapInArrow(
+        of_batches, "lang string, source string, place int, n bigint")
+    return vectors.groupBy("lang", "source", "place").agg(F.sum("n").alias("n"))
+
+
+def _named(sums: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``(lang, source, term, n)``: terms in place of their places."""
+    shared = sums.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array((w.rpartition(_MARK)[2] for w in shared.value), pa.string())
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), words.take(batch.column(2)), batch.column(3)],
+                ["lang", "source", "term", "n"])
+
+    return sums.mapInArrow(of_batches, "lang string, source string, term string, n bigint")
 
 
 def group_counts(documents: DataFrame, least_docs: int = 10,
@@ -127,25 +146,22 @@ def group_counts(documents: DataFrame, least_docs: int = 10,
     """``(lang, source, term, n)`` of the kept terms that occur in a group.
 
     A language keeps the terms in at least ``least_docs`` of its documents. One model
-    per block counts the terms of all languages, each marked by its language, without
-    a limit to the vocabulary; its vectors are summed by group, entry by entry, first
-    within each task, so that a group with most of the documents costs no more.
+    per block learns the vocabulary of all languages, each term marked by its language,
+    without a limit to its size; the documents' vectors over it are summed by group, entry
+    by entry, first within each batch, so that a group with most of the documents costs no more.
     """
     spark = documents.sparkSession
     tokens, blocks = _tokens(documents, block_terms)
     # A model must keep something: this token is in just enough documents, and in none of ours.
-    anchor = spark.range(least_docs).select(F.array(F.lit("")).alias("kinds"))
+    anchor = spark.range(least_docs).select(F.array(F.lit("")).alias("tokens"))
     sums = []
     for block in range(blocks):
         own = tokens.where(F.col("block") == block)
         # How often a document has a term does not matter to the vocabulary.
-        model = CountVectorizer(
-            inputCol="kinds", outputCol="vector", minDF=float(least_docs), vocabSize=_EVERY_TERM
-        ).fit(own.select("kinds").union(anchor)).setInputCol("tokens")
-        entries = _summed(model.transform(own), model.vocabulary)
-        sums.append(settle(
-            entries.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "group-sums"
-        ))
+        vocabulary = CountVectorizer(
+            inputCol="tokens", outputCol="vector", minDF=float(least_docs), vocabSize=_EVERY_TERM
+        ).fit(own.select("tokens").union(anchor)).vocabulary
+        sums.append(settle(_named(vector_sums(own, vocabulary), vocabulary), "group-sums"))
     whole = sums[0]
     for part in sums[1:]:
         whole = whole.union(part)
