@@ -91,3 +91,17 @@ def test_verdicts_follow_links(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert op.judge(df, RULES).count() == 0 and op.judge(df, []).count() == 0
+
+
+def test_a_page_of_open_tags_takes_no_longer_than_its_length(spark):
+    import time
+
+    page = "<link rel=canonical " * 50_000 + "<meta http-equiv=refresh " * 20_000
+    df = spark.createDataFrame([(1, "http://a.com/x", page), (2, "http://a.com/y", page + "href=/z url=/w>")],
+                               "page_id long, url string, html string")
+    op.page_targets(df.limit(0)).collect()
+    start = time.time()
+    found = {r.page_id: (r.link, r.refresh) for r in op.page_targets(df).collect()}
+    assert time.time() - start < 20
+    # Nothing closes the first tag, so it holds all that follows.
+    assert found == {1: (None, None), 2: ("/z", None)}

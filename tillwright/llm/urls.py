@@ -61,15 +61,26 @@ def _absolute(link: Column, url: Column) -> Column:
     )
 
 
-def page_links(html: Column, url: Column) -> Column:
-    """Targets of a page's canonical link and of its refresh, as an array without nulls."""
-    link = F.regexp_extract(
-        html, r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?"""
-        r"""([^"'\s>]+)""", 1)
-    refresh = F.regexp_extract(
-        html, r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*"""
-        r"""["']?([^"'\s>]+)""", 1)
-    return F.array_compact(F.array(_absolute(link, url), _absolute(refresh, url)))
+def page_targets(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` with ``link`` and ``refresh``: where a page's canonical link and its refresh go.
+
+    The tags are cut out once, in one walk over the page that never turns back; each is then
+    looked at by itself. Null where there is none.
+    """
+    tags = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<(?:link|meta)\b[^>]*+"), F.lit(0))
+
+    def target(tag: str, mark: str, place: str) -> Column:
+        fits = F.filter("_tags", lambda t: (
+            F.lower(F.substr(t, F.lit(2), F.lit(4))) == tag) & t.rlike(mark) & t.rlike(place))
+        return F.regexp_extract(F.get(fits, F.lit(0)), place, 1)
+
+    return pages.withColumn("_tags", tags).select(
+        *pages.columns,
+        target("link", r"""(?is)\brel\s*+=\s*+["']?canonical\b""",
+               r"""(?is)\bhref\s*+=\s*+["']?([^"'\s>]+)""").alias("link"),
+        target("meta", r"""(?is)\bhttp-equiv\s*+=\s*+["']?refresh\b""",
+               r"""(?is)\burl\s*+=\s*+["']?([^"'\s>]+)""").alias("refresh"),
+    )
 
 
 def fitting_rules(urls: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -119,10 +130,10 @@ def judge(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = Non
     block rule blocks it, else it is allowed. A null url has neither host nor
     equivalents and is allowed. Repeated pages stay repeated.
     """
-    own = settle(pages.select(
-        F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"),
-        page_links(F.col(html).cast("string"), F.col(url).cast("string")).alias("targets"),
-    ), "page-links")
+    plain = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
+                         F.col(f"`{html}`").cast("string").alias("html"))
+    own = settle(page_targets(plain).select("page_id", "url", F.array_compact(F.array(
+        *[_absolute(F.col(c), F.col("url")) for c in ("link", "refresh")])).alias("targets")), "page-links")
     hops = own.select(F.col("url").alias("a"), F.explode("targets").alias("b"))
     if redirects is not None:
         hops = hops.union(redirects.select("from_url", "to_url"))
