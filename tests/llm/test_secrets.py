@@ -32,7 +32,7 @@ def plain_spans(text, reach):
         if kind < op.BASE:
             continue
         near = {k for s, k, e in parts if s <= end + reach and e >= start - reach}
-        has_id, secret = near & {op.ACCESS, op.USER}, near & {op.ASSIGN, op.KEY}
+        has_id, secret = near & {op.ACCESS, op.USER}, near & {op.ASSIGN, op.HEX, op.KEY}
         if {op.KEY: has_id, op.USER: secret, op.ENDPOINT: has_id and secret}[kind]:
             out.append((start, kind, end))
     return sorted(out)
@@ -52,7 +52,7 @@ def test_scan(spark):
     rows = [(i, t) for i, t in enumerate(texts(2, 300))]
     rows += [(900, None), (901, ""), (902, rows[5][1]), (902, rows[5][1]), (None, rows[6][1]),
              (903, f"user=bob {'x ' * 400} {KEY}"), (904, f"user=bob {'x ' * 100} {KEY}"),
-             (905, f"{KEY} https://db.example/x"), (906, "user=bob " * 20_000 + KEY)]
+             (905, f"{KEY} https://db.example/x"), (907, f"user=bob {'0123456789abcdef' * 2}"), (906, "user=bob " * 20_000 + KEY)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
         "*", "1 AS kind", "2 AS start", "3 AS _id", "4 AS spans")
     found = op.scan(df, reach=300).collect()

@@ -100,8 +100,8 @@ def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 def linked(found: DataFrame, reach: int = 300) -> DataFrame:
     """Weak candidates with what complements them within ``reach`` characters.
 
-    A key needs an access id or a user, a user needs a key or an assignment, an
-    endpoint needs both an id and a secret. The join is by row and by stretches of
+    A key needs an access id or a user, a user needs a secret, an endpoint needs both an id
+    and a secret. Secrets are keys, assignments and long hex runs. The join is by row and by stretches of
     ``reach`` characters: a candidate, widened by the reach, meets what starts in
     its stretches or reaches into them. A stretch holds no more candidates than
     characters fit in, so a text with very many costs in proportion to its length.
@@ -116,13 +116,13 @@ def linked(found: DataFrame, reach: int = 300) -> DataFrame:
     weak = parts.where(F.col("kind") >= BASE).withColumn(
         "stretch", stretches(F.greatest(F.col("start") - reach, F.lit(0)), F.col("end") + reach)
     )
-    others = parts.where(~F.col("kind").isin(HEX, ENDPOINT)).select(
+    others = parts.where(F.col("kind") != ENDPOINT).select(
         *ROW_KEY, F.col("kind").alias("_kind"), F.col("start").alias("_start"),
         F.col("end").alias("_end"),
     ).withColumn("stretch", stretches(F.col("_start"), F.col("_end")))
     near = (F.col("_start") <= F.col("end") + reach) & (F.col("_end") >= F.col("start") - reach)
     has_id = F.max(F.col("_kind").isin(ACCESS, USER))
-    has_secret = F.max(F.col("_kind").isin(ASSIGN, KEY))
+    has_secret = F.max(F.col("_kind").isin(ASSIGN, HEX, KEY))
     met = (
         weak.join(others, [*ROW_KEY, "stretch"])
         .where(near)
