@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.llm.common import settle
+
 ORDERS = (1, 2, 3)
 UNDETERMINED = "und"
 # N-grams worked on at a time.
@@ -70,25 +72,50 @@ class Model:
     prior: np.ndarray
     table: np.ndarray
 
-    def scores(self, text: str) -> tuple[np.ndarray | None, int]:
-        """Log joint probability per language and the number of n-grams; None without letters."""
-        total, n = self.prior.copy(), 0
-        for found in buckets_of(text, len(self.table)):
-            n += len(found)
-            # A short list of n-grams is looked up one by one, a long one by its counts.
-            if len(found) < len(self.table):
-                total += self.table[found].sum(axis=0, dtype=np.float64)
-            else:
-                total += np.bincount(found, minlength=len(self.table)) @ self.table
-        return (total, n) if n else (None, 0)
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log joint probability of each text in each language, and its number of n-grams.
+
+        A batch is the product of a sparse matrix, the n-grams of each text, with the
+        table: rows of the table are added up from one text's first n-gram to the next's.
+        """
+        total = np.tile(self.prior, (len(texts), 1))
+        n = np.zeros(len(texts), np.int64)
+        rows, parts, held = [], [], 0
+
+        def add() -> None:
+            size = [len(p) for p in parts]
+            first = np.cumsum(size) - size
+            sums = np.add.reduceat(self.table[np.concatenate(parts)], first, axis=0, dtype=np.float64)
+            np.add.at(total, rows, sums)
+
+        for row, text in enumerate(texts):
+            for found in buckets_of(text, len(self.table)):
+                if not len(found):
+                    continue
+                n[row] += len(found)
+                rows.append(row)
+                parts.append(found)
+                held += len(found)
+                if held >= _AT_ONCE:
+                    add()
+                    rows, parts, held = [], [], 0
+        if parts:
+            add()
+        return total, n
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language of each text and its posterior probability; ties take the
+        first by name."""
+        if not self.languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        total, n = self.scores([t or "" for t in texts])
+        best = total.argmax(axis=1)
+        sure = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        return [(self.languages[b], float(s)) if held else (UNDETERMINED, 0.0)
+                for b, s, held in zip(best.tolist(), sure.tolist(), n.tolist())]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its posterior probability; ties take the first by name."""
-        found, _ = self.scores(text or "")
-        if found is None or not self.languages:
-            return UNDETERMINED, 0.0
-        best = int(found.argmax())
-        return self.languages[best], float(1.0 / np.exp(found - found[best]).sum())
+        return self.predict_all([text])[0]
 
 
 def _count_batches(buckets: int):
@@ -123,9 +150,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string"), F.col(text).cast("string")
     )
-    counted = labelled.mapInArrow(
+    # Asked for twice, computed once.
+    counted = settle(labelled.mapInArrow(
         _count_batches(buckets), "lang string, bucket bigint, n bigint"
-    ).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    ).groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "gram-counts")
     languages = [r.lang for r in counted.where(F.col("bucket") == buckets).select("lang")
                  .orderBy("lang").limit(_MAX_MATRIX_BYTES // (8 * buckets) + 1).collect()]
     if len(languages) * buckets * 8 > _MAX_MATRIX_BYTES:
@@ -152,7 +180,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id",
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column(1)]
+            found = shared.value.predict_all(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in found], pa.string()),
                  pa.array([x[1] for x in found], pa.float64())],
