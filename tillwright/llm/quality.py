@@ -192,11 +192,12 @@ LIMITS = [*[f"high_{r.name}" for r in RULES], *[f"low_{r.name}" for r in RULES i
 
 
 def thresholds(counted: DataFrame, lang: str = "lang", source: str = "source",
-               reach: float = 3.0, least_texts: int = 100) -> DataFrame:
+               reach: float = 3.0, drawn: int = 10) -> DataFrame:
     """Limits per language and source, ``(lang, source, *LIMITS)``.
 
-    A group with fewer than ``least_texts`` texts takes the limits of its language,
-    and those of all texts if the language has too few as well; they come from the
+    A group's limits are drawn to those of its language as if ``drawn`` texts had these,
+    and a language's to those of all texts; so they move without a step as a group
+    grows, and a group of few texts has nearly those of its language. All come from
     merged sketches. Texts that fail the base rules, which go anyway, are left out of
     the sketches; a group of nothing else has no limits. Null languages and sources are groups of their own.
     """
@@ -208,10 +209,13 @@ def thresholds(counted: DataFrame, lang: str = "lang", source: str = "source",
         *[F.col(c).alias(f"_{c}") for c in LIMITS],
     )
     joined = own.join(wider, F.col("lang").eqNullSafe(F.col("_lang")))
+
+    def pulled(own: Column, n: str, to: Column) -> Column:
+        return (own * F.col(n) + to * drawn) / (F.col(n) + drawn)
+
     return settle(joined.select("lang", "source", *[
-        F.when(F.col("n") >= least_texts, F.col(c))
-        .when(F.col("_n") >= least_texts, F.col(f"_{c}"))
-        .otherwise(F.lit(overall[c] if overall else None).cast("double")).alias(c)
+        pulled(F.col(c), "n", pulled(
+            F.col(f"_{c}"), "_n", F.lit(overall[c] if overall else None).cast("double"))).alias(c)
         for c in LIMITS
     ]), "thresholds")
 
@@ -232,9 +236,13 @@ def judged(docs: DataFrame, limits: DataFrame | None = None, text: str = "text",
     file; if they are large, a join by language and source, whose hot keys the
     adaptive skew join splits. Repeated rows are judged alike, an empty table gives none.
     """
-    if limits is None:
-        limits = thresholds(with_counts(docs, text, [lang, source]), lang, source, **settings)
+    # Without the text a counted row is small, so it is written and texts are counted once.
+    small = keep is not None and text not in keep and {lang, source} <= set(keep)
     counted = with_counts(docs, text, keep)
+    counted = settle(counted, "counted") if small else counted
+    if limits is None:
+        of_groups = counted if small else with_counts(docs, text, [lang, source])
+        limits = thresholds(of_groups, lang, source, **settings)
     fine = F.lit(True)
     for rule in RULES:
         # One symbol or one repeated line says nothing, however rare it is in the group.
