@@ -163,12 +163,13 @@ def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> D
     they are, and the edges are gathered without a shuffle. Negative ids stand for
     characters that are no piece: one less than minus their code point.
     """
-    kept = [F.first(c, ignorenulls=True).alias(c)
-            for c in words.columns if c != "word" and c not in keys]
-    size = [] if "word" in keys else [F.first(F.length("word")).alias("_size")]
-    gathered = edges(words, vocabulary).groupBy(*keys).agg(
-        *kept, *size, F.sort_array(F.collect_list("edge")).alias("_edges"))
-    length = F.length("word") if "word" in keys else F.col("_size")
+    sized = words.withColumn("_size", F.length("word"))
+    kept = [c for c in sized.columns if c != "word" and c not in keys]
+    # The word itself is not carried along, unless it is a key.
+    gathered = edges(sized, vocabulary).select(*keys, *kept, "edge").groupBy(*keys).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in kept],
+        F.sort_array(F.collect_list("edge")).alias("_edges"))
+    length = F.col("_size")
     return gathered.withColumn(
         "ids", F.when(length > 0, _best_ids(F.col("_edges"), length))
     ).drop("_edges", "_size")
@@ -261,15 +262,19 @@ def _counted(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def _frequent(known: DataFrame, most: int) -> DataFrame:
-    """The most frequent words, by powers of two of their counts, no more than ``most``."""
-    steps = known.groupBy(F.floor(F.log2("n")).alias("step")).agg(F.count(F.lit(1)).alias("words"))
-    least, total = 64, 0
-    for r in sorted(steps.collect(), key=lambda r: -r.step):  # 64 rows at most
+    """The most frequent words, no more than ``most``.
+
+    All words of a count go in or none; counts from 1000 on go by powers of two.
+    """
+    step = F.when(F.col("n") < 1000, F.col("n")).otherwise(1000 + F.floor(F.log2("n")))
+    steps = known.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"))
+    least, total = 2000, 0
+    for r in sorted(steps.collect(), key=lambda r: -r.step):  # 1,064 rows at most
         total += r.words
         if total > most:
             break
         least = r.step
-    return known.where(F.floor(F.log2("n")) >= least).select("word")
+    return known.where(step >= least).select("word")
 
 
 def _shared(texts: DataFrame, vocabulary: Vocabulary, most: int) -> _Shared:
@@ -277,12 +282,20 @@ def _shared(texts: DataFrame, vocabulary: Vocabulary, most: int) -> _Shared:
     # Dealt by word here, so that its edges stay together.
     dealt = _frequent(counted, most).repartition("word")
     found = settle(encode_words(dealt, ["word"], vocabulary), "frequent-words").toArrow()
-    lists = [_spelled(ids, vocabulary) for ids in found.column("ids").to_pylist()]
-    size = np.array([len(ids) for ids in lists], np.int64)
-    return _Shared(
-        pa.array(found.column("word").to_pylist(), pa.string()), np.cumsum(size) - size, size,
-        np.array([i for ids in lists for i in ids], np.int32),
-    )
+    found = found.combine_chunks()
+    if not len(found):
+        return _Shared(pa.array([], pa.string()), *[np.zeros(0, np.int64)] * 2, np.zeros(0, np.int32))
+    names, lists = (found.column(c).chunk(0) for c in ("word", "ids"))
+    ids, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    first = np.cumsum(size) - size
+    # Words with a character that is no piece get its bytes, behind all others.
+    owner = np.repeat(np.arange(len(size)), size)
+    added: list[int] = []
+    for word in np.unique(owner[ids < 0]).tolist():
+        own = _spelled(ids[first[word] : first[word] + size[word]].tolist(), vocabulary)
+        first[word], size[word] = len(ids) + len(added), len(own)
+        added += own
+    return _Shared(names, first, size, np.concatenate((ids, np.array(added, np.int32))))
 
 
 def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -369,7 +382,7 @@ def _in_parts(length: int) -> Iterator[int]:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id",
-           most_shared: int = 1 << 19) -> DataFrame:
+           most_shared: int = 1 << 20) -> DataFrame:
     """``(doc_id, ids, n_spelled, round_trip)`` of every row: all ids of its text, in order.
 
     ``n_spelled`` counts ids that spell a byte. ``round_trip`` tells whether the ids,
@@ -425,7 +438,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
 
 
 def summarize(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id",
-              most_shared: int = 1 << 19) -> DataFrame:
+              most_shared: int = 1 << 20) -> DataFrame:
     """``encode`` with the number of ids: ``(doc_id, n_pieces, n_spelled, ids, round_trip)``."""
     found = encode(docs, vocabulary, text, doc_id, most_shared)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "n_spelled", "ids",
