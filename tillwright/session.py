@@ -65,9 +65,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        alone = spark.sparkContext.master.split("[")[0] == "local"
-        where = _path(spark, warehouse)
-        if not alone and _files_of(spark, where).getUri().getScheme() == "file":
+        # Spark puts the scheme before it when the session starts.
+        if warehouse.startswith("file:") and spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = warehouse + "/_scratch"
     folder = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
