@@ -33,6 +33,8 @@ from tillwright.sources.lake import Slots, by_slot, unescaped
 
 ROWS, REJECTED = "rows", "rejected"
 REASONS = "reasons"
+# Ranges that a merge takes its keys in.
+_RANGES = 64
 _FILE = "kind string, date string, hour string, folder string, file string, bytes bigint, " \
         "n_rows bigint, low string, high string, written bigint"
 _PLACE = r"/data/(load=[^/]+/kind=([^/]+)/date=([^/]+)/hour=([^/]+))/([^/]+)$"
@@ -398,14 +400,23 @@ def _same_keys(keys: list[str], null_safe: bool) -> Column:
 
 
 def _candidates(held: DataFrame, source: DataFrame, store: Store, keys: list[str]) -> DataFrame:
-    """Files whose slot, and range of the clustered key, a source row falls into."""
+    """Files whose slot and range of the clustered key meet those of source rows.
+
+    The source's keys are taken in ranges, some hundred in all besides the slots, so a slot
+    with very many files meets few of them, however many rows the source has. A range may
+    meet files that no row of it is in; the keys tell later.
+    """
     if store.cluster not in keys:
         return held.join(source.select("date", "hour").distinct(), ["date", "hour"], "left_semi")
     points = source.select(F.col("date").alias("_d"), F.col("hour").alias("_h"),
                            F.col(store.cluster).alias("_k")).distinct()
-    inside = (F.col("date") == F.col("_d")) & (F.col("hour") == F.col("_h")) & (
-        F.col("_k").between(F.col("low"), F.col("high")) | F.col("_k").isNull() | F.col("low").isNull())
-    return held.join(points, inside, "left_semi")
+    ranges = points.repartitionByRange(_RANGES, "_d", "_h", "_k").withColumn(
+        "_part", F.spark_partition_id()).groupBy("_d", "_h", "_part").agg(
+        F.min("_k").alias("_from"), F.max("_k").alias("_to"), F.max(F.col("_k").isNull()).alias("_null"))
+    meets = (F.col("date") == F.col("_d")) & (F.col("hour") == F.col("_h")) & (
+        ((F.col("low") <= F.col("_to")) & (F.col("high") >= F.col("_from")))
+        | F.col("_null") | F.col("low").isNull())
+    return held.join(ranges, meets, "left_semi")
 
 
 def _touched(spark: SparkSession, store: Store, held: DataFrame, source: DataFrame, keys: list[str],
