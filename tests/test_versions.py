@@ -231,6 +231,27 @@ def test_rows_that_break_a_rule_are_held_back_and_counted(spark, tmp_path):
     assert len(held(spark, store)) == 3
 
 
+def test_mended_rows_enter_once(spark, tmp_path):
+    store = Store(str(tmp_path / "stock"), INVENTORY_DATA)
+    rules = {"negative": F.col("final_stock") < 0, "nameless": F.col("product_id").isNull()}
+    load_versioned(spark, samples.inventory(
+        spark, slot(D1, "00", "P1"), slot(D1, "00", None, in_stock=7), slot(D1, "00", "P3", final_stock=-3),
+        slot(D2, "00", "P4", final_stock=-4)), store, backfill=True, rules=rules)
+    bad = versions.read_rejected(spark, store)
+    assert len({r.lineage for r in bad.collect()}) == 3
+    mended = bad.withColumn("product_id", F.coalesce("product_id", F.lit("P2"))).withColumn(
+        "final_stock", F.when(F.col("product_id") == "P4", F.col("final_stock")).otherwise(F.lit(1)))
+    copies = spark.createDataFrame(mended.collect(), mended.schema)
+    assert versions.mend(store, copies, KEYS, rules) == 2
+    assert held(spark, store) == [(D1, "00", "P1"), (D1, "00", "P2"), (D1, "00", "P3")]
+    assert [r.product_id for r in versions.read_rejected(spark, store).collect()] == ["P4"]
+    number = versions.version(spark, store).number
+    for again in (copies, copies.union(copies)):
+        assert versions.mend(store, again, KEYS, rules) == 0
+    assert versions.version(spark, store).number == number
+    assert len(held(spark, store)) == 3
+
+
 def report(df):
     return sorted((r.date, r.category_name, r.units_sold, round(r.total_ammount_paid, 4))
                   for r in df.collect())

@@ -115,12 +115,26 @@ def _versioned_rules(spark, sf_dir):
     done = load_versioned(spark, fx.inventory(spark, sf_dir, yearly=True), store, rules={
         "negative": F.col("final_stock") < 0, "idle": F.col("units_sold") == 0})
     good = versions.read(spark, store).withColumn("reasons", F.lit(""))
-    both = good.unionByName(versions.read_rejected(spark, store))
+    both = good.unionByName(versions.read_rejected(spark, store).drop("lineage"))
     facts = [F.lit(done.facts[n]).cast("bigint").alias(n)
              for n in ("rejected", "rule_negative", "rule_idle")]
     return both.select("date", "hour", "product_id", "final_stock", "reasons", *facts)
 
 
+def _versioned_mend(spark, sf_dir):
+    """Stock below zero is held back, half of it mended and taken in twice."""
+    store = _store(spark, INVENTORY_DATA)
+    rules = {"negative": F.col("final_stock") < 0}
+    load_versioned(spark, fx.inventory(spark, sf_dir, yearly=True), store, rules=rules)
+    mended = versions.read_rejected(spark, store, 1).withColumn(
+        "final_stock", F.when(F.col("hour") < "12", F.lit(0).cast("long")).otherwise(F.col("final_stock")))
+    for _ in range(2):
+        versions.mend(store, mended, ["date", "hour", "product_id"], rules)
+    good = versions.read(spark, store).withColumn("reasons", F.lit(""))
+    return good.unionByName(versions.read_rejected(spark, store).drop("lineage")).select(
+        "date", "hour", "product_id", "final_stock", "reasons")
+
+
 def _versioned_refresh(spark, sf_dir):
     """The lake in two parts, a refresh after each: the second reads changed slots alone."""
     root = scratch_folder(spark, "versioned-refresh")
@@ -218,6 +232,14 @@ SELECT *, (SELECT count(*) FROM judged WHERE reasons <> '') AS rejected,
        (SELECT count(*) FROM judged WHERE reasons LIKE '%negative%') AS rule_negative,
        (SELECT count(*) FROM judged WHERE reasons LIKE '%idle%') AS rule_idle
 FROM judged"""),
+    ),
+    Query(
+        "versioned_mend", _versioned_mend,
+        yearly("""
+SELECT date, hour, product_id,
+       CASE WHEN final_stock < 0 AND hour < '12' THEN 0 ELSE final_stock END AS final_stock,
+       CASE WHEN final_stock < 0 AND hour >= '12' THEN 'negative' ELSE '' END AS reasons
+FROM inventory"""),
     ),
     Query(
         "versioned_refresh", _versioned_refresh,

@@ -33,6 +33,8 @@ from tillwright.sources.lake import Slots, by_slot, unescaped
 
 ROWS, REJECTED = "rows", "rejected"
 REASONS = "reasons"
+# Tells a rejected row from all others, by what it held.
+LINEAGE = "lineage"
 # Ranges that a merge takes its keys in.
 _RANGES = 64
 _FILE = "kind string, date string, hour string, folder string, file string, bytes bigint, " \
@@ -58,8 +60,8 @@ class Store:
 
     @property
     def file_schema(self) -> T.StructType:
-        text = [T.StructField(n, T.StringType()) for n in (REASONS, "load", "kind", "date", "hour")]
-        return T.StructType([*self.dataset.body.fields, *text])
+        text = (REASONS, LINEAGE, "load", "kind", "date", "hour")
+        return T.StructType([*self.dataset.body.fields, *[T.StructField(n, T.StringType()) for n in text]])
 
 
 @dataclass(frozen=True)
@@ -163,8 +165,13 @@ def read(spark: SparkSession, store: Store, number: int | None = None,
 
 
 def read_rejected(spark: SparkSession, store: Store, number: int | None = None) -> DataFrame:
-    """Rows that the loads of a version held back, with the ``reasons``."""
-    return _shown(_frame(spark, store, _paths(spark, store, number, REJECTED)), store, REASONS)
+    """Rows that the loads of a version held back, with the ``reasons`` and their ``lineage``.
+
+    The lineage is a digest of what a row held. A mended copy that keeps it can be given to
+    ``mend``.
+    """
+    rows = _frame(spark, store, _paths(spark, store, number, REJECTED))
+    return _shown(rows, store, REASONS, LINEAGE)
 
 
 def _paths(spark: SparkSession, store: Store, number: int | None, kind: str,
@@ -245,15 +252,21 @@ def stage(df: DataFrame, store: Store, rules: dict[str, Column] | None = None) -
         counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(REASONS).isNotNull()).alias("rejected"),
         *[F.count_if(c).alias(f"rule_{n}") for n, c in broken.items()],
     ).withColumn("kind", F.when(F.col(REASONS).isNull(), ROWS).otherwise(REJECTED))
-    by_slot(rows.select(*store.dataset.body.fieldNames(), REASONS, "kind", "date", "hour"),
-            store.cluster, first=["kind"]).write.partitionBy("kind", "date", "hour").parquet(
-        f"{store.root}/data/load={load}")
+    digest = F.sha2(F.to_json(F.struct(*store.columns), {"ignoreNullFields": "false"}), 256)
+    marked = rows.withColumn(LINEAGE, F.when(F.col(REASONS).isNotNull(), digest))
+    _write(marked, store, load)
     listed = _clustered(spark, store, _written(spark, store, load))
     if listed.isEmpty():  # a source known to be empty is not even run, so nothing was counted
         return Staged(listed, {"rows": 0, "rejected": 0, **{f"rule_{n}": 0 for n in broken}})
     return Staged(listed, dict(counts.get))
 
 
+def _write(rows: DataFrame, store: Store, load: str) -> None:
+    place = ["kind", "date", "hour"]
+    by_slot(rows.select(*store.dataset.body.fieldNames(), REASONS, LINEAGE, *place), store.cluster,
+            first=("kind",)).write.partitionBy(*place).parquet(f"{store.root}/data/load={load}")
+
+
 def _clustered(spark: SparkSession, store: Store, listed: DataFrame) -> DataFrame:
     """The same rows in files of a slot whose keys do not overlap.
 
@@ -387,6 +400,47 @@ def merge(store: Store, df: DataFrame, keys: list[str], matched: str = "update",
     return commit(spark, store, change, staged.facts)
 
 
+def mend(store: Store, df: DataFrame, keys: list[str], rules: dict[str, Column] | None = None) -> int:
+    """Take in mended copies of rejected rows; returns how many rejected rows they settle.
+
+    ``df`` has the columns of ``read_rejected``. Rows that still break one of ``rules`` are
+    passed over. The others are merged by ``keys``, then the rejected rows with their
+    ``lineage`` go. Both steps change nothing when done again, so a row enters once, however
+    often it is given and wherever a run was lost.
+    """
+    spark = df.sparkSession
+    broken = F.lit(False)
+    for condition in (rules or {}).values():
+        broken = broken | F.coalesce(condition, F.lit(False))
+    scratch = f"{store.root}/manifests/mended-{uuid.uuid4().hex}"
+    df.where(~broken).withColumn("date", F.col("date").cast("string")).select(
+        *store.columns, LINEAGE).write.parquet(scratch)
+    good = spark.read.parquet(scratch)
+    merge(store, good.drop(LINEAGE).distinct(), keys)
+    settled = good.select(LINEAGE).where(F.col(LINEAGE).isNotNull()).distinct()
+    base = version(spark, store)
+    held = files(spark, store, base).where(F.col("kind") == REJECTED)
+    rows = _frame(spark, store, paths_of(held)).drop("load")
+    met = rows.join(settled, LINEAGE, "left_semi")
+    slots = met.select("date", "hour").distinct()
+    count = met.count()
+    if not count:
+        return 0
+    # All rejected rows of the slots concerned are written again without the settled ones.
+    load = uuid.uuid4().hex
+    _write(rows.join(slots, ["date", "hour"], "left_semi").join(settled, LINEAGE, "left_anti"), store, load)
+    left = _written(spark, store, load)
+    old = held.join(slots, ["date", "hour"], "left_semi").select("folder", "file")
+
+    def change(before: DataFrame, now: Version | None) -> DataFrame:
+        if old.join(before, ["folder", "file"], "left_anti").first():
+            raise Conflict("rejected rows were changed by another writer")
+        return before.join(old, ["folder", "file"], "left_anti").unionByName(left)
+
+    commit(spark, store, change)
+    return count
+
+
 def _renamed(source: DataFrame) -> DataFrame:
     return source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns])
 
