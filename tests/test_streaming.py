@@ -72,6 +72,35 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
     assert found.where("product_id in ('HOT', 'OLD')").count() == 2
 
 
+def test_a_repeat_is_dropped_however_late_and_by_any_query(spark, tmp_path):
+    topic, path = str(tmp_path / "topic"), str(tmp_path / "unique")
+    stored = lambda: sorted((str(r.inventory_date), str(r.product_id)) for r in op.read_unique(spark, path).collect())
+
+    def run(query):
+        alerts = op.alert_stream(op.message_source(spark, topic))
+        op.start_unique_sink(alerts, path, str(tmp_path / query)).awaitTermination()
+
+    assert op.read_unique(spark, path).count() == 0
+    hot = [slot(D2, "05", "HOT", final_stock=-9)] * 300
+    op.to_messages(_stock(spark, *hot, slot("2019-01-01", "00", "OLD", final_stock=-2))).write.text(topic)
+    run("first")
+    assert stored() == [("2019-01-01", "OLD"), (D2, "HOT")]
+    # The same alerts in a later batch, with a new one of an old date.
+    op.to_messages(_stock(spark, *hot, slot("2019-01-01", "00", "NEW", final_stock=-1))).write.mode(
+        "append").text(topic)
+    run("first")
+    want = [("2019-01-01", "NEW"), ("2019-01-01", "OLD"), (D2, "HOT")]
+    assert stored() == want
+    # A query begun anew reads all messages once more.
+    run("second")
+    assert stored() == want
+    # A batch run again meets what other batches stored, and not its own rows.
+    (tmp_path / "first" / "commits" / "1").unlink()
+    (tmp_path / "first" / "commits" / ".1.crc").unlink(missing_ok=True)
+    run("first")
+    assert stored() == want
+
+
 def test_dedup_in_one_step(spark, tmp_path):
     topic = str(tmp_path / "topic")
     op.to_messages(_stock(spark, *[slot(D1, "00", final_stock=-1)] * 5)).write.text(topic)

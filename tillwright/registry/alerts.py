@@ -39,6 +39,16 @@ def _negative_stock_stream(spark, sf_dir):
     return _sink(spark, root, op.negative_stock_stream(spark, f"{root}/inventory"))
 
 
+def _unique_alerts(spark, sf_dir):
+    """Every message is delivered in three runs of two queries; each alert is stored once."""
+    root = scratch_folder(spark, "unique-alerts")
+    for run in range(3):
+        _alert_messages(spark, sf_dir).write.mode("append").text(f"{root}/topic")
+        alerts = op.alert_stream(op.message_source(spark, f"{root}/topic"))
+        op.start_unique_sink(alerts, f"{root}/alerts", f"{root}/checkpoint-{run % 2}").awaitTermination()
+    return op.read_unique(spark, f"{root}/alerts").select(*ALERT.fieldNames())
+
+
 def _alert_stream(spark, sf_dir):
     """Every message is delivered twice; the sink stores it once."""
     root = scratch_folder(spark, "alert-stream")
@@ -87,6 +97,7 @@ QUERIES = [
     ),
     Query("negative_stock_stream", _negative_stock_stream, _ALERTS),
     Query("alert_stream", _alert_stream, _ALERTS),
+    Query("unique_alerts", _unique_alerts, _ALERTS),
     Query(
         "stream_quarantine", _stream_quarantine,
         yearly(f"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.operators.inventory import negative_stock
 from tillwright.schemas import ALERT, ALERT_KEY, INVENTORY_DATA
+from tillwright.session import list_names
 from tillwright.sources.lake import CSV_READ
 from tillwright.sources.quarantine import read_unchecked, split_bad_rows
 
@@ -131,6 +135,50 @@ def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str,
     return (writer.trigger(availableNow=True) if until_caught_up else writer).start()
 
 
+def read_unique(spark: SparkSession, path: str) -> DataFrame:
+    """What ``start_unique_sink`` has stored under ``path``."""
+    kinds = T.StructType([*ALERT.fields, T.StructField("query", T.StringType()),
+                          T.StructField("batch", T.LongType())])
+    if not list_names(spark, path):
+        return spark.createDataFrame([], kinds)
+    return spark.read.schema(kinds).parquet(path).select(*kinds.fieldNames())
+
+
+def start_unique_sink(alerts: DataFrame, path: str, checkpoint: str,
+                      until_caught_up: bool = True) -> StreamingQuery:
+    """Store each alert once, however late and by whichever query it comes again.
+
+    What is stored, by date of the slot, is the memory: a batch reads the keys of its own
+    dates alone, three columns of them, and leaves out what is there. So nothing is kept in
+    memory or in state stores, a repeat after a year is dropped like one after a minute, and
+    a batch costs the alerts stored of its dates; on disk that is one row per slot and
+    product below zero. A batch run again replaces its own rows and does not meet them. Nulls
+    in a key are a value like any other. Of queries that share a folder one may run at a time.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.persist()
+        try:
+            dates = [r[0] for r in batch.select("inventory_date").distinct().collect()]
+            known = [d for d in dates if d is not None]
+            of_dates = F.col("inventory_date").isin(known) | F.col("inventory_date").isNull()
+            own = (F.col("query") == query) & (F.col("batch") == number)
+            seen = read_unique(spark, path).where(of_dates & ~own).select(
+                *[F.col(k).alias(f"_{k}") for k in ALERT_KEY])
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ALERT_KEY])
+            new = batch.dropDuplicates(list(ALERT_KEY)).join(seen, same, "left_anti")
+            new.select("*", F.lit(query).alias("query"), F.lit(number).alias("batch")).write.mode(
+                "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "inventory_date", "query", "batch").parquet(path)
+        finally:
+            batch.unpersist()
+
+    writer = alerts.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if until_caught_up else writer).start()
+
+
 def _store_parts(stream: DataFrame, split, paths: tuple[str, str], checkpoint: str,
                  until_caught_up: bool) -> StreamingQuery:
     """Store the two parts of each batch in two folders; the batch is computed once.
