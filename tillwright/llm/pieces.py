@@ -382,7 +382,7 @@ def _in_parts(length: int) -> Iterator[int]:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id",
-           most_shared: int = 1 << 20) -> DataFrame:
+           most_shared: int = 1 << 18) -> DataFrame:
     """``(doc_id, ids, n_spelled, round_trip)`` of every row: all ids of its text, in order.
 
     ``n_spelled`` counts ids that spell a byte. ``round_trip`` tells whether the ids,
@@ -400,21 +400,25 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     plain = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), plain.alias("text"))
     context = docs.sparkSession.sparkContext
-    known = context.broadcast((_shared(texts, vocabulary, most_shared), vocabulary))
+    words_known = context.broadcast(_shared(texts, vocabulary, most_shared))
+    pieces_known = context.broadcast(vocabulary)
 
     @F.arrow_udf("struct<ids:binary,rare:array<string>>")
     def looked_up(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        shared, own = known.value
+        shared, own = words_known.value, pieces_known.value
         by_piece = {piece: (i, score) for i, piece, score in own.pieces}
         for words in lists:
             yield pa.concat_arrays([_looked_up(words.slice(at, _ROWS_AT_ONCE), shared, by_piece, own)
                                     for at in _in_parts(len(words))])
+            pa.default_memory_pool().release_unused()
 
     @F.arrow_udf("struct<ids:array<int>,spelled:bigint,same:boolean>")
     def finished(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for many in columns:
-            yield pa.concat_arrays([_finished(*(c.slice(at, _ROWS_AT_ONCE) for c in many), known.value[1])
-                                    for at in _in_parts(len(many[0]))])
+            yield pa.concat_arrays([
+                _finished(*(c.slice(at, _ROWS_AT_ONCE) for c in many), pieces_known.value)
+                for at in _in_parts(len(many[0]))])
+            pa.default_memory_pool().release_unused()
 
     numbered = texts.withColumn("_row", F.monotonically_increasing_id())
     looked = numbered.select("doc_id", "_row", F.xxhash64("text").alias("mark"),
@@ -438,7 +442,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
 
 
 def summarize(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id",
-              most_shared: int = 1 << 20) -> DataFrame:
+              most_shared: int = 1 << 18) -> DataFrame:
     """``encode`` with the number of ids: ``(doc_id, n_pieces, n_spelled, ids, round_trip)``."""
     found = encode(docs, vocabulary, text, doc_id, most_shared)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "n_spelled", "ids",
