@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from functools import cache
 
 from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job of this package wants, on a laptop and on a cluster.
@@ -121,19 +123,28 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+@cache
+def _renamer(context: SparkContext, root: str):
+    """What renames files of one file system, and no options for it; slow to make."""
+    hadoop = context._jvm.org.apache.hadoop.fs
+    files = hadoop.FileContext.getFileContext(
+        context._jvm.java.net.URI(root), context._jsc.hadoopConfiguration())
+    return files, context._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+
+
 def rename_new(spark: SparkSession, path: str, to: str) -> bool:
     """Rename a file or folder; False, and nothing done, if the new name is taken.
 
     One step on file systems that rename in one (HDFS and the like); on a plain object
     store a folder is copied file by file, and one writer at a time must be seen to.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
     old, new = _path(spark, path), _path(spark, to)
     files = _files_of(spark, new)
     files.mkdirs(new.getParent())
-    context = hadoop.FileContext.getFileContext(
-        files.makeQualified(new).toUri(), spark._jsc.hadoopConfiguration())
-    none = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    if files.getUri().getScheme() == "file":
+        # On a local disk the other way looks first, too, and starts a program for each name.
+        return not files.exists(new) and files.rename(old, new)
+    context, none = _renamer(spark.sparkContext, files.getUri().toString())
     try:
         context.rename(files.makeQualified(old), files.makeQualified(new), none)
     except Py4JJavaError as error:
