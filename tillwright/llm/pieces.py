@@ -29,8 +29,10 @@ _MOST_PIECES = 1_000_000
 _FOLD_BELOW = 200
 # Frequent words are shorter than this.
 _SHARED_BELOW = 64
-# Rows worked on at a time.
+# Rows, each a whole text, that Spark hands to a Python worker at a time.
 _ROWS_AT_ONCE = 1000
+# Counts of words that a task holds.
+_COUNTED_AT_ONCE = 1 << 20
 _UNKNOWN_PENALTY = 10.0  # below the lowest score, as the format defines it
 
 
@@ -243,18 +245,35 @@ class _Shared:
 
 
 def _counted(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``(word, n)``, counted where the texts are read; words seen once in a batch are left out.
+    """``(word, n)``, counted where the texts are read; words a task sees once are left out.
 
-    It only has to find words that are worth sharing, so it need not be exact.
+    It only has to find words that are worth sharing, so it need not be exact: a task
+    sends on what it has when that is too much to hold.
     """
 
+    def summed(held: list[pa.Table]) -> pa.Table:
+        whole = pa.concat_tables(held).group_by("word").aggregate([("n", "sum")])
+        return pa.table([whole.column("word"), whole.column("n_sum")], ["word", "n"])
+
+    def often(found: pa.Table) -> list[pa.RecordBatch]:
+        return found.filter(pc.greater(found.column("n"), 1)).combine_chunks().to_batches()
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
             found = pc.value_counts(batch.column(0).flatten())
-            found = pa.RecordBatch.from_arrays(
-                [found.field("values"), found.field("counts")], ["word", "n"])
-            yield found.filter(pc.and_(pc.greater(found.column("n"), 1), pc.less(
-                pc.utf8_length(found.column("word")), _SHARED_BELOW)))
+            part = pa.table([found.field("values"), found.field("counts")], ["word", "n"])
+            part = part.filter(pc.less(pc.utf8_length(part.column("word")), _SHARED_BELOW))
+            held.append(part)
+            rows += len(part)
+            if rows >= _COUNTED_AT_ONCE:
+                held = [summed(held)]
+                rows = len(held[0])
+                if rows >= _COUNTED_AT_ONCE // 2:
+                    yield from often(held[0])
+                    held, rows = [], 0
+        if held:
+            yield from often(summed(held))
 
     words = texts.select(words_of(F.col("text"), vocabulary).alias("words"))
     return words.mapInArrow(of_batches, "word string, n bigint").groupBy("word").agg(
@@ -396,10 +415,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     and put in their places, all in one stage.
     A text that is very long is one row with as many ids. Null and empty texts have no ids;
     repeated rows stay repeated. An empty table gives an empty result.
+
+    The session's Arrow batches are set to 1,000 rows, if they are larger.
     """
     plain = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), plain.alias("text"))
     context = docs.sparkSession.sparkContext
+    # Rows here are whole texts, so the usual ten thousand make batches of some hundred MB.
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(docs.sparkSession.conf.get(size)) <= _ROWS_AT_ONCE:
+        docs.sparkSession.conf.set(size, str(_ROWS_AT_ONCE))
     words_known = context.broadcast(_shared(texts, vocabulary, most_shared))
     pieces_known = context.broadcast(vocabulary)
 
