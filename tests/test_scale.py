@@ -1,0 +1,35 @@
+"""Plans and manifests of steps that must not outgrow their input."""
+
+import re
+
+from tillwright.schemas import PRODUCT_CATALOG
+from tillwright.sources import versions
+from tillwright.sources.versions import Store
+
+
+def test_files_of_a_load_are_told_without_grouping_by_key(spark, tmp_path, monkeypatch):
+    store = Store(str(tmp_path / "t"), PRODUCT_CATALOG)
+    listed = []
+    written = versions._written
+
+    def seen(*args):
+        listed.append(written(*args))
+        return listed[-1]
+
+    monkeypatch.setattr(versions, "_written", seen)
+    rows = spark.range(400).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN '10' WHEN id % 4 = 1 THEN '11' ELSE '12' END AS hour",
+        "CASE WHEN id % 4 = 1 OR id % 8 = 0 THEN NULL ELSE concat('P', id * 7919 % 400) END AS product_id",
+        "'2024-01-01' AS date",
+        *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in PRODUCT_CATALOG.body
+          if f.name != "product_id"])
+    versions.replace_all(store, rows.repartition(7))
+    assert not re.search(r"keys?=?\s?\[[^\]]*product_id", listed[0]._jdf.queryExecution().toString())
+    found = {(r.hour, r.n_rows, r.low, r.high)
+             for r in versions.files(spark, store, versions.version(spark, store)).collect()}
+    expected = {(r.hour, r.n, r.low, r.high) for r in rows.groupBy("hour").agg(
+        {"*": "count"}).withColumnRenamed("count(1)", "n").join(
+        rows.groupBy("hour").agg(*[getattr(versions.F, f)("product_id").alias(n)
+                                   for f, n in (("min", "low"), ("max", "high"))]), "hour").collect()}
+    assert found == expected
+    assert ("11", 100, None, None) in found

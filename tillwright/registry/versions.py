@@ -88,9 +88,9 @@ def _versioned_history(spark, sf_dir):
     rows = fx.catalog(spark, sf_dir, yearly=True)
     load_versioned(spark, rows, store, backfill=True)
     load_versioned(spark, rows.where("false"), store, "replace")
-    left = versions.read(spark, store).agg(F.count(F.lit(1)).alias("left_over"))
-    return versions.read(spark, store, number=1).crossJoin(F.broadcast(left)).select(
-        "date", "hour", "product_id", "unit_price", "left_over")
+    left = versions.read(spark, store).agg(F.count(F.lit(1)))
+    return versions.read(spark, store, number=1).select(
+        "date", "hour", "product_id", "unit_price", left.scalar().alias("left_over"))
 
 
 def _versioned_merge(spark, sf_dir):

@@ -216,17 +216,27 @@ def _file_path() -> Column:
 
 
 def _written(spark: SparkSession, store: Store, load: str) -> DataFrame:
-    """The files of a load, told from one column of them."""
+    """The files of a load, told from one column of them.
+
+    A file is written in the order of its key, nulls first. So its least and greatest keys
+    are found by their places in it: nothing is sorted or grouped by key.
+    """
     data = spark.read.schema(store.file_schema).option("basePath", f"{store.root}/data").parquet(
         f"{store.root}/data/load={load}")
-    # Distinct keys first: that step hashes, where a least text per file sorts its rows.
-    file = [_file_path().alias("path"), F.col("_metadata.file_size").alias("bytes")]
-    per_key = data.groupBy(*file, store.cluster).agg(F.count(F.lit(1)).alias("n"))
-    per_file = per_key.groupBy("path", "bytes").agg(
-        F.sum("n").alias("n_rows"), F.min(store.cluster).alias("low"),
-        F.max(store.cluster).alias("high"))
-    place = [F.regexp_extract("path", _PLACE, i) for i in range(1, 6)]
-    listed = per_file.select(
+    # The path is decoded per file and not per row.
+    path, at = F.col("_metadata.file_path").alias("url"), F.col("_metadata.row_index").alias("at")
+    per_file = data.groupBy(path, F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(store.cluster).alias("n_keys"))
+    manifest = f"{store.root}/manifests/counted-{uuid.uuid4().hex}"
+    per_file.write.parquet(manifest)
+    per_file = spark.read.schema(per_file.schema).parquet(manifest)
+    first, last = F.col("n_rows") - F.col("n_keys"), F.col("n_rows") - 1
+    # One row per file is broadcast, the list that the manifest will hold.
+    ends = data.select(path, at, F.col(store.cluster).alias("key")).where("key IS NOT NULL").join(
+        F.broadcast(per_file), "url").where((F.col("at") == first) | (F.col("at") == last))
+    ranges = ends.groupBy("url").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    place = [F.regexp_extract(unescaped(F.col("url")), _PLACE, i) for i in range(1, 6)]
+    listed = per_file.join(ranges, "url", "left").select(
         place[1].alias("kind"), unescaped(place[2]).alias("date"), unescaped(place[3]).alias("hour"),
         place[0].alias("folder"), place[4].alias("file"), "bytes", "n_rows", "low", "high",
     )
