@@ -2,10 +2,21 @@
 
 import re
 
+import pytest
+
+from tillwright import fixtures as fx
+from tillwright.operators import quality
+from tillwright.registry import lake as lake_queries
 from tillwright.schemas import PRODUCT_CATALOG
 from tillwright.sources import versions
 from tillwright.sources.versions import Store
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
 
 def test_files_of_a_load_are_told_without_grouping_by_key(spark, tmp_path, monkeypatch):
     store = Store(str(tmp_path / "t"), PRODUCT_CATALOG)
@@ -33,3 +44,39 @@ def test_files_of_a_load_are_told_without_grouping_by_key(spark, tmp_path, monke
                                    for f, n in (("min", "low"), ("max", "high"))]), "hour").collect()}
     assert found == expected
     assert ("11", 100, None, None) in found
+
+
+def test_listings_have_no_window(spark):
+    assert "Window" not in _optimized(fx.listings(spark, SF_DIR, yearly=True))
+
+
+def test_sales_join_their_buyers_before_they_have_texts(spark):
+    plan = _optimized(fx.full_sales(spark, SF_DIR, yearly=True))
+    assert plan.index("concat_ws") < plan.index("Join")
+    assert "concat_ws" not in plan[plan.index("Join"):]
+
+
+def test_prices_are_evened_out_before_they_are_grouped(spark):
+    plan = _optimized(quality.catalog_prices(fx.catalog(spark, SF_DIR)))
+    assert "Rebalance" in plan[plan.index("Aggregate"):]
+
+
+@pytest.mark.parametrize("name, writer, joined", [
+    ("_write_missing", "write_missing_slots", "strategy=broadcast"),
+    ("_csv_quarantine", "write_slots_csv", "array_contains"),
+])
+def test_sales_are_not_dealt_out_once_more(spark, monkeypatch, name, writer, joined):
+    plans = []
+
+    class Done(Exception):
+        pass
+
+    def stop(df, root):
+        plans.append(_optimized(df))
+        raise Done
+
+    monkeypatch.setattr(lake_queries.lake, writer, stop)
+    with pytest.raises(Done):
+        getattr(lake_queries, name)(spark, SF_DIR)
+    assert joined in plans[0]
+    assert not re.search(r"Join \w+, \(transaction_id", plans[0])

@@ -8,7 +8,7 @@ rows, the size the datasets are made for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.functions.money import net_amount
@@ -27,22 +27,22 @@ def _posted(yearly: bool) -> Column:
     return F.concat(F.year(shipped), F.lit("-12-31")) if yearly else shipped.cast("string")
 
 
-def _lines(spark: SparkSession, sf_dir: str, yearly: bool) -> DataFrame:
+def _slotted(lines: DataFrame, yearly: bool) -> DataFrame:
     return (
-        table(spark, sf_dir, "lineitem")
+        lines
         .withColumn("date", _posted(yearly))
         .withColumn("at", F.col("l_orderkey") % 24)
         .withColumn("hour", hour_code(F.col("at")))
     )
 
 
-def sales(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFrame:
-    """One sale per order line, without its buyer.
+def _lines(spark: SparkSession, sf_dir: str, yearly: bool) -> DataFrame:
+    return _slotted(table(spark, sf_dir, "lineitem"), yearly)
 
-    Returned lines carry hour 00 in the row, whatever slot they are stored in.
-    """
-    lines = _lines(spark, sf_dir, yearly)
-    return lines.select(
+
+def _sold() -> list[Column]:
+    """Columns of a sale, told from its order line."""
+    return [
         F.col("date").alias("transaction_date"),
         F.when(F.col("l_returnflag") == "R", "00").otherwise(F.col("hour"))
         .alias("transaction_hour"),
@@ -54,28 +54,38 @@ def sales(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFrame:
         F.col("l_quantity").cast("long").alias("units_sold"),
         F.col("l_discount").alias("discount_applied"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("total_ammount_paid"),
-        "date",
-        "hour",
-        "l_orderkey",
-        "l_returnflag",
-    )
+        F.col("date"),
+        F.col("hour"),
+        F.col("l_orderkey"),
+        F.col("l_returnflag"),
+    ]
+
+
+def sales(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFrame:
+    """One sale per order line, without its buyer.
+
+    Returned lines carry hour 00 in the row, whatever slot they are stored in.
+    """
+    return _lines(spark, sf_dir, yearly).select(*_sold())
 
 
-def full_sales(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFrame:
-    """Sales with customer and country, in the columns of the sales dataset."""
+def full_sales(spark: SparkSession, sf_dir: str, yearly: bool = False, *more: str) -> DataFrame:
+    """Sales with customer and country, in the columns of the sales dataset, and ``more``.
+
+    Order lines are joined as they are stored, the texts are made of the joined rows: they
+    are twice as wide.
+    """
     buyers = (
         table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("o_orderkey").alias("l_orderkey"),
-            customer_code(F.col("o_custkey")).alias("customer_id"),
-            F.col("n_name").alias("order_country"),
-        )
-    )
-    return sales(spark, sf_dir, yearly).join(buyers, "l_orderkey").select(
-        *SALES.fieldNames(), "date", "hour"
+        .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "n_name")
     )
+    bought = _slotted(table(spark, sf_dir, "lineitem").join(buyers, "l_orderkey"), yearly)
+    return bought.select(
+        *_sold(), customer_code(F.col("o_custkey")).alias("customer_id"),
+        F.col("n_name").alias("order_country"),
+    ).select(*SALES.fieldNames(), "date", "hour", *more)
 
 
 def listings(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFrame:
@@ -87,12 +97,14 @@ def listings(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFram
     """
     kept = _lines(spark, sf_dir, yearly).where(F.col("l_returnflag") != "R")
     # Numbers, as a least or greatest text per group would need sorted groups. The
-    # date's last hour comes from its parts, so the lines are read once.
+    # date's last hour comes from its parts, so the lines are read once; it is joined, as
+    # a window would make a date, or a year, the work of one task.
     opened = kept.groupBy("date", "l_partkey").agg(
         F.min("at").alias("first"), F.max("at").alias("latest")
     )
-    closing = Window.partitionBy("date")
-    listed = opened.withColumn("last", F.max("latest").over(closing)).select(
+    closing = opened.groupBy(F.col("date").alias("day")).agg(F.max("latest").alias("last"))
+    # A row per date is broadcast.
+    listed = opened.join(F.broadcast(closing), F.col("date").eqNullSafe(F.col("day"))).select(
         "date", "l_partkey", F.explode(F.array_distinct(F.array("first", "last"))).alias("at")
     )
     return listed.select("date", "l_partkey", hour_code(F.col("at")).alias("hour"))

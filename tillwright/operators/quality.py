@@ -45,7 +45,10 @@ def discount_violations(sales: DataFrame, threshold: int = TIER_UNITS) -> DataFr
 
 def catalog_prices(catalog: DataFrame) -> DataFrame:
     """Lowest and highest listed price per slot and product (one row per key)."""
-    prices = catalog.groupBy(*STOCK_KEY).agg(
+    # Keys hardly repeat, so a task holds all it gets: that is evened out first, a hot
+    # product included.
+    listed = catalog.select(*STOCK_KEY, "unit_price").hint("rebalance", *[F.col(k) for k in STOCK_KEY])
+    prices = listed.groupBy(*STOCK_KEY).agg(
         F.min("unit_price").alias("low_price"), F.max("unit_price").alias("high_price")
     )
     # Dealt out anew, or adaptive execution could not split the join of a hot product:
