@@ -80,3 +80,17 @@ def test_sales_are_not_dealt_out_once_more(spark, monkeypatch, name, writer, joi
         getattr(lake_queries, name)(spark, SF_DIR)
     assert joined in plans[0]
     assert not re.search(r"Join \w+, \(transaction_id", plans[0])
+
+
+def test_a_merge_looks_for_its_files_once(spark, tmp_path, monkeypatch):
+    store = Store(str(tmp_path / "t"), PRODUCT_CATALOG)
+    rows = fx.catalog(spark, SF_DIR, yearly=True).where("date = '1996-12-31' AND hour IN ('01', '23')")
+    versions.replace_all(store, rows)
+    calls = []
+    looked = versions._candidates
+    monkeypatch.setattr(versions, "_candidates", lambda *a: calls.append(1) or looked(*a))
+    dearer = rows.withColumn("unit_price", versions.F.col("unit_price") + 1)
+    assert versions.merge(store, dearer, ["date", "hour", "product_id"]).number == 2
+    assert len(calls) == 1
+    assert versions.merge(store, dearer, ["date", "hour", "product_id"]) is None
+    assert len(calls) == 2

@@ -210,11 +210,6 @@ class Staged:
     facts: dict
 
 
-def _file_path() -> Column:
-    """The path a row was read from, as the file system has it; the scan gives it as a URL."""
-    return unescaped(F.col("_metadata.file_path"))
-
-
 def _written(spark: SparkSession, store: Store, load: str) -> DataFrame:
     """The files of a load, told from one column of them.
 
@@ -227,9 +222,7 @@ def _written(spark: SparkSession, store: Store, load: str) -> DataFrame:
     path, at = F.col("_metadata.file_path").alias("url"), F.col("_metadata.row_index").alias("at")
     per_file = data.groupBy(path, F.col("_metadata.file_size").alias("bytes")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(store.cluster).alias("n_keys"))
-    manifest = f"{store.root}/manifests/counted-{uuid.uuid4().hex}"
-    per_file.write.parquet(manifest)
-    per_file = spark.read.schema(per_file.schema).parquet(manifest)
+    per_file = _kept(spark, store, per_file, "counted")
     first, last = F.col("n_rows") - F.col("n_keys"), F.col("n_rows") - 1
     # One row per file is broadcast, the list that the manifest will hold.
     ends = data.select(path, at, F.col(store.cluster).alias("key")).where("key IS NOT NULL").join(
@@ -286,9 +279,7 @@ def _clustered(spark: SparkSession, store: Store, listed: DataFrame) -> DataFram
     to itself: keys that are frequent are also dealt by a hash of the row, and nothing
     but such a key is in more than one file.
     """
-    manifest = f"{store.root}/manifests/staged-{uuid.uuid4().hex}"
-    listed.write.parquet(manifest)
-    kept = spark.read.schema(listed.schema).parquet(manifest)
+    kept = _kept(spark, store, listed, "staged")
     slot = ["kind", "date", "hour"]
     crowded = kept.groupBy(*slot).agg(
         F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("all_bytes")).where("n > 1")
@@ -381,9 +372,12 @@ def merge(store: Store, df: DataFrame, keys: list[str], matched: str = "update",
         if lost:
             raise ValueError(f"the source has a null key: {lost.asDict()}")
     held = files(spark, store, base).where(F.col("kind") == ROWS)
-    found = _touched(spark, store, held, source, keys, null_safe, matched)
+    # Looked for once; the list of files is small, the source may not be.
+    near = _kept(spark, store, _candidates(held, source, store, keys), "near")
+    paths = paths_of(near)
+    found = _touched(spark, store, near, paths, source, keys, null_safe, matched)
     if found.isEmpty() and (not_matched == "ignore" or _unmatched(
-            spark, store, held, source, keys, null_safe).isEmpty()):
+            spark, store, paths, source, keys, null_safe).isEmpty()):
         return None
     # What the touched files keep, and what the source puts in.
     old = _frame(spark, store, paths_of(found)).select(*store.columns)
@@ -393,7 +387,7 @@ def merge(store: Store, df: DataFrame, keys: list[str], matched: str = "update",
     after = kept.where(~F.coalesce("s__gone", F.lit(False))).select(*[
         F.when(take, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in store.columns])
     if not_matched == "insert":
-        new = _unmatched(spark, store, held, source, keys, null_safe)
+        new = _unmatched(spark, store, paths, source, keys, null_safe)
         after = after.unionByName(new.select(*store.columns))
     staged = stage(after, store)
     key = ["folder", "file"]
@@ -483,33 +477,37 @@ def _candidates(held: DataFrame, source: DataFrame, store: Store, keys: list[str
     return held.join(ranges, meets, "left_semi")
 
 
-def _touched(spark: SparkSession, store: Store, held: DataFrame, source: DataFrame, keys: list[str],
-             null_safe: bool, matched: str) -> DataFrame:
-    """Files with a row that the merge deletes or changes."""
-    near = _candidates(held, source, store, keys)
-    paths = paths_of(near)
+def _kept(spark: SparkSession, store: Store, listed: DataFrame, label: str) -> DataFrame:
+    """A list of files, computed now and once."""
+    at = f"{store.root}/manifests/{label}-{uuid.uuid4().hex}"
+    listed.write.parquet(at)
+    return spark.read.schema(listed.schema).parquet(at)
+
+
+def _touched(spark: SparkSession, store: Store, near: DataFrame, paths: list[str], source: DataFrame,
+             keys: list[str], null_safe: bool, matched: str) -> DataFrame:
+    """Files with a row that the merge deletes or changes, among those ``near``."""
     if not paths:
         return near.limit(0)
     rows = _frame(spark, store, paths).select(
-        *store.columns, _file_path().alias("_path"))
+        *store.columns, F.col("_metadata.file_path").alias("_url"))
     met = rows.join(_renamed(source), _same_keys(keys, null_safe))
     differs = F.lit(False)
     for c in store.columns:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"s_{c}"))
     change = F.col("s__gone") | (differs if matched == "update" else F.lit(False))
-    hit = met.where(change).select(
-        F.regexp_extract("_path", _PLACE, 1).alias("folder"),
-        F.regexp_extract("_path", _PLACE, 5).alias("file")).distinct()
-    listed = f"{store.root}/manifests/touched-{uuid.uuid4().hex}"
-    near.join(hit, ["folder", "file"], "left_semi").write.parquet(listed)
-    return spark.read.schema(near.schema).parquet(listed)
+    # The scan gives a path as a URL; it is decoded per file and not per row.
+    path = unescaped(F.col("_url"))
+    hit = met.where(change).select("_url").distinct().select(
+        F.regexp_extract(path, _PLACE, 1).alias("folder"),
+        F.regexp_extract(path, _PLACE, 5).alias("file"))
+    return _kept(spark, store, near.join(hit, ["folder", "file"], "left_semi"), "touched")
 
 
-def _unmatched(spark: SparkSession, store: Store, held: DataFrame, source: DataFrame,
+def _unmatched(spark: SparkSession, store: Store, paths: list[str], source: DataFrame,
                keys: list[str], null_safe: bool) -> DataFrame:
-    """Source rows to insert: those no held row has the keys of, deletions left out."""
-    near = _candidates(held, source, store, keys)
-    rows = _renamed(_frame(spark, store, paths_of(near)).select(*keys))
+    """Source rows to insert: those no held row of ``paths`` has the keys of, deletions left out."""
+    rows = _renamed(_frame(spark, store, paths).select(*keys))
     return source.where(~F.col("_gone")).join(rows, _same_keys(keys, null_safe), "left_anti")
 
 
