@@ -153,3 +153,20 @@ def test_held_out_accuracy(spark):
     found = op.score(docs, model).where(op.held_out()).join(labels, "doc_id")
     rates = {r.toxic: r.rate for r in found.groupBy("toxic").agg(F.avg("predicted").alias("rate")).collect()}
     assert rates[1] > 0.85 and rates[0] < 0.03
+
+
+def test_thresholds_come_from_all_labels_that_trained_nothing(spark):
+    docs, labels, rows = corpus(spark)
+    model = op.train(docs, labels, most=20)
+    found = op.judged(docs, model)
+    texts = {r.doc_id: r for r in found.collect()}
+    want = {r[0]: r[3] for r in rows}
+    rest = [i for i in want if i not in set(model.learned)]
+    assert len(model.learned) == 30 and len(rest) == 270
+    steps = np.round(np.array([texts[i].logit for i in rest]) * 1024) / 1024
+    assert op.thresholds(found, labels, model) == op._calibrated(
+        steps, np.array([want[i] for i in rest], bool), [texts[i].lang for i in rest])
+    scored = op.score_calibrated(docs.union(docs.limit(1)), labels, model)
+    assert scored.count() == 301 and scored.columns == ["doc_id", "score", "predicted"]
+    assert all(r.predicted == (r.score >= 0.7) for r in scored.collect())
+    assert op.score_calibrated(docs, labels.limit(0), op.train(docs, labels.limit(0))).count() == 300

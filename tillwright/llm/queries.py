@@ -233,8 +233,8 @@ FROM pages p LEFT JOIN judged j ON p.url = j.url LEFT JOIN inherited i ON p.url
 
 def _op11(spark, sf_dir):
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
-    found = toxicity.score(docs, model)
+    known = labels.where(~toxicity.held_out())
+    found = toxicity.score_calibrated(docs, known, toxicity.train(docs, known))
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 

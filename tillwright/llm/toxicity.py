@@ -260,6 +260,8 @@ class Model:
     languages: language.Model
     thresholds: dict[str, float]
     default: float
+    # Ids of the texts that trained the network.
+    learned: list = field(default_factory=list, repr=False)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.network is None:
@@ -270,32 +272,44 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(away + np.log(DECIDED / (1 - DECIDED)), -30, 30)))
 
 
-def _threshold(logits: np.ndarray, toxic: np.ndarray) -> float:
+def _threshold(logits: np.ndarray, toxic: np.ndarray, texts: np.ndarray) -> float:
     """The middle of the gap that tells texts apart best; a clean one taken for toxic counts more."""
     order = np.argsort(logits)
-    sorted_logits, label = logits[order], toxic[order]
-    below = (_CLEAN_WEIGHT * np.cumsum(~label) / max(1, (~label).sum())
-             - np.cumsum(label) / max(1, label.sum()))
+    sorted_logits, label, n = logits[order], toxic[order], texts[order]
+    below = (_CLEAN_WEIGHT * np.cumsum(n * ~label) / max(1, (n * ~label).sum())
+             - np.cumsum(n * label) / max(1, (n * label).sum()))
+    # Nothing comes between equal ones.
+    below[:-1][np.diff(sorted_logits) == 0] = -np.inf
     best = int(np.argmax(below))
     after = sorted_logits[best + 1] if best + 1 < len(logits) else sorted_logits[best] + 1
     return float((sorted_logits[best] + after) / 2)
 
 
-def _calibrated(logits: np.ndarray, toxic: np.ndarray, languages: list[str]) -> tuple[dict, float]:
-    """A threshold per language, drawn to that of all texts where toxic texts are few."""
+def _calibrated(logits: np.ndarray, toxic: np.ndarray, languages: list[str],
+                texts: np.ndarray | None = None) -> tuple[dict, float]:
+    """A threshold per language, drawn to that of all texts where toxic texts are few.
+
+    ``texts`` says how many texts each entry stands for, one unless told otherwise.
+    """
     if not toxic.any() or toxic.all():
         return {}, 0.0
-    default = _threshold(logits, toxic)
+    texts = np.ones(len(logits), np.int64) if texts is None else texts
+    default = _threshold(logits, toxic, texts)
     names, found = np.array(languages), {}
     for name in sorted(set(languages)):
         own = names == name
-        n = min(int(toxic[own].sum()), int((~toxic[own]).sum()))
+        n = min(int(texts[own & toxic].sum()), int(texts[own & ~toxic].sum()))
         if n:
             share = n / (n + 10)
-            found[name] = share * _threshold(logits[own], toxic[own]) + (1 - share) * default
+            found[name] = share * _threshold(logits[own], toxic[own], texts[own]) + (1 - share) * default
     return found, default
 
 
+def _marked(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    return labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull()).groupBy(
+        F.col(f"`{doc_id}`").alias("doc_id")).agg(F.max(F.col(f"`{label}`") > 0).alias("toxic"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
            lang: str = "lang", label: str = "toxic", most: int = 3000,
            longest: int = 10_000) -> DataFrame:
@@ -305,8 +319,7 @@ def sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     letters: 60 MB at most with the defaults, whatever the tables hold. An id is toxic if any of
     its label rows says so; of its documents any may be taken.
     """
-    marked = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull()).groupBy(
-        F.col(f"`{doc_id}`").alias("doc_id")).agg(F.max(F.col(f"`{label}`") > 0).alias("toxic"))
+    marked = _marked(labels, doc_id, label)
     chosen = None
     for value in (True, False):
         own = marked.where(F.col("toxic") == value).orderBy(
@@ -344,7 +357,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     judged = np.flatnonzero(kept_back) if toxic[kept_back].any() else np.arange(len(rows))
     logits = np.concatenate([network.logits([texts[i]]) for i in judged])
     names = [name for name, _ in languages.predict_all([texts[i] for i in judged])]
-    return Model(network, languages, *_calibrated(logits, toxic[judged], names))
+    return Model(network, languages, *_calibrated(logits, toxic[judged], names),
+                 [rows[i].doc_id for i in learned])
 
 
 def _blocks(texts: list[str]) -> Iterator[list[str]]:
@@ -384,6 +398,64 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     ).mapInArrow(of_batches, f"doc_id {kind}, score double, predicted int")
 
 
+def judged(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, lang, logit)`` of every row, kept: what the model says of whole texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            names, logits = [], [np.zeros(0)]
+            for block in _blocks(texts):
+                names += [name for name, _ in shared.value.languages.predict_all(block)]
+                logits.append(shared.value.network.logits(block).astype(np.float64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(names, pa.string()), pa.array(np.concatenate(logits), pa.float64())],
+                ["doc_id", "lang", "logit"],
+            )
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return settle(docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string")
+    ).mapInArrow(of_batches, f"doc_id {kind}, lang string, logit double"), "judged")
+
+
+def thresholds(found: DataFrame, labels: DataFrame, model: Model, doc_id: str = "doc_id",
+               label: str = "toxic") -> tuple[dict, float]:
+    """Thresholds from all rows of ``found``, of ``judged``, that have a label and trained nothing.
+
+    Texts are counted per language and step of 1/1024 of the logit. So the driver holds
+    some thousand counts per language, however many texts there are.
+    """
+    spark = found.sparkSession
+    learned = spark.createDataFrame([(i,) for i in model.learned], found.select("doc_id").schema)
+    step = F.round(F.greatest(F.lit(-64.0), F.least(F.lit(64.0), F.col("logit"))) * 1024).cast("long")
+    counts = found.join(F.broadcast(learned), "doc_id", "left_anti").join(
+        _marked(labels, doc_id, label), "doc_id").groupBy("lang", "toxic", step.alias("step")).agg(
+        F.count(F.lit(1)).alias("n")).orderBy("lang", "step", "toxic").collect()
+    toxic = np.array([r.toxic for r in counts], bool)
+    if not toxic.any() or toxic.all():
+        return model.thresholds, model.default
+    return _calibrated(np.array([r.step for r in counts]) / 1024, toxic, [r.lang for r in counts],
+                       np.array([r.n for r in counts], np.int64))
+
+
+def score_calibrated(docs: DataFrame, labels: DataFrame, model: Model, doc_id: str = "doc_id",
+                     text: str = "text", label: str = "toxic") -> DataFrame:
+    """``score``, with thresholds from all ``labels`` of the rows; texts are read once."""
+    if model.network is None:
+        return score(docs, model, doc_id, text)
+    found = judged(docs, model, doc_id, text)
+    limits, default = thresholds(found, labels, model, doc_id, label)
+    limit = F.lit(default)
+    for name, value in limits.items():
+        limit = F.when(F.col("lang") == name, F.lit(value)).otherwise(limit)
+    away = F.col("logit") - limit + F.lit(float(np.log(DECIDED / (1 - DECIDED))))
+    return found.withColumn(
+        "score", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), away))))
+    ).select("doc_id", "score", (F.col("score") >= DECIDED).cast("int").alias("predicted"))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """The third of the ids whose labels are not learned; null ids are not in it."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
