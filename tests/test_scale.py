@@ -7,6 +7,7 @@ import pytest
 from tillwright import fixtures as fx
 from tillwright.operators import quality
 from tillwright.registry import lake as lake_queries
+from tillwright.registry import tables as table_queries
 from tillwright.schemas import PRODUCT_CATALOG
 from tillwright.sources import versions
 from tillwright.sources.versions import Store
@@ -94,3 +95,12 @@ def test_a_merge_looks_for_its_files_once(spark, tmp_path, monkeypatch):
     assert len(calls) == 1
     assert versions.merge(store, dearer, ["date", "hour", "product_id"]) is None
     assert len(calls) == 2
+
+
+def test_rows_without_a_slot_are_dealt_out_before_they_are_written(spark):
+    rows = spark.createDataFrame([("a", "d", "h"), ("a", "d", "h"), ("b", None, "i")], "x string, date string, hour string")
+    lost = table_queries._without_slot(rows)
+    assert sorted(lost.collect(), key=repr) == sorted(
+        rows.selectExpr("x", "CAST(NULL AS STRING) date", "hour").union(
+            rows.selectExpr("x", "date", "CAST(NULL AS STRING) hour")).collect(), key=repr)
+    assert "Rebalance" in _optimized(lost) and "Union" not in _optimized(lost)

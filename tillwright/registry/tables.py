@@ -135,11 +135,16 @@ def _lake_load(spark, sf_dir, spoil):
     )
 
 
+def _without_slot(rows):
+    """Each row without its date, and without its hour; dealt out evenly, as the writer sorts them."""
+    twice = rows.hint("rebalance").withColumn("_lost", F.explode(F.array(F.lit("date"), F.lit("hour"))))
+    return twice.withColumns({
+        name: F.when(F.col("_lost") != name, F.col(name)) for name in ("date", "hour")}).drop("_lost")
+
+
 def _null_slot(rows, root):
     """Rows without a date, and rows without an hour, in folders that other tools wrote."""
-    lost = rows.withColumn("date", F.lit(None).cast("string")).unionByName(
-        rows.withColumn("hour", F.lit(None).cast("string")))
-    lost.write.mode("append").options(**lake.CSV_WRITE).partitionBy("date", "hour").csv(root)
+    _without_slot(rows).write.mode("append").options(**lake.CSV_WRITE).partitionBy("date", "hour").csv(root)
 
 
 def _header_only(rows, root):
