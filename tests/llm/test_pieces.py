@@ -128,3 +128,19 @@ def test_plans_hold_no_vocabulary_and_deal_texts_once(spark, vocabulary):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = op.encode(df, vocabulary)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and len(plan) < 60_000
+
+
+def test_words_of_texts_walk_to_the_edges_of_the_join(spark, vocabulary):
+    """A substring of a text is no row: the walk finds the same edges, and the plan joins nothing."""
+    words = ["▁thenon", "x" * 150, "\n", "▁日本\U0001F9FF", "a"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    joined = {w: [] for w in words}
+    for r in op.edges(df, vocabulary).collect():
+        joined[r.word].append(tuple(r.edge))
+    walked = op._Walk.of(vocabulary).lattices(words).to_pylist()
+    assert {w: [tuple(e.values()) for e in own["edges"]] for w, own in zip(words, walked)} == {
+        w: sorted(own) for w, own in joined.items()}
+    assert [own["size"] for own in walked] == [len(w) for w in words]
+    texts = spark.createDataFrame([(1, "thenon \U0001F9FF")], "doc_id long, text string")
+    plan = op.encode(texts, vocabulary, most_shared=0)._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Join", "Generate", "Aggregate"))

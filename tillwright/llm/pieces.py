@@ -1,10 +1,11 @@
 """SentencePiece encoding by a relational lattice, and decoding.
 
-Texts are cut into words that no piece reaches across. A word becomes a lattice in
-tables: every substring up to the longest piece is joined to the pieces, the edges are
-gathered per word, and a fold over them keeps the best way to each place. Frequent
-words go through that once and are broadcast; the other words of a text go through it
-beside the other ids of the text, which are shuffled once.
+Texts are cut into words that no piece reaches across. A word becomes a lattice of
+edges, and a fold over them keeps the best way to each place. Frequent words become
+lattices in tables, once, and are broadcast: every substring up to the longest piece is
+joined to the pieces, and the edges are gathered per word. The other words of a text stay
+in its row: their edges come from a walk over the pieces' letters, a batch of texts at a
+time, and Spark folds them there, so no row is made for a substring.
 """
 
 from __future__ import annotations
@@ -177,6 +178,78 @@ def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> D
     ).drop("_edges", "_size")
 
 
+@dataclass(frozen=True)
+class _Walk:
+    """The pieces as a tree of letters, in columns: a step from a node is one sorted number."""
+
+    steps: np.ndarray
+    to: np.ndarray
+    ids: np.ndarray
+    scores: np.ndarray
+    unknown: float
+    longest: int
+
+    @classmethod
+    def of(cls, vocabulary: Vocabulary) -> _Walk:
+        nodes: dict[int, int] = {}
+        ends: dict[int, tuple[int, float]] = {}
+        for number, piece, score in vocabulary.pieces:
+            node = 0
+            for letter in piece:
+                node = nodes.setdefault(node << 21 | ord(letter), len(nodes) + 1)
+            ends[node] = number, score
+        steps = np.array(sorted(nodes), np.int64)
+        ids, scores = np.full(len(nodes) + 1, -1, np.int32), np.zeros(len(nodes) + 1)
+        for node, (number, score) in ends.items():
+            ids[node], scores[node] = number, score
+        return cls(steps, np.array([nodes[k] for k in steps.tolist()], np.int64), ids, scores,
+                   vocabulary.lowest - _UNKNOWN_PENALTY, vocabulary.longest)
+
+    def lattices(self, words: list[str]) -> pa.StructArray:
+        """``size`` and sorted ``edges`` of each word, the same edges that ``edges`` joins."""
+        sizes = np.array([len(word) for word in words], np.int64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        stops = begins + np.repeat(sizes, sizes)
+        start, node = np.arange(len(letters)), np.zeros(len(letters), np.int64)
+        single = np.zeros(len(letters), bool)
+        starts, ends, ids, scores = [], [], [], []
+        for length in range(1, self.longest + 1):
+            step = node << 21 | letters[start + length - 1]
+            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            known = self.steps[at] == step
+            start, node = start[known], self.to[at[known]]
+            whole = self.ids[node] >= 0
+            if length == 1:
+                single[start[whole]] = True
+            starts.append(start[whole])
+            ends.append(start[whole] + length)
+            ids.append(self.ids[node[whole]])
+            scores.append(self.scores[node[whole]])
+            further = start + length < stops[start]
+            start, node = start[further], node[further]
+            if not len(start):
+                break
+        other = np.flatnonzero(~single)
+        starts = np.concatenate([*starts, other])
+        ends = np.concatenate([*ends, other + 1])
+        ids = np.concatenate([*ids, (-letters[other] - 1).astype(np.int32)])
+        scores = np.concatenate([*scores, np.full(len(other), self.unknown)])
+        # By end, then by start: the longest piece first.
+        order = np.argsort(ends * (self.longest + 1) + self.longest - (ends - starts))
+        starts, ends = starts[order], ends[order]
+        own = begins[starts]
+        of_place = np.concatenate(([0], np.cumsum(np.bincount(ends, minlength=len(letters) + 1))))
+        first = of_place[np.concatenate(([0], np.cumsum(sizes))) + 1]
+        first[0] = 0
+        place = ((ends - own) * 256 + starts - own).astype(np.int32)
+        edge = pa.StructArray.from_arrays(
+            [pa.array(place), pa.array(ids[order]), pa.array(scores[order])], ["place", "id", "score"])
+        return pa.StructArray.from_arrays([
+            pa.array(sizes.astype(np.int32)),
+            pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), edge)], ["size", "edges"])
+
+
 def _plain_ids(word: str, by_piece: dict[str, tuple[int, float]], vocabulary: Vocabulary) -> list:
     """The same for one long word, in time proportional to its length."""
     n = len(word)
@@ -323,8 +396,9 @@ def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
 
 
-def _looked_up(words: pa.ListArray, shared: _Shared, by_piece: dict, vocabulary: Vocabulary) -> pa.Array:
-    """Ids of each row's words, compressed, and the words that are not shared, in order.
+def _looked_up(words: pa.ListArray, shared: _Shared, by_piece: dict, vocabulary: Vocabulary,
+               walk: _Walk) -> pa.Array:
+    """Ids of each row's words, compressed, and lattices of the words that are not shared, in order.
 
     In the ids the k-th of these stands as ``-k``, counted from 1. Words too long for the
     fold get their ids here.
@@ -359,7 +433,7 @@ def _looked_up(words: pa.ListArray, shared: _Shared, by_piece: dict, vocabulary:
     return pa.StructArray.from_arrays([
         pa.array([packed.compress(ids[a:b].tobytes())
                   for a, b in zip(running[ends[:-1]], running[ends[1:]])], pa.binary()),
-        pa.ListArray.from_arrays(pa.array(np.cumsum(rare_ends), pa.int32()), pa.array(rare, pa.string())),
+        pa.ListArray.from_arrays(pa.array(np.cumsum(rare_ends), pa.int32()), walk.lattices(rare)),
     ], ["ids", "rare"])
 
 
@@ -409,10 +483,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     holds the mark for spaces itself.
 
     Up to ``most_shared`` frequent words, of fewer than 64 characters each, are encoded
-    first and broadcast. A text's shared words are looked up where it is read. Its ids, in
-    compressed form, and its other words are then dealt out by row, the one large shuffle.
-    There each word meets the pieces, and the edges are gathered by text and word, folded,
-    and put in their places, all in one stage.
+    first and broadcast. A text's shared words are looked up where it is read, and its other
+    words are folded beside them. Its ids, in compressed form, and those of the other words
+    are then dealt out by row, the one large shuffle, and put together there.
     A text that is very long is one row with as many ids. Null and empty texts have no ids;
     repeated rows stay repeated. An empty table gives an empty result.
 
@@ -426,15 +499,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     if not 0 < int(docs.sparkSession.conf.get(size)) <= _ROWS_AT_ONCE:
         docs.sparkSession.conf.set(size, str(_ROWS_AT_ONCE))
     words_known = context.broadcast(_shared(texts, vocabulary, most_shared))
-    pieces_known = context.broadcast(vocabulary)
+    pieces_known, walk_known = context.broadcast(vocabulary), context.broadcast(_Walk.of(vocabulary))
 
-    @F.arrow_udf("struct<ids:binary,rare:array<string>>")
+    @F.arrow_udf("struct<ids:binary,rare:array<struct<size:int,"
+                 "edges:array<struct<place:int,id:int,score:double>>>>>")
     def looked_up(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shared, own = words_known.value, pieces_known.value
         by_piece = {piece: (i, score) for i, piece, score in own.pieces}
         for words in lists:
-            yield pa.concat_arrays([_looked_up(words.slice(at, _ROWS_AT_ONCE), shared, by_piece, own)
-                                    for at in _in_parts(len(words))])
+            yield pa.concat_arrays([
+                _looked_up(words.slice(at, _ROWS_AT_ONCE), shared, by_piece, own, walk_known.value)
+                for at in _in_parts(len(words))])
             pa.default_memory_pool().release_unused()
 
     @F.arrow_udf("struct<ids:array<int>,spelled:bigint,same:boolean>")
@@ -448,20 +523,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     numbered = texts.withColumn("_row", F.monotonically_increasing_id())
     looked = numbered.select("doc_id", "_row", F.xxhash64("text").alias("mark"),
                           looked_up(words_of(F.col("text"), vocabulary)).alias("own"))
-    # Each text goes on as a row of its own, number 0, beside the rows of its words.
-    held = F.struct("doc_id", "mark", F.col("own.ids").alias("ids"))
-    whole = F.struct(F.lit(None).cast("string").alias("word"), held.alias("text"))
-    nothing = F.lit(None).cast(looked.select(held.alias("t")).schema["t"].dataType)
-    words = F.transform("own.rare", lambda w: F.struct(w.alias("word"), nothing.alias("text")))
-    rows = looked.select("_row", F.posexplode(F.concat(F.array(whole), words)).alias("k", "e")).select(
-        "_row", "k", "e.word", F.col("e.text").alias("held")).repartition("_row")
-    folded = encode_words(rows, ["_row", "k"], vocabulary)
-    by_text = folded.groupBy("_row").agg(
-        F.first("held", ignorenulls=True).alias("held"),
-        F.sort_array(F.collect_list(F.when(F.col("k") > 0, F.struct("k", "ids")))).alias("found"),
-    )
-    done = by_text.select("held.doc_id", finished(
-        F.col("held.ids"), F.transform("found", lambda x: x["ids"]), F.col("held.mark")).alias("d"))
+    folded = looked.select("doc_id", "_row", "mark", F.col("own.ids").alias("ids"), F.transform(
+        "own.rare", lambda word: _best_ids(word["edges"], word["size"])).alias("found"))
+    done = folded.repartition("_row").select(
+        "doc_id", finished("ids", "found", "mark").alias("d"))
     return done.select("doc_id", F.col("d.ids").alias("ids"), F.col("d.spelled").alias("n_spelled"),
                        F.col("d.same").alias("round_trip"))
 
