@@ -138,9 +138,10 @@ def test_words_of_texts_walk_to_the_edges_of_the_join(spark, vocabulary):
     for r in op.edges(df, vocabulary).collect():
         joined[r.word].append(tuple(r.edge))
     walked = op._Walk.of(vocabulary).lattices(words).to_pylist()
-    assert {w: [tuple(e.values()) for e in own["edges"]] for w, own in zip(words, walked)} == {
+    assert {w: sorted((end * 256 + e["start"], e["id"], e["score"])
+                      for end, own in enumerate(ends, 1) for e in own) for w, ends in zip(words, walked)} == {
         w: sorted(own) for w, own in joined.items()}
-    assert [own["size"] for own in walked] == [len(w) for w in words]
+    assert [len(ends) for ends in walked] == [len(w) for w in words]
     texts = spark.createDataFrame([(1, "thenon \U0001F9FF")], "doc_id long, text string")
     plan = op.encode(texts, vocabulary, most_shared=0)._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in ("Join", "Generate", "Aggregate"))

@@ -158,6 +158,33 @@ def _best_ids(lattice: Column, size: Column) -> Column:
     )
 
 
+def _best_ids_by_end(lattice: Column) -> Column:
+    """The same where the edges to each place are an array: one way is added for a place.
+
+    A way says how far it goes ``back`` as minus its start, so that of equal ways the greatest
+    is the one whose last piece starts first.
+    """
+    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id")))
+
+    def step(ways: Column, edges: Column) -> Column:
+        return F.concat(ways, F.array(F.array_max(F.transform(edges, lambda edge: F.struct(
+            (F.get(ways, edge["start"])["score"] + edge["score"]).alias("score"),
+            (-edge["start"]).alias("back"), edge["id"].alias("id"))))))
+
+    def back(state: Column, place: Column) -> Column:
+        way = F.get(state["ways"], place)
+        return F.when(state["at"] == place, F.struct(
+            (-way["back"]).alias("at"), F.concat(F.array(way["id"]), state["ids"]).alias("ids"),
+            state["ways"].alias("ways"))).otherwise(state)
+
+    return F.aggregate(
+        F.sequence(F.size(lattice), F.lit(1), F.lit(-1)),
+        F.struct(F.size(lattice).alias("at"), F.array().cast("array<int>").alias("ids"),
+                 F.aggregate(lattice, origin, step).alias("ways")),
+        back, lambda state: state["ids"],
+    )
+
+
 def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> DataFrame:
     """``ids`` for each row of ``words``, told apart by ``keys``; its ``word`` may be null.
 
@@ -205,8 +232,8 @@ class _Walk:
         return cls(steps, np.array([nodes[k] for k in steps.tolist()], np.int64), ids, scores,
                    vocabulary.lowest - _UNKNOWN_PENALTY, vocabulary.longest)
 
-    def lattices(self, words: list[str]) -> pa.StructArray:
-        """``size`` and sorted ``edges`` of each word, the same edges that ``edges`` joins."""
+    def lattices(self, words: list[str]) -> pa.ListArray:
+        """For each word and place in it the edges that end there, those that ``edges`` joins."""
         sizes = np.array([len(word) for word in words], np.int64)
         letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -235,19 +262,15 @@ class _Walk:
         ends = np.concatenate([*ends, other + 1])
         ids = np.concatenate([*ids, (-letters[other] - 1).astype(np.int32)])
         scores = np.concatenate([*scores, np.full(len(other), self.unknown)])
-        # By end, then by start: the longest piece first.
-        order = np.argsort(ends * (self.longest + 1) + self.longest - (ends - starts))
+        order = np.argsort(ends, kind="stable")
         starts, ends = starts[order], ends[order]
-        own = begins[starts]
-        of_place = np.concatenate(([0], np.cumsum(np.bincount(ends, minlength=len(letters) + 1))))
-        first = of_place[np.concatenate(([0], np.cumsum(sizes))) + 1]
-        first[0] = 0
-        place = ((ends - own) * 256 + starts - own).astype(np.int32)
+        of_place = np.cumsum(np.bincount(ends, minlength=len(letters) + 1))
         edge = pa.StructArray.from_arrays(
-            [pa.array(place), pa.array(ids[order]), pa.array(scores[order])], ["place", "id", "score"])
-        return pa.StructArray.from_arrays([
-            pa.array(sizes.astype(np.int32)),
-            pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), edge)], ["size", "edges"])
+            [pa.array((starts - begins[starts]).astype(np.int32)), pa.array(ids[order]), pa.array(scores[order])],
+            ["start", "id", "score"])
+        by_end = pa.ListArray.from_arrays(pa.array(of_place.astype(np.int32)), edge)
+        return pa.ListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), by_end)
 
 
 def _plain_ids(word: str, by_piece: dict[str, tuple[int, float]], vocabulary: Vocabulary) -> list:
@@ -501,8 +524,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     words_known = context.broadcast(_shared(texts, vocabulary, most_shared))
     pieces_known, walk_known = context.broadcast(vocabulary), context.broadcast(_Walk.of(vocabulary))
 
-    @F.arrow_udf("struct<ids:binary,rare:array<struct<size:int,"
-                 "edges:array<struct<place:int,id:int,score:double>>>>>")
+    @F.arrow_udf("struct<ids:binary,rare:array<array<array<struct<start:int,id:int,score:double>>>>>")
     def looked_up(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shared, own = words_known.value, pieces_known.value
         by_piece = {piece: (i, score) for i, piece, score in own.pieces}
@@ -524,7 +546,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     looked = numbered.select("doc_id", "_row", F.xxhash64("text").alias("mark"),
                           looked_up(words_of(F.col("text"), vocabulary)).alias("own"))
     folded = looked.select("doc_id", "_row", "mark", F.col("own.ids").alias("ids"), F.transform(
-        "own.rare", lambda word: _best_ids(word["edges"], word["size"])).alias("found"))
+        "own.rare", _best_ids_by_end).alias("found"))
     done = folded.repartition("_row").select(
         "doc_id", finished("ids", "found", "mark").alias("d"))
     return done.select("doc_id", F.col("d.ids").alias("ids"), F.col("d.spelled").alias("n_spelled"),
