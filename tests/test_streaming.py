@@ -175,3 +175,22 @@ def test_bad_stock_rows_are_kept_beside_the_alerts(spark, tmp_path):
     (bad,) = spark.read.schema("product_id string, bad_columns string").parquet(
         f"{tmp_path}/bad").collect()
     assert (bad.product_id, bad.bad_columns) == ("B", "final_stock")
+
+
+def test_messages_are_made_once_however_often_they_are_delivered(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tillwright.registry.alerts import _deliveries
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def message(number):
+        made.add(1)
+        return f"message {number}"
+
+    messages = spark.range(5).select(message("id").alias("value"))
+    assert list(_deliveries(spark, str(tmp_path), messages, 3)) == [0, 1, 2]
+    assert made.value == 5
+    topic = spark.read.text(str(tmp_path / "topic")).collect()
+    assert sorted(r.value for r in topic) == sorted([f"message {n}" for n in range(5)] * 3)

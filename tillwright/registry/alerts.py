@@ -27,6 +27,14 @@ def _alert_messages(spark, sf_dir):
     return op.to_messages(_negative(spark, sf_dir))
 
 
+def _deliveries(spark, root, messages, times):
+    """Append ``messages`` to the topic, again and again; they are made once, and kept beside it."""
+    messages.write.text(f"{root}/messages")
+    for number in range(times):
+        spark.read.text(f"{root}/messages").write.mode("append").text(f"{root}/topic")
+        yield number
+
+
 def _sink(spark, root, alerts):
     op.start_alert_sink(alerts, f"{root}/alerts", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(ALERT).parquet(f"{root}/alerts")
@@ -42,8 +50,7 @@ def _negative_stock_stream(spark, sf_dir):
 def _unique_alerts(spark, sf_dir):
     """Every message is delivered in three runs of two queries; each alert is stored once."""
     root = scratch_folder(spark, "unique-alerts")
-    for run in range(3):
-        _alert_messages(spark, sf_dir).write.mode("append").text(f"{root}/topic")
+    for run in _deliveries(spark, root, _alert_messages(spark, sf_dir), 3):
         alerts = op.alert_stream(op.message_source(spark, f"{root}/topic"))
         op.start_unique_sink(alerts, f"{root}/alerts", f"{root}/checkpoint-{run % 2}").awaitTermination()
     return op.read_unique(spark, f"{root}/alerts").select(*ALERT.fieldNames())
@@ -52,8 +59,8 @@ def _unique_alerts(spark, sf_dir):
 def _alert_stream(spark, sf_dir):
     """Every message is delivered twice; the sink stores it once."""
     root = scratch_folder(spark, "alert-stream")
-    for _ in range(2):
-        _alert_messages(spark, sf_dir).write.mode("append").text(f"{root}/topic")
+    for _ in _deliveries(spark, root, _alert_messages(spark, sf_dir), 2):
+        pass
     messages = op.message_source(spark, f"{root}/topic")
     return _sink(spark, root, op.dedup_alerts(op.alert_stream(messages)))
 
@@ -67,8 +74,8 @@ def _stream_quarantine(spark, sf_dir):
     cut = F.when(
         F.col("stock") < -20, F.expr("substring(value, 1, length(value) - 1)")
     ).otherwise(F.col("value"))
-    for _ in range(2):
-        messages.select(cut.alias("value")).write.mode("append").text(f"{root}/topic")
+    for _ in _deliveries(spark, root, messages.select(cut.alias("value")), 2):
+        pass
     op.start_message_quarantine(
         op.message_source(spark, f"{root}/topic"),
         f"{root}/good", f"{root}/bad", f"{root}/checkpoint", delay=op.REPEAT_WINDOW,
