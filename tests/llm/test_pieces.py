@@ -4,8 +4,10 @@ import random
 import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from tillwright.llm import pieces as op
@@ -145,3 +147,59 @@ def test_words_of_texts_walk_to_the_edges_of_the_join(spark, vocabulary):
     texts = spark.createDataFrame([(1, "thenon \U0001F9FF")], "doc_id long, text string")
     plan = op.encode(texts, vocabulary, most_shared=0)._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in ("Join", "Generate", "Aggregate"))
+
+
+def cut(text, vocabulary):
+    """The words of a text by a look at each two neighbours."""
+    words = ["▁"] * bool(text)
+    for before, after in zip("▁" + text.replace(" ", "▁"), text.replace(" ", "▁")):
+        if after == "▁" != before or after in vocabulary.cut_before and before.isalpha():
+            words.append(after)
+        else:
+            words[-1] += after
+    return words
+
+
+def test_words_of_many_texts_at_once(vocabulary):
+    """Letters of one to four bytes before a mark, spaces in runs and at ends, empty texts, a slice."""
+    rng = random.Random(6)
+    letters = "ab .,|é日▁ \U00020000\U0001F9FFâ–1\n;‖"
+    for _ in range(300):
+        texts = ["".join(rng.choices(letters, k=rng.randint(0, 12))) for _ in range(rng.randint(0, 6))]
+        many = pa.array(["zz", *texts, "q"]).slice(1, len(texts))
+        assert op.words_of(many, vocabulary).to_pylist() == [cut(text, vocabulary) for text in texts]
+
+
+def test_texts_are_not_cut_by_patterns(spark, vocabulary):
+    """Whole texts go to the batch that looks them up; Spark makes no array of their words."""
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = op.encode(df, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan
+
+
+def test_the_fold_keeps_numbers(spark):
+    """Of equal ways that whose last piece starts first stays, as in the fold that keeps ways."""
+    rng = random.Random(8)
+    words = []
+    for size in [1, 2, 3, 5, 9] * 8:
+        words.append([[(start, 10 * end + start, float(-rng.randint(1, 3)))
+                       for start in range(end) if start == end - 1 or rng.random() < 0.6]
+                      for end in range(1, size + 1)])
+    df = spark.createDataFrame([(words,)], "rare array<array<array<struct<start:int,id:int,score:double>>>>")
+    found = df.select(F.transform("rare", op._best_ids_by_end).alias("ids"))
+    assert "named_struct(score" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = []
+    for word in words:
+        ways = [(0.0, 0, [])]
+        for edges in word:
+            score, back, number, start = max((ways[s][0] + score, -s, i, s) for s, i, score in edges)
+            ways.append((score, back, ways[start][2] + [number]))
+        want.append(ways[-1][2])
+    assert found.first().ids == want
+
+
+def test_bytes_that_are_no_text(spark, library, vocabulary):
+    df = spark.sql("SELECT 1L AS doc_id, CAST(X'6120E26262FF2E' AS STRING) AS text")
+    for most_shared in (1 << 19, 0):
+        found = op.encode(df, vocabulary, most_shared=most_shared).first()
+        assert found.ids == library.encode("a \ufffdbb\ufffd.") and not found.round_trip

@@ -83,19 +83,56 @@ class Vocabulary:
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.pieces, "id int, piece string, score double")
 
-    def cuts(self) -> str:
-        """Pattern of the places between words."""
-        marks = self.cut_before
-        after_letter = f"|(?<=\\p{{L}})(?=[{marks}])" if marks else ""
-        # What must follow is looked at first: at most places that settles it.
-        return f"(?=[{SPACE}{marks}])(?:(?<!{SPACE})(?={SPACE}){after_letter})"
 
-
-def words_of(text: Column, vocabulary: Vocabulary) -> Column:
-    """The words of a text, in order; none for null and empty texts."""
-    marked = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
-    return F.when(F.length(text) > 0, F.split(marked, vocabulary.cuts())).otherwise(
-        F.array().cast("array<string>"))
+def _after_letters(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a letter ends before each of some places in valid UTF-8."""
+    before = data[at - 1]
+    letter = np.array([chr(code).isalpha() for code in range(128)] + [False] * 128)[before]
+    wide = np.flatnonzero(before >= 0x80)
+    place, code = at[wide] - 1, np.zeros(len(wide), np.int64)
+    rest, shift = np.arange(len(wide)), 0
+    while len(rest):
+        # Bytes that go on hold six bits each, a first byte what its mark leaves.
+        byte = data[place[rest]].astype(np.int64)
+        on = byte & 0xC0 == 0x80
+        own = np.where(on, 0x3F, np.where(byte >= 0xF0, 0x07, np.where(byte >= 0xE0, 0x0F, 0x1F)))
+        code[rest] |= (byte & own) << shift
+        rest, shift = rest[on], shift + 6
+        place[rest] -= 1
+    codes, which = np.unique(code, return_inverse=True)
+    letter[wide] = np.array([chr(own).isalpha() for own in codes.tolist()], bool)[which]
+    return letter
+
+
+def words_of(texts: pa.Array, vocabulary: Vocabulary) -> pa.ListArray:
+    """The words of each text, in order; none for empty texts. Texts are valid UTF-8, not null."""
+    begun = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", " ")
+    marked = pc.replace_substring(pc.binary_join_element_wise(begun, texts, ""), " ", SPACE)
+    size = pc.binary_length(marked).to_numpy().astype(np.int64)
+    offsets, held = np.concatenate(([0], np.cumsum(size))), marked.buffers()[2]
+    if not offsets[-1]:
+        return pa.array([[]] * len(texts), pa.list_(pa.string()))
+    data = np.frombuffer(held, np.uint8)[: offsets[-1]]
+    space, marks = SPACE.encode(), np.zeros(256, bool)
+    marks[list(vocabulary.cut_before.encode())] = True
+    looked = marks.copy()
+    looked[space[0]] = True
+    at = np.flatnonzero(np.frombuffer(data.tobytes().translate(looked.tobytes()), bool))
+    byte = data[at]
+    is_space = byte == space[0]
+    own = at[is_space]
+    is_space[is_space] = (data[own + 1] == space[1]) & (data[own + 2] == space[2])
+    cut = np.zeros(len(at), bool)
+    spaces = np.flatnonzero(is_space)
+    # A run of spaces starts a word, and so does each text.
+    cut[spaces] = np.diff(at[spaces], prepend=-9) != len(space)
+    cut[np.searchsorted(at, offsets[:-1][size > 0])] = True
+    stops = np.flatnonzero(marks[byte])
+    cut[stops] = _after_letters(data, at[stops])
+    begins = at[cut]
+    words = pa.Array.from_buffers(pa.string(), len(begins), [
+        None, pa.py_buffer(np.append(begins, offsets[-1]).astype(np.int32)), held])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(begins, offsets).astype(np.int32)), words)
 
 
 def edges(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -159,30 +196,32 @@ def _best_ids(lattice: Column, size: Column) -> Column:
 
 
 def _best_ids_by_end(lattice: Column) -> Column:
-    """The same where the edges to each place are an array: one way is added for a place.
+    """The same where the edges to each place are an array, by their starts.
 
-    A way says how far it goes ``back`` as minus its start, so that of equal ways the greatest
-    is the one whose last piece starts first.
+    The fold keeps no more than the best score of each place, a number. On the way back an
+    edge that reaches it is looked for, only at the places that the best way has.
     """
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id")))
+    def reached(scores: Column, edge: Column) -> Column:
+        return F.get(scores, edge["start"]) + edge["score"]
 
-    def step(ways: Column, edges: Column) -> Column:
-        return F.concat(ways, F.array(F.array_max(F.transform(edges, lambda edge: F.struct(
-            (F.get(ways, edge["start"])["score"] + edge["score"]).alias("score"),
-            (-edge["start"]).alias("back"), edge["id"].alias("id"))))))
+    def step(scores: Column, edges: Column) -> Column:
+        return F.array_append(scores, F.array_max(F.transform(edges, lambda edge: reached(scores, edge))))
 
-    def back(state: Column, place: Column) -> Column:
-        way = F.get(state["ways"], place)
-        return F.when(state["at"] == place, F.struct(
-            (-way["back"]).alias("at"), F.concat(F.array(way["id"]), state["ids"]).alias("ids"),
-            state["ways"].alias("ways"))).otherwise(state)
+    def ids(scores: Column) -> Column:
+        def back(state: Column, place: Column) -> Column:
+            # Of equal ways the one whose last piece starts first comes first.
+            best = F.filter(F.get(lattice, place - 1), lambda edge: reached(scores, edge) == F.get(scores, place))
+            return F.when(state["at"] == place, F.get(F.transform(best, lambda edge: F.struct(
+                edge["start"].alias("at"), F.array_append(state["ids"], edge["id"]).alias("ids"))), F.lit(0)),
+            ).otherwise(state)
 
-    return F.aggregate(
-        F.sequence(F.size(lattice), F.lit(1), F.lit(-1)),
-        F.struct(F.size(lattice).alias("at"), F.array().cast("array<int>").alias("ids"),
-                 F.aggregate(lattice, origin, step).alias("ways")),
-        back, lambda state: state["ids"],
-    )
+        return F.aggregate(
+            F.sequence(F.size(lattice), F.lit(1), F.lit(-1)),
+            F.struct(F.size(lattice).alias("at"), F.array().cast("array<int>").alias("ids")),
+            back, lambda state: F.reverse(state["ids"]))
+
+    # An array of one, so that the scores are folded once for all places of the way back.
+    return F.get(F.transform(F.array(F.aggregate(lattice, F.array(F.lit(0.0)), step)), ids), F.lit(0))
 
 
 def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> DataFrame:
@@ -207,7 +246,7 @@ def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> D
 
 @dataclass(frozen=True)
 class _Walk:
-    """The pieces as a tree of letters, in columns: a step from a node is one sorted number."""
+    """The pieces as a tree of letters: a step from a node is one number, kept by its hash."""
 
     steps: np.ndarray
     to: np.ndarray
@@ -225,17 +264,39 @@ class _Walk:
             for letter in piece:
                 node = nodes.setdefault(node << 21 | ord(letter), len(nodes) + 1)
             ends[node] = number, score
-        steps = np.array(sorted(nodes), np.int64)
+        places = 1 << (4 * len(nodes) + 1).bit_length()
+        steps, to = np.full(places, -1, np.int64), np.zeros(places, np.int64)
+        for step, at in zip(nodes, cls._places(np.array(list(nodes), np.int64), places).tolist()):
+            while steps[at] >= 0:
+                at = (at + 1) % places
+            steps[at], to[at] = step, nodes[step]
         ids, scores = np.full(len(nodes) + 1, -1, np.int32), np.zeros(len(nodes) + 1)
         for node, (number, score) in ends.items():
             ids[node], scores[node] = number, score
-        return cls(steps, np.array([nodes[k] for k in steps.tolist()], np.int64), ids, scores,
-                   vocabulary.lowest - _UNKNOWN_PENALTY, vocabulary.longest)
-
-    def lattices(self, words: list[str]) -> pa.ListArray:
+        return cls(steps, to, ids, scores, vocabulary.lowest - _UNKNOWN_PENALTY, vocabulary.longest)
+
+    @staticmethod
+    def _places(steps: np.ndarray, places: int) -> np.ndarray:
+        mixed = steps.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(65 - places.bit_length())).astype(np.int64)
+
+    def _found(self, steps: np.ndarray) -> np.ndarray:
+        """The place of each step in the table, that of an empty one if it is in no piece."""
+        at = self._places(steps, len(self.steps))
+        held = self.steps[at]
+        left = np.flatnonzero((held != steps) & (held >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) % len(self.steps)
+            held = self.steps[at[left]]
+            left = left[(held != steps[left]) & (held >= 0)]
+        return at
+
+    def lattices(self, words: list[str] | pa.StringArray) -> pa.ListArray:
         """For each word and place in it the edges that end there, those that ``edges`` joins."""
-        sizes = np.array([len(word) for word in words], np.int64)
-        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        words = pa.array(words, pa.string())
+        sizes = pc.utf8_length(words).to_numpy().astype(np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "")
+        letters = np.frombuffer(joined[0].as_py().encode("utf-32-le"), np.uint32).astype(np.int64)
         begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
         stops = begins + np.repeat(sizes, sizes)
         start, node = np.arange(len(letters)), np.zeros(len(letters), np.int64)
@@ -243,7 +304,7 @@ class _Walk:
         starts, ends, ids, scores = [], [], [], []
         for length in range(1, self.longest + 1):
             step = node << 21 | letters[start + length - 1]
-            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            at = self._found(step)
             known = self.steps[at] == step
             start, node = start[known], self.to[at[known]]
             whole = self.ids[node] >= 0
@@ -258,16 +319,22 @@ class _Walk:
             if not len(start):
                 break
         other = np.flatnonzero(~single)
-        starts = np.concatenate([*starts, other])
-        ends = np.concatenate([*ends, other + 1])
-        ids = np.concatenate([*ids, (-letters[other] - 1).astype(np.int32)])
-        scores = np.concatenate([*scores, np.full(len(other), self.unknown)])
-        order = np.argsort(ends, kind="stable")
-        starts, ends = starts[order], ends[order]
-        of_place = np.cumsum(np.bincount(ends, minlength=len(letters) + 1))
+        starts.append(other)
+        ends.append(other + 1)
+        ids.append((-letters[other] - 1).astype(np.int32))
+        scores.append(np.full(len(other), self.unknown))
+        many = np.bincount(np.concatenate(ends), minlength=len(letters) + 1)
+        of_place = np.cumsum(many)
+        free = of_place - many
+        count = of_place[-1]
+        by_start, by_id, by_score = np.empty(count, np.int32), np.empty(count, np.int32), np.empty(count)
+        # The longest first: so the edges to a place come by their starts.
+        for start, end, own, score in reversed(list(zip(starts, ends, ids, scores))):
+            at = free[end]
+            free[end] += 1
+            by_start[at], by_id[at], by_score[at] = start - begins[start], own, score
         edge = pa.StructArray.from_arrays(
-            [pa.array((starts - begins[starts]).astype(np.int32)), pa.array(ids[order]), pa.array(scores[order])],
-            ["start", "id", "score"])
+            [pa.array(by_start), pa.array(by_id), pa.array(by_score)], ["start", "id", "score"])
         by_end = pa.ListArray.from_arrays(pa.array(of_place.astype(np.int32)), edge)
         return pa.ListArray.from_arrays(
             pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), by_end)
@@ -304,9 +371,27 @@ def _spelled(ids: list[int], vocabulary: Vocabulary) -> list[int]:
         [i] if i >= 0 else [vocabulary.byte_ids[x] for x in chr(-i - 1).encode()])]
 
 
+def _with_bytes(ids: np.ndarray, size: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
+    """Where the lists of words that stand one after the other begin, their sizes, and their ids.
+
+    Words with a character that is no piece get its bytes, behind all others.
+    """
+    first, size = np.cumsum(size) - size, size.copy()
+    owner = np.repeat(np.arange(len(size)), size)
+    added: list[int] = []
+    for word in np.unique(owner[ids < 0]).tolist():
+        own = _spelled(ids[first[word] : first[word] + size[word]].tolist(), vocabulary)
+        first[word], size[word] = len(ids) + len(added), len(own)
+        added += own
+    return first, size, np.concatenate((ids, np.array(added, np.int32)))
+
+
 def _text(ids: list[int], vocabulary: Vocabulary) -> bytes:
     known = len(vocabulary.texts)
-    spelled = b"".join([vocabulary.texts[i] for i in ids if 0 <= i < known])
+    return _spaced(b"".join([vocabulary.texts[i] for i in ids if 0 <= i < known]))
+
+
+def _spaced(spelled: bytes) -> bytes:
     return spelled.replace(SPACE.encode(), b" ").removeprefix(b" ")
 
 
@@ -357,7 +442,7 @@ def _counted(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in batches:
-            found = pc.value_counts(batch.column(0).flatten())
+            found = pc.value_counts(words_of(batch.column(0), vocabulary).flatten())
             part = pa.table([found.field("values"), found.field("counts")], ["word", "n"])
             part = part.filter(pc.less(pc.utf8_length(part.column("word")), _SHARED_BELOW))
             held.append(part)
@@ -371,8 +456,7 @@ def _counted(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         if held:
             yield from often(summed(held))
 
-    words = texts.select(words_of(F.col("text"), vocabulary).alias("words"))
-    return words.mapInArrow(of_batches, "word string, n bigint").groupBy("word").agg(
+    return texts.select(F.make_valid_utf8("text")).mapInArrow(of_batches, "word string, n bigint").groupBy("word").agg(
         F.sum("n").alias("n"))
 
 
@@ -402,15 +486,7 @@ def _shared(texts: DataFrame, vocabulary: Vocabulary, most: int) -> _Shared:
         return _Shared(pa.array([], pa.string()), *[np.zeros(0, np.int64)] * 2, np.zeros(0, np.int32))
     names, lists = (found.column(c).chunk(0) for c in ("word", "ids"))
     ids, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
-    first = np.cumsum(size) - size
-    # Words with a character that is no piece get its bytes, behind all others.
-    owner = np.repeat(np.arange(len(size)), size)
-    added: list[int] = []
-    for word in np.unique(owner[ids < 0]).tolist():
-        own = _spelled(ids[first[word] : first[word] + size[word]].tolist(), vocabulary)
-        first[word], size[word] = len(ids) + len(added), len(own)
-        added += own
-    return _Shared(names, first, size, np.concatenate((ids, np.array(added, np.int32))))
+    return _Shared(names, *_with_bytes(ids, size, vocabulary))
 
 
 def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -424,72 +500,74 @@ def _looked_up(words: pa.ListArray, shared: _Shared, by_piece: dict, vocabulary:
     """Ids of each row's words, compressed, and lattices of the words that are not shared, in order.
 
     In the ids the k-th of these stands as ``-k``, counted from 1. Words too long for the
-    fold get their ids here.
+    fold get their ids here. A word is looked up and walked once for all rows.
     """
-    flat = words.flatten()
+    coded = words.flatten().dictionary_encode()
+    names, code = coded.dictionary, coded.indices.to_numpy()
     ends = words.offsets.to_numpy().astype(np.int64)
     ends = ends - ends[0]
-    at = pc.index_in(flat, value_set=shared.names).fill_null(len(shared.names)).to_numpy()
-    first, size = np.append(shared.first, 0)[at], np.append(shared.size, 0)[at]
+    # Asked the other way round, as a table of all shared words would be built anew each time.
+    held = pc.index_in(shared.names, value_set=names)
+    at = np.full(len(names), len(shared.names))
+    at[held.drop_null().to_numpy()] = np.flatnonzero(held.is_valid().to_numpy(zero_copy_only=False))
+    first, size = np.append(shared.first, 0)[at], np.append(shared.size, 1)[at]
     other = np.flatnonzero(at == len(shared.names))
-    rows = np.searchsorted(ends, other, side="right") - 1
-    added, rare, rare_ends = [], [], np.zeros(len(words) + 1, np.int64)
-    numbers: dict[str, int] = {}
-    row_now = -1
-    for place, row, word in zip(other.tolist(), rows.tolist(), flat.take(pa.array(other)).to_pylist()):
-        if row != row_now:
-            numbers, row_now = {}, row
-        if len(word) < _FOLD_BELOW:
-            number = numbers.get(word)
-            if number is None:
-                number = numbers[word] = len(numbers) + 1
-                rare.append(word)
-                rare_ends[row + 1] += 1
-            own = [-number]
-        else:
-            own = _plain_ids(word, by_piece, vocabulary)
-        first[place], size[place] = len(shared.ids) + len(added), len(own)
+    words_left = names.take(pa.array(other))
+    long = pc.utf8_length(words_left).to_numpy() >= _FOLD_BELOW
+    lattice = np.full(len(names), -1)
+    lattice[other[~long]] = np.arange(len(other) - long.sum())
+    added = []
+    for name in other[long].tolist():
+        own = _plain_ids(names[name].as_py(), by_piece, vocabulary)
+        first[name], size[name] = len(shared.ids) + len(added), len(own)
         added += own
-    ids = np.concatenate((shared.ids, np.array(added, np.int32)))[_ragged(first, size)]
+    gaps = np.flatnonzero(lattice[code] >= 0)
+    row = np.searchsorted(ends, gaps, side="right") - 1
+    in_row, which = np.unique(row * len(names) + code[gaps], return_inverse=True)
+    rare_ends = np.searchsorted(in_row, np.arange(len(words) + 1) * len(names))
+    numbers = np.arange(len(in_row)) - np.repeat(rare_ends[:-1], np.diff(rare_ends)) + 1
+    first, size = first[code], size[code]
+    first[gaps] = len(shared.ids) + len(added) + which
+    ids = np.concatenate((shared.ids, np.array(added, np.int32), -numbers.astype(np.int32)))[_ragged(first, size)]
     running = np.concatenate(([0], np.cumsum(size)))
     packed = zstandard.ZstdCompressor(level=1)
     return pa.StructArray.from_arrays([
         pa.array([packed.compress(ids[a:b].tobytes())
                   for a, b in zip(running[ends[:-1]], running[ends[1:]])], pa.binary()),
-        pa.ListArray.from_arrays(pa.array(np.cumsum(rare_ends), pa.int32()), walk.lattices(rare)),
+        pa.ListArray.from_arrays(
+            pa.array(rare_ends, pa.int32()),
+            walk.lattices(words_left.filter(pa.array(~long))).take(pa.array(lattice[in_row % max(len(names), 1)]))),
     ], ["ids", "rare"])
 
 
-def _filled(ids: np.ndarray, found: list[list[int]], vocabulary: Vocabulary) -> np.ndarray:
-    """Ids with those of the words that were not shared in their places."""
-    if not found:
-        return ids
-    lists = [_spelled(own, vocabulary) for own in found]
-    sizes = np.array([len(own) for own in lists], np.int64)
-    starts = len(ids) + np.cumsum(sizes) - sizes
-    size, first = np.ones(len(ids), np.int64), np.arange(len(ids))
+def _finished(batch: pa.Array, found: pa.Array, marks: pa.Array, vocabulary: Vocabulary,
+              spelling: pa.Array) -> pa.Array:
+    """Whole ids of each row, with those of the words that were not shared in their places."""
+    packed = zstandard.ZstdDecompressor()
+    rows = [np.frombuffer(packed.decompress(ids), np.int32) for ids in batch.to_pylist()]
+    sizes = np.array([len(own) for own in rows], np.int64)
+    ids = np.concatenate([*rows, np.zeros(0, np.int32)])
+    lists = found.flatten()
+    first, size, others = _with_bytes(
+        lists.flatten().to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64), vocabulary)
+    # The k-th of a row's words that were not shared is as many behind the first of the row.
+    words = pc.list_value_length(found).fill_null(0).to_numpy().astype(np.int64)
     gaps = np.flatnonzero(ids < 0)
-    number = -ids[gaps].astype(np.int64) - 1
-    size[gaps], first[gaps] = sizes[number], starts[number]
-    return np.concatenate((ids, np.array([i for own in lists for i in own], np.int32)))[_ragged(first, size)]
-
-
-def _finished(batch: pa.Array, found: pa.Array, marks: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    number = np.repeat(np.cumsum(words) - words, sizes)[gaps] - ids[gaps] - 1
+    begins, counts = np.arange(len(ids)), np.ones(len(ids), np.int64)
+    begins[gaps], counts[gaps] = len(ids) + first[number], size[number]
+    ends = np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(sizes)))]
+    ids = np.concatenate((ids, others))[_ragged(begins, counts)]
     lowest, highest = min(vocabulary.byte_ids), max(vocabulary.byte_ids)
-    every, ends, spelled, same = [], [0], [], []
-    packed = zstandard.ZstdDecompressor()
-    for ids, lists, mark in zip(batch, found, marks):
-        own = np.frombuffer(packed.decompress(ids.as_py()), np.int32)
-        own = _filled(own, lists.as_py() or [], vocabulary)
-        every.append(own)
-        ends.append(ends[-1] + len(own))
-        spelled.append(int(((own >= lowest) & (own <= highest)).sum()))
-        text = _text(own.tolist(), vocabulary)
-        same.append(xxhash.xxh64_intdigest(text, 42) == mark.as_py() % (1 << 64))
-    flat = np.concatenate(every) if every else np.zeros(0, np.int32)
+    bytes_before = np.concatenate(([0], np.cumsum((ids >= lowest) & (ids <= highest))))[ends]
+    spelled = spelling.take(pa.array(ids))
+    at = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset + ends].tolist()
+    text = memoryview(spelled.buffers()[2] or b"")
+    same = [xxhash.xxh64_intdigest(_spaced(bytes(text[a:b])), 42) == mark % (1 << 64)
+            for a, b, mark in zip(at, at[1:], marks.to_pylist())]
     return pa.StructArray.from_arrays([
-        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
-        pa.array(spelled, pa.int64()), pa.array(same, pa.bool_()),
+        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+        pa.array(np.diff(bytes_before), pa.int64()), pa.array(same, pa.bool_()),
     ], ["ids", "spelled", "same"])
 
 
@@ -528,23 +606,25 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     def looked_up(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shared, own = words_known.value, pieces_known.value
         by_piece = {piece: (i, score) for i, piece, score in own.pieces}
-        for words in lists:
+        for many in lists:
             yield pa.concat_arrays([
-                _looked_up(words.slice(at, _ROWS_AT_ONCE), shared, by_piece, own, walk_known.value)
-                for at in _in_parts(len(words))])
+                _looked_up(words_of(many.slice(at, _ROWS_AT_ONCE), own), shared, by_piece, own, walk_known.value)
+                for at in _in_parts(len(many))])
             pa.default_memory_pool().release_unused()
 
     @F.arrow_udf("struct<ids:array<int>,spelled:bigint,same:boolean>")
     def finished(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        own = pieces_known.value
+        spelling = pa.array(own.texts, pa.large_binary())
         for many in columns:
             yield pa.concat_arrays([
-                _finished(*(c.slice(at, _ROWS_AT_ONCE) for c in many), pieces_known.value)
+                _finished(*(c.slice(at, _ROWS_AT_ONCE) for c in many), own, spelling)
                 for at in _in_parts(len(many[0]))])
             pa.default_memory_pool().release_unused()
 
     numbered = texts.withColumn("_row", F.monotonically_increasing_id())
     looked = numbered.select("doc_id", "_row", F.xxhash64("text").alias("mark"),
-                          looked_up(words_of(F.col("text"), vocabulary)).alias("own"))
+                          looked_up(F.make_valid_utf8("text")).alias("own"))
     folded = looked.select("doc_id", "_row", "mark", F.col("own.ids").alias("ids"), F.transform(
         "own.rare", _best_ids_by_end).alias("found"))
     done = folded.repartition("_row").select(
