@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -196,3 +198,56 @@ def test_a_hot_slot_is_split_and_small_ones_share_a_task(spark, tmp_path):
     files = list((tmp_path / "hot").glob("date=*/hour=00/*.parquet"))
     assert len(files) > 5
     assert spark.read.parquet(str(tmp_path / "hot")).count() == 200_000
+
+
+def test_packed_files_are_read_and_listed_like_plain_ones(spark, tmp_path, rows_of):
+    rows = samples.catalog(
+        spark, *[slot("2025-01-01", f"{i % 3:02d}", f"P{i}", product_name='a "b", ç\t ') for i in range(300)],
+        slot("2025-01-02", "05", product_name=""))
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    lake.write_slots_csv(rows, plain)
+    assert len(lake.write_missing_slots(rows, packed, packed=True)) == 4
+    assert lake.write_missing_slots(rows, packed, packed=True) == []
+    assert lake.existing_slots(spark, packed) == lake.existing_slots(spark, plain)
+    assert rows_of(lake.read_catalog(spark, packed)) == rows_of(lake.read_catalog(spark, plain))
+    assert not list(tmp_path.glob("packed/date=*/**/*.csv"))
+    size = {n: sum(f.stat().st_size for f in (tmp_path / n).glob("date=*/**/*.csv*")) for n in ("plain", "packed")}
+    assert size["packed"] < size["plain"] / 4
+    # A lake may hold both.
+    lake.write_slots_csv(rows, packed)
+    assert lake.read_catalog(spark, packed).count() == 602
+
+
+def test_the_digest_of_a_slot_tells_when_its_files_change(spark, tmp_path):
+    assert lake.slot_digests(spark, str(tmp_path / "none")) == {}
+    for hour in ("00", "01"):
+        _put(tmp_path, f"date=2025-01-01/hour={hour}", CATALOG_FILE)
+    before = lake.slot_digests(spark, str(tmp_path))
+    assert sorted(before) == lake.existing_slots(spark, str(tmp_path))
+    assert lake.slot_digests(spark, str(tmp_path)) == before
+    _put(tmp_path, "date=2025-01-01/hour=01", CATALOG_FILE, "more.csv")
+    after = lake.slot_digests(spark, str(tmp_path))
+    assert after["2025-01-01", "00"] == before["2025-01-01", "00"]
+    assert after["2025-01-01", "01"] != before["2025-01-01", "01"]
+
+
+def test_a_write_leaves_no_shuffle_behind(spark, tmp_path):
+    """The files go as soon as the statement ends, with nothing collected in the driver."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    kept = spark.range(1000).repartition(3, "id")
+    assert kept.count() == 1000 and shuffled() - before
+    held = shuffled()
+    lake.write_slots_csv(samples.catalog(spark, *[slot("2025-01-01", "00", f"P{i}") for i in range(50)]),
+                         str(tmp_path / "c"))
+    until = time.time() + 20
+    while shuffled() - held and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - held
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

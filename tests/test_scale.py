@@ -51,6 +51,11 @@ def test_listings_have_no_window(spark):
     assert "Window" not in _optimized(fx.listings(spark, SF_DIR, yearly=True))
 
 
+def test_the_last_hour_of_a_date_is_told_without_its_parts(spark):
+    plan = _optimized(fx.catalog(spark, SF_DIR, yearly=True))
+    assert len(re.findall(r"Aggregate \[[^\]]*l_partkey", plan)) == 1
+
+
 def test_sales_join_their_buyers_before_they_have_texts(spark):
     plan = _optimized(fx.full_sales(spark, SF_DIR, yearly=True))
     assert plan.index("concat_ws") < plan.index("Join")

@@ -304,3 +304,59 @@ def test_refresh_with_versioned_tables(spark, tmp_path):
     assert versions.read_rejected(spark, job.store(SALES_DATA)).count() == 1
     with pytest.raises(ValueError, match="location"):
         run_refresh(spark, Refresh("unused", root, versioned=True))
+
+
+def test_a_refresh_loads_again_only_slots_whose_source_changed(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    job = Refresh("unused", root, str(tmp_path / "tables"), versioned=True, backfill={"product_catalog": True})
+    sales = job.store(SALES_DATA)
+
+    def put(dataset, frame, *slots, **more):
+        lake.write_slots_csv(frame(spark, *[slot(*s, "P1", **more) for s in slots]), f"{root}/{dataset}")
+
+    def in_slots(*slots):
+        at = versions.files(spark, sales, versions.version(spark, sales)).where("kind = 'rows'")
+        return {(r.folder, r.file) for r in at.collect() if (r.date, r.hour) in slots}
+
+    a, b, c, d = (D1, "00"), (D1, "01"), (D2, "a+b"), (D2, "01")
+    put("product_catalog", samples.catalog, a, c)
+    put("sales_data", samples.sales, a, b, c, d)
+    put("inventory_data", samples.inventory, a)
+    assert report(run_refresh(spark, job)) == [(D1, "Tools", 2, 20.0), (D2, "Tools", 2, 20.0)]
+    first, old = names(spark, sales), in_slots(a, c)
+    # Nothing came: all files stay.
+    run_refresh(spark, job)
+    assert names(spark, sales) == first
+    # One slot gets another file, one is lost to the table, one is merged into, one leaves the lake.
+    put("sales_data", samples.sales, b, units_sold=7)
+    versions.delete_slots(spark, sales, [D2], ["01"])
+    assert report(run_refresh(spark, job)) == [(D1, "Tools", 9, 90.0), (D2, "Tools", 2, 20.0)]
+    assert in_slots(a, c) == old and not in_slots(b, d) & first
+    versions.merge(sales, samples.sales(spark, slot(*c, "P9", units_sold=5)), KEYS)
+    assert (*c, "P9") in held(spark, sales)
+    for path in (tmp_path / "lake" / "sales_data" / "date=2025-01-02" / "hour=01").glob("*.csv"):
+        path.unlink()
+    assert report(run_refresh(spark, job)) == [(D1, "Tools", 9, 90.0), (D2, "Tools", 1, 10.0)]
+    assert held(spark, sales) == [(*a, "P1"), (*b, "P1"), (*b, "P1"), (*c, "P1")]
+    # Rules look at every row again.
+    strict = Refresh("unused", root, job.location, versioned=True, backfill=job.backfill,
+                     rules={"sales_data": {"many": F.col("units_sold") > 5}})
+    assert report(run_refresh(spark, strict)) == [(D1, "Tools", 2, 20.0), (D2, "Tools", 1, 10.0)]
+    assert report(run_refresh(spark, job)) == [(D1, "Tools", 9, 90.0), (D2, "Tools", 1, 10.0)]
+    assert versions.read_rejected(spark, sales).count() == 0
+
+
+def test_files_that_are_dealt_again_leave_no_first_copy(spark, tmp_path):
+    store = Store(str(tmp_path / "sales"), SALES_DATA)
+    rows = samples.sales(spark, slot(D1, "00:30")).drop("transaction_id", "product_id")
+    many = rows.crossJoin(spark.range(40_000).selectExpr(
+        "sha2(string(id), 256) AS transaction_id", "concat('P', id) AS product_id"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        load_versioned(spark, many.repartition(8).unionByName(
+            samples.sales(spark, slot(D2, "00", "P1"))), store, backfill=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    on_disk = {p.name for p in (tmp_path / "sales" / "data").rglob("*.parquet")}
+    assert len(on_disk) > 2 and on_disk == {f for _, f in names(spark, store)}
+    assert versions.read(spark, store).count() == 40_001

@@ -97,12 +97,10 @@ def listings(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFram
     """
     kept = _lines(spark, sf_dir, yearly).where(F.col("l_returnflag") != "R")
     # Numbers, as a least or greatest text per group would need sorted groups. The
-    # date's last hour comes from its parts, so the lines are read once; it is joined, as
-    # a window would make a date, or a year, the work of one task.
-    opened = kept.groupBy("date", "l_partkey").agg(
-        F.min("at").alias("first"), F.max("at").alias("latest")
-    )
-    closing = opened.groupBy(F.col("date").alias("day")).agg(F.max("latest").alias("last"))
+    # date's last hour comes from the lines, so a row per date and task is shuffled for it; it is
+    # joined, as a window would make a date, or a year, the work of one task.
+    opened = kept.groupBy("date", "l_partkey").agg(F.min("at").alias("first"))
+    closing = kept.groupBy(F.col("date").alias("day")).agg(F.max("at").alias("last"))
     # A row per date is broadcast.
     listed = opened.join(F.broadcast(closing), F.col("date").eqNullSafe(F.col("day"))).select(
         "date", "l_partkey", F.explode(F.array_distinct(F.array("first", "last"))).alias("at")

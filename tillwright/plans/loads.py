@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.functions.slotted import in_slots
 from tillwright.operators.reports import category_sales, category_sales_pinned
 from tillwright.operators.slots import (
     SlotLists, latest_of, lists_of, resolve_slots, select_slice, with_slot,
 )
 from tillwright.plans.rolling import rolling_report
 from tillwright.schemas import DATASETS, PRODUCT_CATALOG, SALES_DATA, Dataset
+from tillwright.session import freed_shuffles
 from tillwright.sources import lake, quarantine, tables, versions
 from tillwright.sources.lake import Slots
 from tillwright.sources.versions import Store, Version
@@ -58,16 +60,22 @@ def _slice_of(dataset: Dataset, source: DataFrame, mode: str, backfill: bool | N
 
 def load_versioned(spark: SparkSession, source: DataFrame, store: Store, mode: str = "incremental",
                    backfill: bool | None = None, slots: Slots | None = None,
-                   rules: dict[str, Column] | None = None) -> Version:
+                   rules: dict[str, Column] | None = None,
+                   origins: dict[tuple[str, str], str] | None = None) -> Version:
     """``load_managed`` into a versioned table: all slots of the load in one step, or none.
 
     Rows that break one of ``rules`` are held back in the same pass; see ``versions.stage``.
+    ``origins`` hold a digest of the source of each of ``slots``. With them, an incremental
+    backfill without rules reads and writes only slots that are not what a load made of the
+    same source; the others keep their files.
     """
     backfill, lists = _slice_of(store.dataset, source, mode, backfill, slots)
     chosen = with_slot(source) if backfill else select_slice(source, *lists)
     if mode == "replace":
-        return versions.replace_all(store, chosen, rules)
-    return versions.replace_slots(store, chosen, lists, rules=rules)
+        return versions.replace_all(store, chosen, rules, origins=origins)
+    settled = versions.settled_slots(spark, store, origins) if backfill and origins and not rules else []
+    return versions.replace_slots(
+        store, chosen.where(~in_slots(settled)), lists, rules=rules, origins=origins, spared=settled)
 
 
 def _load_slice(spark: SparkSession, dataset: Dataset, source: DataFrame, name: str, mode: str,
@@ -151,12 +159,13 @@ class Refresh:
 def _refresh_versions(spark: SparkSession, job: Refresh) -> DataFrame:
     for dataset in DATASETS.values():
         root = f"{job.lake_root.rstrip('/')}/{dataset.name}"
-        slots = lake.existing_slots(spark, root, job.dates)
-        source = lake.read_lake(spark, root, dataset, job.dates if slots else [])
-        load_versioned(
-            spark, source, job.store(dataset), job.mode, (job.backfill or {}).get(dataset.name),
-            slots, (job.rules or {}).get(dataset.name),
-        )
+        origins = lake.slot_digests(spark, root, job.dates)
+        source = lake.read_lake(spark, root, dataset, job.dates if origins else [])
+        with freed_shuffles(spark):
+            load_versioned(
+                spark, source, job.store(dataset), job.mode, (job.backfill or {}).get(dataset.name),
+                sorted(origins), (job.rules or {}).get(dataset.name), origins,
+            )
     return rolling_report(spark, job.store(SALES_DATA), job.store(PRODUCT_CATALOG),
                           f"{job.location.rstrip('/')}/sums", job.pinned)
 

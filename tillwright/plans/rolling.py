@@ -10,6 +10,7 @@ from tillwright.operators.reports import (
     category_sales_of_sums, latest_snapshots, slot_counts, slot_sums,
 )
 from tillwright.schemas import NUMBER, TEXT, WHOLE, Dataset, struct_of
+from tillwright.session import freed_shuffles
 from tillwright.sources import versions
 from tillwright.sources.lake import Slots
 from tillwright.sources.versions import Store
@@ -62,8 +63,9 @@ def rolling_report(spark: SparkSession, sales: Store, catalog: Store, folder: st
     """
     sums, counts = Store(f"{folder}/sales_sums", SALES_SUMS), Store(
         f"{folder}/catalog_counts", CATALOG_COUNTS)
-    follow(spark, sales, sums, slot_sums)
-    follow(spark, catalog, counts, slot_counts)
+    with freed_shuffles(spark):
+        follow(spark, sales, sums, slot_sums)
+        follow(spark, catalog, counts, slot_counts)
     listed = versions.read(spark, counts)
     if pinned:
         listed = latest_snapshots(listed, versions.slots_of(spark, catalog))

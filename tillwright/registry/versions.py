@@ -143,7 +143,8 @@ def _versioned_refresh(spark, sf_dir):
     job = Refresh("unused", root, f"{root}/tables", backfill={"product_catalog": True}, versioned=True)
     for part in (F.col("hour") < "15", F.col("hour") >= "15"):
         for name in DATASETS:
-            lake.write_missing_slots(views[name](spark, sf_dir, yearly=True).where(part), f"{root}/{name}")
+            lake.write_missing_slots(views[name](spark, sf_dir, yearly=True).where(part),
+                                     f"{root}/{name}", packed=True)
         report = run_refresh(spark, job)
     return rounded(report)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from py4j.protocol import Py4JJavaError
@@ -54,6 +56,25 @@ def build_session(app_name: str = "tillwright", master: str | None = None,
     return builder.getOrCreate()
 
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What a statement inside shuffles leaves the executors' disks as soon as it ends.
+
+    Otherwise it stays until the driver's garbage collector finds its plan unused, so a job of
+    many steps holds the shuffles of several at once. A lost task of the same statement
+    still finds them, and a frame that is run a second time makes them anew.
+    """
+    before = spark.conf.get(_FREE)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE, before)
+
+
 _SCRATCH: list[str] = []
 
 

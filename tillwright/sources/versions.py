@@ -6,7 +6,7 @@ appears at once or not at all, so readers see the whole of the old version or th
 whole of the new one, and a driver lost at any moment leaves the old one as it was.
 
     <root>/data/load=<id>/kind=rows/date=.../hour=.../*.parquet
-    <root>/manifests/<id>/*.parquet     all files of a version, with their keys' range
+    <root>/manifests/<id>/*.parquet     all files of a version, with their keys' range and origin
     <root>/versions/00000007.json       what version 7 is
 
 ``date_tmsp`` is not stored but told from the date, so a condition on it is one on
@@ -38,7 +38,7 @@ LINEAGE = "lineage"
 # Ranges that a merge takes its keys in.
 _RANGES = 64
 _FILE = "kind string, date string, hour string, folder string, file string, bytes bigint, " \
-        "n_rows bigint, low string, high string, written bigint"
+        "n_rows bigint, low string, high string, written bigint, origin string"
 _PLACE = r"/data/(load=[^/]+/kind=([^/]+)/date=([^/]+)/hour=([^/]+))/([^/]+)$"
 
 
@@ -93,7 +93,10 @@ def _no_files(spark: SparkSession) -> DataFrame:
 
 
 def files(spark: SparkSession, store: Store, at: Version | None) -> DataFrame:
-    """Every file of a version: kind, slot, folder, size, rows and range of the clustered key."""
+    """Every file of a version: kind, slot, folder, size, rows and range of the clustered key.
+
+    ``origin`` is what the load was told of the slot's source, null where that is not known.
+    """
     if at is None:
         return _no_files(spark)
     return spark.read.schema(_FILE).parquet(f"{store.root}/manifests/{at.manifest}")
@@ -202,6 +205,20 @@ def changed_slots(spark: SparkSession, store: Store, since: int | None,
     return sorted((r.date, r.hour) for r in differ.select("date", "hour").distinct().collect())
 
 
+def settled_slots(spark: SparkSession, store: Store, origins: dict[tuple[str, str], str]) -> Slots:
+    """Slots that hold what their load wrote, all of it, from the origin they have in ``origins``.
+
+    A slot that a merge, a mend or another load has touched since, or of which rows were held
+    back, is none of them. The driver holds a row per slot.
+    """
+    held = files(spark, store, version(spark, store)).groupBy("date", "hour").agg(
+        F.count(F.lit(1)).alias("n"), F.min("written").alias("written"),
+        F.min("origin").alias("least"), F.max("origin").alias("most"), F.count("origin").alias("told"),
+        F.count_if(F.col("kind") != ROWS).alias("rejected"))
+    whole = held.where("n = written AND n = told AND least = most AND rejected = 0")
+    return sorted((r.date, r.hour) for r in whole.collect() if origins.get((r.date, r.hour)) == r.least)
+
+
 @dataclass(frozen=True)
 class Staged:
     """Files of one write that no version holds yet."""
@@ -232,17 +249,20 @@ def _written(spark: SparkSession, store: Store, load: str) -> DataFrame:
     listed = per_file.join(ranges, "url", "left").select(
         place[1].alias("kind"), unescaped(place[2]).alias("date"), unescaped(place[3]).alias("hour"),
         place[0].alias("folder"), place[4].alias("file"), "bytes", "n_rows", "low", "high",
+        F.lit(None).cast("string").alias("origin"),
     )
     per_folder = listed.groupBy("folder").agg(F.count(F.lit(1)).alias("written"))
     return listed.join(per_folder, "folder")
 
 
-def stage(df: DataFrame, store: Store, rules: dict[str, Column] | None = None) -> Staged:
+def stage(df: DataFrame, store: Store, rules: dict[str, Column] | None = None,
+          origins: dict[tuple[str, str], str] | None = None) -> Staged:
     """Write the rows of ``df`` that have a slot; nothing reads them before a commit.
 
     ``rules`` name conditions that a row must not meet; null counts as not met. Rows that
     break one are written apart, with the names of all broken ones, and how many rows
-    broke each is counted by the same pass that writes them.
+    broke each is counted by the same pass that writes them. ``origins`` tell what the rows
+    of a slot come from; see ``settled_slots``.
     """
     spark = df.sparkSession
     load = uuid.uuid4().hex
@@ -259,6 +279,10 @@ def stage(df: DataFrame, store: Store, rules: dict[str, Column] | None = None) -
     marked = rows.withColumn(LINEAGE, F.when(F.col(REASONS).isNotNull(), digest))
     _write(marked, store, load)
     listed = _clustered(spark, store, _written(spark, store, load))
+    if origins:
+        told = spark.createDataFrame([(*s, o) for s, o in origins.items()], "date string, hour string, origin string")
+        # A row per slot is broadcast, as the manifest has it.
+        listed = listed.drop("origin").join(F.broadcast(told), ["date", "hour"], "left")
     if listed.isEmpty():  # a source known to be empty is not even run, so nothing was counted
         return Staged(listed, {"rows": 0, "rejected": 0, **{f"rule_{n}": 0 for n in broken}})
     return Staged(listed, dict(counts.get))
@@ -298,7 +322,11 @@ def _clustered(spark: SparkSession, store: Store, listed: DataFrame) -> DataFram
     dealt.repartitionByRange(int(size), *slot, store.cluster, "_deal").sortWithinPartitions(
         *slot, store.cluster).drop("_deal").write.partitionBy(*slot).parquet(
         f"{store.root}/data/load={load}")
-    return kept.join(crowded.select(*slot), slot, "left_anti").unionByName(_written(spark, store, load))
+    dealt_out = _kept(spark, store, _written(spark, store, load), "dealt")
+    # What was written twice is in no version yet, and nobody else knows of it.
+    for folder in again.select("folder").distinct().collect():
+        discard(spark, f"{store.root}/data/{folder.folder}")
+    return kept.join(crowded.select(*slot), slot, "left_anti").unionByName(dealt_out)
 
 
 def _slots_in(staged: Staged) -> DataFrame:
@@ -306,25 +334,27 @@ def _slots_in(staged: Staged) -> DataFrame:
 
 
 def replace_all(store: Store, df: DataFrame, rules: dict[str, Column] | None = None,
-                facts: dict | None = None) -> Version:
+                facts: dict | None = None,
+                origins: dict[tuple[str, str], str] | None = None) -> Version:
     """The next version holds exactly ``df``."""
-    staged = stage(df, store, rules)
+    staged = stage(df, store, rules, origins)
     return commit(df.sparkSession, store, lambda before, base: staged.listed,
                   {**staged.facts, **(facts or {})})
 
 
 def replace_slots(store: Store, df: DataFrame, lists: SlotLists | None = None,
                   slots: Slots | None = None, rules: dict[str, Column] | None = None,
-                  facts: dict | None = None) -> Version:
+                  facts: dict | None = None, origins: dict[tuple[str, str], str] | None = None,
+                  spared: Slots | None = None) -> Version:
     """The slots of ``df`` are replaced by its rows; so are the named ones, by nothing if need be.
 
     ``lists`` are dates and hours and work as their cross product, ``slots`` are pairs.
-    Other slots keep their files.
+    Other slots keep their files, and so do those ``spared`` of the lists.
     """
-    staged = stage(df, store, rules)
+    staged = stage(df, store, rules, origins)
 
     def change(before: DataFrame, base: Version | None) -> DataFrame:
-        kept = before if lists is None else before.where(~in_lists(*lists))
+        kept = before if lists is None else before.where(~in_lists(*lists) | in_slots(spared or []))
         kept = kept if slots is None else kept.where(~in_slots(slots))
         return kept.join(_slots_in(staged), ["date", "hour"], "left_anti").unionByName(staged.listed)
 
