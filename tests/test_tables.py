@@ -1,3 +1,4 @@
+import time
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
@@ -344,3 +345,42 @@ def test_bad_rows_go_aside_and_leave_when_mended(spark, namespace, tmp_path):
     path.write_text(good_text)
     load_from_lake(spark, INVENTORY_DATA, str(root), namespace, keep_bad_rows=True)
     assert spark.table(name).count() == 2 and spark.table(rejected).count() == 0
+
+
+def test_a_refresh_of_a_packed_lake_keeps_no_shuffle(spark, namespace, tmp_path):
+    root = str(tmp_path / "lake")
+    hours = [slot(D1, f"{h:02d}", "P1") for h in range(3)]
+    lake.write_slots_csv(samples.catalog(spark, *hours), f"{root}/product_catalog", packed=True)
+    lake.write_slots_csv(samples.sales(spark, *hours), f"{root}/sales_data", packed=True)
+    lake.write_slots_csv(samples.inventory(spark, *hours), f"{root}/inventory_data", packed=True)
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    # Only the loads ran so far; the report runs when it is asked for.
+    report = run_refresh(spark, Refresh(namespace, root, backfill={"product_catalog": True}))
+    until = time.time() + 20
+    while (left := {n for n in shuffled() - before if n.endswith(".data")}) and time.time() < until:
+        time.sleep(0.2)
+    assert not left, left
+    assert [tuple(r) for r in report.collect()] == [(D1, "Tools", 9, 90.0)]
+
+
+@pytest.mark.parametrize("name", ["run_refresh", "versioned_refresh"])
+def test_refresh_queries_write_packed_lakes(spark, tmp_path, monkeypatch, name):
+    from tillwright.registry import tables as table_queries, versions as version_queries
+
+    module = table_queries if name == "run_refresh" else version_queries
+    monkeypatch.setattr(module, "scratch_folder", lambda spark, label: str(tmp_path / "scratch-0"))
+    monkeypatch.setattr(module, "run_refresh", lambda spark, job: spark.range(0).selectExpr(
+        "'' AS date", "1.0D AS total_ammount_paid"))
+    for query in module.QUERIES:
+        if query.name == name:
+            query.run(spark, "/root/testdata/sf0.001")
+    for dataset in ("product_catalog", "sales_data", "inventory_data"):
+        found = [p.name for p in (tmp_path / "scratch-0" / dataset).glob("date=*/hour=*/part-*")]
+        assert len({p[-7:] for p in found}) == 1 and found[0].endswith(".csv.gz")

@@ -180,10 +180,11 @@ def run_refresh(spark: SparkSession, job: Refresh) -> DataFrame:
     tables.ensure_namespace(spark, job.namespace, job.location)
     for dataset in DATASETS.values():
         tables.create_managed(spark, managed_name(job.namespace, dataset), dataset)
-        load_from_lake(
-            spark, dataset, f"{job.lake_root.rstrip('/')}/{dataset.name}", job.namespace,
-            job.mode, (job.backfill or {}).get(dataset.name), job.keep_bad_rows, job.dates,
-        )
+        with freed_shuffles(spark):
+            load_from_lake(
+                spark, dataset, f"{job.lake_root.rstrip('/')}/{dataset.name}", job.namespace,
+                job.mode, (job.backfill or {}).get(dataset.name), job.keep_bad_rows, job.dates,
+            )
     sales = spark.table(managed_name(job.namespace, SALES_DATA))
     catalog_name = managed_name(job.namespace, PRODUCT_CATALOG)
     catalog = spark.table(catalog_name)

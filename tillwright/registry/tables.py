@@ -113,7 +113,7 @@ def _run_refresh(spark, sf_dir):
     views = {"product_catalog": fx.catalog, "sales_data": fx.full_sales,
              "inventory_data": fx.inventory}
     for name in DATASETS:
-        lake.write_slots_csv(views[name](spark, sf_dir, yearly=True), f"{root}/{name}")
+        lake.write_slots_csv(views[name](spark, sf_dir, yearly=True), f"{root}/{name}", packed=True)
     job = Refresh(
         "refresh_" + root.rsplit("-", 1)[1], root, f"{root}/tables",
         backfill={"product_catalog": True},

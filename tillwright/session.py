@@ -56,7 +56,7 @@ def build_session(app_name: str = "tillwright", master: str | None = None,
     return builder.getOrCreate()
 
 
-_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
@@ -67,12 +67,12 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
     many steps holds the shuffles of several at once. A lost task of the same statement
     still finds them, and a frame that is run a second time makes them anew.
     """
-    before = spark.conf.get(_FREE)
-    spark.conf.set(_FREE, "true")
+    before = spark.conf.get(FREED)
+    spark.conf.set(FREED, "true")
     try:
         yield
     finally:
-        spark.conf.set(_FREE, before)
+        spark.conf.set(FREED, before)
 
 
 _SCRATCH: list[str] = []

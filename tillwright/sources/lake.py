@@ -18,7 +18,7 @@ from tillwright.operators.slots import with_slot
 from tillwright.schemas import (
     CATALOG_DAILY, INVENTORY_DATA, PRODUCT_CATALOG, SALES_DAILY, SALES_DATA, Dataset,
 )
-from tillwright.session import discard, freed_shuffles, list_names, rename_new
+from tillwright.session import FREED, discard, freed_shuffles, list_names, rename_new
 
 Slots = list[tuple[str, str]]
 
@@ -130,6 +130,7 @@ def list_files(spark: SparkSession, root: str, dates: list[str] | None = None,
         return None
     listing = spark.newSession()
     listing.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    listing.conf.set(FREED, "true")
     try:
         files = (
             listing.read.format("binaryFile")
