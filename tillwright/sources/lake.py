@@ -37,7 +37,7 @@ CSV_READ = {
 CSV_WRITE = {
     **CSV_FORMAT, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-# A packed lake takes a fifth of the disk. The fastest level, as the writer waits for it. A
+# A packed lake takes some three tenths of the disk. The fastest level, as the writer waits for it. A
 # packed file is read by one task, so files must be of an even size, which ``by_slot`` sees to.
 CSV_PACKED = {**CSV_WRITE, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
